@@ -14,31 +14,28 @@ WORD = 64
 LIMB = 16
 
 
-def digits(c: Column) -> Column:
-    """Hex digits without the prefix, or NULL when there are none."""
-    return F.nullif(F.regexp_extract(c, "^0x([0-9a-fA-F]+)$", 1), F.lit(""))
+# Patterns of a usable quantity, without and with a bound on its significant digits.
+HEX = "^0x[0-9a-fA-F]+$"
+UP_TO_128_BITS = "^0x0*[0-9a-fA-F]{1,32}$"
 
 
-def hex64(c: Column) -> Column:
-    """The quantity as 64 lower-case digits: text order equals numeric order for 256 bits."""
-    return F.lower(F.lpad(digits(c), WORD, "0"))
+def _word(c: Column) -> Column:
+    return F.lpad(F.substr(c, F.lit(3)), WORD, "0")
 
 
-def _limb(word: Column, start: int, width: int = LIMB) -> Column:
-    return F.conv(F.substring(word, start, width), 16, 10).cast("decimal(20,0)")
+def _limb(c: Column, start: int) -> Column:
+    return F.conv(F.substring(_word(c), start, LIMB), 16, 10).cast("decimal(20,0)")
 
 
-def _zeros(word: Column, n: int) -> Column:
-    return F.substring(word, 1, n) == F.lit("0" * n)
+def hex64(c: Column) -> Column:
+    """The quantity as 64 lower-case digits: text order equals numeric order for 256 bits."""
+    return F.when(c.rlike(HEX), F.lower(_word(c)))
 
 
 def hex_to_long(c: Column) -> Column:
     """Signed 64-bit value; NULL from 2^63 upwards."""
-    d = F.ltrim(digits(c), F.lit("0"))
-    fits = (F.length(d) < LIMB) | ((F.length(d) == LIMB) & (F.substring(d, 1, 1) < "8"))
-    return F.when(digits(c).isNull(), None).when(d == "", F.lit(0).cast("bigint")).when(
-        fits, F.conv(d, 16, 10).try_cast("bigint")
-    )
+    significant = F.regexp_extract(c, "^0x0*([0-9a-fA-F]{1,16})$", 1)
+    return F.conv(significant, 16, 10).try_cast("bigint")
 
 
 def hex_to_int(c: Column) -> Column:
@@ -47,20 +44,20 @@ def hex_to_int(c: Column) -> Column:
 
 def hex_to_uint64(c: Column) -> Column:
     """Low 64 bits as ``decimal(20,0)``."""
-    return _limb(hex64(c), WORD - LIMB + 1)
+    return F.when(c.rlike(HEX), _limb(c, WORD - LIMB + 1))
 
 
 def hex_to_uint32(c: Column) -> Column:
     """Low 32 bits as ``bigint``."""
-    return F.conv(F.substring(hex64(c), WORD - 7, 8), 16, 10).cast("bigint")
+    return F.when(c.rlike(HEX), F.conv(F.substring(_word(c), WORD - 7, 8), 16, 10).cast("bigint"))
 
 
 def hex_to_decimal(c: Column) -> Column:
     """Exact ``decimal(38,0)``; NULL above 10^38-1."""
-    w = hex64(c)
-    high = F.try_multiply(_limb(w, 33), F.lit("18446744073709551616").cast("decimal(20,0)"))
-    wide = F.try_add(high, _limb(w, 49)).cast("decimal(38,0)")
-    return F.when(_zeros(w, 32), wide)
+    high = F.try_multiply(_limb(c, 33), F.lit("18446744073709551616").cast("decimal(20,0)"))
+    return F.when(
+        c.rlike(UP_TO_128_BITS), F.try_add(high, _limb(c, 49)).cast("decimal(38,0)")
+    )
 
 
 def hex_substr(c: Column, width: int) -> Column:

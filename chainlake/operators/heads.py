@@ -15,6 +15,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from chainlake.operators import ordered
 from chainlake.operators.ordered import PART, POSITION, Running
@@ -72,11 +73,15 @@ def follow(pieces: list[Piece], raw: int, tolerance: int, jump: int) -> list[Pie
     return out
 
 
+def with_safe_block(observations: DataFrame) -> StructType:
+    return StructType([*observations.schema, StructField("safe_block", LongType())])
+
+
 def safe_head(
     observations: DataFrame, tolerance: int = TOLERANCE, jump: int = JUMP
 ) -> DataFrame:
     """Append ``safe_block`` to observations (chain, seq, raw_block, …)."""
-    schema = observations.schema.add("safe_block", "bigint")
+    schema = with_safe_block(observations)
     parts = ordered.parts_needed(observations, ["chain"])
     if parts:
         return safe_head_in_parts(observations, tolerance, jump, parts)
@@ -146,7 +151,7 @@ def safe_head_in_parts(
     return (
         placed.join(entries, ["chain", PART])
         .groupBy("chain", PART)
-        .applyInPandas(part, observations.schema.add("safe_block", "bigint"))
+        .applyInPandas(part, with_safe_block(observations))
     )
 
 

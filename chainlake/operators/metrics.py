@@ -25,7 +25,7 @@ SERIES = ["metric", "chain", "job", "provider"]
 def series(samples: DataFrame) -> DataFrame:
     """Labels as columns, so that samples can be grouped by them."""
     return samples.select(
-        "ts", "metric", *[F.get("labels", F.lit(n)).alias(n) for n in ("chain", "job", "provider")], "value"
+        "ts", "metric", *[F.try_element_at("labels", F.lit(n)).alias(n) for n in ("chain", "job", "provider")], "value"
     )
 
 
@@ -97,7 +97,9 @@ def intervals(commits: DataFrame, keys: list[str]) -> DataFrame:
     """Seconds since the previous commit, to two places; NULL for the first."""
     prev = ordered.lag(commits, keys, ["ts"], {"prev": "ts"})
     micros = F.unix_micros("ts") - F.unix_micros("prev")
-    return prev.withColumn("interval_sec", F.round(micros / F.lit(1_000_000), 2)).drop("prev")
+    # Rounded on whole numbers, so that halves do not depend on binary fractions.
+    hundredths = F.floor((micros + 5_000) / F.lit(10_000))
+    return prev.withColumn("interval_sec", hundredths / F.lit(100)).drop("prev")
 
 
 def cost_by_provider(calls: DataFrame) -> DataFrame:

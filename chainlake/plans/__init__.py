@@ -2,7 +2,10 @@
 
 from importlib import import_module
 
-GROUPS = ["scalars"]
+GROUPS = [
+    "scalars", "transport", "layouts", "projections", "lookups", "aggregates", "windows",
+    "streams", "series",
+]
 
 
 def load():

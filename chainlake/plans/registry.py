@@ -81,7 +81,8 @@ class Source:
     def stream(self, name: str) -> DataFrame:
         """A view's rows as a stream over the table's files."""
         base = views.VIEWS[name][0]
-        path = f"{self.sf_dir}/{base}.parquet"
-        schema = self.spark.read.parquet(path).schema
+        # A pattern, as a stream takes no single file.
+        path = f"{self.sf_dir}/{base}[.]parquet"
+        schema = self.table(base).schema
         rows = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(path)
         return views.shape(rows, name)

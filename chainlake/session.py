@@ -21,6 +21,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # HotSpot does not compile methods above 8000 bytes of bytecode; wide projections are
+    # faster split into several methods than fused into one that stays interpreted.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from chainlake.operators import ordered
+from chainlake.session import scratch
 
 # Micro-batch caps and the realtime trigger of the four stream jobs.
 BATCH_CAPS = {"sample": 1_000, "silver_logs": 2_000, "realtime": 500_000, "backfill": 1_000_000}
@@ -35,6 +36,11 @@ def append(rows: DataFrame, path: str, checkpoint: str, **kw) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def appended(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """An append to a fresh table in the shared folder."""
+    return append(rows, scratch(spark, name), scratch(spark, f"{name}-checkpoint"))
+
+
 def for_each(rows: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str,
              mode: str = "append") -> StreamingQuery:
     return (
@@ -128,10 +134,13 @@ class ProgressToTable(StreamingQueryListener):
         self.spark.createDataFrame(rows, self.COLUMNS).coalesce(1).write.mode("append").parquet(self.path)
 
 
+PROGRESS_COLUMNS = "batch_id bigint, source string, rows bigint, start_offset string, end_offset string"
+
+
 def progress_rows(query: StreamingQuery) -> list[tuple]:
-    """Progress of one query as (batch_id, source rows, start offset, end offset)."""
+    """Recent progress of one query, a row per batch and source."""
     return [
-        (p["batchId"], s["numInputRows"], str(s["startOffset"]), str(s["endOffset"]))
+        (p["batchId"], s["description"], s["numInputRows"], str(s["startOffset"]), str(s["endOffset"]))
         for p in query.recentProgress
         for s in p["sources"]
     ]
