@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chainlake.functions import columns as C
 from chainlake.functions import schemas
-from chainlake.operators import ordered
+from chainlake.operators import ordered, silver
 
 TX_COLUMNS = [
     "block_height", "job_name", "run_id", "raw",
@@ -67,16 +67,17 @@ def split_transactions(payloads: DataFrame) -> DataFrame:
     )
 
 
-def usable_logs(bronze: DataFrame) -> DataFrame:
-    """Log items with a block number, given as a number or as hex text."""
-    item = F.from_json("raw", schemas.only(schemas.LOG_JSON, "blockNumber", "logIndex"))
-    return (
-        bronze.withColumn("_item", item)
-        .withColumn("block_number", C.block_number(F.col("_item.blockNumber")))
-        .withColumn("log_index", F.col("_item.logIndex"))
-        .drop("_item")
-        .where("block_number is not null")
+def usable_logs(bronze: DataFrame, *keep: str) -> DataFrame:
+    """Log items with a block number, given as a number or as hex text, beside the kept
+    columns."""
+    keep = keep or tuple(bronze.columns)
+    items = silver.parse(
+        bronze, list(keep), schemas.only(schemas.LOG_JSON, "blockNumber", "logIndex"), "blockNumber"
     )
+    return items.select(
+        *keep, C.block_number(F.col("blockNumber")).alias("block_number"),
+        F.col("logIndex").alias("log_index"),
+    ).where("block_number is not null")
 
 
 def block_ordinal(items: DataFrame) -> DataFrame:

@@ -86,8 +86,11 @@ def topic_scores(msgs: DataFrame) -> DataFrame:
             total = total + C.occurrences(text, word)
         return total
 
-    text, title = F.lower("text"), F.lower("title")
-    return msgs.groupBy("conv_id").agg(
+    text, title = F.col("lower_text"), F.col("lower_title")
+    lowered = msgs.select(
+        "conv_id", "title", "create_time", F.lower("text").alias("lower_text"), F.lower("title").alias("lower_title")
+    )
+    return lowered.groupBy("conv_id").agg(
         F.first("title").alias("title"),
         F.first("create_time").alias("create_time"),
         *[

@@ -12,10 +12,9 @@ from chainlake.functions import columns as C
 def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "overwrite",
                       max_records: int | None = None) -> None:
     """Partitioned Parquet. Dynamic overwrite replaces only the partitions present in
-    ``df``. Rows are spread by partition and a hash of the row, so that one large
-    partition is written by many tasks; AQE joins the small ones."""
-    spread = df.repartition(*by, F.pmod(F.xxhash64(*df.columns), F.lit(32)))
-    writer = spread.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    ``df``. Rows are rebalanced: AQE splits a large partition over several tasks by its
+    measured size, and joins small ones."""
+    writer = df.hint("rebalance", *by).write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     writer.partitionBy(*by).parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chainlake.operators import ordered
 from chainlake.operators.ordered import Running
+from chainlake.session import durable
 
 
 def block_at_time(lookups: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -76,7 +77,8 @@ def enrich(logs: DataFrame, txs: DataFrame, blocks: DataFrame) -> DataFrame:
     (tx_hash, block_number, …), blocks (block_number, block_ts). Transactions without logs
     stay, with NULL log columns."""
     facts = logs.withColumnRenamed("transaction_hash", "tx_hash")
-    with_logs = ordered.salted_join(facts, txs, ["tx_hash"])
-    without = txs.join(logs.select(F.col("transaction_hash").alias("tx_hash")).distinct(), "tx_hash", "left_anti")
+    counts = durable(facts.groupBy("tx_hash").count())
+    with_logs = ordered.salted_join(facts, txs, ["tx_hash"], counts=counts)
+    without = txs.join(counts.select("tx_hash"), "tx_hash", "left_anti")
     rows = with_logs.unionByName(without, allowMissingColumns=True)
     return ordered.salted_join(rows, ordered.small_side(blocks), ["block_number"], "left")

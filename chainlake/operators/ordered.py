@@ -211,17 +211,21 @@ def small_side(df: DataFrame) -> DataFrame:
 
 
 def salted_join(
-    facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", salts: int = 64
+    facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Join a fact side with hot keys to a side that is unique per key.
+    """Join (inner or left) a fact side with hot keys to a side that is unique per key.
 
     Keys with more rows than one task should take are found by counting; only their rows
-    get a salt, and only their single row on the other side is repeated per salt.
+    get a salt, and only their single row on the other side is repeated per salt. There
+    are as many salts as the hottest key needs. ``counts`` may hold the rows per key.
     """
     limit = group_rows(facts.sparkSession)
-    counts = facts.groupBy(*on).count()
-    if (counts.agg(F.max("count")).first()[0] or 0) <= limit:
+    counts = facts.groupBy(*on).count() if counts is None else counts
+    hottest = counts.agg(F.max("count")).first()[0] or 0
+    if hottest <= limit:
         return facts.join(dim, on, how)
+    salts = -(-hottest // limit) * 2
     hot = counts.where(F.col("count") > limit).select(*on, F.lit(True).alias("_hot"))
     hot = small_side(hot)
     row_salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")

@@ -106,7 +106,13 @@ def fenced_updates(owners: DataFrame, updates: DataFrame, key: str = "kafka_key"
 
 
 def max_offset(table: DataFrame) -> DataFrame:
-    return table.agg(F.coalesce(F.max("kafka_offset"), F.lit(-1)).alias("max_offset"))
+    return table.agg(F.coalesce(F.max("kafka_offset"), F.lit(-1).cast("bigint")).alias("max_offset"))
+
+
+def history_below(table: DataFrame, live: DataFrame) -> DataFrame:
+    """Rows below the first live block, for loading history once beside a running stream."""
+    first = live.agg(F.min("block_height"))
+    return table.where(F.col("block_height") < first.scalar())
 
 
 def marks(table: DataFrame) -> DataFrame:

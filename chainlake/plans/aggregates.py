@@ -11,15 +11,16 @@ from chainlake.plans.common import parsed_logs, parsed_tx, state_table
 from chainlake.plans.registry import query
 
 
-@query("e1_max_offset", """select kafka_topic, kafka_partition, max(kafka_offset) as mark,
-    (select coalesce(max(kafka_offset), -1) from tx) as max_offset, -1::bigint as max_offset_empty from tx group by all""", "tx")
+@query("e1_max_offset", """select kafka_partition, max(kafka_offset) as mark from tx group by kafka_partition
+    union all select null, coalesce(max(kafka_offset), -1) from tx
+    union all select -1, coalesce(max(kafka_offset), -1) from tx where false""", "tx")
 def max_offset(src):
+    """Marks per partition; then the mark of the whole table and that of an empty one."""
     rows = src.view("tx")
-    top = state.max_offset(rows)
-    none = state.max_offset(rows.where("false")).withColumnRenamed("max_offset", "max_offset_empty").select(
-        F.col("max_offset_empty").cast("bigint"))
-    # Both sides are single rows.
-    return state.marks(rows).join(F.broadcast(top)).join(F.broadcast(none))
+    each = state.marks(rows).select("kafka_partition", "mark")
+    whole = state.max_offset(rows).select(F.lit(None).cast("int").alias("kafka_partition"), F.col("max_offset").alias("mark"))
+    none = state.max_offset(rows.where("false")).select(F.lit(-1).alias("kafka_partition"), F.col("max_offset").alias("mark"))
+    return each.unionByName(whole).unionByName(none)
 
 
 @query("e2_table_frontier", "select max(block_height) as last_block, max(kafka_offset) as last_offset, count(*) as n from tx", "tx")
@@ -44,13 +45,21 @@ def duplicate_blocks(src):
     return quality.duplicates(src.view("tx"), ["kafka_topic", "block_height"])
 
 
-@query("e6_group_by_block", f"""with {S.LOGJ}, b as (select block_number, count(*) as items from lg where block_number is not null group by 1)
-    select block_number, items, (select count(*) from b) as block_count, (select cast(sum(items) as bigint) from b) as item_total from b""", "logs")
+ITEMS_SQL = f"{S.LOGJ}, b as (select block_number, count(*) as items from lg where block_number is not null group by 1)"
+
+
+def items_per_block(src):
+    return parsed_logs(src).where("block_number is not null").groupBy("block_number").agg(F.count(F.lit(1)).alias("items"))
+
+
+@query("e6_group_by_block", f"with {ITEMS_SQL} select block_number, items from b", "logs")
 def group_by_block(src):
-    items = parsed_logs(src).where("block_number is not null").groupBy("block_number").agg(F.count(F.lit(1)).alias("items"))
-    totals = items.agg(F.count(F.lit(1)).alias("block_count"), F.sum("items").alias("item_total"))
-    # The totals are a single row.
-    return items.join(F.broadcast(totals))
+    return items_per_block(src)
+
+
+@query("e6_batch_totals", f"with {ITEMS_SQL} select count(*) as block_count, cast(sum(items) as bigint) as item_total from b", "logs")
+def batch_totals(src):
+    return items_per_block(src).agg(F.count(F.lit(1)).alias("block_count"), F.sum("items").alias("item_total"))
 
 
 @query("e7_block_header_stats", """with b as (select (TIMESTAMP '1970-01-01' + to_seconds(cast(json_extract_string(raw, '$.timestamp') as bigint))) as ts,

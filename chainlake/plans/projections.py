@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from chainlake.functions import schemas
 from chainlake.operators import bronze, silver, state
 from chainlake.plans import sqltext as S
-from chainlake.plans.common import log_wire, parsed_tx, tx_wire
+from chainlake.plans.common import log_wire, tx_wire
 from chainlake.plans.registry import query
 from chainlake.sources import topics
 
@@ -83,12 +83,10 @@ def sample_rows(src):
     (select min(block_height) from tx where job_name = 'bsc_realtime_transactions')""", "tx")
 def backfill_complement(src):
     rows = src.view("tx")
-    first = rows.where("job_name = 'bsc_realtime_transactions'").agg(F.min("block_height").alias("first_live"))
-    # One row, so broadcasting it is a comparison with a constant.
-    older = rows.join(F.broadcast(first), F.col("block_height") < F.col("first_live"))
+    older = state.history_below(rows, rows.where("job_name = 'bsc_realtime_transactions'"))
     return older.select("block_height", "kafka_offset", "job_name")
 
 
 @query("c11_drop_null_block", f"with {S.LOGJ} select kafka_offset, block_number, log_index from lg where block_number is not null", "logs")
 def drop_null_block(src):
-    return bronze.usable_logs(src.view("logs")).select("kafka_offset", "block_number", "log_index")
+    return bronze.usable_logs(src.view("logs"), "kafka_offset")

@@ -41,8 +41,9 @@ def with_views(sql: str, names: tuple[str, ...]) -> str:
         return sql.strip()
     parts = ", ".join(f"{n} as ({views.ansi(n)})" for n in names)
     body = sql.strip()
-    if body.lower().startswith("with "):
-        return f"with {parts}, {body[5:]}"
+    for start in ("with recursive ", "with "):
+        if body.lower().startswith(start):
+            return f"{start}{parts}, {body[len(start):]}"
     return f"with {parts} {body}"
 
 
@@ -76,13 +77,13 @@ class Source:
         return views.view(self.spark, self.sf_dir, name)
 
     def table(self, name: str) -> DataFrame:
-        return views.table(self.spark, self.sf_dir, name)
+        return views.all_cores(views.table(self.spark, self.sf_dir, name))
 
     def stream(self, name: str) -> DataFrame:
         """A view's rows as a stream over the table's files."""
         base = views.VIEWS[name][0]
         # A pattern, as a stream takes no single file.
         path = f"{self.sf_dir}/{base}[.]parquet"
-        schema = self.table(base).schema
-        rows = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(path)
-        return views.shape(rows, name)
+        still = views.table(self.spark, self.sf_dir, base)
+        rows = self.spark.readStream.schema(still.schema).option("maxFilesPerTrigger", 64).parquet(path)
+        return views.shape(views.all_cores(rows, still), name)

@@ -26,10 +26,11 @@ def available_now(src):
 
 @query("j2_processing_trigger", KEYED, "state")
 def processing_trigger(src):
-    """A fixed trigger, stopped once everything there is has been processed."""
+    """A fixed trigger (a short one here, so that nobody waits), stopped once everything
+    there is has been processed."""
     path = scratch(src.spark, "j2")
     rows = src.stream("state").select("kafka_key", "kafka_offset", "kafka_timestamp")
-    running = jobs.start(rows, path, scratch(src.spark, "j2-checkpoint"), every=jobs.REALTIME_TRIGGER)
+    running = jobs.start(rows, path, scratch(src.spark, "j2-checkpoint"), every="1 second")
     running.processAllAvailable()
     running.stop()
     return src.spark.read.schema(rows.schema).parquet(path)

@@ -8,7 +8,7 @@ from chainlake.functions import schemas
 from chainlake.operators import bronze, metrics, ordered, quality, ranges, silver, state
 from chainlake.plans import sqltext as S
 from chainlake.plans.aggregates import INTERVAL_SQL, commit_times
-from chainlake.plans.common import parsed_tx, state_table
+from chainlake.plans.common import state_table
 from chainlake.plans.registry import query
 from chainlake.streaming import jobs
 
@@ -47,7 +47,7 @@ def commit_frontier(src):
 @query("f4_block_ordinal", f"""with {S.LOGJ} select kafka_offset, block_number, row_number() over (partition by block_number
     order by log_index, kafka_partition, kafka_offset) - 1 as ordinal from lg where block_number is not null""", "logs")
 def block_ordinal(src):
-    items = bronze.usable_logs(src.view("logs")).select("kafka_partition", "kafka_offset", "block_number", "log_index")
+    items = bronze.usable_logs(src.view("logs"), "kafka_partition", "kafka_offset")
     return bronze.block_ordinal(items).select("kafka_offset", "block_number", "ordinal")
 
 
@@ -128,11 +128,10 @@ def deterministic_batch_order(src):
     select j_hash as tx_hash, job_name, kafka_offset from u
     qualify row_number() over (partition by j_hash order by kafka_offset) = 1""", "tx")
 def union_live_history(src):
-    rows = parsed_tx(src, "job_name", "kafka_offset")
-    live = rows.where("job_name = 'bsc_realtime_transactions'")
-    first = src.view("tx").where("job_name = 'bsc_realtime_transactions'").agg(F.min("block_height").alias("first_live"))
-    history = rows.join(F.broadcast(first), F.col("block_number") < F.col("first_live")).drop("first_live")
-    return quality.dedup(live.unionByName(history), ["tx_hash"]).select("tx_hash", "job_name", "kafka_offset")
+    live = src.view("tx").where("job_name = 'bsc_realtime_transactions'")
+    both = live.unionByName(state.history_below(src.view("tx"), live))
+    tx = silver.parse_tx(both, ["job_name", "kafka_offset"], "hash").withColumnRenamed("hash", "tx_hash")
+    return quality.dedup(tx, ["tx_hash"]).select("tx_hash", "job_name", "kafka_offset")
 
 
 @query("h2_missing_rows", "select kafka_partition, kafka_offset from tx where not json_valid(raw)", "tx")

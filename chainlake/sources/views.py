@@ -20,9 +20,6 @@ Fields = list[tuple[str, str]]
 
 
 class Spark:
-    def sha(self, e: str) -> str:
-        return f"sha2({e}, 256)"
-
     def plus_seconds(self, ts: str, n: str) -> str:
         return f"timestamp_seconds(unix_timestamp({ts}) + {n})"
 
@@ -37,9 +34,6 @@ class Spark:
 
 
 class Ansi:
-    def sha(self, e: str) -> str:
-        return f"sha256({e})"
-
     def plus_seconds(self, ts: str, n: str) -> str:
         return f"({ts} + to_seconds({n}))"
 
@@ -65,24 +59,26 @@ def hex_of(e: str) -> str:
     return f"lower(hex({e}))"
 
 
-def block_hash(d, number: str) -> str:
-    return d.sha(f"concat('b', {text(number)})")
+def digest(tag: str, number: str, width: int = 64) -> str:
+    """Distinct hex text of a fixed width for each tag (a hex digit) and number."""
+    return f"concat('{tag}', lpad({hex_of(number)}, {width - 1}, '0'))"
 
 
-def tx_key(d) -> str:
-    cols = ", '-', ".join(text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    return d.sha(f"concat({cols})")
+def block_hash(number: str) -> str:
+    return digest("b", number)
 
 
 OFFSET = (
     "(l_orderkey * 8 + l_linenumber) * 10000000 + (l_partkey * 1009 + l_suppkey) % 10000000"
 )
 
+TX_HASH = digest("7", OFFSET)
+
 
 def tx_raw(d) -> str:
     to = (
         "case when l_linenumber = 7 then 'null' when l_linenumber = 6 and l_returnflag = 'A' "
-        f"then '\"\"' else concat('\"0x', substr({d.sha('concat(chr(112), ' + text('l_partkey') + ')')}, 1, 40), '\"') end"
+        f"then '\"\"' else concat('\"0x', {digest('a', 'l_partkey', 40)}, '\"') end"
     )
     value = (
         f"case when l_linenumber = 1 then {hex_of(cents('l_extendedprice'))} "
@@ -90,7 +86,7 @@ def tx_raw(d) -> str:
         "when l_linenumber = 2 and l_returnflag = 'R' then '' "
         f"else concat({hex_of(cents('l_extendedprice'))}, '{'0' * 14}') end"
     )
-    args = d.sha(f"concat('i', {text('l_partkey')})")
+    args = digest("e", "l_partkey")
     payload = (
         "case when l_returnflag = 'N' and l_linenumber = 5 then 'null' "
         "when l_returnflag = 'N' then '\"0x\"' "
@@ -107,15 +103,15 @@ def tx_raw(d) -> str:
         "else '' end"
     )
     whole = (
-        f"concat('{{\"blockHash\":\"0x', {block_hash(d, 'l_orderkey')}, '\",\"blockNumber\":\"0x', {hex_of('l_orderkey')}, "
-        f"'\",\"from\":\"0x', upper(substr({d.sha('concat(chr(115), ' + text('l_suppkey') + ')')}, 1, 40)), "
+        f"concat('{{\"blockHash\":\"0x', {block_hash('l_orderkey')}, '\",\"blockNumber\":\"0x', {hex_of('l_orderkey')}, "
+        f"'\",\"from\":\"0x', upper({digest('f', 'l_suppkey', 40)}), "
         f"'\",\"to\":', {to}, ',\"nonce\":\"0x', {hex_of('l_suppkey')}, "
-        f"'\",\"hash\":\"0x', {tx_key(d)}, "
+        f"'\",\"hash\":\"0x', {TX_HASH}, "
         f"'\",\"transactionIndex\":\"0x', {hex_of('cast(l_linenumber as bigint)')}, "
         f"'\",\"value\":\"0x', {value}, '\",\"gas\":\"0x5208\",\"gasPrice\":\"0x', {hex_of('l_suppkey + 1000000000')}, "
         f"'\",', {fee}, '\"input\":', {payload}, ',\"type\":\"', {kind}, "
         "'\",\"accessList\":[{\"address\":\"0xaa\",\"storageKeys\":[\"0x1\",\"0x2\"]}],\"chainId\":\"0x38\",\"v\":\"0x1b\",\"r\":\"0x', "
-        f"{d.sha('concat(chr(114), ' + text('l_orderkey') + ')')}, '\",\"s\":\"0x2a\",\"yParity\":\"0x0\"}}')"
+        f"{digest('c', 'l_orderkey')}, '\",\"s\":\"0x2a\",\"yParity\":\"0x0\"}}')"
     )
     return f"case when l_quantity = 50 then substr({whole}, 1, 40) else {whole} end"
 
@@ -128,7 +124,7 @@ def log_number(d) -> str:
 
 
 def log_raw(d) -> str:
-    topic = [d.sha(f"concat('t{i}', {text('l_partkey % 50')})") for i in range(4)]
+    topic = [digest(str(i), "l_partkey % 50") for i in range(4)]
     topics = ", ".join(
         f"case when l_linenumber % 4 >= {i} then concat('{',' if i else ''}\"0x', {t}, '\"') else '' end"
         for i, t in enumerate(topic)
@@ -136,9 +132,9 @@ def log_raw(d) -> str:
     return (
         "concat('{\"removed\":', case when l_returnflag = 'R' and l_tax > 0.07 then 'true' else 'false' end, "
         f"',\"logIndex\":', {text('l_linenumber')}, ',\"transactionIndex\":', {text('l_linenumber - 1')}, "
-        f"',\"transactionHash\":\"0x', {tx_key(d)}, '\",\"blockHash\":\"0x', {block_hash(d, 'l_orderkey')}, "
+        f"',\"transactionHash\":\"0x', {TX_HASH}, '\",\"blockHash\":\"0x', {block_hash('l_orderkey')}, "
         f"'\",\"blockNumber\":', {log_number(d)}, ',\"blockTimestamp\":\"0x', {hex_of(BLOCK_TIME)}, "
-        f"'\",\"address\":\"0x', substr({d.sha('concat(chr(99), ' + text('l_partkey % 100') + ')')}, 1, 40), "
+        f"'\",\"address\":\"0x', {digest('d', 'l_partkey % 100', 40)}, "
         f"'\",\"data\":\"0x', {hex_of(cents('l_extendedprice'))}, '\",\"topics\":[', {topics}, ']}}')"
     )
 
@@ -147,12 +143,12 @@ def log_raw(d) -> str:
 BLOCK_TIME = "(1704067200 + (l_orderkey - l_orderkey % 2) * 60)"
 
 
-def block_header(d, number: str = "o_orderkey", salt: str = "''") -> str:
+def block_header(d, number: str = "o_orderkey", tag: str = "b") -> str:
     """Header fields of a block as JSON members, without the outer braces."""
-    own = d.sha(f"concat('b', {text(number)}, {salt})")
+    own = digest(tag, number)
     parent = (
-        f"case when {number} % 97 = 96 then {d.sha('concat(chr(120), ' + text(number) + ')')} "
-        f"else {block_hash(d, number + ' - 1')} end"
+        f"case when {number} % 97 = 96 then {digest('9', number)} "
+        f"when {number} = 0 then '{'0' * 64}' else {block_hash(number + ' - 1')} end"
     )
     drawals = ", ".join(
         f"case when {number} % 3 > {i} then concat('{',' if i else ''}{{\"index\":', {text(number + f' * 2 + {i}')}, "
@@ -162,7 +158,7 @@ def block_header(d, number: str = "o_orderkey", salt: str = "''") -> str:
     return (
         f"concat('\"number\":', {text(number)}, ',\"hash\":\"0x', {own}, '\",\"parentHash\":\"0x', {parent}, "
         f"'\",\"timestamp\":', {text(f'1704067200 + ({number} - {number} % 2) * 60')}, "
-        f"',\"miner\":\"0x', substr({d.sha('concat(chr(109), ' + text('o_custkey % 21') + ')')}, 1, 40), "
+        f"',\"miner\":\"0x', {digest('5', 'o_custkey % 21', 40)}, "
         f"'\",\"gasUsed\":', {text(cents('o_totalprice'))}, ',\"gasLimit\":140000000,\"baseFeePerGas\":', {text('o_custkey')}, "
         f"',\"size\":', {text('o_custkey + 500')}, ',\"uncles\":[],\"withdrawalsRoot\":\"0x56\",\"withdrawals\":[', {drawals}, ']')"
     )
@@ -172,7 +168,7 @@ def block_txs(d) -> str:
     def one(i: int) -> str:
         return (
             f"case when o_orderkey % 4 > {i} then concat('{',' if i else ''}{{\"hash\":\"0x', "
-            + d.sha(f"concat('t{i}', {text('o_orderkey')})")
+            + digest(str(i), "o_orderkey")
             + f", '\",\"value\":\"0x', {hex_of(f'o_custkey + {i}')}, '\"}}') else '' end"
         )
 
@@ -224,8 +220,7 @@ def block_fields(d) -> Fields:
 def redelivered_fields(d) -> Fields:
     """A second delivery of some heights, with another hash and a later offset."""
     fields = dict(block_fields(d))
-    salt = "chr(95)"
-    fields["raw"] = f"concat('{{', {block_header(d, salt=salt)}, '}}')"
+    fields["raw"] = f"concat('{{', {block_header(d, tag='8')}, '}}')"
     fields["kafka_offset"] = "o_orderkey + 1000000000000"
     return list(fields.items())
 
@@ -249,7 +244,7 @@ def header_fields(d) -> Fields:
 
 def transfer_fields(d) -> Fields:
     return [
-        ("tx_hash", tx_key(d)),
+        ("tx_hash", TX_HASH),
         ("from_address", f"concat('acct-', {text('l_suppkey')})"),
         ("to_address", f"concat('acct-', {text('l_partkey % 150')})"),
         ("amount", cents("l_extendedprice")),
@@ -378,11 +373,11 @@ def shape(df: DataFrame, name: str) -> DataFrame:
     return df.selectExpr(*[f"{e} as {n}" for n, e in VIEWS[name][1](Spark())])
 
 
-def all_cores(df: DataFrame) -> DataFrame:
+def all_cores(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
     """Spread a scan of fewer splits than there are cores, as parsing is CPU work. Large
-    tables have more splits and are left as they are."""
+    tables have more splits and are left as they are. ``scan`` stands in for a stream."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if (scan or df).rdd.getNumPartitions() < cores else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
