@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chainlake.operators import ordered
 from chainlake.operators.ordered import Running
-from chainlake.session import durable
+from chainlake.session import group_rows
 
 
 def block_at_time(lookups: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -73,12 +73,20 @@ def date_to_blocks(
 
 
 def enrich(logs: DataFrame, txs: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Facts with their intent and time: logs (transaction_hash, log_index), transactions
+    """Facts with their intent and time: logs (transaction_hash, log_index, …), transactions
     (tx_hash, block_number, …), blocks (block_number, block_ts). Transactions without logs
     stay, with NULL log columns."""
+    axis = ordered.small_side(blocks)
+    if axis is blocks:
+        timed = ordered.salted_join(txs, blocks, ["block_number"], "left")
+    else:
+        timed = txs.join(axis, "block_number", "left")
     facts = logs.withColumnRenamed("transaction_hash", "tx_hash")
-    counts = durable(facts.groupBy("tx_hash").count())
-    with_logs = ordered.salted_join(facts, txs, ["tx_hash"], counts=counts)
-    without = txs.join(counts.select("tx_hash"), "tx_hash", "left_anti")
-    rows = with_logs.unionByName(without, allowMissingColumns=True)
-    return ordered.salted_join(rows, ordered.small_side(blocks), ["block_number"], "left")
+    most = ordered.hottest(facts, ["tx_hash"])
+    if most <= group_rows(logs.sparkSession):
+        return timed.join(facts, "tx_hash", "left")
+    # An outer join cannot split the side that is not kept whole, so a transaction with
+    # very many logs is joined from the logs' side.
+    found = ordered.salted_join(facts, timed, ["tx_hash"], most=most)
+    without = timed.join(facts.select("tx_hash").distinct(), "tx_hash", "left_anti")
+    return found.unionByName(without, allowMissingColumns=True)

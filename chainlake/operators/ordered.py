@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainlake.session import broadcast_rows, durable, group_rows
+from chainlake.session import BROADCAST_BYTES, broadcast_rows, durable, group_rows
 
 POSITION = "_pos"
 PART = "_part"
@@ -129,10 +129,12 @@ def spread(df: DataFrame, keys: list[str], order: list, parts: int) -> DataFrame
 
 
 def running(
-    df: DataFrame, keys: list[str], order: list, values: dict[str, Running]
+    df: DataFrame, keys: list[str], order: list, values: dict[str, Running],
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Append running values per key in the given order."""
-    parts = parts_needed(df, keys)
+    """Append running values per key in the given order. ``sizes`` may give rows whose
+    counts per distinct row are no smaller than the keys' and cheaper to take."""
+    parts = parts_needed(df, keys) if sizes is None else parts_needed(sizes, sizes.columns)
     if parts:
         return running_spread(df, keys, order, values, parts)
     rows = Window.partitionBy(*keys).orderBy(*order)
@@ -179,8 +181,10 @@ def running_spread(
     )
 
 
-def row_number(df: DataFrame, keys: list[str], order: list, name: str = "rn") -> DataFrame:
-    return running(df, keys, order, {name: Running("count")})
+def row_number(
+    df: DataFrame, keys: list[str], order: list, name: str = "rn", sizes: DataFrame | None = None
+) -> DataFrame:
+    return running(df, keys, order, {name: Running("count")}, sizes)
 
 
 def lag(df: DataFrame, keys: list[str], order: list, values: dict[str, str]) -> DataFrame:
@@ -205,28 +209,30 @@ def small_side(df: DataFrame) -> DataFrame:
     a shuffled join to Spark. The rows fetched are bounded by the limit."""
     limit = broadcast_rows(df.sparkSession)
     rows = df.limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
+    if rows.num_rows > limit or rows.nbytes > BROADCAST_BYTES:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def hottest(rows: DataFrame, on: list[str]) -> int:
+    return group_sizes(rows, on)[0]
+
+
 def salted_join(
-    facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner",
-    counts: DataFrame | None = None,
+    facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", most: int | None = None
 ) -> DataFrame:
     """Join (inner or left) a fact side with hot keys to a side that is unique per key.
 
     Keys with more rows than one task should take are found by counting; only their rows
     get a salt, and only their single row on the other side is repeated per salt. There
-    are as many salts as the hottest key needs. ``counts`` may hold the rows per key.
+    are as many salts as the hottest key (``most`` rows, when known) needs.
     """
     limit = group_rows(facts.sparkSession)
-    counts = facts.groupBy(*on).count() if counts is None else counts
-    hottest = counts.agg(F.max("count")).first()[0] or 0
-    if hottest <= limit:
+    most = hottest(facts, on) if most is None else most
+    if most <= limit:
         return facts.join(dim, on, how)
-    salts = -(-hottest // limit) * 2
-    hot = counts.where(F.col("count") > limit).select(*on, F.lit(True).alias("_hot"))
+    salts = -(-most // limit) * 2
+    hot = facts.groupBy(*on).count().where(F.col("count") > limit).select(*on, F.lit(True).alias("_hot"))
     hot = small_side(hot)
     row_salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
     left = facts.join(hot, on, "left").withColumn(

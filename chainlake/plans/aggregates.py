@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chainlake.functions import schemas
-from chainlake.operators import layout, metrics, quality, ranges, silver, state
+from chainlake.operators import metrics, quality, ranges, silver, state
 from chainlake.plans import sqltext as S
 from chainlake.plans.common import parsed_logs, parsed_tx, state_table
 from chainlake.plans.registry import query
@@ -37,7 +36,7 @@ def row_count(src):
 @query("e4_count_by_flag", f"""with {S.TXJ} select coalesce(j_input <> '0x' and substr(j_input, 1, 10) in ('0x5c60da1b', '0x3659cfe6'), false)
     as is_proxy_like, count(*) as n from p group by 1""", "tx")
 def count_by_flag(src):
-    return parsed_tx(src).groupBy("is_proxy_like").agg(F.count(F.lit(1)).alias("n"))
+    return parsed_tx(src, "is_proxy_like").groupBy("is_proxy_like").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("e5_duplicate_blocks", "select kafka_topic, block_height, count(*) as copies from tx group by all having count(*) > 1", "tx")
@@ -49,7 +48,7 @@ ITEMS_SQL = f"{S.LOGJ}, b as (select block_number, count(*) as items from lg whe
 
 
 def items_per_block(src):
-    return parsed_logs(src).where("block_number is not null").groupBy("block_number").agg(F.count(F.lit(1)).alias("items"))
+    return parsed_logs(src, "block_number").where("block_number is not null").groupBy("block_number").agg(F.count(F.lit(1)).alias("items"))
 
 
 @query("e6_group_by_block", f"with {ITEMS_SQL} select block_number, items from b", "logs")
@@ -89,14 +88,14 @@ def withdrawals_by_address(src):
 @query("e8_method_stats", f"""with {S.TXJ} select case when j_input <> '0x' then substr(j_input, 1, 10) end as method_id, count(*) as n,
     count(distinct j_from) as callers from p group by 1""", "tx")
 def method_stats(src):
-    return parsed_tx(src).groupBy("method_id").agg(
+    return parsed_tx(src, "method_id", "from_address").groupBy("method_id").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("from_address").alias("callers"))
 
 
 @query("e8_call_graph", f"""with {S.TXJ} select {S.addr('j_from')} as from_address, {S.addr('j_to')} as to_address, count(*) as n
     from p group by all""", "tx")
 def call_graph(src):
-    return parsed_tx(src).groupBy("from_address", "to_address").agg(F.count(F.lit(1)).alias("n"))
+    return parsed_tx(src, "from_address", "to_address").groupBy("from_address", "to_address").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("e9_balance_by_address", """with d as (select from_address as address, case when removed then amount else -amount end as delta from transfers

@@ -38,25 +38,34 @@ def state_table(src: Source) -> DataFrame:
     return state.flatten_state(state_records(src))
 
 
-def parsed_logs(src: Source, *keep: str) -> DataFrame:
-    """Logs with the columns operators on logs need."""
-    fields = schemas.only(schemas.LOG_JSON, "transactionHash", "blockNumber", "logIndex", "removed", "address")
-    rows = silver.parse(src.view("logs"), list(keep), fields, "transactionHash")
-    return rows.select(
-        *keep, F.col("transactionHash").alias("transaction_hash"),
-        C.block_number(F.col("blockNumber")).alias("block_number"), F.col("logIndex").alias("log_index"),
-        "removed", "address",
-    )
-
-
-def parsed_tx(src: Source, *keep: str) -> DataFrame:
-    """Transactions with identity and classification only."""
-    rows = silver.parse_tx(src.view("tx"), ["block_height", *keep], "hash", "blockHash", "from", "to", "input", "type")
-    to = C.address(F.col("to"))
-    return rows.select(
-        *keep, F.col("block_height").alias("block_number"), F.col("hash").alias("tx_hash"),
-        F.col("blockHash").alias("block_hash"), C.address(F.col("from")).alias("from_address"),
-        to.alias("to_address"), C.method_id(F.col("input")).alias("method_id"),
-        C.is_proxy_like(F.col("input")).alias("is_proxy_like"),
-        C.tx_kind(to, F.col("input")).alias("tx_kind"),
-    )
+# Columns queries ask for: the payload fields each is made from, and how.
+LOG_COLUMNS = {
+    "transaction_hash": (("transactionHash",), lambda: F.col("transactionHash")),
+    "block_number": (("blockNumber",), lambda: C.block_number(F.col("blockNumber"))),
+    "log_index": (("logIndex",), lambda: F.col("logIndex")),
+    "log_address": (("address",), lambda: F.col("address")),
+}
+TX_COLUMNS = {
+    "tx_hash": (("hash",), lambda: F.col("hash")),
+    "block_number": ((), lambda: F.col("block_height")),
+    "block_hash": (("blockHash",), lambda: F.col("blockHash")),
+    "from_address": (("from",), lambda: C.address(F.col("from"))),
+    "to_address": (("to",), lambda: C.address(F.col("to"))),
+    "method_id": (("input",), lambda: C.method_id(F.col("input"))),
+    "is_proxy_like": (("input",), lambda: C.is_proxy_like(F.col("input"))),
+    "tx_kind": (("to", "input"), lambda: C.tx_kind(F.col("to"), F.col("input"))),
+}
+
+
+def parsed_logs(src: Source, *columns: str) -> DataFrame:
+    """The named columns of the logs, parsing no other field."""
+    fields = {"transactionHash", *[f for c in columns for f in LOG_COLUMNS[c][0]]}
+    rows = silver.parse(src.view("logs"), [], schemas.only(schemas.LOG_JSON, *sorted(fields)), "transactionHash")
+    return rows.select(*[LOG_COLUMNS[c][1]().alias(c) for c in columns])
+
+
+def parsed_tx(src: Source, *columns: str) -> DataFrame:
+    """The named columns of the transactions, parsing no other field."""
+    fields = {"hash", *[f for c in columns for f in TX_COLUMNS[c][0]]}
+    rows = silver.parse_tx(src.view("tx"), ["block_height"], *sorted(fields))
+    return rows.select(*[TX_COLUMNS[c][1]().alias(c) for c in columns])

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chainlake.functions import schemas
-from chainlake.operators import layout, state
+from chainlake.operators import layout, silver
 from chainlake.plans import sqltext as S
 from chainlake.plans.common import state_table
 from chainlake.plans.registry import query
@@ -69,8 +68,6 @@ def file_sizing(src):
 @query("b6_hash_shard", f"""with {S.TXJ} select cast(try_cast('0x' || substr(sha256(j_hash), 1, 8) as bigint) % 16 as bigint) as shard,
     count(*) as n from p group by 1""", "tx")
 def hash_shard(src):
-    from chainlake.operators import silver
-
     tx = silver.parse_tx(src.view("tx"), [], "hash")
     return tx.groupBy(layout.shard(F.col("hash"), 16).alias("shard")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -78,8 +75,6 @@ def hash_shard(src):
 @query("b6_bucketed_table", f"""with {S.TXJ} select j_from as sender, count(*) as n from p group by j_from""", "tx")
 def bucketed_table(src):
     """Grouping a bucketed table by its key needs no shuffle."""
-    from chainlake.operators import silver
-
     path = scratch(src.spark, "b6")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     tx = silver.parse_tx(src.view("tx"), ["kafka_offset"], "hash", "from").withColumnRenamed("from", "sender")

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chainlake.functions import columns as C
-from chainlake.operators import heads, lookup, metrics, quality, state
+from chainlake.functions import hexnum as H
+from chainlake.operators import heads, lookup, metrics, quality, silver, state
 from chainlake.plans import sqltext as S
 from chainlake.plans.common import parsed_logs, parsed_tx, state_table
 from chainlake.plans.registry import query
@@ -64,8 +64,8 @@ def date_to_block_range_inclusive(src):
     from p left join lg on lg.j_transactionhash = p.j_hash left join headers on headers.block_number = p.block_height""",
        ("tx", "logs", "headers"))
 def entity_enrich(src):
-    logs = parsed_logs(src).select("transaction_hash", "log_index", F.col("address").alias("log_address"))
-    txs = parsed_tx(src).select("tx_hash", "block_number", "tx_kind")
+    logs = parsed_logs(src, "transaction_hash", "log_index", "log_address")
+    txs = parsed_tx(src, "tx_hash", "block_number", "tx_kind")
     blocks = src.view("headers").select("block_number", "block_ts")
     return lookup.enrich(logs, txs, blocks)
 
@@ -77,7 +77,7 @@ def entity_enrich(src):
     select *, case when n_logs > 0 then 'has_logs' when n_tx = 0 then 'empty_ok' else 'suspect' end as status from c""",
        ("tx", "logs", "headers"))
 def empty_range_check(src):
-    return quality.empty_blocks(src.view("headers"), parsed_tx(src), parsed_logs(src))
+    return quality.empty_blocks(src.view("headers"), parsed_tx(src, "block_number"), parsed_logs(src, "block_number"))
 
 
 @query("d6_incremental_antijoin", f"""with {S.TXJ}, k as (select block_height, j_blockhash as block_hash,
@@ -87,9 +87,6 @@ def empty_range_check(src):
     and k.block_height = fresh.block_height and k.block_hash = fresh.block_hash and k.tx_index = fresh.tx_index)""", "tx")
 def incremental_antijoin(src):
     """A replay of everything adds only what the backfill has not stored."""
-    from chainlake.functions import hexnum as H
-    from chainlake.operators import silver
-
     tx = silver.parse_tx(src.view("tx"), ["block_height", "job_name", "kafka_offset"], "hash", "blockHash", "transactionIndex")
     rows = tx.select("block_height", F.col("blockHash").alias("block_hash"),
                      H.hex_to_int(F.col("transactionIndex")).alias("tx_index"), "job_name", "kafka_offset")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from chainlake.functions import schemas
 from chainlake.operators import bronze, conversations, layout, records
 from chainlake.plans import sqltext as S
-from chainlake.plans.common import LOG_RECORD, TX_RECORD, log_wire, tx_wire
+from chainlake.plans.common import tx_wire
 from chainlake.plans.registry import query
 from chainlake.session import scratch
 from chainlake.sources import topics
@@ -120,7 +120,9 @@ def keyed_records(src):
     select block_number || '-' || idx as key, json_object('block_height', block_number, 'job_name', job_name,
     'run_id', run_id, 'raw', raw)::varchar as value from n""", "logs")
 def emit_records(src):
-    return bronze.emit_records(bronze.usable_logs(src.view("logs")))
+    records = src.view("logs")
+    keep = ("job_name", "run_id", "raw", "kafka_partition", "kafka_offset")
+    return bronze.emit_records(bronze.usable_logs(records, *keep), records)
 
 
 @query("a13_split_block_payload", """with t as (select block_height, json_extract_string(payload, '$.hash') as h,

@@ -47,8 +47,9 @@ def commit_frontier(src):
 @query("f4_block_ordinal", f"""with {S.LOGJ} select kafka_offset, block_number, row_number() over (partition by block_number
     order by log_index, kafka_partition, kafka_offset) - 1 as ordinal from lg where block_number is not null""", "logs")
 def block_ordinal(src):
-    items = bronze.usable_logs(src.view("logs"), "kafka_partition", "kafka_offset")
-    return bronze.block_ordinal(items).select("kafka_offset", "block_number", "ordinal")
+    records = src.view("logs")
+    items = bronze.usable_logs(records, "kafka_partition", "kafka_offset")
+    return bronze.block_ordinal(items, records).select("kafka_offset", "block_number", "ordinal")
 
 
 @query("f5_gap_detect", """with h as (select distinct l_orderkey as height from lineitem),

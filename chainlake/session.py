@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 GROUP_ROWS = "chainlake.group.rows"
 GROUP_ROWS_DEFAULT = 1_000_000
 
-# Rows a side may have before it is no longer broadcast.
+# Rows and bytes a side may have before it is no longer broadcast.
 BROADCAST_ROWS = "chainlake.broadcast.rows"
-BROADCAST_ROWS_DEFAULT = 10_000
+BROADCAST_ROWS_DEFAULT = 200_000
+BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def prepare(spark: SparkSession) -> SparkSession:
