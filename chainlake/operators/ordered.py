@@ -18,6 +18,8 @@ from chainlake.session import BROADCAST_BYTES, broadcast_rows, durable, group_ro
 
 POSITION = "_pos"
 PART = "_part"
+# Most parts rows are spread to; larger tables get larger parts, which sorts can spill.
+MOST_PARTS = 20_000
 # monotonically_increasing_id keeps the partition number above these bits.
 ROW_BITS = 33
 
@@ -109,7 +111,8 @@ def parts_needed(df: DataFrame, keys: list[str]) -> int:
     largest, total = group_sizes(df, keys)
     if largest <= limit:
         return 0
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
+    return min(wanted, MOST_PARTS)
 
 
 def spread(df: DataFrame, keys: list[str], order: list, parts: int) -> DataFrame:
@@ -157,7 +160,7 @@ def running_spread(
     )
     parts = Window.partitionBy(*keys).orderBy(PART)
     # Ranges are contiguous, so each part continues at most one key of an earlier part:
-    # this side has fewer rows than there are partitions and is safe to broadcast.
+    # this side has fewer rows than there are parts (MOST_PARTS) and is safe to broadcast.
     carries = (
         borders.select(
             *[F.col(k).alias(f"_k_{k}") for k in keys],

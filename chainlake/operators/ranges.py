@@ -166,4 +166,5 @@ def not_ready(events: DataFrame) -> DataFrame:
 
 def emit_order(results: DataFrame) -> DataFrame:
     """Results in range order, ready to emit partition by partition."""
-    return results.repartitionByRange("start_block").sortWithinPartitions("start_block")
+    order = ["start_block", "job", "range_id"]
+    return results.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -72,14 +72,17 @@ def hash_shard(src):
     return tx.groupBy(layout.shard(F.col("hash"), 16).alias("shard")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("b6_bucketed_table", f"""with {S.TXJ} select j_from as sender, count(*) as n from p group by j_from""", "tx")
+@query("b6_bucketed_table", f"""with {S.TXJ} select j_hash as tx_hash, count(*) as copies, max(kafka_offset) as last_offset
+    from p group by j_hash""", "tx")
 def bucketed_table(src):
-    """Grouping a bucketed table by its key needs no shuffle."""
+    """Grouping a bucketed table by its key needs no shuffle. Buckets are even, as the key
+    is the transaction hash."""
     path = scratch(src.spark, "b6")
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    tx = silver.parse_tx(src.view("tx"), ["kafka_offset"], "hash", "from").withColumnRenamed("from", "sender")
-    layout.write_bucketed(tx, name, "sender", 16, path)
-    return src.spark.table(name).groupBy("sender").agg(F.count(F.lit(1)).alias("n"))
+    tx = silver.parse_tx(src.view("tx"), ["kafka_offset"], "hash").withColumnRenamed("hash", "tx_hash")
+    layout.write_bucketed(tx, name, "tx_hash", 16, path)
+    return src.spark.table(name).groupBy("tx_hash").agg(
+        F.count(F.lit(1)).alias("copies"), F.max("kafka_offset").alias("last_offset"))
 
 
 PRODUCER = {"pod_uid": "uid-1", "pod_name": "pod-1", "run_id": "run-1", "mode": "checkpoint",

@@ -119,9 +119,9 @@ def top_snapshots(src):
         F.col("kafka_timestamp").desc(), "kafka_offset").limit(10)
 
 
-@query("g3_deterministic_batch_order", "select job, range_id, start_block, end_block from finished", "finished")
+@query("g3_deterministic_batch_order", "select distinct job, range_id, start_block, end_block from finished", "finished")
 def deterministic_batch_order(src):
-    return ranges.emit_order(src.view("finished"))
+    return ranges.emit_order(src.view("finished").distinct())
 
 
 @query("h1_union_live_history", f"""with {S.TXJ}, f as (select min(block_height) as first_live from tx where job_name = 'bsc_realtime_transactions'),

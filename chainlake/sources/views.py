@@ -68,8 +68,10 @@ def block_hash(number: str) -> str:
     return digest("b", number)
 
 
+# Unique in the provided tables: rows that share order and line differ in the rest.
 OFFSET = (
-    "(l_orderkey * 8 + l_linenumber) * 10000000 + (l_partkey * 1009 + l_suppkey) % 10000000"
+    "(l_orderkey * 8 + l_linenumber) * 100000000 "
+    f"+ (l_partkey * 1009 + l_suppkey * 31 + {cents('l_extendedprice')}) % 100000000"
 )
 
 TX_HASH = digest("7", OFFSET)

@@ -7,8 +7,10 @@ folder, so replay changes nothing.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from chainlake.operators import state
 from chainlake.streaming.jobs import for_each
@@ -54,3 +56,33 @@ def committed_rows(spark: SparkSession, path: str) -> DataFrame:
     done = commits(spark, path).select(F.col("batch_id").alias("batch"))
     data = spark.read.parquet(f"{path}/data")
     return data.join(done, data["batch"] == done["batch"], "left_semi").drop("batch")
+
+
+# ---- whole tables -------------------------------------------------------------------
+
+
+def current(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The last committed version of a table that is replaced as a whole."""
+    version = last_version(spark, path)
+    if version < 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/data/version={version}")
+
+
+def last_version(spark: SparkSession, path: str) -> int:
+    try:
+        done = spark.read.parquet(f"{path}/commits")
+    except AnalysisException:  # nothing has been committed yet
+        return -1
+    return done.agg(F.max("version_no")).first()[0]
+
+
+def replace(df: DataFrame, path: str) -> None:
+    """Write a new version beside the current one; its commit row makes it the current."""
+    spark = df.sparkSession
+    version = last_version(spark, path) + 1
+    df.write.mode("overwrite").parquet(f"{path}/data/version={version}")
+    commit = spark.range(1).select(
+        F.lit(version).cast("bigint").alias("version_no"), F.current_timestamp().alias("committed_at")
+    )
+    commit.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/commit={version}")
