@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from chainlake.functions import schemas
-from chainlake.operators import bronze, layout, quality, silver, state
+from chainlake.operators import bronze, quality, silver, state
 from chainlake.sources import topics
 from chainlake.streaming import atomic, jobs
 
@@ -52,13 +52,15 @@ def bronze_logs(source: DataFrame, path: str, checkpoint: str, realtime: bool =
 
 def silver_transactions(bronze_rows: DataFrame, path: str) -> int:
     """Append the transactions above the silver marks; returns how many. The count is
-    observed during the write, so nothing is computed twice."""
+    observed during the write, so nothing is computed twice. It is taken above the
+    rebalancing, as stages without rows are cut from the plan."""
     spark = bronze_rows.sparkSession
     stored = read_table(spark, path, silver.enriched_tx(bronze_rows.limit(0)).schema)
     fresh = state.increment(bronze_rows, stored)
     seen = Observation("increment")
-    rows = silver.enriched_tx(fresh).observe(seen, F.count(F.lit(1)).alias("rows"))
-    layout.write_partitioned(rows, path, ["kafka_date"], mode="append")
+    rows = silver.enriched_tx(fresh).hint("rebalance", "kafka_date")
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("append").partitionBy("kafka_date").parquet(path)
     return seen.get["rows"]
 
 
