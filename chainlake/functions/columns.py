@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chainlake.functions.hexnum import hex_to_long
+
 # Selectors of the two proxy presets.
 PROXY_UPGRADE = ("0x5c60da1b", "0x3659cfe6")
 PROXY_ROUTER = ("0x5ae401dc", "0x1cff79cd", "0x3593564c")
@@ -87,8 +89,6 @@ def block_bucket(block_number: Column, width: int = BLOCKS_PER_BUCKET) -> Column
 
 def block_number(c: Column) -> Column:
     """A block number given as decimal or hex text."""
-    from chainlake.functions.hexnum import hex_to_long
-
     return F.coalesce(c.try_cast("bigint"), hex_to_long(c))
 
 
@@ -99,9 +99,13 @@ def unix_ts(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 
 
+# Fixed value: timestamps in records.
+ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSX"
+
+
 def iso_ts(c: Column) -> Column:
     """ISO-8601 text with milliseconds and zone; NULL when it does not parse."""
-    return F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX"))
+    return F.try_to_timestamp(c, F.lit(ISO))
 
 
 def to_iso(ts: Column) -> Column:
@@ -134,9 +138,14 @@ def split_state_key(key: Column) -> Column:
     )
 
 
-def safe_name(c: Column, width: int = 120) -> Column:
+# Characters replaced in file names, and their longest length.
+PATH_CHARACTERS = r'[\\/:*?"<>|]'
+NAME_WIDTH = 120
+
+
+def safe_name(c: Column, width: int = NAME_WIDTH) -> Column:
     """A file name without path characters, trimmed and shortened."""
-    return F.substring(F.trim(F.regexp_replace(c, r'[\\/:*?"<>|]', "_")), 1, width)
+    return F.substring(F.trim(F.regexp_replace(c, PATH_CHARACTERS, "_")), 1, width)
 
 
 def occurrences(text: Column, word: str) -> Column:

@@ -208,8 +208,8 @@ def latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def small_side(df: DataFrame) -> DataFrame:
-    """Broadcast a side only when it is counted to be small; otherwise leave the choice of
-    a shuffled join to Spark. The rows fetched are bounded by the limit."""
+    """Broadcast a side of few columns only when it is found to be small; otherwise leave
+    the choice of a shuffled join to Spark. The rows fetched are bounded by the limit."""
     limit = broadcast_rows(df.sparkSession)
     rows = df.limit(limit + 1).toArrow()
     if rows.num_rows > limit or rows.nbytes > BROADCAST_BYTES:

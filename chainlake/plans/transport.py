@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chainlake.functions import schemas
-from chainlake.operators import bronze, conversations, layout, records
+from chainlake.operators import bronze, conversations, layout, ordered, records
 from chainlake.plans import sqltext as S
 from chainlake.plans.common import tx_wire
 from chainlake.plans.registry import query
@@ -148,7 +148,7 @@ def split_header(src):
     cast(c_nationkey as double) as wind_speed, TIMESTAMP '2024-05-01 10:30:00' as time, n_name as utc_offset
     from customer join nation on c_nationkey = n_nationkey""")
 def flatten_record(src):
-    rows = src.table("customer").join(F.broadcast(src.table("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = src.table("customer").join(ordered.small_side(src.table("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
     payload = F.to_json(F.struct(
         F.struct(F.col("c_name").alias("name"), F.lit("2024-05-01 10:30").alias("localtime"),
                  F.col("n_name").alias("utc_offset")).alias("location"),
@@ -163,8 +163,8 @@ def flatten_record(src):
     cast(null as varchar) as phone, 'p.png' as picture from customer join nation on c_nationkey = n_nationkey
     join region on n_regionkey = r_regionkey""")
 def flatten_person(src):
-    places = src.table("nation").join(F.broadcast(src.table("region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    rows = src.table("customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
+    places = src.table("nation").join(ordered.small_side(src.table("region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = src.table("customer").join(ordered.small_side(places), F.col("c_nationkey") == F.col("n_nationkey"))
     payload = F.to_json(F.struct(
         F.lit("x").alias("gender"),
         F.struct(F.col("c_name").alias("first"), F.col("c_mktsegment").alias("last")).alias("name"),
