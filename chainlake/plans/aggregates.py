@@ -107,13 +107,14 @@ def balance_by_address(src):
 
 def balances(transfers):
     """Balance per address; a removed log takes its change back. Both sides of a transfer
-    come from one pass and are added up before the shuffle."""
+    come from one pass and are added up before the shuffle. A balance beyond 38 digits is
+    NULL."""
     amount = F.col("amount").cast("decimal(38,0)")
     change = F.when(F.col("removed"), -amount).otherwise(amount)
     sides = transfers.select(F.explode(F.array(
         F.struct(F.col("from_address").alias("address"), (-change).alias("delta")),
         F.struct(F.col("to_address").alias("address"), change.alias("delta")))).alias("s"))
-    return sides.groupBy("s.address").agg(F.sum("s.delta").alias("balance"), F.count(F.lit(1)).alias("n"))
+    return sides.groupBy("s.address").agg(F.try_sum("s.delta").alias("balance"), F.count(F.lit(1)).alias("n"))
 
 
 def histogram_sql(rows: str, bounds, by: str = "") -> str:

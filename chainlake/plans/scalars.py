@@ -283,7 +283,7 @@ def enriched_tx(src):
 def enriched_summary(src):
     """The flagship: silver transactions summed up by kind and fee model."""
     return silver.enriched_tx(src.view("tx")).groupBy("tx_kind", "fee_model").agg(
-        F.count(F.lit(1)).alias("n_tx"), F.sum("value_wei").alias("value_wei"),
+        F.count(F.lit(1)).alias("n_tx"), F.try_sum("value_wei").alias("value_wei"),
         F.countDistinct("method_id").alias("methods"), F.sum("gas_limit").alias("gas_limit"))
 
 
