@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -17,8 +19,20 @@ BROADCAST_ROWS_DEFAULT = 200_000
 BROADCAST_BYTES = 16 * 1024 * 1024
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, wherever they were started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_chainlake_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="chainlake-")
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "chainlake"), "zip", os.path.dirname(package), "chainlake"))
+    sc._chainlake_shipped = True
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings every job relies on; safe to call repeatedly."""
+    ship(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -4,6 +4,7 @@ import pytest
 from check import compare
 
 import __spark_entry__ as entry
+from chainlake import plans
 from conftest import SF_DIR
 
 HOT = [
@@ -14,7 +15,7 @@ HOT = [
 ]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(plans.load().QUERIES))
 def test_matches_sql(spark, database, name):
     _, _, note = compare(spark, database, name, SF_DIR)
     assert note.startswith("ok") and "types" not in note, note
@@ -27,7 +28,9 @@ def test_matches_sql_with_hot_keys(spark, database, hot, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    registry = plans.load()
+    assert set(registry.ORACLES) == set(registry.QUERIES)
+    assert set(registry.QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
