@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chainlake.llm import bpe, packing, quality_rules, secret_scan, urls
+from chainlake.llm import bpe, extend, packing, quality_rules, secret_scan, suffix, urls
 from chainlake.llm.base import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +136,58 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+SUFFIX_SQL = """
+with texts as (select doc_id, encode(coalesce(text, '')) as b from documents),
+sized as (select doc_id, b, octet_length(b) as n, md5(b) as h from texts),
+starts as (
+  select doc_id, p, md5(b[p:p + 199]) as h
+  from (select doc_id, b, unnest(range(1, n - 198)) as p from sized where n >= 200)
+),
+again as (select doc_id, p from (select doc_id, p, count(*) over (partition by h) as c from starts) where c > 1),
+edges as (
+  select doc_id, p, case when lag(p) over (partition by doc_id order by p) >= p - 200 then 0 else 1 end as fresh from again
+),
+runs as (select doc_id, p, sum(fresh) over (partition by doc_id order by p) as g from edges),
+spans as (select doc_id, g, min(p) as s, max(p) + 200 as e from runs group by doc_id, g),
+gaps as (select doc_id, s, e, lag(e, 1, 1) over (partition by doc_id order by s) as f from spans),
+parts as (
+  select doc_id, string_agg(hex(b[f:s - 1]), '' order by s) as kept, max(e) as tail, sum(e - s) as removed, count(*) as spans
+  from gaps join sized using (doc_id) group by doc_id
+)
+select doc_id, cast(n as bigint) as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed, cast(coalesce(spans, 0) as bigint) as n_spans,
+  sha256(case when spans is null then b else unhex(kept || hex(b[tail:])) end) as kept_sha256
+from sized left join parts using (doc_id)
+"""
+
+
+@query(SUFFIX_SQL)
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.without_repeats(table(spark, sf_dir, "documents")).drop("kept_utf8")
+
+
+EXTEND_SQL = r"""
+with texts as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+') as w from documents),
+starts as (
+  select doc_id, p, row_number() over (partition by md5(array_to_string(list_slice(w, p, p + 19), ' ')) order by doc_id, p) as k
+  from (select doc_id, w, unnest(range(1, len(w) - 18)) as p from texts where len(w) >= 20)
+),
+gone as (select distinct doc_id, unnest(range(p, p + 20)) as q from starts where k > 1),
+each as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as q from texts),
+kept as (
+  select doc_id, string_agg(word, ' ' order by q) as words, count(*) as n
+  from each anti join gone using (doc_id, q) group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(words, '')) as kept_sha256
+from texts left join kept using (doc_id)
+"""
+
+
+@query(EXTEND_SQL)
+def op7_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extend.without_later_repeats(table(spark, sf_dir, "documents")).drop("kept_utf8")
+
+
 @query()
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), MULTI_RANKS, PATTERN)
