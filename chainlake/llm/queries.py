@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chainlake.llm import bpe, extend, packing, quality_rules, secret_scan, suffix, urls
+from chainlake.llm import bpe, extend, lattice, ngram_join, packing, quality_rules, secret_scan, suffix, urls
 from chainlake.llm.base import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +136,28 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+LATTICE_SQL = """
+with recursive vectors as (
+  select vec_id, cast(embedding as double[]) as v, sqrt(list_dot_product(cast(embedding as double[]), cast(embedding as double[]))) as norm
+  from embeddings where embedding is not null
+),
+links as (
+  select x.vec_id as a, y.vec_id as b from vectors x join vectors y on x.vec_id != y.vec_id
+  where x.norm > 0 and y.norm > 0 and list_dot_product(x.v, y.v) / (x.norm * y.norm) >= 0.9
+),
+reach(a, b) as (select vec_id, vec_id from embeddings union select r.a, l.b from reach r join links l on r.b = l.a),
+parts as (select a, min(b) as component_id from reach group by a),
+degrees as (select a, count(*) as n from links group by a)
+select p.a as vec_id, coalesce(n, 0) as n_links, component_id, p.a = component_id as kept
+from parts p left join degrees d on p.a = d.a
+"""
+
+
+@query(LATTICE_SQL)
+def op5_lattice_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 SUFFIX_SQL = """
 with texts as (select doc_id, encode(coalesce(text, '')) as b from documents),
 sized as (select doc_id, b, octet_length(b) as n, md5(b) as h from texts),
@@ -188,6 +210,36 @@ def op7_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extend.without_later_repeats(table(spark, sf_dir, "documents")).drop("kept_utf8")
 
 
+NGRAM_SQL = r"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \x09-\x0D]+') as w
+  from documents
+),
+grams as (
+  select distinct doc_id, g from (
+    select doc_id, array_to_string(list_slice(w, p, p + 3), ' ') as g
+    from (select doc_id, w, unnest(range(1, len(w) - 2)) as p from texts where len(w) >= 4)
+    union all select doc_id, array_to_string(w, ' ') from texts where len(w) between 1 and 3
+  )
+),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+links as (
+  select x.doc_id as a, y.doc_id as b
+  from grams x join grams y on x.g = y.g and x.doc_id != y.doc_id
+  group by x.doc_id, y.doc_id
+  having 185 * count(*) >= 85 * ((select n from sizes s where s.doc_id = x.doc_id) + (select n from sizes s where s.doc_id = y.doc_id))
+),
+reach(a, b) as (select doc_id, doc_id from texts union select r.a, l.b from reach r join links l on r.b = l.a)
+select doc_id, coalesce(n, 0) as n_shingles, component_id
+from (select a as doc_id, min(b) as component_id from reach group by a) left join sizes using (doc_id)
+"""
+
+
+@query(NGRAM_SQL)
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), MULTI_RANKS, PATTERN)
