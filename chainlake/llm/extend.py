@@ -121,7 +121,7 @@ def without_later_repeats(
 ) -> DataFrame:
     """Remove every word covered by ``length`` words in a row that also start earlier, in a
     document with a smaller id or further left in the same one: ``doc_id, n_words,
-    n_removed, kept_sha256, kept_utf8``.
+    n_removed, kept_sha256, kept_text``.
 
     Null texts have no words; texts of fewer words lose nothing. Rows that repeat id and
     text are one document, and each gets its result. Null ids come first; texts that share
@@ -163,11 +163,11 @@ def without_later_repeats(
             else:
                 kept = words
             rest = b" ".join(kept)
-            for column, value in zip((n_words, n_removed, sha, left), (n, n - len(kept), hashlib.sha256(rest).hexdigest(), rest)):
+            for column, value in zip((n_words, n_removed, sha, left), (n, n - len(kept), hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "replace"))):
                 column.append(value)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(sha), pa.array(left, pa.binary())],
-            names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_utf8"],
+            [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(sha), pa.array(left, pa.string())],
+            names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
         )
 
-    return by_batch(marked, run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept_utf8 binary")
+    return by_batch(marked, run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string")

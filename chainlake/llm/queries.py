@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chainlake.llm import bpe, extend, lattice, ngram_join, packing, quality_rules, secret_scan, suffix, urls
+from chainlake.llm import bpe, extend, grades, lattice, ngram_join, packing, quality_rules, secret_scan, suffix, urls
 from chainlake.llm.base import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +48,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+@query()
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Grades: 0 toxic, 1 poor, 2 neither.
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return grades.graded(docs, grades.train(docs, labels, grade, top=2))
+
+
 @query()
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
@@ -184,7 +193,7 @@ from sized left join parts using (doc_id)
 
 @query(SUFFIX_SQL)
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix.without_repeats(table(spark, sf_dir, "documents")).drop("kept_utf8")
+    return suffix.without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
 EXTEND_SQL = r"""
@@ -207,7 +216,7 @@ from texts left join kept using (doc_id)
 
 @query(EXTEND_SQL)
 def op7_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extend.without_later_repeats(table(spark, sf_dir, "documents")).drop("kept_utf8")
+    return extend.without_later_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
 NGRAM_SQL = r"""

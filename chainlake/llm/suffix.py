@@ -239,7 +239,8 @@ def without_repeats(
 ) -> DataFrame:
     """Remove every byte covered by a string of ``length`` bytes that also starts elsewhere,
     in another document or in the same one: ``doc_id, n_bytes, n_removed, n_spans,
-    kept_sha256, kept_utf8`` and the columns of ``keep`` as ``kept_<name>``.
+    kept_sha256, kept_text`` and the columns of ``keep`` as ``kept_<name>``. The digest is of
+    the remaining bytes; in the text, characters of which only some bytes remain are left out.
 
     Null texts are empty; texts shorter than ``length`` lose nothing. Rows that repeat id
     and text are one document, and each gets its result; rows with the same text under
@@ -277,12 +278,12 @@ def without_repeats(
                 rest = np.frombuffer(raw, dtype=np.uint8)[~hit].tobytes()
             else:
                 removed, gone, rest = 0, 0, raw
-            for column, value in zip((n_bytes, n_removed, n_spans, sha, left), (n, removed, gone, hashlib.sha256(rest).hexdigest(), rest)):
+            for column, value in zip((n_bytes, n_removed, n_spans, sha, left), (n, removed, gone, hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore"))):
                 column.append(value)
         others = [c for c in names if c not in ("_utf8", "copied", "runs")]
         return pa.RecordBatch.from_arrays(
-            [*[batch.column(names.index(c)) for c in others], *[pa.array(c, pa.int64()) for c in (n_bytes, n_removed, n_spans)], pa.array(sha), pa.array(left, pa.binary())],
-            names=[*others, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_utf8"],
+            [*[batch.column(names.index(c)) for c in others], *[pa.array(c, pa.int64()) for c in (n_bytes, n_removed, n_spans)], pa.array(sha), pa.array(left, pa.string())],
+            names=[*others, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"],
         )
 
-    return by_batch(joined, run, ", ".join([*fields, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_utf8 binary"]))
+    return by_batch(joined, run, ", ".join([*fields, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"]))
