@@ -1,0 +1,52 @@
+"""Registered text queries against their SQL, and the pipeline against its stages' rules."""
+
+import pytest
+from check import compare
+
+import corpus_pipeline
+from chainlake.llm import queries
+from conftest import SF_DIR
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_matches_sql(spark, database, name):
+    _, _, note = compare(spark, database, name, SF_DIR)
+    assert note.startswith("ok") and "types" not in note, note
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
+def test_covers_the_whole_table(spark, name):
+    got = queries.QUERIES[name](spark, SF_DIR)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    assert got.select("doc_id").distinct().count() == docs.count()
+
+
+def test_pipeline(spark):
+    from collections import Counter
+
+    from test_operators import documents, expected_groups, expected_suffix
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    at = {}
+    for name, stage in corpus_pipeline.STAGES:
+        given = [(r.doc_id, r.text) for r in docs.collect()] if name != "quality_rules" else None
+        docs = stage(spark, docs, SF_DIR)
+        if name != "best_fit_packing":
+            assert docs.columns == corpus_pipeline.COLUMNS
+            docs = spark.createDataFrame(docs.collect(), docs.schema)
+        at[name] = (given, docs)
+    given, kept = at["ngram_jaccard_join"]
+    groups = expected_groups(given)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({g[2] for g in groups})
+    given, left = at["suffix_array_dedup"]
+    want = {w[0]: w for w in expected_suffix(given, 200)}
+    assert len(documents(given)) == left.count()
+    for r in left.collect():
+        if want[r.doc_id][2] == 0:
+            assert r.text == dict(given)[r.doc_id]
+        assert r.n_chars == len(r.text)
+    _, masked = at["secret_scan"]
+    assert not any("token = " in r.text and "<secret>" not in r.text for r in masked.collect())
+    _, packed = at["best_fit_packing"]
+    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in masked.collect()}
+    assert Counter(r.sequence_id for r in packed.collect())
