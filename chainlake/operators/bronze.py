@@ -80,20 +80,16 @@ def usable_logs(bronze: DataFrame, *keep: str) -> DataFrame:
     ).where("block_number is not null")
 
 
-def block_ordinal(items: DataFrame, records: DataFrame | None = None) -> DataFrame:
-    """0-based position of every item in its block, in log order, then arrival order.
-    ``records``: the bronze rows of the items, whose height tells the size of a block
-    without parsing."""
-    numbered = ordered.row_number(
-        items, ["block_number"], ["log_index", "kafka_partition", "kafka_offset"],
-        sizes=None if records is None else records.select("block_height"),
-    )
+def block_ordinal(items: DataFrame) -> DataFrame:
+    """0-based position of every item in its block, in log order, then arrival order. The
+    chain bounds how many items a block has."""
+    numbered = ordered.row_number(items, ["block_number"], ["log_index", "kafka_partition", "kafka_offset"])
     return numbered.withColumn("ordinal", F.col("rn") - 1).drop("rn")
 
 
-def emit_records(items: DataFrame, records: DataFrame | None = None) -> DataFrame:
+def emit_records(items: DataFrame) -> DataFrame:
     """Outgoing key/value records of the items, keyed by block and ordinal."""
-    return block_ordinal(items, records).select(
+    return block_ordinal(items).select(
         record_key(F.col("block_number"), F.col("ordinal")).alias("key"),
         F.to_json(
             F.struct(F.col("block_number").alias("block_height"), "job_name", "run_id", "raw")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from chainlake.operators import ordered
 from chainlake.operators.ordered import Running
-from chainlake.session import group_rows
 
 
 def block_at_time(lookups: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -27,10 +26,9 @@ def block_at_time(lookups: DataFrame, blocks: DataFrame) -> DataFrame:
     )
     merged = axis.unionByName(asked)
     tie = [F.col("is_lookup"), F.coalesce("n", "lookup_id")]
-    up = ordered.running(merged, ["chain"], [F.col("at"), *tie], {"before": Running("max", "n")})
-    both = ordered.running(
-        up, ["chain"], [F.col("at").desc(), *tie], {"after": Running("max", "minus_n")}
-    )
+    day = ordered.by_day("at")
+    up = ordered.running(merged, ["chain"], [F.col("at"), *tie], {"before": Running("max", "n")}, day)
+    both = ordered.running(up, ["chain"], [F.col("at").desc(), *tie], {"after": Running("max", "minus_n")}, -day)
     return both.where("is_lookup = 1").select(
         "chain", "lookup_id", "at",
         F.col("before").alias("block_before"), (-F.col("after")).alias("block_after"),
@@ -75,18 +73,7 @@ def date_to_blocks(
 def enrich(logs: DataFrame, txs: DataFrame, blocks: DataFrame) -> DataFrame:
     """Facts with their intent and time: logs (transaction_hash, log_index, …), transactions
     (tx_hash, block_number, …), blocks (block_number, block_ts). Transactions without logs
-    stay, with NULL log columns."""
-    axis = ordered.small_side(blocks)
-    if axis is blocks:
-        timed = ordered.salted_join(txs, blocks, ["block_number"], "left")
-    else:
-        timed = txs.join(axis, "block_number", "left")
-    facts = logs.withColumnRenamed("transaction_hash", "tx_hash")
-    most = ordered.hottest(facts, ["tx_hash"])
-    if most <= group_rows(logs.sparkSession):
-        return timed.join(facts, "tx_hash", "left")
-    # An outer join cannot split the side that is not kept whole, so a transaction with
-    # very many logs is joined from the logs' side.
-    found = ordered.salted_join(facts, timed, ["tx_hash"], most=most)
-    without = timed.join(facts.select("tx_hash").distinct(), "tx_hash", "left_anti")
-    return found.unionByName(without, allowMissingColumns=True)
+    stay, with NULL log columns. Adaptive execution broadcasts what it measures to be small
+    and splits skewed blocks; the logs of one transaction are bounded by the chain."""
+    timed = txs.join(blocks, "block_number", "left")
+    return timed.join(logs.withColumnRenamed("transaction_hash", "tx_hash"), "tx_hash", "left")

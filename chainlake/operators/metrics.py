@@ -32,7 +32,7 @@ def series(samples: DataFrame) -> DataFrame:
 def increments(samples: DataFrame, keys: list[str] = SERIES) -> DataFrame:
     """Growth of each counter since its previous sample. After a reset the counter starts
     from zero, so its new value is the growth; a first sample has none."""
-    prev = ordered.lag(samples, keys, ["ts"], {"prev": "value"})
+    prev = ordered.lag(samples, keys, ["ts"], {"prev": "value"}, ordered.by_day("ts"))
     grown = F.when(F.col("value") < F.col("prev"), F.col("value")).otherwise(
         F.col("value") - F.col("prev")
     )
@@ -95,7 +95,7 @@ def histogram(rows: DataFrame, value: str, bounds, by: list[str] | None = None)
 
 def intervals(commits: DataFrame, keys: list[str]) -> DataFrame:
     """Seconds since the previous commit, to two places; NULL for the first."""
-    prev = ordered.lag(commits, keys, ["ts"], {"prev": "ts"})
+    prev = ordered.lag(commits, keys, ["ts"], {"prev": "ts"}, ordered.by_day("ts"))
     micros = F.unix_micros("ts") - F.unix_micros("prev")
     # Rounded on whole numbers, so that halves do not depend on binary fractions.
     hundredths = F.floor((micros + 5_000) / F.lit(10_000))
@@ -127,7 +127,7 @@ def backlog(samples: DataFrame, submitted: str, finished: str, by: list[str]) ->
 
 def lag_vs_head(checkpoints: DataFrame, heads: DataFrame, on: list[str]) -> DataFrame:
     """Blocks a checkpoint is behind the safe and the raw head, never negative."""
-    joined = checkpoints.join(ordered.small_side(heads), on, "left")
+    joined = checkpoints.join(heads, on, "left")
 
     def behind(head: str) -> Column:
         return F.greatest(F.lit(0), F.col(head) - F.col("checkpoint"))

@@ -1,10 +1,10 @@
 """Ordered operators (row number, running values, previous row) that survive hot keys.
 
-A window partitioned by a key sends the whole key to one task. These helpers first check
-how many rows the largest key has. Up to ``chainlake.group.rows`` a plain window is used.
-Beyond that, rows are range-partitioned by key and order, so that a hot key spans many
-tasks; each task computes its part, and the few parts that continue a key begun in an
-earlier one receive the carry of the earlier parts.
+A window partitioned by a key sends the whole key to one task. Where the data model does
+not bound a key, the caller names slices of the order: a day, a block bucket, a span of
+sequence numbers. Each slice of a key is a window of its own; its last row is handed to
+the next slices, and every row takes up what the slices before its own hand on. The plan
+is the same for any number of rows, and nothing runs before the query does.
 """
 
 from __future__ import annotations
@@ -14,14 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainlake.session import BROADCAST_BYTES, broadcast_rows, durable, group_rows
-
-POSITION = "_pos"
-PART = "_part"
-# Most parts rows are spread to; larger tables get larger parts, which sorts can spill.
-MOST_PARTS = 20_000
-# monotonically_increasing_id keeps the partition number above these bits.
-ROW_BITS = 33
+# Sequence numbers in one slice.
+SLICE = 100_000
 
 
 @dataclass(frozen=True)
@@ -36,41 +30,32 @@ class Running:
     value: str | None = None
 
     def over(self, rows) -> Column:
-        up_to_here = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         match self.kind:
-            case "count":
-                return F.row_number().over(rows).cast("bigint")
-            case "sum":
-                return F.sum(self.value).over(up_to_here)
-            case "max":
-                return F.max(self.value).over(up_to_here)
             case "max_before":
                 return F.max(self.value).over(rows.rowsBetween(Window.unboundedPreceding, -1))
-            case "last":
-                return F.last(self.value, ignorenulls=True).over(up_to_here)
             case "lag":
                 return F.lag(self.value).over(rows)
-        raise ValueError(self.kind)
+        return self.upto(rows)
 
-    def border(self) -> Column:
-        """What one part hands on to the next parts of the same key."""
+    def upto(self, rows) -> Column:
+        """The value with the current row; at a slice's last row, what the slice hands on."""
+        up_to_here = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         match self.kind:
             case "count":
-                return F.count(F.lit(1))
+                return F.row_number().over(rows).cast("bigint")
             case "sum":
-                return F.sum(self.value)
+                return F.sum(self.value).over(up_to_here)
             case "max" | "max_before":
-                return F.max(self.value)
+                return F.max(self.value).over(up_to_here)
             case "last":
-                seen = F.col(self.value).isNotNull()
-                return F.max_by(F.when(seen, F.col(self.value)), F.when(seen, F.col(POSITION)))
+                return F.last(self.value, ignorenulls=True).over(up_to_here)
             case "lag":
-                return F.max_by(self.value, POSITION)
+                return F.col(self.value)
         raise ValueError(self.kind)
 
-    def carry(self, column: str, parts) -> Column:
-        """Combine the borders of all earlier parts of the key."""
-        before = parts.rowsBetween(Window.unboundedPreceding, -1)
+    def carry(self, column: str, slices) -> Column:
+        """What all earlier slices of the key hand on."""
+        before = slices.rowsBetween(Window.unboundedPreceding, -1)
         match self.kind:
             case "count" | "sum":
                 return F.sum(column).over(before)
@@ -79,7 +64,7 @@ class Running:
             case "last":
                 return F.last(column, ignorenulls=True).over(before)
             case "lag":
-                return F.lag(column).over(parts)
+                return F.lag(column).over(slices)
         raise ValueError(self.kind)
 
     def join_up(self, local: Column, carried: Column) -> Column:
@@ -93,106 +78,62 @@ class Running:
             case "last":
                 return F.coalesce(local, carried)
             case "lag":
-                # Only a part's first row of the key lacks a local predecessor.
+                # Only a slice's first row lacks a predecessor in it.
                 return F.when(F.col("_first"), carried).otherwise(local)
         raise ValueError(self.kind)
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Rows of the largest key and of all; counts are combined before they are shuffled."""
-    row = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
-    return row[0] or 0, row[1] or 0
-
-
-def parts_needed(df: DataFrame, keys: list[str]) -> int:
-    """0 when every key fits one task, otherwise the number of parts to spread the rows to."""
-    spark = df.sparkSession
-    limit = group_rows(spark)
-    largest, total = group_sizes(df, keys)
-    if largest <= limit:
-        return 0
-    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
-    return min(wanted, MOST_PARTS)
-
-
-def spread(df: DataFrame, keys: list[str], order: list, parts: int) -> DataFrame:
-    """Sort all rows by key and order across tasks and fix each row's place.
-
-    ``order`` should end in a column that is unique within a key (an offset), so that a
-    hot key can be split anywhere.
-    """
-    by = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
-    placed = (
-        df.repartitionByRange(parts, *by)
-        .sortWithinPartitions(*by)
-        .withColumn(POSITION, F.monotonically_increasing_id())
-        .withColumn(PART, F.shiftright(F.col(POSITION), ROW_BITS).cast("int"))
-    )
-    return durable(placed)
-
-
 def running(
-    df: DataFrame, keys: list[str], order: list, values: dict[str, Running],
-    sizes: DataFrame | None = None,
-) -> DataFrame:
-    """Append running values per key in the given order. ``sizes`` may give rows whose
-    counts per distinct row are no smaller than the keys' and cheaper to take."""
-    parts = parts_needed(df, keys) if sizes is None else parts_needed(sizes, sizes.columns)
-    if parts:
-        return running_spread(df, keys, order, values, parts)
-    rows = Window.partitionBy(*keys).orderBy(*order)
-    return df.select("*", *[v.over(rows).alias(n) for n, v in values.items()])
-
-
-def running_spread(
-    df: DataFrame, keys: list[str], order: list, values: dict[str, Running], parts: int
+    df: DataFrame, keys: list[str], order: list, values: dict[str, Running], slices: Column | None = None
 ) -> DataFrame:
-    placed = spread(df, keys, order, parts)
-    rows = Window.partitionBy(PART, *keys).orderBy(POSITION)
+    """Append running values per key in the given order. ``slices`` must not fall as the
+    order goes on; without it, a key must be bounded by nature."""
+    if slices is None:
+        rows = Window.partitionBy(*keys).orderBy(*order)
+        return df.select("*", *[v.over(rows).alias(n) for n, v in values.items()])
+    # As fields of a struct, absent keys equal each other and need no test of their own.
+    placed = df.withColumn("_at", F.struct(*keys, slices.alias("_slice")))
+    rows = Window.partitionBy("_at").orderBy(*order)
     local = placed.select(
         "*",
         (F.row_number().over(rows) == 1).alias("_first"),
+        F.lead(F.lit(True)).over(rows).isNull().alias("_end"),
         *[v.over(rows).alias(f"_local_{n}") for n, v in values.items()],
+        *[v.upto(rows).alias(f"_upto_{n}") for n, v in values.items()],
     )
-
-    borders = placed.groupBy(*keys, PART).agg(
-        *[v.border().alias(f"_border_{n}") for n, v in values.items()]
-    )
-    parts = Window.partitionBy(*keys).orderBy(PART)
-    # Ranges are contiguous, so each part continues at most one key of an earlier part:
-    # this side has fewer rows than there are parts (MOST_PARTS) and is safe to broadcast.
-    carries = (
-        borders.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys],
-            F.col(PART).alias("_k_part"),
-            (F.row_number().over(parts) > 1).alias("_continues"),
-            *[v.carry(f"_border_{n}", parts).alias(f"_carry_{n}") for n, v in values.items()],
-        )
-        .where("_continues")
-        .drop("_continues")
+    following = Window.partitionBy(*[F.col(f"_at.`{k}`") for k in keys]).orderBy("_at._slice")
+    # One row per key and slice.
+    carried = local.where("_end").select(
+        F.col("_at").alias("_to"), *[v.carry(f"_upto_{n}", following).alias(f"_carry_{n}") for n, v in values.items()]
     )
-    same = F.col(PART) == F.col("_k_part")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = local.join(F.broadcast(carries), same, "left")
+    joined = local.join(carried, F.col("_at") == F.col("_to"), "left")
     return joined.select(
-        *[F.col(c) for c in df.columns],
-        *[
-            v.join_up(F.col(f"_local_{n}"), F.col(f"_carry_{n}")).alias(n)
-            for n, v in values.items()
-        ],
+        *[F.col(f"`{c}`") for c in df.columns],
+        *[v.join_up(F.col(f"_local_{n}"), F.col(f"_carry_{n}")).alias(n) for n, v in values.items()],
     )
 
 
+def by_day(ts: str) -> Column:
+    """Slices of a day, in the order of a timestamp."""
+    return F.unix_date(F.to_date(ts))
+
+
+def by_span(number: str, width: int | None = None) -> Column:
+    """Slices of so many consecutive numbers."""
+    return F.floor(F.col(number) / F.lit(width or SLICE)).cast("bigint")
+
+
 def row_number(
-    df: DataFrame, keys: list[str], order: list, name: str = "rn", sizes: DataFrame | None = None
+    df: DataFrame, keys: list[str], order: list, name: str = "rn", slices: Column | None = None
 ) -> DataFrame:
-    return running(df, keys, order, {name: Running("count")}, sizes)
+    return running(df, keys, order, {name: Running("count")}, slices)
 
 
-def lag(df: DataFrame, keys: list[str], order: list, values: dict[str, str]) -> DataFrame:
+def lag(
+    df: DataFrame, keys: list[str], order: list, values: dict[str, str], slices: Column | None = None
+) -> DataFrame:
     """Append the previous row's values: ``{new column: source column}``."""
-    return running(df, keys, order, {n: Running("lag", c) for n, c in values.items()})
+    return running(df, keys, order, {n: Running("lag", c) for n, c in values.items()}, slices)
 
 
 def first_n(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
@@ -205,48 +146,3 @@ def first_n(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
 def latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row with the highest ``order`` of each key."""
     return first_n(df, keys, [F.col(order).desc()], 1)
-
-
-def small_side(df: DataFrame) -> DataFrame:
-    """Broadcast a side of few columns only when it is found to be small; otherwise leave
-    the choice of a shuffled join to Spark. The rows fetched are bounded by the limit."""
-    limit = broadcast_rows(df.sparkSession)
-    rows = df.limit(limit + 1).toArrow()
-    if rows.num_rows > limit or rows.nbytes > BROADCAST_BYTES:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def hottest(rows: DataFrame, on: list[str]) -> int:
-    return group_sizes(rows, on)[0]
-
-
-def salted_join(
-    facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", most: int | None = None
-) -> DataFrame:
-    """Join (inner or left) a fact side with hot keys to a side that is unique per key.
-
-    Keys with more rows than one task should take are found by counting; only their rows
-    get a salt, and only their single row on the other side is repeated per salt. There
-    are as many salts as the hottest key (``most`` rows, when known) needs.
-    """
-    limit = group_rows(facts.sparkSession)
-    most = hottest(facts, on) if most is None else most
-    if most <= limit:
-        return facts.join(dim, on, how)
-    salts = -(-most // limit) * 2
-    hot = facts.groupBy(*on).count().where(F.col("count") > limit).select(*on, F.lit(True).alias("_hot"))
-    hot = small_side(hot)
-    row_salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
-    left = facts.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), row_salt).otherwise(F.lit(0))
-    )
-    right = dim.join(hot, on, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    )
-    return left.drop("_hot").join(right.drop("_hot"), [*on, "_salt"], how).drop("_salt")

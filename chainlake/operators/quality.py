@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chainlake.functions import columns as C
 from chainlake.operators import ordered
 
 
@@ -30,7 +31,9 @@ def gaps(heights: DataFrame) -> DataFrame:
         # Present and announced heights lie inside a run.
         .where("has = told")
     )
-    paired = ordered.lag(borders, ["chain"], ["h"], {"gap_start": "h", "before": "has"})
+    paired = ordered.lag(
+        borders, ["chain"], ["h"], {"gap_start": "h", "before": "has"}, ordered.by_span("h", C.BLOCKS_PER_BUCKET)
+    )
     return paired.where("has = 1 and before = 0").select(
         "chain", "gap_start", (F.col("h") - 1).alias("gap_end"),
         (F.col("h") - F.col("gap_start")).alias("missing"),

@@ -45,16 +45,13 @@ def plan_tailing(heads: DataFrame, size: int) -> DataFrame:
     """Ranges planned while following a head series: each observation above all earlier
     ones plans the new blocks, the last range being cut at the head. Planning starts at
     the first head seen."""
-    seen = ordered.running(
-        heads, ["chain"], ["seq"], {"top": Running("max_before", "raw_block")}
-    )
+    spans = ordered.by_span("seq")
+    seen = ordered.running(heads, ["chain"], ["seq"], {"top": Running("max_before", "raw_block")}, spans)
     fresh = seen.withColumn("first", F.coalesce(F.col("top"), F.col("raw_block") - 1) + 1).where(
         "raw_block >= first"
     )
     n = F.ceil((F.col("raw_block") - F.col("first") + 1) / F.lit(size)).cast("bigint")
-    counted = ordered.running(
-        fresh.withColumn("n", n), ["chain"], ["seq"], {"upto": Running("sum", "n")}
-    )
+    counted = ordered.running(fresh.withColumn("n", n), ["chain"], ["seq"], {"upto": Running("sum", "n")}, spans)
     return counted.select(
         "chain", "seq", "first", "raw_block", "n", "upto",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("i"),
@@ -93,7 +90,7 @@ def commit_frontier(finished: DataFrame) -> DataFrame:
     )
     before = F.col("range_id") < F.col("blocked_by")
     return (
-        ids.join(ordered.small_side(gap), "job")
+        ids.join(gap, "job")
         .groupBy("job", "blocked_by")
         .agg(
             F.max(F.when(before, F.col("end_block"))).alias("frontier_block"),

@@ -55,7 +55,9 @@ def latest_value(changelog: DataFrame, key: str = "kafka_key", order: str = "kaf
 def ranked_history(state: DataFrame) -> DataFrame:
     """All runs of each key, newest first, with their rank."""
     newest = [F.col("checkpoint_block").desc(), F.col("kafka_timestamp").desc(), F.col("run_id").desc()]
-    ranked = ordered.row_number(state, ["kafka_key"], newest)
+    # Highest block bucket first; runs without a checkpoint come last, as in the order.
+    bucket = F.coalesce(-C.block_bucket(F.col("checkpoint_block")), F.lit(2**62))
+    ranked = ordered.row_number(state, ["kafka_key"], newest, slices=bucket)
     key = C.split_state_key(F.col("kafka_key"))
     return ranked.select(
         key["chain"].alias("chain"),
@@ -97,7 +99,7 @@ def merge_into(spark: SparkSession, table: str, updates: DataFrame, keys: list[s
 
 def fenced_updates(owners: DataFrame, updates: DataFrame, key: str = "kafka_key") -> DataFrame:
     """Label updates by whether their producer owns the key. A key nobody owns is free."""
-    held = ordered.small_side(owners.select(key, F.col("producer_pod_uid").alias("owner_uid")))
+    held = owners.select(key, F.col("producer_pod_uid").alias("owner_uid"))
     mine = F.col("owner_uid").isNull() | (F.col("owner_uid") == F.col("producer_pod_uid"))
     return updates.join(held, key, "left").withColumn("accepted", mine)
 
@@ -124,9 +126,8 @@ def marks(table: DataFrame) -> DataFrame:
 
 def increment(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """Bronze rows above the silver mark of their own partition."""
-    seen = ordered.small_side(marks(silver))
     return (
-        bronze.join(seen, ["kafka_topic", "kafka_partition"], "left")
+        bronze.join(marks(silver), ["kafka_topic", "kafka_partition"], "left")
         .where("kafka_offset > coalesce(mark, -1)")
         .drop("mark")
         .select(*bronze.columns)

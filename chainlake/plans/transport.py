@@ -120,9 +120,8 @@ def keyed_records(src):
     select block_number || '-' || idx as key, json_object('block_height', block_number, 'job_name', job_name,
     'run_id', run_id, 'raw', raw)::varchar as value from n""", "logs")
 def emit_records(src):
-    records = src.view("logs")
     keep = ("job_name", "run_id", "raw", "kafka_partition", "kafka_offset")
-    return bronze.emit_records(bronze.usable_logs(records, *keep), records)
+    return bronze.emit_records(bronze.usable_logs(src.view("logs"), *keep))
 
 
 @query("a13_split_block_payload", """with t as (select block_height, json_extract_string(payload, '$.hash') as h,
@@ -148,7 +147,7 @@ def split_header(src):
     cast(c_nationkey as double) as wind_speed, TIMESTAMP '2024-05-01 10:30:00' as time, n_name as utc_offset
     from customer join nation on c_nationkey = n_nationkey""")
 def flatten_record(src):
-    rows = src.table("customer").join(ordered.small_side(src.table("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = src.table("customer").join(src.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     payload = F.to_json(F.struct(
         F.struct(F.col("c_name").alias("name"), F.lit("2024-05-01 10:30").alias("localtime"),
                  F.col("n_name").alias("utc_offset")).alias("location"),
@@ -163,8 +162,8 @@ def flatten_record(src):
     cast(null as varchar) as phone, 'p.png' as picture from customer join nation on c_nationkey = n_nationkey
     join region on n_regionkey = r_regionkey""")
 def flatten_person(src):
-    places = src.table("nation").join(ordered.small_side(src.table("region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    rows = src.table("customer").join(ordered.small_side(places), F.col("c_nationkey") == F.col("n_nationkey"))
+    places = src.table("nation").join(src.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = src.table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     payload = F.to_json(F.struct(
         F.lit("x").alias("gender"),
         F.struct(F.col("c_name").alias("first"), F.col("c_mktsegment").alias("last")).alias("name"),

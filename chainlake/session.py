@@ -9,16 +9,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows that one key may send to a single task before the skew-proof path is taken.
-GROUP_ROWS = "chainlake.group.rows"
-GROUP_ROWS_DEFAULT = 1_000_000
-
-# Rows and bytes a side may have before it is no longer broadcast.
-BROADCAST_ROWS = "chainlake.broadcast.rows"
-BROADCAST_ROWS_DEFAULT = 200_000
-BROADCAST_BYTES = 16 * 1024 * 1024
-
-
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, wherever they were started."""
     sc = spark.sparkContext
@@ -42,14 +32,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def group_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(GROUP_ROWS, str(GROUP_ROWS_DEFAULT)))
-
-
-def broadcast_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(BROADCAST_ROWS, str(BROADCAST_ROWS_DEFAULT)))
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a temporary one only in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -9,6 +9,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
 
 from chainlake import session as settings  # noqa: E402
+from chainlake.functions import columns  # noqa: E402
+from chainlake.operators import heads, ordered  # noqa: E402
 from chainlake.plans.registry import Source  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -40,13 +42,11 @@ def database():
 
 
 @pytest.fixture
-def hot(spark):
-    """Limits so low that the paths for hot keys and large sides are taken."""
-    spark.conf.set(settings.GROUP_ROWS, "20")
-    spark.conf.set(settings.BROADCAST_ROWS, "2")
-    yield
-    spark.conf.unset(settings.GROUP_ROWS)
-    spark.conf.unset(settings.BROADCAST_ROWS)
+def hot(monkeypatch):
+    """Slices so narrow that every key spans many of them."""
+    monkeypatch.setattr(ordered, "SLICE", 7)
+    monkeypatch.setattr(heads, "SLICE", 7)
+    monkeypatch.setattr(columns, "BLOCKS_PER_BUCKET", 20)
 
 
 def rows(df, *order):

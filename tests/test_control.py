@@ -19,12 +19,27 @@ def test_fold_example():
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.integers(0, 400), min_size=1, max_size=30), st.integers(-300, 900))
-def test_summary_of_a_part_equals_folding_it(raws, start):
-    pieces = [(heads.LOWEST, False, 0)]
-    for raw in raws:
-        pieces = heads.follow(pieces, raw, 5, 100)
-    _, fixed, value = [p for p in pieces if p[0] <= start][-1]
-    assert (value if fixed else start + value) == heads.fold(raws, start, 5, 100)[-1]
+def test_summary_of_a_slice_equals_folding_it(raws, start):
+    pieces = heads.summed_up(raws, start - 50, start + 50, 5, 100)
+    assert pieces[0][0] == start - 50 and pieces[-1][0] <= start + 50
+    for head in (start - 50, start, start + 50):
+        assert heads.value_of(pieces, head) == heads.fold(raws, head, 5, 100)[-1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 10**6), min_size=1, max_size=60), st.integers(1, 59))
+def test_safe_heads_stay_between_the_heads_seen(raws, cut):
+    before = raws[:cut]
+    assert min(before) <= heads.fold(before, None, 5, 100)[-1] <= max(before)
+
+
+@pytest.mark.parametrize("raws", [range(0, 2_000_000, 1000), range(2_000_000, 0, -1000)])
+def test_steep_series_have_few_pieces(raws):
+    """The spans before the slice bound its pieces, however steep the heads run."""
+    raws = list(raws)
+    first, rest = raws[:100], raws[100:]
+    pieces = heads.summed_up(rest, min(first), max(first), 5, 100)
+    assert len(pieces) <= 2 * len(first) + 10
 
 
 def series(spark, n=800):
@@ -37,9 +52,23 @@ def series(spark, n=800):
     return spark.createDataFrame(data, "chain string, seq bigint, raw_block bigint")
 
 
-def test_safe_head_in_parts(spark):
+@pytest.mark.parametrize("width", [1, 9, 130, 10_000])
+def test_safe_head_at_any_width(spark, width):
+    df = series(spark)
+    expected = []
+    for chain in ("a", "b"):
+        mine = [r for r in rows(df) if r[0] == chain]
+        expected += [(*r, s) for r, s in zip(mine, heads.fold([r[2] for r in mine], None, 5, 100))]
+    assert rows(heads.safe_head(df, width=width)) == sorted(expected)
+
+
+def test_safe_head_goes_on(spark):
     df = series(spark)
-    assert rows(heads.safe_head_in_parts(df, 5, 100, 11)) == rows(heads.safe_head(df))
+    whole = rows(heads.safe_head(df))
+    first = heads.safe_head(df.where("seq < 300"), width=40)
+    last = first.groupBy("chain").agg(F.max_by("safe_block", "seq").alias("safe_block"))
+    second = heads.safe_head(df.where("seq >= 300"), width=40, start=last)
+    assert sorted(rows(first) + rows(second)) == whole
 
 
 def test_plan_bounded(spark):

@@ -28,46 +28,24 @@ def skewed(spark):
     return spark.createDataFrame(data, "k string, o int, v int, w int").repartition(5)
 
 
-@pytest.mark.parametrize("order", ["o", "v desc, o"])
-def test_spread_equals_window(skewed, order):
+@pytest.mark.parametrize("order,slices", [
+    ("o", "floor(o / 50)"), ("o", "o"), ("v desc, o", "-v"), ("v desc, o", "floor(-v / 30)")])
+def test_slices_equal_one_window(skewed, order, slices):
     order = [F.col(c.split()[0]).desc() if c.endswith("desc") else F.col(c) for c in order.split(", ")]
-    w = Window.partitionBy("k").orderBy(*order)
-    plain = skewed.select("*", *[v.over(w).alias(n) for n, v in VALUES.items()])
-    spread = ordered.running_spread(skewed, ["k"], order, VALUES, 13)
+    plain = ordered.running(skewed, ["k"], order, VALUES)
+    sliced = ordered.running(skewed, ["k"], order, VALUES, F.expr(slices))
     key = lambda r: tuple((x is None, x) for x in r)
-    assert sorted(plain.collect(), key=key) == sorted(spread.collect(), key=key)
+    assert sorted(plain.collect(), key=key) == sorted(sliced.collect(), key=key)
 
 
-def test_hot_key_spans_parts(skewed):
-    placed = ordered.spread(skewed, ["k"], ["o"], 13)
-    sizes = {r["_part"]: r["count"] for r in placed.groupBy("_part").count().collect()}
-    assert max(sizes.values()) < 1540 / 4
-    assert placed.where("k = 'hot'").select("_part").distinct().count() > 4
-
-
-def test_path_follows_the_largest_key(spark, skewed):
-    assert ordered.parts_needed(skewed, ["k"]) == 0
-    spark.conf.set(session.GROUP_ROWS, "100")
-    try:
-        assert ordered.parts_needed(skewed, ["k"]) == 16
-        assert ordered.parts_needed(skewed, ["o"]) == 0
-    finally:
-        spark.conf.unset(session.GROUP_ROWS)
-
-
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join(spark, skewed, how):
-    dim = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("none", 4)], "k string, d int")
-    facts = skewed.where("k is not null")
-    expected = rows(facts.join(dim, "k", how).na.fill(-1))
-    spark.conf.set(session.GROUP_ROWS, "50")
-    try:
-        joined = ordered.salted_join(facts, dim, ["k"], how)
-        assert rows(joined.select("k", "o", "v", "w", "d").na.fill(-1)) == expected
-        plan = joined._jdf.queryExecution().optimizedPlan().toString()
-        assert "_salt" in plan
-    finally:
-        spark.conf.unset(session.GROUP_ROWS)
+def test_a_hot_key_is_many_windows(skewed):
+    """The key's rows are shuffled by key and slice, and no job runs before the query."""
+    tracker = skewed.sparkSession.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    sliced = ordered.row_number(skewed, ["k"], ["o"], slices=ordered.by_span("o", 100))
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert "hashpartitioning(_at" in plan
 
 
 def test_first_n_limits_before_the_shuffle(skewed):
@@ -77,15 +55,5 @@ def test_first_n_limits_before_the_shuffle(skewed):
     assert top.groupBy("k").count().agg(F.max("count")).first()[0] == 3
 
 
-def test_broadcast_is_checked(spark):
-    small, large = spark.range(10), spark.range(1000)
-    spark.conf.set(session.BROADCAST_ROWS, "100")
-    try:
-        assert ordered.small_side(small) is not small
-        assert ordered.small_side(large) is large
-    finally:
-        spark.conf.unset(session.BROADCAST_ROWS)
-
-
 def test_shared_dir_follows_the_session(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -8,10 +8,9 @@ from chainlake import plans
 from conftest import SF_DIR
 
 HOT = [
-    "a12_emit_records", "a17_index", "c5_incremental_filter", "d2_block_by_time", "d4_entity_enrich", "d7_lag_vs_head",
-    "e10_commit_interval", "e14_conversation_rollup", "f2_ranked_history", "f3_commit_frontier", "f4_block_ordinal",
-    "f5_gap_detect", "f6_commit_interval", "j9_plan_ranges_tailing", "j10_safe_head", "j11_head_source_arbiter",
-    "j17_fenced_writer", "l1_counter_rate", "l7_commit_interval_max", "l9_commit_overhead_ratio",
+    "d2_block_by_time", "e10_commit_interval", "f2_ranked_history", "f5_gap_detect", "f6_commit_interval", "g1_order_state",
+    "j9_plan_ranges_tailing", "j10_safe_head", "j11_head_source_arbiter", "l1_counter_rate", "l7_commit_interval_max",
+    "l9_commit_overhead_ratio",
 ]
 
 
