@@ -24,9 +24,11 @@ TOPICS = {
     "python": ["python", "asyncio", "multiprocessing"],
 }
 UNCATEGORIZED = "uncategorized"
+UNTITLED = "Untitled"
 
-# Messages in one segment of a rolled-up conversation.
-SEGMENT = 1_000
+FOLDERS = ["year", "month", "main_topic"]
+# Characters of a file name that tell its slice of an index.
+NAME_SLICE = 16
 
 
 def messages(nodes: DataFrame) -> DataFrame:
@@ -44,21 +46,12 @@ def trim_blank(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-def rollup(msgs: DataFrame, size: int = SEGMENT) -> DataFrame:
-    """Messages of a conversation joined in order. A conversation of more than ``size``
-    messages gives several segments, so that no row grows without bound."""
-    numbered = ordered.row_number(msgs, ["conv_id"], ["turn"])
-    segment = F.floor((F.col("rn") - 1) / F.lit(size)).cast("bigint")
-    parts = F.sort_array(F.collect_list(F.struct("turn", heading(F.col("role")).alias("h"), "text")))
-    return (
-        numbered.groupBy("conv_id", segment.alias("segment"))
-        .agg(F.count(F.lit(1)).alias("n_messages"), parts.alias("parts"))
-        .select(
-            "conv_id", "segment", "n_messages",
-            F.array_join(
-                F.transform("parts", lambda p: F.concat(p["h"], F.lit("\n"), p["text"], F.lit("\n\n"))), ""
-            ).alias("body"),
-        )
+def rollup(msgs: DataFrame) -> DataFrame:
+    """Rendered messages of each conversation with their position from 1. A conversation's
+    text is never brought together in a row, however long it is."""
+    numbered = ordered.row_number(msgs, ["conv_id"], ["turn"], "pos")
+    return numbered.select(
+        "conv_id", "pos", F.concat(heading(F.col("role")), F.lit("\n"), F.col("text"), F.lit("\n\n")).alias("text")
     )
 
 
@@ -115,49 +108,54 @@ def classify(scores: DataFrame) -> DataFrame:
     )
 
 
-def documents(msgs: DataFrame, size: int = SEGMENT) -> DataFrame:
-    """One document per conversation, with its folder and file name."""
+def documents(msgs: DataFrame) -> DataFrame:
+    """Documents, one per conversation, in pieces (file_name, pos, text): the front matter
+    at position 0, then the messages, with the folder and file name they belong to."""
+    title = F.coalesce(F.nullif("title", F.lit("")), F.lit(UNTITLED))
     labels = classify(topic_scores(msgs)).select(
-        "conv_id", "title", "create_time", "main_topic", "other_topics"
-    )
-    body = rollup(msgs, size)
-    tags = F.array_join(F.concat(F.array("main_topic"), "other_topics"), ", ")
-    front = F.concat(
-        F.lit("---\ntitle: "), "title",
-        F.lit("\ndate: "), F.date_format("create_time", "yyyy-MM-dd HH:mm:ss"),
-        F.lit("\nmain_topic: "), "main_topic",
-        F.lit("\ntags: ["), tags,
-        F.lit("]\nconversation_id: "), F.col("conv_id").cast("string"), F.lit("\n---\n\n"),
-    )
-    return body.join(labels, "conv_id").select(
-        "conv_id", "segment",
+        "conv_id",
         F.date_format("create_time", "yyyy").alias("year"),
         F.date_format("create_time", "MM").alias("month"),
         "main_topic",
-        F.concat(C.safe_name(F.col("title")), F.lit(".md")).alias("file_name"),
-        F.concat(F.when(F.col("segment") == 0, front).otherwise(F.lit("")), "body").alias("document"),
+        F.concat(C.safe_name(title), F.lit(".md")).alias("file_name"),
+        F.concat(
+            F.lit("---\ntitle: "), title,
+            F.lit("\ndate: "), F.coalesce(F.date_format("create_time", "yyyy-MM-dd HH:mm:ss"), F.lit("")),
+            F.lit("\nmain_topic: "), "main_topic",
+            F.lit("\ntags: ["), F.array_join(F.concat(F.array("main_topic"), "other_topics"), ", "),
+            F.lit("]\nconversation_id: "), F.col("conv_id").cast("string"), F.lit("\n---\n\n"),
+        ).alias("front"),
     )
+    named = ["conv_id", *FOLDERS, "file_name"]
+    front = labels.select(*named, F.lit(0).cast("bigint").alias("pos"), F.col("front").alias("text"))
+    return front.unionByName(rollup(msgs).join(labels.drop("front"), "conv_id").select(*named, "pos", "text"))
 
 
 def write_documents(docs: DataFrame, path: str) -> None:
-    """Text files under year/month/main_topic, the documents in order inside a folder."""
-    folders = ["year", "month", "main_topic"]
+    """Text files of JSON lines (file_name, pos, text) under year/month/main_topic, the
+    pieces of each document in order."""
+    order = [*FOLDERS, "file_name", "conv_id", "pos"]
     (
-        docs.repartitionByRange(*folders, "conv_id", "segment")
-        .sortWithinPartitions(*folders, "conv_id", "segment")
-        .select(*folders, F.col("document").alias("value"))
-        .write.mode("overwrite").partitionBy(*folders).text(path)
+        docs.repartitionByRange(*order).sortWithinPartitions(*order)
+        .select(*FOLDERS, "file_name", "conv_id", "pos", "text")
+        .write.mode("overwrite").partitionBy(*FOLDERS).json(path)
     )
 
 
 def index(docs: DataFrame) -> DataFrame:
     """Index lines of each folder, one row per file, in name order."""
-    folders = ["year", "month", "main_topic"]
-    files = docs.where("segment = 0").select(*folders, "conv_id", "file_name")
-    lined = ordered.row_number(files, folders, ["file_name", "conv_id"], "line")
+    files = docs.where("pos = 0").select(*FOLDERS, "conv_id", "file_name")
+    # Slices by the beginning of the name; a name of no more characters can be that of many
+    # conversations, which are then cut by their ids.
+    short = F.length("file_name") <= NAME_SLICE
+    slices = F.struct(
+        F.substring("file_name", 1, NAME_SLICE).alias("begin"), (~short).alias("long"),
+        F.when(short, ordered.by_span("conv_id")).otherwise(F.lit(0)).alias("span"),
+    )
+    lined = ordered.row_number(files, FOLDERS, ["file_name", "conv_id"], "line", slices)
     name = F.replace(F.col("file_name"), F.lit(".md"), F.lit(""))
     return lined.select(
-        *folders, "line",
+        *FOLDERS, "line",
         F.concat(F.lit("# "), F.upper("main_topic"), F.lit(" — "), "year", F.lit("-"), "month").alias("heading"),
         F.concat(F.lit("- ["), name, F.lit("]("), "file_name", F.lit(")")).alias("entry"),
     )
@@ -165,10 +163,9 @@ def index(docs: DataFrame) -> DataFrame:
 
 def write_index(lines: DataFrame, path: str) -> None:
     """Index lines as text files beside the documents."""
-    folders = ["year", "month", "main_topic"]
     (
-        lines.repartitionByRange(*folders, "line")
-        .sortWithinPartitions(*folders, "line")
-        .select(*folders, F.col("entry").alias("value"))
-        .write.mode("overwrite").partitionBy(*folders).text(path)
+        lines.repartitionByRange(*FOLDERS, "line")
+        .sortWithinPartitions(*FOLDERS, "line")
+        .select(*FOLDERS, F.col("entry").alias("value"))
+        .write.mode("overwrite").partitionBy(*FOLDERS).text(path)
     )

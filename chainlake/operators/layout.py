@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,6 +25,17 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table's rows, or no rows when it does not exist yet. Any other failure to read it
+    is raised, lest a table that can't be reached counts as empty."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

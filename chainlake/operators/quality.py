@@ -73,10 +73,6 @@ def dedup(rows: DataFrame, keys: list[str], order: str = "kafka_offset") -> Data
     return ordered.first_n(rows, keys, [order], 1)
 
 
-def dedup_stream(rows: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
-    return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
-
-
 def missing_rows(wanted: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of ``wanted`` without a row in ``present``; copies are collapsed first."""
     return wanted.select(*keys).distinct().join(present.select(*keys).distinct(), keys, "left_anti")

@@ -41,19 +41,25 @@ def plan_bounded(bounds: DataFrame, size: int, head: str | None = None) -> DataF
     )
 
 
-def plan_tailing(heads: DataFrame, size: int) -> DataFrame:
+def plan_tailing(heads: DataFrame, size: int, start: DataFrame | None = None) -> DataFrame:
     """Ranges planned while following a head series: each observation above all earlier
     ones plans the new blocks, the last range being cut at the head. Planning starts at
-    the first head seen."""
+    the first head seen, or goes on from ``start`` (chain, top, next_id)."""
+    none = F.lit(None).cast("bigint")
+    if start is None:
+        heads = heads.withColumns({"_top": none, "_next": none})
+    else:
+        heads = heads.join(start.withColumnsRenamed({"top": "_top", "next_id": "_next"}), "chain", "left")
     spans = ordered.by_span("seq")
     seen = ordered.running(heads, ["chain"], ["seq"], {"top": Running("max_before", "raw_block")}, spans)
-    fresh = seen.withColumn("first", F.coalesce(F.col("top"), F.col("raw_block") - 1) + 1).where(
+    top = F.greatest("top", "_top")
+    fresh = seen.withColumn("first", F.coalesce(top, F.col("raw_block") - 1) + 1).where(
         "raw_block >= first"
     )
     n = F.ceil((F.col("raw_block") - F.col("first") + 1) / F.lit(size)).cast("bigint")
     counted = ordered.running(fresh.withColumn("n", n), ["chain"], ["seq"], {"upto": Running("sum", "n")}, spans)
     return counted.select(
-        "chain", "seq", "first", "raw_block", "n", "upto",
+        "chain", "seq", "first", "raw_block", "n", (F.col("upto") + F.coalesce("_next", F.lit(0))).alias("upto"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("i"),
     ).select(
         "chain", "seq",

@@ -117,6 +117,14 @@ def history_below(table: DataFrame, live: DataFrame) -> DataFrame:
     return table.where(F.col("block_height") < first.scalar())
 
 
+def live_with_history(table: DataFrame, job: str) -> DataFrame:
+    """Rows of the live job and all rows below its first block, in one scan: history is
+    loaded once beside a running stream."""
+    live = F.coalesce(F.col("job_name") == job, F.lit(False))
+    first = table.where(live).agg(F.min("block_height"))
+    return table.where(live | (F.col("block_height") < first.scalar()))
+
+
 def marks(table: DataFrame) -> DataFrame:
     """High-water mark of each topic partition."""
     return table.groupBy("kafka_topic", "kafka_partition").agg(

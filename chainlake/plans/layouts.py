@@ -9,7 +9,6 @@ from chainlake.plans import sqltext as S
 from chainlake.plans.common import state_table
 from chainlake.plans.registry import query
 from chainlake.session import scratch
-from chainlake.streaming import atomic
 
 # Blocks per partition in the registered query; tables use layout's default.
 BUCKET = 1_000
@@ -89,13 +88,6 @@ PRODUCER = {"pod_uid": "uid-1", "pod_name": "pod-1", "run_id": "run-1", "mode":
             "started_at": "2024-01-01T00:00:00.000Z"}
 
 
-@query("b7_snapshot_history", "select 0::bigint as batch_id, count(*) as rows from tx", "tx")
-def snapshot_history(src):
-    path = scratch(src.spark, "b7")
-    atomic.run(src.stream("tx").select("block_height", "kafka_offset"), path, scratch(src.spark, "b7-checkpoint"), PRODUCER)
-    return atomic.snapshots(src.spark, path).select("batch_id", "rows")
-
-
 @query("b9_delete_where", "select kafka_key, kafka_offset from state where kafka_key not like '%.%'", "state")
 def delete_where(src):
     return layout.delete_where(src.view("state"), "kafka_key like '%.%'").select("kafka_key", "kafka_offset")

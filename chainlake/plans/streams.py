@@ -16,6 +16,9 @@ from chainlake.session import scratch
 from chainlake.sources import topics
 from chainlake.streaming import atomic, jobs, stateful
 
+# Offsets in one file of a rate-limited source.
+SPAN = 100_000
+
 KEYED = "select kafka_key, kafka_offset, kafka_timestamp from state"
 
 
@@ -36,18 +39,21 @@ def processing_trigger(src):
     return src.spark.read.schema(rows.schema).parquet(path)
 
 
-def in_files(src, name, files, *columns):
-    """A view written as a folder of files, with the schema to stream it."""
+def in_files(src, name, *columns):
+    """A view written as a folder for each span of offsets, a file in each, with the schema
+    to stream it."""
     path = scratch(src.spark, name)
     rows = src.view("state").select(*columns)
-    rows.repartitionByRange(files, "kafka_offset").write.parquet(path)
-    return path, rows.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")
+    spans = rows.withColumn("span", ordered.by_span("kafka_offset", SPAN))
+    spans.repartition("span").write.partitionBy("span").parquet(path)
+    return f"{path}/*", rows.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")
 
 
-@query("j3_rate_limit", "select 4::bigint as batches, count(*) as n, true as all_within_one_file from state", "state")
+@query("j3_rate_limit", f"""select count(distinct kafka_offset // {SPAN}) as batches, count(*) as n,
+    count(distinct kafka_offset // {SPAN}) > 1 as all_within_one_file from state""", "state")
 def rate_limit(src):
     """One file per trigger makes as many batches as there are files."""
-    path, schema = in_files(src, "j3", 4, "kafka_key", "kafka_offset")
+    path, schema = in_files(src, "j3", "kafka_key", "kafka_offset")
     rows = topics.stream_source(src.spark, path=path, schema=schema, max_per_trigger=1)
     out = scratch(src.spark, "j3-out")
     atomic_rows = rows.withColumnRenamed("kafka_offset", "block_height")
@@ -79,17 +85,11 @@ def tumbling_count(src):
     return jobs.tumbling_count(src.view("tx"))
 
 
-@query("j5_tumbling_append", f"""with {COUNT_SQL} select * from w where window_end <= (select max(kafka_timestamp) from tx) - interval 1 minute""", "tx")
-def tumbling_append(src):
-    """Append mode: a window is written once the watermark has passed its end."""
-    return jobs.appended(src.spark, jobs.tumbling_count(src.stream("tx")), "j5")
-
-
 @query("j5_tumbling_processing_time", "select block_height, count(*) as cnt from tx group by 1", "tx")
 def tumbling_processing_time(src):
     """Windows by arrival differ from run to run; their sums per block do not."""
-    counts = jobs.tumbling_count_now(src.stream("tx").select("block_height"))
-    stored = jobs.upsert_changes(counts, scratch(src.spark, "j5p"), scratch(src.spark, "j5p-checkpoint"))
+    rows = src.stream("tx").select("block_height")
+    stored = jobs.upsert_counts(rows, scratch(src.spark, "j5p"), scratch(src.spark, "j5p-checkpoint"), ts=None)
     return stored.groupBy("block_height").agg(F.sum("cnt").alias("cnt"))
 
 
@@ -142,9 +142,8 @@ def plan_ranges_tailing(src):
 
 @query("j9_tailing_stream", TAILING_SQL, "heads")
 def tailing_stream(src):
-    stateful.use_rocksdb(src.spark)
     rows = src.stream("heads").select("chain", "seq", "raw_block")
-    return jobs.appended(src.spark, stateful.plan_tailing(rows, SIZE), "j9")
+    return stateful.plan_tailing(rows, SIZE, scratch(src.spark, "j9"), scratch(src.spark, "j9-checkpoint"))
 
 
 def safe_query(tolerance: int, jump: int) -> str:
@@ -163,9 +162,8 @@ def safe_head_batch(src):
 
 @query("j10_safe_head_stream", safe_query(heads.TOLERANCE, heads.JUMP), "heads")
 def safe_head_stream(src):
-    stateful.use_rocksdb(src.spark)
     rows = src.stream("heads").select("chain", "seq", "raw_block")
-    return jobs.appended(src.spark, stateful.safe_head(rows), "j10")
+    return stateful.safe_head(rows, scratch(src.spark, "j10"), scratch(src.spark, "j10-checkpoint"))
 
 
 ARBITER_SQL = """with h as (select chain, seq, ts, case when source = 'ws' then raw_block end as w, case when source = 'ws' then ts end as wt,
@@ -221,7 +219,6 @@ def range_lifecycle(src):
 
 @query("j15_lifecycle_stream", f"with {LIFECYCLE_SQL} select * from life", "range_events")
 def lifecycle_stream(src):
-    stateful.use_rocksdb(src.spark)
     states = stateful.lifecycle(src.stream("range_events"))
     path = scratch(src.spark, "j15")
 
@@ -250,9 +247,9 @@ def fenced_writer(src):
 @query("j18_stream_progress", "select count(*) as n, 1::bigint as sources from state", "state")
 def stream_progress(src):
     """The progress rows of a finished query add up to its input."""
-    running = jobs.start(src.stream("state"), scratch(src.spark, "j18"), scratch(src.spark, "j18-checkpoint"))
-    running.awaitTermination()
-    rows = src.spark.createDataFrame(jobs.progress_rows(running), jobs.PROGRESS_COLUMNS)
+    out, checkpoint = scratch(src.spark, "j18"), scratch(src.spark, "j18-checkpoint")
+    run = lambda: jobs.start(src.stream("state"), out, checkpoint)
+    rows = jobs.recorded(src.spark, run, scratch(src.spark, "j18-progress"))
     return rows.agg(F.sum("rows").alias("n"), F.countDistinct("source").alias("sources"))
 
 

@@ -101,8 +101,7 @@ def partitioned_overwrite(src):
     count(*) as cnt from tx group by all)
     select block_height, window_start, window_start + interval 10 second as window_end, cnt from c""", "tx")
 def keyed_upsert_sink(src):
-    counts = jobs.tumbling_count(src.stream("tx"), delay=None)
-    return jobs.upsert_changes(counts, scratch(src.spark, "a11"), scratch(src.spark, "a11-checkpoint"))
+    return jobs.upsert_counts(src.stream("tx"), scratch(src.spark, "a11"), scratch(src.spark, "a11-checkpoint"))
 
 
 @query("a11_keyed_records", f"""with c as (select block_height, {S.window_start('kafka_timestamp', 10)} as window_start,
@@ -182,7 +181,8 @@ def flatten_person(src):
     from (select unnest(['lake', 'serving']) as sink, kafka_offset from tx) group by sink""", "tx")
 def fan_out_sinks(src):
     lake, serving = scratch(src.spark, "a18-lake"), scratch(src.spark, "a18-serving")
-    jobs.fan_out(src.stream("tx"), lake, serving, scratch(src.spark, "a18-checkpoint"))
+    for running in jobs.fan_out(src.stream("tx"), {lake: None, serving: None}, scratch(src.spark, "a18-checkpoint")):
+        running.awaitTermination()
     both = [src.spark.read.parquet(p).select(F.lit(n).alias("sink"), "kafka_offset")
             for n, p in (("lake", lake), ("serving", serving))]
     return both[0].unionByName(both[1]).groupBy("sink").agg(
@@ -222,17 +222,18 @@ LABELS = (
 )
 HEADING = "case role when 'user' then '## 🧑 User' when 'assistant' then '## 🤖 Assistant' else '## ' || role end"
 BODY = (
-    f"body as (select conv_id, count(*) as n_messages, string_agg({HEADING} || chr(10) || text || chr(10) || chr(10), '' "
-    "order by turn) as body from chats group by conv_id)"
+    "body as (select conv_id, row_number() over (partition by conv_id order by turn) as pos, "
+    f"{HEADING} || chr(10) || text || chr(10) || chr(10) as text from chats)"
 )
 FILE = r"""regexp_replace(title, '[\\/:*?"<>|]', '_', 'g')"""
 DOCS = (
-    f"{LABELS}, {BODY}, docs as (select conv_id, 0::bigint as segment, strftime(create_time, '%Y') as year, "
+    f"{LABELS}, {BODY}, named as (select conv_id, strftime(create_time, '%Y') as year, "
     f"strftime(create_time, '%m') as month, main_topic, {FILE} || '.md' as file_name, "
     "'---' || chr(10) || 'title: ' || title || chr(10) || 'date: ' || strftime(create_time, '%Y-%m-%d %H:%M:%S') || chr(10) "
     "|| 'main_topic: ' || main_topic || chr(10) || 'tags: [' || array_to_string(list_concat([main_topic], others), ', ') "
-    "|| ']' || chr(10) || 'conversation_id: ' || conv_id || chr(10) || '---' || chr(10) || chr(10) || body as document "
-    "from lab join body using (conv_id))"
+    "|| ']' || chr(10) || 'conversation_id: ' || conv_id || chr(10) || '---' || chr(10) || chr(10) as front from lab), "
+    "docs as (select conv_id, year, month, main_topic, file_name, 0::bigint as pos, front as text from named "
+    "union all select conv_id, year, month, main_topic, file_name, pos, text from named join body using (conv_id))"
 )
 
 
@@ -241,23 +242,23 @@ def partitioned_text_export(src):
     return conversations.documents(src.view("chats"))
 
 
-@query("a17_exported_lines", f"""with {DOCS}, l as (select year, month, main_topic,
-    unnest(string_split(document, chr(10))) as line from docs)
-    select cast(year as integer) as year, cast(month as integer) as month, main_topic, count(*) as lines,
-    cast(sum(length(line)) as bigint) as chars from l group by all""", "chats")
+@query("a17_exported_lines", f"""with {DOCS} select cast(year as integer) as year, cast(month as integer) as month, main_topic,
+    count(*) as pieces, count(distinct conv_id) as documents, cast(sum(length(text)) as bigint) as chars
+    from docs group by year, month, main_topic""", "chats")
 def exported_lines(src):
     """What the written files hold."""
     path = scratch(src.spark, "a17")
     conversations.write_documents(conversations.documents(src.view("chats")), path)
-    return src.spark.read.text(path).groupBy(
+    pieces = src.spark.read.schema("file_name string, conv_id bigint, pos bigint, text string, year string, month string, main_topic string")
+    return pieces.json(path).groupBy(
         F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"), "main_topic"
-    ).agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).alias("chars"))
+    ).agg(F.count(F.lit(1)).alias("pieces"), F.countDistinct("conv_id").alias("documents"), F.sum(F.length("text")).alias("chars"))
 
 
 @query("a17_index", f"""with {DOCS} select year, month, main_topic,
     row_number() over (partition by year, month, main_topic order by file_name, conv_id) as line,
     '# ' || upper(main_topic) || ' — ' || year || '-' || month as heading,
-    '- [' || replace(file_name, '.md', '') || '](' || file_name || ')' as entry from docs""", "chats")
+    '- [' || replace(file_name, '.md', '') || '](' || file_name || ')' as entry from docs where pos = 0""", "chats")
 def export_index(src):
     return conversations.index(conversations.documents(src.view("chats")))
 
@@ -278,7 +279,7 @@ def document_topics(src):
     return conversations.classify(conversations.topic_scores(docs)).select("conv_id", "main_topic", "other_topics")
 
 
-@query("e14_conversation_rollup", f"with {BODY} select conv_id, 0::bigint as segment, n_messages, body from body", "chats")
+@query("e14_conversation_rollup", f"with {BODY} select conv_id, pos, text from body", "chats")
 def conversation_rollup(src):
     return conversations.rollup(src.view("chats"))
 

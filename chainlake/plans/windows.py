@@ -10,6 +10,7 @@ from chainlake.plans import sqltext as S
 from chainlake.plans.aggregates import INTERVAL_SQL, commit_times
 from chainlake.plans.common import state_table
 from chainlake.plans.registry import query
+from chainlake.session import scratch
 from chainlake.streaming import jobs
 
 
@@ -103,8 +104,9 @@ def dedup_duplicates(src):
 
 @query("f8_dedup_stream", "select distinct block_height from tx", "tx")
 def dedup_stream(src):
-    rows = src.stream("tx").select("block_height", "kafka_timestamp")
-    return jobs.appended(src.spark, quality.dedup_stream(rows, ["block_height"], "kafka_timestamp", "1 day"), "f8").select("block_height")
+    rows = src.stream("tx").select("block_height", "kafka_offset")
+    path, checkpoint = scratch(src.spark, "f8"), scratch(src.spark, "f8-checkpoint")
+    return jobs.append_new(rows, path, checkpoint, ["block_height"], "kafka_offset").select("block_height")
 
 
 @query("g1_order_state", f"with {RANKED_SQL} select kafka_key, rn, run_id from v order by kafka_key, rn", "state")
@@ -128,8 +130,7 @@ def deterministic_batch_order(src):
     select j_hash as tx_hash, job_name, kafka_offset from u
     qualify row_number() over (partition by j_hash order by kafka_offset) = 1""", "tx")
 def union_live_history(src):
-    live = src.view("tx").where("job_name = 'bsc_realtime_transactions'")
-    both = live.unionByName(state.history_below(src.view("tx"), live))
+    both = state.live_with_history(src.view("tx"), "bsc_realtime_transactions")
     tx = silver.parse_tx(both, ["job_name", "kafka_offset"], "hash").withColumnRenamed("hash", "tx_hash")
     return quality.dedup(tx, ["tx_hash"]).select("tx_hash", "job_name", "kafka_offset")
 

@@ -9,6 +9,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, wherever they were started."""
     sc = spark.sparkContext
@@ -26,6 +29,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # One state store for all streams of a session.
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     # HotSpot does not compile methods above 8000 bytes of bytecode; wide projections are
     # faster split into several methods than fused into one that stays interpreted.
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")

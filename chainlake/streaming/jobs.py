@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from chainlake.operators import ordered
+from chainlake.functions import columns as C
+from chainlake.operators import layout, quality
 from chainlake.session import scratch
 
-# Micro-batch caps and the realtime trigger of the four stream jobs.
-BATCH_CAPS = {"sample": 1_000, "silver_logs": 2_000, "realtime": 500_000, "backfill": 1_000_000}
+# Fixed value: trigger of the realtime jobs.
 REALTIME_TRIGGER = "60 seconds"
 
 
@@ -49,38 +51,22 @@ def for_each(rows: DataFrame, work: Callable[[DataFrame, int], None], checkpoint
     )
 
 
-def fan_out(rows: DataFrame, lake: str, serving: str, checkpoint: str) -> None:
-    """One stream, two sinks. A batch folder is replaced when its batch is repeated."""
+def fan_out(rows: DataFrame, sinks: dict[str, str | None], checkpoint: str) -> list[StreamingQuery]:
+    """One source, several sinks (path: trigger, or all there is), each a query with its own
+    checkpoint, so that none waits for another."""
+    return [start(rows, path, f"{checkpoint}/{i}", every=every) for i, (path, every) in enumerate(sinks.items())]
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        for path in (lake, serving):
-            batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        batch.unpersist()
-
-    for_each(rows, work, checkpoint).awaitTermination()
 
-
-def tumbling_count(rows: DataFrame, ts: str = "kafka_timestamp", seconds: int = 10,
-                   delay: str | None = "1 minute") -> DataFrame:
-    """Rows per block and window of event time; with ``delay`` late rows are dropped and
-    finished windows can be appended."""
-    timed = rows.withWatermark(ts, delay) if delay and rows.isStreaming else rows
+def tumbling_count(rows: DataFrame, ts: str = "kafka_timestamp", seconds: int = 10) -> DataFrame:
+    """Rows per block and window of time."""
     return (
-        timed.groupBy("block_height", F.window(ts, f"{seconds} seconds").alias("w"))
+        rows.groupBy("block_height", F.window(ts, f"{seconds} seconds").alias("w"))
         .agg(F.count(F.lit(1)).alias("cnt"))
         .select("block_height", F.col("w.start").alias("window_start"),
                 F.col("w.end").alias("window_end"), "cnt")
     )
 
 
-def tumbling_count_now(rows: DataFrame, seconds: int = 10) -> DataFrame:
-    """The same by processing time, for update mode."""
-    return tumbling_count(
-        rows.withColumn("proc_time", F.current_timestamp()), "proc_time", seconds, None
-    )
-
-
 WINDOW_KEY = ["block_height", "window_start"]
 
 
@@ -91,16 +77,39 @@ def keyed_records(counts: DataFrame, keys: list[str] = WINDOW_KEY) -> DataFrame:
     )
 
 
-def upsert_changes(counts: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Keyed upsert of an updating stream on file tables: every batch appends its changed
-    rows under its batch id, and the highest batch of a key is its value."""
+def upsert_counts(rows: DataFrame, path: str, checkpoint: str, ts: str | None = "kafka_timestamp") -> DataFrame:
+    """Windowed counts of a stream as a table by key. Every batch adds its own counts under
+    its batch id, and a key's value is their sum: rows may come in any order and however
+    late, and no state is kept. Without ``ts`` windows are of processing time."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        timed = batch if ts else batch.withColumn("proc_time", F.current_timestamp())
+        tumbling_count(timed, ts or "proc_time").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    for_each(rows, work, checkpoint).awaitTermination()
+    added = rows.sparkSession.read.parquet(path)
+    return added.groupBy(*WINDOW_KEY, "window_end").agg(F.sum("cnt").alias("cnt"))
 
-    for_each(counts, work, checkpoint, mode="update").awaitTermination()
-    spark = counts.sparkSession
-    return ordered.latest(spark.read.parquet(path), WINDOW_KEY, "batch").drop("batch")
+
+def append_new(rows: DataFrame, path: str, checkpoint: str, keys: list[str], order: str,
+               block: str = "block_height", width: int = C.BLOCKS_PER_BUCKET) -> DataFrame:
+    """Append the first delivery of each key. A batch drops what earlier batches stored,
+    reading only the block buckets it touches; a repeated batch replaces its folder."""
+    schema = T.StructType([*rows.schema, T.StructField("block_bucket", T.LongType()), T.StructField("batch", T.LongType())])
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # Rows without a block form a bucket of their own.
+        fresh = batch.withColumn("block_bucket", F.coalesce(C.block_bucket(F.col(block), width), F.lit(-1)))
+        stored = layout.read_table(spark, path, schema).where(F.col("batch") < batch_id)
+        touched = stored.join(fresh.select("block_bucket").distinct(), "block_bucket", "left_semi")
+        # As fields of a struct, absent keys equal each other.
+        known = touched.select(F.struct(*keys).alias("_key")).distinct()
+        new = quality.dedup(fresh, keys, order).withColumn("_key", F.struct(*keys)).join(known, "_key", "left_anti")
+        new.select(*fresh.columns).write.mode("overwrite").partitionBy("block_bucket").parquet(f"{path}/batch={batch_id}")
+
+    for_each(rows, work, checkpoint).awaitTermination()
+    return layout.read_table(rows.sparkSession, path, schema).select(*rows.columns)
 
 
 class ProgressToTable(StreamingQueryListener):
@@ -114,6 +123,7 @@ class ProgressToTable(StreamingQueryListener):
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self.ended = threading.Event()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -122,7 +132,7 @@ class ProgressToTable(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.ended.set()
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
@@ -134,13 +144,17 @@ class ProgressToTable(StreamingQueryListener):
         self.spark.createDataFrame(rows, self.COLUMNS).coalesce(1).write.mode("append").parquet(self.path)
 
 
-PROGRESS_COLUMNS = "batch_id bigint, source string, rows bigint, start_offset string, end_offset string"
-
-
-def progress_rows(query: StreamingQuery) -> list[tuple]:
-    """Recent progress of one query, a row per batch and source."""
-    return [
-        (p["batchId"], s["description"], s["numInputRows"], str(s["startOffset"]), str(s["endOffset"]))
-        for p in query.recentProgress
-        for s in p["sources"]
-    ]
+def recorded(spark: SparkSession, run: Callable[[], StreamingQuery], path: str, wait: float = 60.0) -> DataFrame:
+    """Run a query to its end while its progress is recorded, and read the table: a row per
+    batch and source, however many batches there are."""
+    listener = ProgressToTable(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        running = run()
+        running.awaitTermination()
+        # Events arrive in order and after the query's end.
+        if not listener.ended.wait(wait):
+            raise TimeoutError("the query's last progress has not arrived")
+    finally:
+        spark.streams.removeListener(listener)
+    return spark.read.schema(ProgressToTable.COLUMNS).parquet(path).where(F.col("query_id") == str(running.id))

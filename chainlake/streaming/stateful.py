@@ -1,74 +1,44 @@
 """Stateful stream operators: safe head, tailing planner, range lifecycle.
 
-Each keeps a few numbers per key in the state store. The rows of a key in one micro-batch
-are applied in ``seq`` order; the source's rate limit bounds how many there are.
+The first two run the batch operators on each micro-batch, from the state that the batch
+before left: a chain's observations are worked on in slices, by many tasks, however many a
+batch brings. State and rows are written under the batch id, so a repeated batch replaces
+what it wrote. The lifecycle keeps a few numbers per range in the state store.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from chainlake.operators import heads, ranges
+from chainlake.streaming.jobs import for_each
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, Callable[[DataFrame], DataFrame]]]
 
 
-def use_rocksdb(spark) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+def step_by_step(rows: DataFrame, path: str, checkpoint: str, state: str, schema: str, step: Step) -> DataFrame:
+    """Run ``step(batch, state)`` on every micro-batch and read the rows it gave. It returns
+    the rows and a function from the stored rows to the new state."""
 
+    def work(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = spark.createDataFrame([], state) if batch_id == 0 else spark.read.schema(state).parquet(f"{path}/state/{batch_id - 1}")
+        made, after = step(batch, before)
+        made.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+        stored = spark.read.schema(schema).parquet(f"{path}/rows/batch={batch_id}")
+        after(stored).select(*before.columns).write.mode("overwrite").parquet(f"{path}/state/{batch_id}")
 
-def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows)).sort_values("seq")
-
-
-class SafeHead(StatefulProcessor):
-    def __init__(self, tolerance: int, jump: int):
-        self.tolerance, self.jump = tolerance, jump
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("safe", "safe bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = in_order(rows)
-        safe = self.state.get()[0] if self.state.exists() else None
-        out = heads.fold([int(r) for r in pdf["raw_block"]], safe, self.tolerance, self.jump)
-        self.state.update((out[-1],))
-        yield pd.DataFrame(
-            {"chain": key[0], "seq": pdf["seq"].to_numpy(), "raw_block": pdf["raw_block"].to_numpy(),
-             "safe_block": out}
-        )
-
-    def close(self) -> None:
-        pass
-
+    for_each(rows, work, checkpoint).awaitTermination()
+    return rows.sparkSession.read.schema(schema).parquet(f"{path}/rows/*")
 
-class TailingPlanner(StatefulProcessor):
-    def __init__(self, size: int):
-        self.size = size
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("cursor", "next_block bigint, next_id bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = in_order(rows)
-        block, range_id = self.state.get() if self.state.exists() else (None, 0)
-        out = []
-        for seq, head in zip(pdf["seq"], pdf["raw_block"]):
-            head = int(head)
-            block = head if block is None else block
-            for first in range(block, head + 1, self.size):
-                last = min(first + self.size - 1, head)
-                out.append((key[0], int(seq), range_id, first, last))
-                range_id, block = range_id + 1, last + 1
-        self.state.update((block, range_id))
-        yield pd.DataFrame(out, columns=["chain", "seq", "range_id", "start_block", "end_block"])
-
-    def close(self) -> None:
-        pass
+def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    return pd.concat(list(rows)).sort_values("seq")
 
 
 class Lifecycle(StatefulProcessor):
@@ -108,19 +78,31 @@ class Lifecycle(StatefulProcessor):
         pass
 
 
-def safe_head(observations: DataFrame, tolerance: int = heads.TOLERANCE, jump: int = heads.JUMP) -> DataFrame:
-    return observations.groupBy("chain").transformWithStateInPandas(
-        SafeHead(tolerance, jump),
-        "chain string, seq bigint, raw_block bigint, safe_block bigint", "Append", "None",
-    )
+def safe_head(
+    observations: DataFrame, path: str, checkpoint: str, tolerance: int = heads.TOLERANCE, jump: int = heads.JUMP
+) -> DataFrame:
+    def step(batch: DataFrame, before: DataFrame):
+        def after(stored: DataFrame) -> DataFrame:
+            new = stored.groupBy("chain").agg(F.max_by("safe_block", "seq").alias("new"))
+            return before.join(new, "chain", "full").withColumn("safe_block", F.coalesce("new", "safe_block"))
 
+        return heads.safe_head(batch, tolerance, jump, start=before), after
 
-def plan_tailing(observations: DataFrame, size: int) -> DataFrame:
-    return observations.groupBy("chain").transformWithStateInPandas(
-        TailingPlanner(size),
-        "chain string, seq bigint, range_id bigint, start_block bigint, end_block bigint",
-        "Append", "None",
-    )
+    schema = "chain string, seq bigint, raw_block bigint, safe_block bigint"
+    return step_by_step(observations, path, checkpoint, "chain string, safe_block bigint", schema, step)
+
+
+def plan_tailing(observations: DataFrame, size: int, path: str, checkpoint: str) -> DataFrame:
+    def step(batch: DataFrame, before: DataFrame):
+        def after(stored: DataFrame) -> DataFrame:
+            new = stored.groupBy("chain").agg(F.max("end_block").alias("new_top"), (F.max("range_id") + 1).alias("new_id"))
+            both = before.join(new, "chain", "full")
+            return both.select("chain", F.coalesce("new_top", "top").alias("top"), F.coalesce("new_id", "next_id").alias("next_id"))
+
+        return ranges.plan_tailing(batch, size, before), after
+
+    schema = "chain string, seq bigint, range_id bigint, start_block bigint, end_block bigint"
+    return step_by_step(observations, path, checkpoint, "chain string, top bigint, next_id bigint", schema, step)
 
 
 def lifecycle(events: DataFrame, max_retry: int = ranges.MAX_RETRY) -> DataFrame:

@@ -8,25 +8,14 @@ portable forms used here.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from chainlake.functions import schemas
-from chainlake.operators import bronze, quality, silver, state
+from chainlake.operators import bronze, layout, quality, silver, state
 from chainlake.sources import topics
-from chainlake.streaming import atomic, jobs
-
-
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A table's rows, or no rows when it does not exist yet."""
-    try:
-        found = spark.read.parquet(path).schema
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(found).parquet(path)
+from chainlake.streaming import jobs
 
 
 # ---- topic to bronze ----------------------------------------------------------------
@@ -55,7 +44,7 @@ def silver_transactions(bronze_rows: DataFrame, path: str) -> int:
     observed during the write, so nothing is computed twice. It is taken above the
     rebalancing, as stages without rows are cut from the plan."""
     spark = bronze_rows.sparkSession
-    stored = read_table(spark, path, silver.enriched_tx(bronze_rows.limit(0)).schema)
+    stored = layout.read_table(spark, path, silver.enriched_tx(bronze_rows.limit(0)).schema)
     fresh = state.increment(bronze_rows, stored)
     seen = Observation("increment")
     rows = silver.enriched_tx(fresh).hint("rebalance", "kafka_date")
@@ -64,32 +53,25 @@ def silver_transactions(bronze_rows: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def silver_logs(source: DataFrame, path: str, checkpoint: str) -> None:
-    """Logs as a stream. Each batch is written under its id, so a repeated batch adds
-    nothing; logs delivered in several batches are told apart when reading."""
-
-    def work(batch: DataFrame, batch_id: int) -> None:
-        rows = silver.silver_logs(batch)
-        quality.dedup(rows, LOG_KEY, "inserted_at").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    records = topics.decode_records(source, schemas.RAW_RECORD_DATED)
-    jobs.for_each(records, work, checkpoint).awaitTermination()
-
-
 LOG_KEY = ["block_hash", "transaction_hash", "log_index"]
 
 
-def read_silver_logs(spark: SparkSession, path: str) -> DataFrame:
-    return quality.dedup(spark.read.parquet(path), LOG_KEY, "batch").drop("batch")
+def silver_logs(source: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Logs as a stream, each stored once: a batch leaves out what is stored already, and
+    reading the table needs no further step."""
+    rows = silver.silver_logs(topics.decode_records(source, schemas.RAW_RECORD_DATED))
+    return jobs.append_new(rows, path, checkpoint, LOG_KEY, "inserted_at", "block_number")
 
 
 # ---- progress to state --------------------------------------------------------------
 
 
-def progress_state(source: DataFrame, path: str) -> DataFrame:
-    """Merge the latest record of each key into the state table and return the table."""
+def progress_state(source: DataFrame, current: str | None, new: str) -> DataFrame:
+    """Merge the latest record of each key into the state table at ``current`` and write the
+    result to the folder ``new``; the caller names it the table from then on. Catalogs with
+    row-level commands use ``state.merge_into``."""
     spark = source.sparkSession
     updates = state.latest_value(state.flatten_state(topics.decode_records(source, schemas.PROGRESS_RECORD)))
-    target = atomic.current(spark, path, updates.schema)
-    atomic.replace(state.merge_upsert(target, updates), path)
-    return atomic.current(spark, path, updates.schema)
+    merged = state.merge_upsert(layout.read_table(spark, current, updates.schema), updates) if current else updates
+    merged.write.parquet(new)
+    return spark.read.schema(updates.schema).parquet(new)
