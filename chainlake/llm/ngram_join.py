@@ -9,6 +9,8 @@ exceeds what sets of these lengths may lack. What remains are groups of a few ca
 whole sets are compared within them.
 
 Links are needed as far as they connect: sets known to be connected are not compared again.
+So sets meet in two rounds. The first few of their repeated n-grams bring most groups
+together; in the second round all are used, but only n-grams that several groups share.
 """
 
 from __future__ import annotations
@@ -31,19 +33,18 @@ from chainlake.llm.words import coded, document_of
 WORDS = 4
 PERCENT = 85
 GATHER = 4 << 20
-# Repeated prefix n-grams that travel with a set. A set with more is judged by these first
-# ones, which only makes the bound less tight.
-SENT = 16
+# Repeated prefix n-grams of a set that are used in the first round.
+FIRST = 3
+# The hash space is cut to 2 ** GRID_BITS cells; per cell border a set knows how many of its
+# prefix n-grams lie below it.
+GRID_BITS = 8
+# Children or sets of a tree node beyond which they are tested all at once.
+WIDE = 8
 # Sets of one n-gram, or of one group of candidates, that are compared in a single task;
 # larger ones are cut to blocks, and each pair of blocks is a task.
 BLOCK = 2048
 
 
-def needed(n: int, m: int, percent: int) -> int:
-    """Least overlap of sets of sizes ``n`` and ``m``: 100 i >= percent (n + m - i)."""
-    return -(-percent * (n + m) // (100 + percent))
-
-
 def prefix_size(n: int, percent: int) -> int:
     """N-grams of which one is shared with every similar set."""
     return n - -(-percent * n // 100) + 1
@@ -74,7 +75,8 @@ def gram_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
 
 def set_rows(docs: DataFrame, words: int, percent: int, id: str, text: str) -> DataFrame:
     """Per row: ``doc_id, digest`` of the text, ``same`` (digest of the set), ``n`` (its
-    size) and ``prefix``."""
+    size), ``prefix``, and ``below``: how many n-grams lie below each cell border up to the
+    prefix's last."""
     source = sources(docs, id, text)
     kind = source.schema["doc_id"].dataType.simpleString()
 
@@ -82,17 +84,34 @@ def set_rows(docs: DataFrame, words: int, percent: int, id: str, text: str) -> D
         for got in gathered(batches, "_utf8", GATHER):
             texts = [bytes(t) for t in got["_utf8"].to_pylist()]
             sets = gram_sets(texts, words)
+            prefixes = [s[: prefix_size(len(s), percent)] if len(s) else s for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     got["doc_id"].combine_chunks(), pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()),
                     pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([s[: prefix_size(len(s), percent)] if len(s) else s for s in sets], pa.list_(pa.int64())),
+                    pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array([counted_below(x) for x in prefixes], pa.list_(pa.int32())),
                 ],
-                names=["doc_id", "digest", "same", "n", "prefix"],
+                names=["doc_id", "digest", "same", "n", "prefix", "below"],
             )
 
-    return source.mapInArrow(run, f"doc_id {kind}, digest binary, same binary, n long, prefix array<long>")
+    return source.mapInArrow(run, f"doc_id {kind}, digest binary, same binary, n long, prefix array<long>, below array<int>")
+
+
+def cell_border(cell: int) -> int:
+    return (cell << (64 - GRID_BITS)) - (1 << 63)
+
+
+BORDERS = np.array([cell_border(c) for c in range(1 << GRID_BITS)], dtype=np.int64)
+
+
+def counted_below(prefix: np.ndarray) -> np.ndarray:
+    """Numbers of prefix n-grams below the borders that don't lie beyond the last of them."""
+    if not len(prefix):
+        return np.zeros(0, dtype=np.int32)
+    cells = (int(prefix[-1]) + (1 << 63)) >> (64 - GRID_BITS)
+    return np.searchsorted(prefix, BORDERS[: cells + 1]).astype(np.int32)
 
 
 class Groups:
@@ -118,35 +137,72 @@ class Groups:
         return True
 
 
+def may_lack(n, m, percent: int):
+    """N-grams of a set of size ``n`` that a similar set of size ``m`` may lack."""
+    return n + (-percent * (n + m)) // (100 + percent)
+
+
+class Entry:
+    """A set as it meets others at one n-gram: its repeated prefix n-grams from there on and
+    their places in the set; ``below`` counts all its n-grams under the cell borders."""
+
+    __slots__ = ("rid", "n", "grams", "places", "below", "last")
+
+    def __init__(self, gram: int, rid: int, n: int, grams: np.ndarray, places: np.ndarray, below: np.ndarray):
+        at = int(np.searchsorted(grams, gram))
+        self.rid, self.n, self.below, self.last = rid, n, below, len(below) - 1
+        self.grams, self.places = grams[at:].tolist(), places[at:].tolist()
+
+    def first_failure(self, percent: int) -> int:
+        """The first border below which the set lacks too much for a set of its own size or
+        a larger one, even if all its repeated n-grams here are shared."""
+        repeated = np.searchsorted(np.array(self.grams), BORDERS[: len(self.below)])
+        failing = self.below - repeated > may_lack(self.n, self.n, percent)
+        return int(failing.argmax()) if failing.any() else len(BORDERS)
+
+
+class Many:
+    """Sets that end at one node, to be tested all at once."""
+
+    def __init__(self, entries: list[Entry]):
+        self.entries = entries
+        self.n = np.array([e.n for e in entries], dtype=np.int64)
+        self.rid = np.array([e.rid for e in entries], dtype=np.int64)
+        self.last = np.array([e.last for e in entries], dtype=np.int64)
+        self.below = np.zeros((len(entries), len(BORDERS)), dtype=np.int32)
+        for i, e in enumerate(entries):
+            self.below[i, : e.last + 1] = e.below
+
+    def fitting(self, one: Entry, largest: int, shared: int, percent: int) -> list[Entry]:
+        later = (self.n > one.n) | (self.n == one.n) & (self.rid > one.rid)
+        some = np.flatnonzero(later & (self.n <= largest))
+        border = np.minimum(self.last[some], one.last)
+        mine = one.below[border] - shared <= may_lack(one.n, self.n[some], percent)
+        some, border = some[mine], border[mine]
+        theirs = self.below[some, border] - shared <= may_lack(self.n[some], one.n, percent)
+        return [self.entries[i] for i in some[theirs].tolist()]
+
+
 class Node:
     """A place in the prefix tree: the sets that end here, and bounds on all sets below."""
 
-    __slots__ = ("below", "ends", "place", "most")
+    __slots__ = ("below", "ends", "place", "most", "wide", "many")
 
     def __init__(self):
         self.below: dict[int, Node] = {}
-        self.ends: list[tuple] = []
+        self.ends: list[Entry] = []
         self.place = 1 << 60
         self.most = 0
+        self.wide = None
+        self.many = None
 
-
-class Entry:
-    """A set as it meets others at one n-gram: its repeated prefix n-grams from there on."""
-
-    __slots__ = ("rid", "n", "grams", "places", "cut", "known")
-
-    def __init__(self, gram: int, rid: int, n: int, grams: list[int], places: list[int], cut: int, known: int):
-        at = bisect.bisect_left(grams, gram)
-        # An n-gram beyond those sent: nothing but its own bound is known.
-        self.grams = grams[at:] if at < len(grams) and grams[at] == gram else [gram]
-        self.places = places[at:] if at < len(grams) and grams[at] == gram else [at]
-        # All n-grams up to ``cut`` are counted by ``known``.
-        self.rid, self.n, self.cut, self.known = rid, n, max(cut, gram), max(known, self.places[0] + 1)
-
-
-def may_lack(n: int, m: int, percent: int) -> int:
-    """N-grams of a set of size ``n`` that a similar set of size ``m`` may lack."""
-    return n - needed(n, m, percent)
+    def children(self) -> tuple:
+        """N-grams of the children, their bounds, and the children."""
+        if self.wide is None:
+            nodes = list(self.below.values())
+            grams = np.array(list(self.below), dtype=np.int64)
+            self.wide = grams, np.array([c.place for c in nodes]), np.array([c.most for c in nodes]), nodes
+        return self.wide
 
 
 def plant(root: Node, entry: Entry) -> None:
@@ -158,44 +214,74 @@ def plant(root: Node, entry: Entry) -> None:
     node.ends.append(entry)
 
 
-def walk(root: Node, one: Entry, percent: int, groups: Groups) -> Iterator[Entry]:
-    """Sets in the tree, no smaller than ``one``, that may be similar to it and aren't known
-    to be connected with it."""
+def fits(one: Entry, other: Entry, shared: int, percent: int) -> bool:
+    """Bound on what both lack below the last border that both know. ``shared`` holds at
+    least what they share up to there."""
+    border = min(one.last, other.last)
+    return (
+        one.below[border] - shared <= may_lack(one.n, other.n, percent)
+        and other.below[border] - shared <= may_lack(other.n, one.n, percent)
+    )
+
+
+def walk(root: Node, one: Entry, percent: int) -> Iterator[Entry]:
+    """Sets in the tree, no smaller than ``one``, that may be similar to it."""
     largest = one.n * 100 // percent
     grams, places = one.grams, one.places
-    waiting = [(child, gram, 0, 0) for gram, child in root.below.items()]
+    mine_most = may_lack(one.n, one.n, percent)
+    waiting = [(root, 0, 0)]
     while waiting:
-        node, gram, at, shared = waiting.pop()
-        while at < len(grams) and grams[at] < gram:
-            at += 1
-        if at < len(grams) and grams[at] == gram:
-            at, shared = at + 1, shared + 1
-        # Of the smaller set's n-grams up to here all but the shared ones are lacking.
-        mine = places[at - 1] + 1 - shared if at else 0
-        if node.most < one.n or mine > may_lack(one.n, one.n, percent):
+        node, at, shared = waiting.pop()
+        if node.ends:
+            if len(node.ends) > WIDE:
+                if node.many is None:
+                    node.many = Many(node.ends)
+                yield from node.many.fitting(one, largest, shared, percent)
+            else:
+                for other in node.ends:
+                    if one.n <= other.n <= largest and (one.n, one.rid) < (other.n, other.rid) and fits(one, other, shared, percent):
+                        yield other
+        if len(node.below) > WIDE:
+            names, place, most, nodes = node.children()
+            on = np.searchsorted(grams, names)
+            hit = np.array([*grams, 0])[on] == names
+            hit &= on < len(grams)
+            with_it = shared + hit
+            # Of the n-grams up to the child's all but the shared ones are lacking.
+            upto = on + hit
+            mine = np.where(upto > 0, np.array([0, *places])[upto] + 1, 0) - with_it
+            good = (most >= one.n) & (mine <= mine_most) & (place + 1 - with_it <= may_lack(np.minimum(most, largest), one.n, percent))
+            for i in np.flatnonzero(good).tolist():
+                waiting.append((nodes[i], int(upto[i]), int(with_it[i])))
             continue
-        if node.place + 1 - shared > may_lack(min(node.most, largest), one.n, percent):
+        for gram, child in node.below.items():
+            if child.most < one.n:
+                continue
+            on = bisect.bisect_left(grams, gram, at)
+            hit = on < len(grams) and grams[on] == gram
+            with_it, upto = shared + hit, on + hit
+            if upto and places[upto - 1] + 1 - with_it > mine_most:
+                continue
+            if child.place + 1 - with_it > may_lack(min(child.most, largest), one.n, percent):
+                continue
+            waiting.append((child, upto, with_it))
+
+
+def meetings(stored: list[Entry], probes: list[Entry], percent: int) -> Iterator[tuple[Entry, Entry]]:
+    """Candidates among the sets that meet at one n-gram."""
+    root = Node()
+    for entry in stored:
+        plant(root, entry)
+    n = np.array([e.n for e in stored])
+    last = np.array([e.last for e in stored])
+    for one in probes:
+        # A set that lacks too much in itself can be the smaller one only of sets of which
+        # less is known.
+        fails = one.first_failure(percent)
+        if fails <= one.last and not ((n >= one.n) & (n <= one.n * 100 // percent) & (last < fails)).any():
             continue
-        for other in node.ends:
-            if one.n <= other.n <= largest and (one.n, one.rid) < (other.n, other.rid) and fits(one, other, shared, percent):
-                if groups.top(one.rid) != groups.top(other.rid):
-                    yield other
-        waiting.extend((child, g, at, shared) for g, child in node.below.items())
-
-
-def fits(one: Entry, other: Entry, shared: int, percent: int) -> bool:
-    """Bound on what both lack up to the point to which both are known. ``shared`` was
-    counted up to the last n-gram of ``other``, and nothing is shared beyond it."""
-    end = min(one.cut, other.cut)
-    for x, y in ((one, other), (other, one)):
-        if x.cut == end:
-            count = x.known
-        else:
-            i = bisect.bisect_right(x.grams, end)
-            count = x.places[i - 1] + 1 if i else 0
-        if count - shared > may_lack(x.n, y.n, percent):
-            return False
-    return True
+        for other in walk(root, one, percent):
+            yield one, other
 
 
 def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -206,29 +292,29 @@ def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
     links: list[tuple[int, int]] = []
 
     def meet() -> None:
-        if len(stored) and len(probes) and (len(stored) > 1 or len(probes) > 1 or stored[0].rid != probes[0].rid):
-            root = Node()
-            for entry in stored:
-                plant(root, entry)
-            for entry in probes:
-                for other in walk(root, entry, percent, groups):
-                    if groups.join(entry.rid, other.rid):
-                        links.append((entry.rid, other.rid))
+        if stored and probes and (len(stored) > 1 or len(probes) > 1 or stored[0].rid != probes[0].rid):
+            # Groups of sets that are connected already have nothing to find.
+            if len({groups.top(e.rid) for e in stored} | {groups.top(e.rid) for e in probes}) > 1:
+                for one, other in meetings(stored, probes, percent):
+                    if groups.join(one.rid, other.rid):
+                        links.append((one.rid, other.rid))
 
     def out() -> pa.RecordBatch:
         a, b = zip(*links)
         links.clear()
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    names = ("gram", "left", "right", "rid", "n", "grams", "places", "cut", "known", "stored", "probe")
+    names = ("gram", "left", "right", "rid", "grp", "n", "stored", "probe")
     for batch in batches:
-        for gram, left, right, rid, n, grams, places, cut, known, store, probe in zip(
-            *[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names]
+        lists = [batch.column(batch.schema.get_field_index(c)) for c in ("grams", "places", "below")]
+        for row, (gram, left, right, rid, grp, n, store, probe) in enumerate(
+            zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names])
         ):
             if key != (gram, left, right):
                 meet()
                 key, stored, probes = (gram, left, right), [], []
-            entry = Entry(gram, rid, n, grams, places, cut, known)
+            groups.join(rid, grp)
+            entry = Entry(gram, rid, n, *[x[row].values.to_numpy(zero_copy_only=False) for x in lists])
             if store:
                 stored.append(entry)
             # A set that lacks too much already is the smaller one of no pair.
@@ -241,30 +327,42 @@ def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         yield out()
 
 
-def routed(sets: DataFrame, percent: int) -> DataFrame:
-    """A row per set and prefix n-gram that occurs twice. Sets of an n-gram with more than
-    BLOCK of them are dealt to blocks: stored in one column of a grid, probing in one row."""
+def repeated(sets: DataFrame) -> DataFrame:
+    """Sets with the prefix n-grams that occur in several of them: ``rid, n, grams, places,
+    below``."""
     places = sets.select("rid", F.posexplode("prefix").alias("place", "gram"))
-    again = places.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    shared = places.join(again, "gram")
-    each = shared.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("gram", "place", "times"))).alias("all"))
-    full = F.size("all") <= SENT
-    rows = each.join(sets.select("rid", "n", F.element_at("prefix", -1).alias("end"), F.size("prefix").alias("size")), "rid").select(
-        "rid", "n", "all", F.slice("all", 1, SENT).alias("sent"),
-        F.when(full, F.col("end")).otherwise(F.col("all")[SENT - 1]["gram"]).alias("cut"),
-        F.when(full, F.col("size")).otherwise(F.col("all")[SENT - 1]["place"] + 1).alias("known"),
+    again = written(places.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram"), "grams")
+    each = places.join(again, "gram").groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("gram", "place"))).alias("all"))
+    return each.join(sets.select("rid", "n", "below"), "rid").select(
+        "rid", "n", F.col("all.gram").alias("grams"), F.col("all.place").alias("places"), "below"
+    )
+
+
+def met(sets: DataFrame, groups: DataFrame | None, percent: int) -> DataFrame:
+    """A row per set and repeated n-gram: the first few of each set, or with ``groups``
+    (node, component) all that several groups share. Sets of an n-gram with more than BLOCK
+    of them are dealt to blocks: stored in one column of a grid, probing in one row."""
+    if groups is None:
+        known = sets.withColumn("grp", F.col("rid"))
+        each = known.select("rid", "grp", F.posexplode(F.slice("grams", 1, FIRST)).alias("i", "gram"), "places")
+    else:
+        known = sets.join(groups, F.col("rid") == F.col("node"), "left").withColumn("grp", F.coalesce("component", "rid"))
+        each = known.select("rid", "grp", F.posexplode("grams").alias("i", "gram"), "places")
+    each = each.select("rid", "grp", "gram", F.col("places")[F.col("i")].alias("place"))
+    several = written(
+        each.groupBy("gram").agg(F.count(F.lit(1)).alias("times"), F.min("grp").alias("low"), F.max("grp").alias("high"))
+        .where("low < high").select("gram", F.ceil(F.col("times") / BLOCK).cast("int").alias("blocks")), "several",
     )
-    met = rows.select(
-        F.explode("all").alias("one"), "rid", "n", F.col("sent.gram").alias("grams"), F.col("sent.place").alias("places"), "cut", "known"
-    ).select("one.gram", F.col("one.place").alias("place"), F.ceil(F.col("one.times") / BLOCK).cast("int").alias("blocks"), "rid", "n", "grams", "places", "cut", "known")
+    rows = each.join(several, "gram").join(known.select("rid", "n", "grams", "places", "below"), "rid")
     block = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    usual = met.where("blocks = 1").select("*", F.lit(0).alias("left"), F.lit(0).alias("right"), F.lit(True).alias("stored"), F.lit(True).alias("probe"))
-    grid = met.where("blocks > 1")
+    usual = rows.where("blocks = 1").select("*", F.lit(0).alias("left"), F.lit(0).alias("right"), F.lit(True).alias("stored"), F.lit(True).alias("probe"))
+    grid = rows.where("blocks > 1")
     as_stored = grid.select("*", F.explode(every).alias("left"), block.alias("right"), F.lit(True).alias("stored"), F.lit(False).alias("probe"))
     probing = F.col("place") <= F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent))
     as_probe = grid.where(probing).select("*", block.alias("left"), F.explode(every).alias("right"), F.lit(False).alias("stored"), F.lit(True).alias("probe"))
-    return usual.unionByName(as_stored.select(usual.columns)).unionByName(as_probe.select(usual.columns)).drop("blocks", "place")
+    dealt = usual.unionByName(as_stored.select(usual.columns)).unionByName(as_probe.select(usual.columns)).drop("blocks", "place")
+    return dealt.repartition("gram", "left", "right").sortWithinPartitions("gram", "left", "right")
 
 
 def linked(rids: np.ndarray, sets: list[np.ndarray], percent: int, groups: Groups, apart: np.ndarray) -> list[tuple[int, int]]:
@@ -381,10 +479,12 @@ def similar(
         rows.where("n > 0").groupBy("same", "n").agg(F.min(F.struct("rid", "doc_id", "digest")).alias("first"))
         .select("same", "first.rid", "first.doc_id", "first.digest", "n"), "kinds",
     )
-    sets = rows.join(kinds.select("rid"), "rid", "left_semi").select("rid", "n", "prefix")
-    met = routed(sets, percent).repartition("gram", "left", "right").sortWithinPartitions("gram", "left", "right")
-    near = written(met.mapInArrow(lambda b: candidates(b, percent), "a long, b long"), "candidates")
-    group = components(near)
+    sets = rows.join(kinds.select("rid"), "rid", "left_semi").select("rid", "n", "prefix", "below")
+    shared = written(repeated(sets), "repeated")
+    pairs = "a long, b long"
+    first = written(met(shared, None, percent).mapInArrow(lambda b: candidates(b, percent), pairs), "candidates")
+    second = met(shared, components(first), percent).mapInArrow(lambda b: candidates(b, percent), pairs)
+    group = components(first.unionByName(second))
     grouped = kinds.join(group, F.col("rid") == F.col("node"), "left").withColumn("grp", F.coalesce("component", "rid"))
     sizes = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = grouped.join(sizes, "grp").select("rid", "grp", "size", "doc_id", "digest")
