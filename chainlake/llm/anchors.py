@@ -148,7 +148,16 @@ def long_stretches(units: Units, hashes: np.ndarray, bounds: np.ndarray) -> tupl
     return (*joined, np.diff(bounds))
 
 
-ANCHORED = "digest binary, n long, stretches array<struct<anchor:long,start:int,count:int,at:int>>"
+# First window, number of windows and place of the anchor travel as one number.
+ANCHORED = "digest binary, n long, stretches array<struct<anchor:long,place:long>>"
+
+
+def packed(start: np.ndarray, count: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (start.astype(np.int64) << 32) | (count.astype(np.int64) << 16) | at.astype(np.int64)
+
+
+def unpacked(place: int) -> tuple[int, int, int]:
+    return place >> 32, place >> 16 & 0xFFFF, place & 0xFFFF
 
 
 def anchored(docs: DataFrame, units: Units, id: str, text: str) -> DataFrame:
@@ -162,8 +171,7 @@ def anchored(docs: DataFrame, units: Units, id: str, text: str) -> DataFrame:
             doc, anchor, start, count, at, sizes = stretches(units, texts)
             offsets = np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32)
             rows = pa.StructArray.from_arrays(
-                [pa.array(anchor, pa.int64()), *[pa.array(c.astype(np.int32)) for c in (start, count, at)]],
-                names=["anchor", "start", "count", "at"],
+                [pa.array(anchor, pa.int64()), pa.array(packed(start, count, at), pa.int64())], names=["anchor", "place"]
             )
             yield pa.RecordBatch.from_arrays(
                 [
@@ -214,7 +222,9 @@ def shared_stretches(docs: DataFrame, units: Units, id: str, text: str) -> Found
     # Copies of a text are counted here and left out once only little is left of the rows.
     places = rows.select("rid", F.inline("stretches"))
     again = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select("anchor")
-    wanted = places.join(again, "anchor").groupBy("rid").agg(F.collect_list(F.struct("anchor", "start", "count", "at")).alias("wanted"))
+    # Written, so that Spark may split the join where an anchor is very common.
+    again = written(again, "again")
+    wanted = places.join(again, "anchor").groupBy("rid").agg(F.collect_list(F.struct("anchor", "place")).alias("wanted"))
     keyed = sources(docs, id, text).withColumn("digest", digest("_utf8"))
     named = wanted.join(texts.select("rid", "doc_id", "digest"), "rid")
     cut_from = keyed.join(named, same_document(keyed, named)).select("rid", named["doc_id"], "wanted", "_utf8")
@@ -226,10 +236,11 @@ def shared_stretches(docs: DataFrame, units: Units, id: str, text: str) -> Found
         for row, wanted_here in enumerate(lists):
             parts = units.split(raw[row].as_py())
             for one in wanted_here:
+                start, count, at = unpacked(one["place"])
                 take.append(row)
-                for c, values in flat.items():
-                    values.append(one[c])
-                made.append(units.piece(parts, one["start"], one["start"] + one["count"] - 1 + units.length))
+                for c, value in (("anchor", one["anchor"]), ("start", start), ("count", count), ("at", at)):
+                    flat[c].append(value)
+                made.append(units.piece(parts, start, start + count - 1 + units.length))
         where = pa.array(take, pa.int64())
         return pa.RecordBatch.from_arrays(
             [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -35,6 +36,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     once, and later stages start from files that survive lost executors."""
     spark = df.sparkSession
     path = scratch(spark, name)
+    # Shuffle files of what was written before go once the driver drops its plans, which
+    # Java by itself may not do for long.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -40,6 +40,8 @@ FIRST = 3
 GRID_BITS = 8
 # Children or sets of a tree node beyond which they are tested all at once.
 WIDE = 8
+# Sets of one n-gram up to which no tree is built.
+FEW = 24
 # Sets of one n-gram, or of one group of candidates, that are compared in a single task;
 # larger ones are cut to blocks, and each pair of blocks is a task.
 BLOCK = 2048
@@ -146,12 +148,19 @@ class Entry:
     """A set as it meets others at one n-gram: its repeated prefix n-grams from there on and
     their places in the set; ``below`` counts all its n-grams under the cell borders."""
 
-    __slots__ = ("rid", "n", "grams", "places", "below", "last")
+    __slots__ = ("rid", "n", "grams", "places", "below", "last", "names")
 
     def __init__(self, gram: int, rid: int, n: int, grams: np.ndarray, places: np.ndarray, below: np.ndarray):
         at = int(np.searchsorted(grams, gram))
         self.rid, self.n, self.below, self.last = rid, n, below, len(below) - 1
         self.grams, self.places = grams[at:].tolist(), places[at:].tolist()
+        self.names: set[int] | None = None
+
+    def shared_with(self, other: Entry) -> int:
+        for one in (self, other):
+            if one.names is None:
+                one.names = set(one.grams)
+        return len(self.names & other.names)
 
     def first_failure(self, percent: int) -> int:
         """The first border below which the set lacks too much for a set of its own size or
@@ -267,8 +276,16 @@ def walk(root: Node, one: Entry, percent: int) -> Iterator[Entry]:
             waiting.append((child, upto, with_it))
 
 
-def meetings(stored: list[Entry], probes: list[Entry], percent: int) -> Iterator[tuple[Entry, Entry]]:
-    """Candidates among the sets that meet at one n-gram."""
+def meetings(stored: list[Entry], probes: list[Entry], percent: int, groups: Groups) -> Iterator[tuple[Entry, Entry]]:
+    """Candidates among the sets that meet at one n-gram. A few sets are tested by the same
+    bounds pair by pair, as a tree would have nothing to share."""
+    if len(stored) <= FEW:
+        for one in probes:
+            for other in stored:
+                if one.n <= other.n <= one.n * 100 // percent and (one.n, one.rid) < (other.n, other.rid):
+                    if groups.top(one.rid) != groups.top(other.rid) and fits(one, other, one.shared_with(other), percent):
+                        yield one, other
+        return
     root = Node()
     for entry in stored:
         plant(root, entry)
@@ -288,16 +305,24 @@ def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
     """Links between candidates that connect what may be connected, from rows in the order
     of n-gram and block."""
     groups = Groups()
-    key, stored, probes = None, [], []
+    key, rows = None, []
     links: list[tuple[int, int]] = []
 
     def meet() -> None:
-        if stored and probes and (len(stored) > 1 or len(probes) > 1 or stored[0].rid != probes[0].rid):
-            # Groups of sets that are connected already have nothing to find.
-            if len({groups.top(e.rid) for e in stored} | {groups.top(e.rid) for e in probes}) > 1:
-                for one, other in meetings(stored, probes, percent):
-                    if groups.join(one.rid, other.rid):
-                        links.append((one.rid, other.rid))
+        # Sets that are connected already have nothing to find.
+        if len({groups.top(rid) for rid, *_ in rows}) < 2:
+            return
+        stored, probes = [], []
+        for rid, n, store, probe, grams, places, below in rows:
+            entry = Entry(key[0], rid, n, grams, places, below)
+            if store:
+                stored.append(entry)
+            # A set that lacks too much already is the smaller one of no pair.
+            if probe and entry.places[0] <= may_lack(n, n, percent):
+                probes.append(entry)
+        for one, other in meetings(stored, probes, percent, groups):
+            if groups.join(one.rid, other.rid):
+                links.append((one.rid, other.rid))
 
     def out() -> pa.RecordBatch:
         a, b = zip(*links)
@@ -306,20 +331,22 @@ def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
 
     names = ("gram", "left", "right", "rid", "grp", "n", "stored", "probe")
     for batch in batches:
-        lists = [batch.column(batch.schema.get_field_index(c)) for c in ("grams", "places", "below")]
-        for row, (gram, left, right, rid, grp, n, store, probe) in enumerate(
+        lists = []
+        for name in ("grams", "places", "below"):
+            column = batch.column(batch.schema.get_field_index(name))
+            lists += [column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy(zero_copy_only=False).tolist()]
+        grams, at, places, at_place, below, at_below = lists
+        for i, (gram, left, right, rid, grp, n, store, probe) in enumerate(
             zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names])
         ):
             if key != (gram, left, right):
                 meet()
-                key, stored, probes = (gram, left, right), [], []
+                key, rows = (gram, left, right), []
             groups.join(rid, grp)
-            entry = Entry(gram, rid, n, *[x[row].values.to_numpy(zero_copy_only=False) for x in lists])
-            if store:
-                stored.append(entry)
-            # A set that lacks too much already is the smaller one of no pair.
-            if probe and entry.places[0] <= may_lack(n, n, percent):
-                probes.append(entry)
+            rows.append((
+                rid, n, store, probe, grams[at[i] : at[i + 1]], places[at_place[i] : at_place[i + 1]],
+                below[at_below[i] : at_below[i + 1]],
+            ))
         if len(links) > 10_000:
             yield out()
     meet()
