@@ -260,7 +260,7 @@ def shared_stretches(docs: DataFrame, units: Units, id: str, text: str) -> Found
         F.first("content").alias("content"), F.first("count").alias("count"), F.first("at").alias("at"),
         F.min(place).alias("first"), F.max(place).alias("last"),
     )
-    return Found(texts, occurrences.drop("content"), contents)
+    return Found(texts, occurrences.drop("content"), written(contents, "contents"))
 
 
 def compared(
@@ -269,10 +269,9 @@ def compared(
 ) -> DataFrame:
     """Compare the stretches of each anchor. ``shard`` gets all stretches of its anchors,
     ordered by anchor; anchors with more than HOT different ones go to ``hot``."""
-    kept = written(contents, "contents")
-    many = kept.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT).select("anchor")
-    usual = kept.join(many, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "key")
-    return usual.mapInArrow(shard, schema).unionByName(hot(kept.join(many, "anchor")))
+    many = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT).select("anchor")
+    usual = contents.join(many, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "key")
+    return usual.mapInArrow(shard, schema).unionByName(hot(contents.join(many, "anchor")))
 
 
 def windows_of(contents: DataFrame, units: Units) -> DataFrame:
