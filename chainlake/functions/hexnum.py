@@ -52,8 +52,36 @@ def hex_to_uint32(c: Column) -> Column:
     return F.when(c.rlike(HEX), F.conv(F.substring(_word(c), WORD - 7, 8), 16, 10).cast("bigint"))
 
 
+def sum_hex64(c: Column) -> Column:
+    """Sum of 64-digit quantities as hex text of 80 digits (sums of up to 2^64 of them).
+
+    Each 64-bit limb is summed by itself, which loses nothing, and what a limb's sum has
+    above 64 bits is carried to the next one."""
+    wide = "decimal(38,0)"
+    base = F.lit("18446744073709551616").cast(wide)
+    limbs = [F.sum(F.conv(F.substring(c, start, LIMB), 16, 10).cast("decimal(20,0)")).cast(wide) for start in (49, 33, 17, 1)]
+
+    def add(done: Column, limb: Column) -> Column:
+        total = (limb + done["carry"]).cast(wide)
+        rest = F.pmod(total, base)
+        return F.struct(
+            ((total - rest) / base).cast(wide).alias("carry"),
+            F.concat(hex_of_limb(rest.cast("decimal(20,0)")), done["digits"]).alias("digits"),
+        )
+
+    start = F.struct(F.lit(0).cast(wide).alias("carry"), F.lit("").alias("digits"))
+    return F.aggregate(
+        F.array(*limbs), start, add, lambda done: F.concat(hex_of_limb(done["carry"].cast("decimal(20,0)")), done["digits"])
+    )
+
+
+def hex_of_limb(limb: Column) -> Column:
+    """A number below 2^64 as 16 hex digits."""
+    return F.lower(F.lpad(F.conv(limb.cast("string"), 10, 16), LIMB, "0"))
+
+
 def hex_to_decimal(c: Column) -> Column:
-    """Exact ``decimal(38,0)``; NULL above 10^38-1."""
+    """Exact ``decimal(38,0)``; NULL above 10^38-1, where the 64-digit text still holds it."""
     high = F.try_multiply(_limb(c, 33), F.lit("18446744073709551616").cast("decimal(20,0)"))
     return F.when(
         c.rlike(UP_TO_128_BITS), F.try_add(high, _limb(c, 49)).cast("decimal(38,0)")

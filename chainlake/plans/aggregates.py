@@ -105,16 +105,37 @@ def balance_by_address(src):
     return balances(src.view("transfers"))
 
 
+# Decimal digits of the lower part of an amount.
+LOW_DIGITS = 19
+
+
 def balances(transfers):
     """Balance per address; a removed log takes its change back. Both sides of a transfer
-    come from one pass and are added up before the shuffle. A balance beyond 38 digits is
-    NULL."""
+    come from one pass and are added up before the shuffle. Amounts are summed in two parts
+    of which neither can overflow, so a balance is exact whatever its size."""
     amount = F.col("amount").cast("decimal(38,0)")
     change = F.when(F.col("removed"), -amount).otherwise(amount)
     sides = transfers.select(F.explode(F.array(
         F.struct(F.col("from_address").alias("address"), (-change).alias("delta")),
         F.struct(F.col("to_address").alias("address"), change.alias("delta")))).alias("s"))
-    return sides.groupBy("s.address").agg(F.try_sum("s.delta").alias("balance"), F.count(F.lit(1)).alias("n"))
+    unit = F.lit("1" + "0" * LOW_DIGITS).cast("decimal(38,0)")
+    low = F.pmod("s.delta", unit).cast(f"decimal({LOW_DIGITS},0)")
+    high = ((F.col("s.delta") - low) / unit).cast("decimal(20,0)")
+    summed = sides.groupBy("s.address").agg(
+        F.sum(high).alias("high"), F.sum(low).alias("low"), F.count("s.delta").alias("known"), F.count(F.lit(1)).alias("n"))
+    return summed.select("address", F.when(F.col("known") > 0, joined_up(F.col("high"), F.col("low"), unit)).alias("balance"), "n")
+
+
+def joined_up(high, low, unit):
+    """``high`` times ``unit`` plus ``low`` as text."""
+    rest = F.pmod(low, unit).cast("decimal(38,0)")
+    whole = (high + ((low - rest) / unit).cast("decimal(38,0)")).cast("decimal(38,0)")
+    borrow = (whole < 0) & (rest > 0)
+    size = F.abs(F.when(borrow, whole + 1).otherwise(whole)).cast("decimal(38,0)")
+    part = F.when(borrow, unit - rest).otherwise(rest).cast("decimal(38,0)")
+    digits = F.when(size == 0, part.cast("string")).otherwise(
+        F.concat(size.cast("string"), F.lpad(part.cast("string"), LOW_DIGITS, "0")))
+    return F.concat(F.when(whole < 0, "-").otherwise(""), digits)
 
 
 def histogram_sql(rows: str, bounds, by: str = "") -> str:

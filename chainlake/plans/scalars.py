@@ -278,12 +278,12 @@ def enriched_tx(src):
 
 
 @query("i29_enriched_tx_summary", f"""with {S.TXJ}, e as ({ENRICHED_SQL}) select tx_kind, fee_model, count(*) as n_tx,
-    cast(sum(cast(value_wei as hugeint)) as varchar) as value_wei, count(distinct method_id) as methods,
+    {S.sum_hex('value_hex64')} as value_hex80, count(distinct method_id) as methods,
     cast(sum(gas_limit) as bigint) as gas_limit from e group by tx_kind, fee_model""", "tx")
 def enriched_summary(src):
     """The flagship: silver transactions summed up by kind and fee model."""
     return silver.enriched_tx(src.view("tx")).groupBy("tx_kind", "fee_model").agg(
-        F.count(F.lit(1)).alias("n_tx"), F.try_sum("value_wei").alias("value_wei"),
+        F.count(F.lit(1)).alias("n_tx"), H.sum_hex64(F.col("value_hex64")).alias("value_hex80"),
         F.countDistinct("method_id").alias("methods"), F.sum("gas_limit").alias("gas_limit"))
 
 

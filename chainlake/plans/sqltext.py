@@ -17,6 +17,19 @@ def huge(x: str) -> str:
     return f"case when {n} <= 99999999999999999999999999999999999999 then cast({n} as varchar) end"
 
 
+def sum_hex(word: str) -> str:
+    """Sum of 64-digit hex quantities as 80 digits, limb by limb."""
+    base = "18446744073709551616::hugeint"
+    total, digits = "0::hugeint", []
+    for start in (49, 33, 17, 1):
+        limb = f"sum(cast('0x' || substr({word}, {start}, 16) as ubigint)::hugeint)"
+        whole = f"({limb} + {total})"
+        digits.append(f"lower(lpad(hex(({whole} % {base})::ubigint), 16, '0'))")
+        total = f"({whole} // {base})"
+    digits.append(f"lower(lpad(hex(({total})::ubigint), 16, '0'))")
+    return " || ".join(reversed(digits))
+
+
 def word(x: str) -> str:
     return f"case when length({x}) > 2 then lower(lpad(substr({x}, 3), 64, '0')) end"
 

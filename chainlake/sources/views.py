@@ -70,8 +70,8 @@ def block_hash(number: str) -> str:
 
 # Unique in the provided tables: rows that share order and line differ in the rest.
 OFFSET = (
-    "(l_orderkey * 8 + l_linenumber) * 100000000 "
-    f"+ (l_partkey * 1009 + l_suppkey * 31 + {cents('l_extendedprice')}) % 100000000"
+    "(l_orderkey * 8 + l_linenumber) * 1000000 "
+    f"+ (l_partkey * 1009 + l_suppkey * 31 + {cents('l_extendedprice')}) % 1000000"
 )
 
 TX_HASH = digest("7", OFFSET)
