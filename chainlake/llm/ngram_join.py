@@ -18,6 +18,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ FIRST = 3
 GRID_BITS = 8
 # Children or sets of a tree node beyond which they are tested all at once.
 WIDE = 8
+# Stands for sets of several groups.
+MIXED = -1
 # Sets of one n-gram up to which no tree is built.
 FEW = 24
 # Sets of one n-gram, or of one group of candidates, that are compared in a single task;
@@ -171,20 +174,18 @@ class Entry:
 
 
 class Many:
-    """Sets that end at one node, to be tested all at once."""
+    """The first sets that end at one node, to be tested all at once."""
 
     def __init__(self, entries: list[Entry]):
-        self.entries = entries
+        self.entries = list(entries)
         self.n = np.array([e.n for e in entries], dtype=np.int64)
-        self.rid = np.array([e.rid for e in entries], dtype=np.int64)
         self.last = np.array([e.last for e in entries], dtype=np.int64)
         self.below = np.zeros((len(entries), len(BORDERS)), dtype=np.int32)
         for i, e in enumerate(entries):
             self.below[i, : e.last + 1] = e.below
 
     def fitting(self, one: Entry, largest: int, shared: int, percent: int) -> list[Entry]:
-        later = (self.n > one.n) | (self.n == one.n) & (self.rid > one.rid)
-        some = np.flatnonzero(later & (self.n <= largest))
+        some = np.flatnonzero(self.n <= largest)
         border = np.minimum(self.last[some], one.last)
         mine = one.below[border] - shared <= may_lack(one.n, self.n[some], percent)
         some, border = some[mine], border[mine]
@@ -193,33 +194,56 @@ class Many:
 
 
 class Node:
-    """A place in the prefix tree: the sets that end here, and bounds on all sets below."""
+    """A place in the prefix tree: the sets that end here, bounds on all sets below, and one
+    of them if all are in one group (or MIXED)."""
 
-    __slots__ = ("below", "ends", "place", "most", "wide", "many")
+    __slots__ = ("below", "ends", "place", "most", "member", "number", "wide", "many")
 
-    def __init__(self):
+    def __init__(self, number: int = 0):
         self.below: dict[int, Node] = {}
         self.ends: list[Entry] = []
         self.place = 1 << 60
         self.most = 0
+        self.member: int | None = None
+        self.number = number
         self.wide = None
         self.many = None
 
     def children(self) -> tuple:
-        """N-grams of the children, their bounds, and the children."""
-        if self.wide is None:
+        """The first children in arrays: n-grams, places, sizes, nodes. They are made anew
+        when children have become half as many again; later ones are not among them."""
+        if self.wide is None or 2 * len(self.below) > 3 * len(self.wide[3]):
             nodes = list(self.below.values())
-            grams = np.array(list(self.below), dtype=np.int64)
-            self.wide = grams, np.array([c.place for c in nodes]), np.array([c.most for c in nodes]), nodes
+            self.wide = (
+                np.array(list(self.below), dtype=np.int64), np.array([c.place for c in nodes]),
+                np.array([c.most for c in nodes]), nodes,
+            )
         return self.wide
 
+    def together(self) -> Many:
+        if self.many is None or 2 * len(self.ends) > 3 * len(self.many.entries):
+            self.many = Many(self.ends)
+        return self.many
+
 
-def plant(root: Node, entry: Entry) -> None:
+def plant(root: Node, entry: Entry, groups: Groups) -> None:
+    """Store a set. Sets come from large to small, so the first one's size bounds a node's."""
     node = root
+    top = groups.top(entry.rid)
     for gram, place in zip(entry.grams, entry.places):
-        node = node.below.setdefault(gram, Node())
-        node.place = min(node.place, place)
-        node.most = max(node.most, entry.n)
+        child = node.below.get(gram)
+        if child is None:
+            child = node.below[gram] = Node(len(node.below))
+        if place < child.place:
+            child.place = place
+            if node.wide is not None and child.number < len(node.wide[3]):
+                node.wide[1][child.number] = place
+        child.most = max(child.most, entry.n)
+        if child.member is None:
+            child.member = entry.rid
+        elif child.member != MIXED and groups.top(child.member) != top:
+            child.member = MIXED
+        node = child
     node.ends.append(entry)
 
 
@@ -233,52 +257,55 @@ def fits(one: Entry, other: Entry, shared: int, percent: int) -> bool:
     )
 
 
-def walk(root: Node, one: Entry, percent: int) -> Iterator[Entry]:
-    """Sets in the tree, no smaller than ``one``, that may be similar to it."""
+def walk(root: Node, one: Entry, percent: int, groups: Groups) -> Iterator[Entry]:
+    """Sets in the tree, all larger than ``one``, that may be similar to it and aren't known
+    to be connected with it when their turn comes."""
     largest = one.n * 100 // percent
     grams, places = one.grams, one.places
+    padded, placed = np.array([*grams, 0]), np.array([0, *places])
     mine_most = may_lack(one.n, one.n, percent)
     waiting = [(root, 0, 0)]
     while waiting:
         node, at, shared = waiting.pop()
-        if node.ends:
-            if len(node.ends) > WIDE:
-                if node.many is None:
-                    node.many = Many(node.ends)
-                yield from node.many.fitting(one, largest, shared, percent)
-            else:
-                for other in node.ends:
-                    if one.n <= other.n <= largest and (one.n, one.rid) < (other.n, other.rid) and fits(one, other, shared, percent):
-                        yield other
+        if node.member not in (None, MIXED) and groups.top(node.member) == groups.top(one.rid):
+            continue
+        done = 0
+        if len(node.ends) > WIDE:
+            many = node.together()
+            done = len(many.entries)
+            for other in many.fitting(one, largest, shared, percent):
+                if groups.top(other.rid) != groups.top(one.rid):
+                    yield other
+        for other in node.ends[done:]:
+            if other.n <= largest and groups.top(other.rid) != groups.top(one.rid) and fits(one, other, shared, percent):
+                yield other
+        done = 0
         if len(node.below) > WIDE:
             names, place, most, nodes = node.children()
-            on = np.searchsorted(grams, names)
-            hit = np.array([*grams, 0])[on] == names
-            hit &= on < len(grams)
-            with_it = shared + hit
+            done = len(nodes)
+            on = np.searchsorted(padded[:-1], names)
+            hit = (padded[on] == names) & (on < len(grams))
+            with_it, upto = shared + hit, on + hit
             # Of the n-grams up to the child's all but the shared ones are lacking.
-            upto = on + hit
-            mine = np.where(upto > 0, np.array([0, *places])[upto] + 1, 0) - with_it
-            good = (most >= one.n) & (mine <= mine_most) & (place + 1 - with_it <= may_lack(np.minimum(most, largest), one.n, percent))
+            mine = np.where(upto > 0, placed[upto] + 1, 0) - with_it
+            good = (mine <= mine_most) & (place + 1 - with_it <= may_lack(np.minimum(most, largest), one.n, percent))
             for i in np.flatnonzero(good).tolist():
                 waiting.append((nodes[i], int(upto[i]), int(with_it[i])))
-            continue
-        for gram, child in node.below.items():
-            if child.most < one.n:
-                continue
+        for gram, child in islice(node.below.items(), done, None):
             on = bisect.bisect_left(grams, gram, at)
             hit = on < len(grams) and grams[on] == gram
             with_it, upto = shared + hit, on + hit
             if upto and places[upto - 1] + 1 - with_it > mine_most:
                 continue
-            if child.place + 1 - with_it > may_lack(min(child.most, largest), one.n, percent):
-                continue
-            waiting.append((child, upto, with_it))
+            if child.place + 1 - with_it <= may_lack(min(child.most, largest), one.n, percent):
+                waiting.append((child, upto, with_it))
 
 
 def meetings(stored: list[Entry], probes: list[Entry], percent: int, groups: Groups) -> Iterator[tuple[Entry, Entry]]:
     """Candidates among the sets that meet at one n-gram. A few sets are tested by the same
-    bounds pair by pair, as a tree would have nothing to share."""
+    bounds pair by pair, as a tree would have nothing to share. In a tree every set seeks
+    larger ones before it is stored itself: a group that is connected so far is left as
+    soon as the set has joined it."""
     if len(stored) <= FEW:
         for one in probes:
             for other in stored:
@@ -286,19 +313,21 @@ def meetings(stored: list[Entry], probes: list[Entry], percent: int, groups: Gro
                     if groups.top(one.rid) != groups.top(other.rid) and fits(one, other, one.shared_with(other), percent):
                         yield one, other
         return
-    root = Node()
-    for entry in stored:
-        plant(root, entry)
     n = np.array([e.n for e in stored])
     last = np.array([e.last for e in stored])
-    for one in probes:
-        # A set that lacks too much in itself can be the smaller one only of sets of which
-        # less is known.
-        fails = one.first_failure(percent)
-        if fails <= one.last and not ((n >= one.n) & (n <= one.n * 100 // percent) & (last < fails)).any():
-            continue
-        for other in walk(root, one, percent):
-            yield one, other
+    seeking, keeping = {e.rid for e in probes}, {e.rid for e in stored}
+    root = Node()
+    entries = {e.rid: e for e in [*stored, *probes]}
+    for one in sorted(entries.values(), key=lambda e: (e.n, e.rid), reverse=True):
+        if one.rid in seeking:
+            # A set that lacks too much in itself can be the smaller one only of sets of
+            # which less is known.
+            fails = one.first_failure(percent)
+            if fails > one.last or ((n >= one.n) & (n <= one.n * 100 // percent) & (last < fails)).any():
+                for other in walk(root, one, percent, groups):
+                    yield one, other
+        if one.rid in keeping:
+            plant(root, one, groups)
 
 
 def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
