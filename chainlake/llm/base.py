@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 
 from chainlake.session import prepare, scratch
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Rows of one Arrow batch: bounds a Python worker's memory when texts are long.
 BATCH_ROWS = 1000
 
@@ -36,11 +37,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     once, and later stages start from files that survive lost executors."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    # Shuffle files of what was written before go once the driver drops its plans, which
-    # Java by itself may not do for long.
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    df.write.option("compression", "zstd").parquet(path)
+    # What is written is not shuffled again, so its shuffle files can go at once.
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
