@@ -271,7 +271,8 @@ def compared(
     ordered by anchor; anchors with more than HOT different ones go to ``hot``."""
     many = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT).select("anchor")
     usual = contents.join(many, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "key")
-    return usual.mapInArrow(shard, schema).unionByName(hot(contents.join(many, "anchor")))
+    # Written, so that the stretches' shuffle files go before the documents are shuffled.
+    return written(usual.mapInArrow(shard, schema).unionByName(hot(contents.join(many, "anchor"))), "marks")
 
 
 def windows_of(contents: DataFrame, units: Units) -> DataFrame:
