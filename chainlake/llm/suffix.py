@@ -84,8 +84,9 @@ def refined_ranks(rank: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
 def common_prefixes(data: np.ndarray, left: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Bytes that each suffix of ``order`` shares with the one before it.
 
-    Taken by position: where a suffix and its predecessor both lie one byte right of the
-    pair before, their common prefix is one byte shorter; only other pairs are compared.
+    Taken by position: where a suffix and its predecessor both lie one byte right of a pair
+    that shares its first byte, their common prefix is one byte shorter than that pair's; only
+    other pairs are compared.
     """
     if len(order) < 2:
         return np.zeros(len(order), dtype=np.int64)
@@ -94,6 +95,8 @@ def common_prefixes(data: np.ndarray, left: np.ndarray, order: np.ndarray) -> np
     by_place = np.argsort(here, kind="stable")
     p, q = here[by_place], before[by_place]
     follows = np.concatenate([[False], (p[1:] == p[:-1] + 1) & (q[1:] == q[:-1] + 1)])
+    # Nothing follows from a pair that shares no byte, or whose strings end with it.
+    follows[1:] &= (data[p[:-1]] == data[q[:-1]]) & (np.minimum(left[p[:-1]], left[q[:-1]]) > 1)
     heads = np.flatnonzero(~follows)
     most = np.minimum(left[p[heads]], left[q[heads]])
     shared = np.zeros(len(heads), dtype=np.int64)

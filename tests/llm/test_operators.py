@@ -347,6 +347,26 @@ def test_suffix_order_and_prefixes():
         assert shared[i] == want
 
 
+def test_prefixes_begin_anew_after_pairs_that_share_nothing():
+    """Neighbours A:P and B:P share no byte, the pairs one byte further on share 200."""
+    rnd = random.Random(8)
+    passage, tail, other, last = ("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in (230, 40, 40, 40))
+    contents = [(a + passage + b).encode() for a, b in (("A:", other), ("A:", tail), ("B:", tail), ("B:", last))]
+    counts = [len(c) - 199 for c in contents]
+    _, begins, hit = suffix.repeated_starts(contents, counts, 200)
+    seen = collections.Counter(c[p : p + 200] for c, n in zip(contents, counts) for p in range(n))
+    for c, b, n in zip(contents, begins.tolist(), counts):
+        assert hit[b : b + n].tolist() == [seen[c[p : p + 200]] > 1 for p in range(n)]
+
+
+def test_repeats_behind_two_prefixes(spark):
+    rnd = random.Random(8)
+    passage, tail, other, last = ("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in (230, 40, 40, 40))
+    given = list(enumerate(a + passage + b for a, b in (("A:", other), ("A:", tail), ("B:", tail), ("B:", last))))
+    got = suffix.without_repeats(frame(spark, given)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert collections.Counter(map(tuple, got.collect())) == expected_suffix(given, 200)
+
+
 # Repeated words
 
 
