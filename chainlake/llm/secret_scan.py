@@ -2,7 +2,8 @@
 
 Text that a tokenizer has learned takes several characters per token; random strings take
 fewer than two. Runs of key-like characters are measured under a public vocabulary, after
-what is known to be harmless (digests, identifiers, plain numbers) has been set aside.
+what is known to be harmless (digests, identifiers, plain numbers) has been set aside: as a
+whole, then by their parts and by stretches of their tokens, as words may lead to a secret.
 Besides, three forms of secrets are found by pattern.
 """
 
@@ -39,6 +40,18 @@ KNOWN = re.compile(
     r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
 )
 NUMBER = re.compile(r"[0-9+/_=-]+")
+# Characters that a stretch within a run has at least.
+LEAST_STRETCH = 20
+# What breaks a run: digests and identifiers that stand alone between its separators.
+HARMLESS = re.compile(
+    r"(?<![A-Za-z0-9+])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+    + "".join(rf"|[0-9a-f]{{{n}}}|[0-9A-F]{{{n}}}" for n in DIGESTS)
+    + r")(?![A-Za-z0-9+])"
+)
+PART = re.compile(r"[A-Za-z0-9+]{%d,}" % LEAST_STRETCH)
+LETTER = re.compile(r"[A-Za-z]")
+# Capitals only, or several words between separators.
+WORDS = re.compile(r"[A-Z]+|[+/_=-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+)[+/_=-]+)+(?:[A-Z]?[a-z]*|[A-Z]+)")
 
 
 def known(run: str) -> bool:
@@ -57,13 +70,48 @@ def vocabulary(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("efficiency", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def lettered(run: str) -> bool:
+    """Whether a run can be random text: it has letters, and they are not the plain words of
+    a path or name, each in one case or capitalised, nor capitals only."""
+    if not any(c.isalpha() for c in run):
+        return False
+    return any(c.isdigit() for c in run) or not WORDS.fullmatch(run)
+
+
 def is_dense(run: str, coder: tiktoken.Encoding, least: float = LEAST_RATIO) -> bool:
-    """A run of letters and digits that takes too many tokens for its length."""
-    if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run) or known(run):
+    """A run that takes too many tokens for its length."""
+    if not lettered(run) or known(run):
         return False
     return len(run) < least * len(coder.encode_ordinary(run))
 
 
+def dense_stretches(run: str, coder: tiktoken.Encoding, least: float = LEAST_RATIO) -> list[tuple[int, int]]:
+    """Parts between separators, and stretches of tokens, that take too many tokens for
+    their length; joined where they meet."""
+    found = [m.span() for m in PART.finditer(run) if is_dense(m[0], coder, least)]
+    at = 0
+    for begin, after in [*(m.span() for m in HARMLESS.finditer(run)), (len(run), len(run))]:
+        piece = run[at:begin]
+        if len(piece) >= LEAST_STRETCH:
+            cuts = [0]
+            for token in coder.decode_tokens_bytes(coder.encode_ordinary(piece)):
+                cuts.append(cuts[-1] + len(token))
+            last = 0
+            for first, start in enumerate(cuts):
+                while last < len(cuts) and cuts[last] - start < LEAST_STRETCH:
+                    last += 1
+                if last == len(cuts):
+                    break
+                stretch = piece[start : cuts[last]]
+                dense = len(stretch) < least * (last - first) and lettered(stretch)
+                # Dates and versions are digits and separators with few letters.
+                if dense and 4 * len(LETTER.findall(stretch)) >= len(stretch):
+                    found.append((at + start, at + cuts[last]))
+        at = after
+    joined = covered([(s, 0, e) for s, e in sorted(found)])
+    return [(s + len(run[s:e]) - len(run[s:e].lstrip("/_=-")), e) for s, e in joined]
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of what the patterns find."""
     found = []
@@ -76,7 +124,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def dense_spans(text: str, coder: tiktoken.Encoding, least: float = LEAST_RATIO) -> list[tuple[int, int, int]]:
-    return [(m.start(), 3, m.end()) for m in RUN.finditer(text) if is_dense(m[0], coder, least)]
+    found = []
+    for m in RUN.finditer(text):
+        if is_dense(m[0], coder, least):
+            found.append((m.start(), 3, m.end()))
+        elif not known(m[0]):
+            found += [(m.start() + s, 3, m.start() + e) for s, e in dense_stretches(m[0], coder, least)]
+    return found
 
 
 def shown(spans: list[tuple[int, int, int]]) -> str:

@@ -125,6 +125,30 @@ def test_redact(spark):
     assert got == {1: "a <secret> b", 2: None, 3: "clean"}
 
 
+def test_random_strings_within_runs():
+    """Random strings are found without digits and behind plain words; plain runs are not."""
+    coder = secret_scan.vocabulary(queries.RANKS, queries.PATTERN)
+    rnd = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    before = ["", "session_identifier_value=", "services/hooks/incoming/", "export/customer/account/history/", "refresh-authorization-header-value-"]
+    for prefix in before:
+        for signs in (letters, letters + "0123456789"):
+            found = 0
+            for _ in range(100):
+                text = "see " + prefix + "".join(rnd.choices(signs, k=32)) + " end"
+                start = 4 + len(prefix)
+                hit = {p for a, _, b in secret_scan.dense_spans(text, coder) for p in range(a, b)}
+                found += len(hit & set(range(start, start + 32))) >= 24
+            assert found >= 97
+    plain = [
+        "INTERNATIONALIZATION_SETTINGS_DEFAULT", "getHTTPResponseStatusCodeFromRequestHandler", "backup-2024-01-15-03-22-11-data",
+        "blob/commit/da39a3ee5e6b4b0d3255bfef95601890afd80709/file", "orders/123e4567-e89b-12d3-a456-426614174000/items/list",
+        "Donaudampfschifffahrtsgesellschaft", "uudenvuodenaattohuippulehtolammas", "a/b/c/path/to/some/file/in/the/tree", "ACGT" * 10,
+        "nguyen-thi-minh-khai-phuong-xa", "Nguyen-Thi-Minh-Khai-Phuong-Xa",
+    ]
+    assert [t for t in plain if secret_scan.dense_spans(t, coder)] == []
+
+
 # Packing
 
 
