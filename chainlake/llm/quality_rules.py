@@ -31,7 +31,8 @@ MEASURES = {
 }
 # A fence stands so many spreads outside the quartiles.
 REACH = 3
-# Smaller groups are judged by the sketch of all documents.
+# Smaller groups are judged by the sketch of all documents, or stepwise by that of their
+# language first.
 LEAST_DOCS = 50
 SYMBOLS = tuple(b"#*$%&|<>")
 
@@ -136,9 +137,9 @@ def sketches(counts: DataFrame) -> DataFrame:
     )
 
 
-def merged(sketch: DataFrame) -> DataFrame:
-    """The sketch of all documents from those of the groups."""
-    return sketch.groupBy("measure", "bucket").agg(F.sum("docs").alias("docs"))
+def merged(sketch: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The sketch of all documents, or those per key, from those of the groups."""
+    return sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("docs").alias("docs"))
 
 
 def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
@@ -155,9 +156,9 @@ def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def fences(sketch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per language and source, and for all documents: one row with the lowest and highest
-    accepted value of each measure."""
+def fences(sketch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Per language and source, per language, and for all documents: one row with the lowest
+    and highest accepted value of each measure."""
 
     def wide(found: DataFrame, keys: list[str]) -> DataFrame:
         columns = [F.max("docs").alias("docs")]
@@ -170,13 +171,23 @@ def fences(sketch: DataFrame) -> tuple[DataFrame, DataFrame]:
         return found.groupBy(*keys).agg(*columns)
 
     group = ["lang", "source"]
-    return wide(quartiles(sketch, group), group).where(F.col("docs") >= LEAST_DOCS), wide(quartiles(merged(sketch), []), [])
+    enough = F.col("docs") >= LEAST_DOCS
+    return (
+        wide(quartiles(sketch, group), group).where(enough),
+        wide(quartiles(merged(sketch, ("lang",)), ["lang"]), ["lang"]).where(enough),
+        wide(quartiles(merged(sketch), []), []),
+    )
 
 
-def verdicts(docs: DataFrame, keep: tuple[str, ...] = (), id: str = "doc_id", text: str = "text") -> DataFrame:
+def verdicts(
+    docs: DataFrame, keep: tuple[str, ...] = (), id: str = "doc_id", text: str = "text", stepwise: bool = False
+) -> DataFrame:
     """Judge every document: ``doc_id, n_words, word_chars, n_symbols, n_marks, n_dup_lines,
     n_repeat_words, base_failed, kept``, and the columns of ``keep`` as ``kept_<name>``.
 
+    A language and source with fewer than ``LEAST_DOCS`` accepted documents is judged by all
+    documents; ``stepwise``, by those of its language if these are enough.
+
     Null and empty texts have no words and fail. Null languages and sources form groups of
     their own, as do tables without these columns. One row per input row, repeated rows and
     null ids included; an empty table gives no rows.
@@ -188,18 +199,23 @@ def verdicts(docs: DataFrame, keep: tuple[str, ...] = (), id: str = "doc_id", te
         ),
         "measured",
     )
-    group, everything = fences(written(sketches(counts), "sketches"))
+    group, language, everything = fences(written(sketches(counts), "sketches"))
     limits = [c for c in everything.columns if c != "docs"]
     overall = everything.first()
     own = group.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[F.col(c).alias(f"_own_{c}") for c in limits])
     at = counts.join(
         own, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left"
     )
+    steps = ["_own"]
+    if stepwise:
+        steps.append("_tongue")
+        wider = language.select(F.col("lang").alias("_spoken"), *[F.col(c).alias(f"_tongue_{c}") for c in limits])
+        at = at.join(wider, F.col("lang").eqNullSafe(F.col("_spoken")), "left")
     inside = F.lit(True)
     for name, value in measures().items():
         for limit in (f"{name}_most", f"{name}_least"):
             if limit in limits:
-                fence = F.coalesce(F.col(f"_own_{limit}"), F.lit(overall[limit] if overall else None).cast("long"))
+                fence = F.coalesce(*[F.col(f"{s}_{limit}") for s in steps], F.lit(overall[limit] if overall else None).cast("long"))
                 inside = inside & F.coalesce(value <= fence if limit.endswith("_most") else value >= fence, F.lit(True))
     return at.select(
         "doc_id", *[f"kept_{c}" for c in keep], "n_words", "word_chars", "n_symbols", "n_marks", "n_dup_lines",

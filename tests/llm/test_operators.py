@@ -276,6 +276,20 @@ def test_adaptive_fences(spark):
     assert 301 in kept
 
 
+def test_small_sources_are_judged_by_their_language(spark):
+    """A script without spaces, spread over small sources beside a dominant language."""
+    import corpus_pipeline
+
+    rnd = random.Random(9)
+    words = vocabulary(rnd, 200)
+    plain = [(i, " ".join(rnd.choices(words, k=60)), "en", "web", 0) for i in range(300)]
+    wide = [(1000 + i, " ".join("".join(rnd.choices("日本語文字漢", k=rnd.randint(30, 50))) for _ in range(30)), "ja", f"s{i % 6}", 0) for i in range(90)]
+    odd = [(2000, " ".join("".join(rnd.choices("日本語文字漢", k=900)) for _ in range(30)), "ja", "s1", 0)]
+    df = spark.createDataFrame(plain + wide + odd, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.quality(spark, df, "").collect()}
+    assert kept == {r[0] for r in plain + wide}
+
+
 def test_sketches_merge(spark):
     """Quantiles lie within a sixteenth of the exact ones, and parts add up to the whole."""
     rnd = random.Random(4)
