@@ -1,5 +1,8 @@
 """Registered text queries against their SQL, and the pipeline against its stages' rules."""
 
+import hashlib
+from collections import Counter
+
 import pytest
 from check import compare
 
@@ -50,3 +53,41 @@ def test_pipeline(spark):
     _, packed = at["best_fit_packing"]
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in masked.collect()}
     assert Counter(r.sequence_id for r in packed.collect())
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def five_word_sets(text):
+    from test_operators import WORD
+
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[p : p + 5]) for p in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} - {()}
+
+
+def expected_near(given):
+    """Of each group of near copies the row with the smallest id, equal rows once."""
+    rows = sorted(set(given), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest()))
+    sets = [five_word_sets(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if group[i] != group[j] and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    return [rows[g] for g in sorted(set(group))]
+
+
+def near_stage(spark, given):
+    df = spark.createDataFrame([(i, t, "en", "s", None) for i, t in given], DOCS)
+    return Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, df, "").collect())
+
+
+def test_near_copies_by_five_words(spark):
+    """Two changed words in 94 to 101 are a near copy by five-word shingles."""
+    given = []
+    for n in range(90, 106):
+        words = [f"d{n}w{i}" for i in range(n)]
+        given += [(2 * n, " ".join(words)), (2 * n + 1, " ".join("x" if i in (30, 60) else w for i, w in enumerate(words)))]
+    assert near_stage(spark, given) == Counter(expected_near(given))
+    assert (2 * 94 + 1, given[9][1]) not in near_stage(spark, given)
