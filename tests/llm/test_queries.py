@@ -91,3 +91,11 @@ def test_near_copies_by_five_words(spark):
         given += [(2 * n, " ".join(words)), (2 * n + 1, " ".join("x" if i in (30, 60) else w for i, w in enumerate(words)))]
     assert near_stage(spark, given) == Counter(expected_near(given))
     assert (2 * 94 + 1, given[9][1]) not in near_stage(spark, given)
+
+
+def test_near_copies_with_repeated_and_null_ids(spark):
+    """An id with a copied and a clean text keeps the clean one; equal rows stay once."""
+    texts = [" ".join(f"t{k}w{i}" for i in range(60)) for k in range(5)]
+    near = texts[3].replace("t3w59", "end")
+    given = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[2]), (3, texts[2]), (None, texts[3]), (None, near), (4, None), (4, None), (5, "")]
+    assert near_stage(spark, given) == Counter(expected_near(given))
