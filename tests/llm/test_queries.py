@@ -1,6 +1,8 @@
 """Registered text queries against their SQL, and the pipeline against its stages' rules."""
 
 import hashlib
+import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -99,3 +101,114 @@ def test_near_copies_with_repeated_and_null_ids(spark):
     near = texts[3].replace("t3w59", "end")
     given = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[2]), (3, texts[2]), (None, texts[3]), (None, near), (4, None), (4, None), (5, "")]
     assert near_stage(spark, given) == Counter(expected_near(given))
+
+
+def expected_quality(rows):
+    """Ids kept by the rules: fences of language and source, else of the language, else of all."""
+    from test_operators import WORD
+
+    spreads = {"symbols": 100, "marks": 100, "repeats": 50, "lines": 30, "width": 100}
+    rated = []
+    for i, t, lang, source in rows:
+        words = WORD.findall(t or "")
+        n, per = len(words), max(len(words), 1)
+        runs = Counter(tuple(words[p : p + 8]) for p in range(n - 7))
+        again = len({q for p in range(n - 7) if runs[tuple(words[p : p + 8])] > 1 for q in range(p, p + 8)})
+        lines = [line for line in (t or "").split("\n") if WORD.search(line)]
+        values = {
+            "symbols": sum((t or "").count(c) for c in "#*$%&|<>") * 1000 // per, "marks": sum((t or "").count(c) for c in "!?") * 1000 // per,
+            "repeats": again * 1000 // per, "lines": (len(lines) - len(set(lines))) * 1000 // per, "width": sum(map(len, words)) * 100 // per,
+        }
+        rated.append((i, (lang, source), n >= 20 and 100 * again <= 30 * n, values))
+
+    def fence(group):
+        out = {}
+        for name, least in spreads.items():
+            cells = sorted((v >> b) << b for v in (r[3][name] for r in group) for b in [max(v.bit_length() - 5, 0)])
+            low, high = cells[(len(cells) + 3) // 4 - 1], cells[(3 * len(cells) + 3) // 4 - 1]
+            reach = 3 * max(high - low, least)
+            out[name] = (low - reach if name == "width" else 0, high + reach)
+        return out
+
+    good = [r for r in rated if r[2]]
+    kept = []
+    for i, key, fine, values in rated:
+        steps = ([r for r in good if r[1] == key], [r for r in good if r[1][0] == key[0]])
+        limits = fence(next((s for s in steps if len(s) >= 50), good))
+        if fine and all(limits[m][0] <= v <= limits[m][1] for m, v in values.items()):
+            kept.append(i)
+    return kept
+
+
+def expected_masked(text):
+    """The three patterns masked, and the planted random string."""
+    hit = set()
+    for m in re.finditer(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
+        hit |= set(range(*m.span())) if len(m[1]) >= 12 else set()
+    for pattern in (r"AKIA[A-Z0-9]{14,}", r"[0-9a-f]{16,}", BLOB):
+        for m in re.finditer(pattern, text):
+            hit |= set(range(*m.span()))
+    return "".join("<secret>" if p in hit and p - 1 not in hit else "" if p in hit else c for p, c in enumerate(text))
+
+
+BLOB = "qX7vR2mZ9kT4wLpB8sYnC3hJ"
+
+
+def test_all_stages_against_brute_force(spark):
+    """Rows, texts and packed pieces of every stage on a small table with planted cases."""
+    import numpy as np
+    from test_operators import removed_bytes
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    rows = sorted((tuple(r) for r in docs.collect()), key=lambda r: r[0])[:120]
+    lang, source = rows[0][2:4]
+    fresh = [" ".join(f"k{k}{c}{d}" for c in "abcdefgh" for d in "rstuvwxyz") for k in range(6)]
+    passage = " ".join(f"pass{c}" for c in "abcdefghijklmnopqrstuvwxyzabcdefghijklmnopqrstuvwxyz")
+    planted = [
+        fresh[0], fresh[0].replace("k0cr", "edit"), fresh[1] + " " + passage, passage + " " + fresh[2], fresh[3] + f" key {BLOB} end",
+        fresh[4] + " token = abcdefghijklm AKIA" + "Z" * 16 + " 0123456789abcdef0", fresh[5] + " #$%&" * 60, "too short",
+    ]
+    rows += [(10**9 + k, t, lang, source, len(t)) for k, t in enumerate(planted)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF_DIR)
+        got = docs.collect()
+        if name == "best_fit_packing":
+            break
+        if name == "quality_rules":
+            ids = set(expected_quality([r[:4] for r in rows]))
+            want = [r for r in rows if r[0] in ids]
+        elif name == "ngram_jaccard_join":
+            left = set(expected_near([r[:2] for r in rows]))
+            want = [r for r in rows if r[:2] in left]
+        elif name == "suffix_array_dedup":
+            gone = removed_bytes([r[:2] for r in rows], 200)
+            cut = [bytes(b for b, g in zip(r[1].encode(), hit) if not g).decode("utf-8", "ignore") for r, hit in zip(rows, gone)]
+            want = [(r[0], t, *r[2:4], len(t)) for r, t in zip(rows, cut)]
+        else:
+            masked = [expected_masked(r[1]) for r in rows]
+            want = [(r[0], t, *r[2:4], len(t)) for r, t in zip(rows, masked)]
+        assert Counter(map(tuple, got)) == Counter(want), name
+        assert [r[:2] for r in want] != [r[:2] for r in rows], name
+        rows = want
+        docs = spark.createDataFrame(rows, DOCS)
+    coder = Tokenizer.from_file(queries.VOCABULARY)
+    pieces = Counter()
+    for i, t, *_ in rows:
+        tokens = coder.encode(t, add_special_tokens=False).ids + [0]
+        count, start = -(-len(tokens) // 2048), 0
+        for piece in range(count):
+            stop = len(tokens) - (count - 1 - piece) * 2048
+            pieces[(i, piece, start, stop - start, zlib.crc32(np.array(tokens[start:stop], "<u4").tobytes()))] += 1
+            start = stop
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == pieces
+    placed = {}
+    for r in got:
+        placed.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in placed.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
