@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainlake.llm import bpe, extend, grades, lattice, ngram_join, packing, quality_rules, secret_scan, suffix, urls
+from chainlake.llm import (
+    bpe, extend, grades, lattice, ngram_join, packing, periods, pieces, quality_rules, ranking, secret_scan, suffix, urls,
+)
 from chainlake.llm.base import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +21,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 # The rules that the pages are judged by.
 URL_RULES = [
@@ -282,3 +285,61 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from spl
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query()
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), PIECES)
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """Documents, every tenth by a hash of its id with words that repeat from some place on."""
+    words = F.filter(F.split("text", "[ \\t-\\r]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.coalesce((h % 10 == 0) & (F.col("text").rlike("[^ \\t-\\r]")), F.lit(False))
+    parts = (
+        docs.select("doc_id", "text", F.when(chosen, words).alias("w"), F.floor(h / 10).alias("g"))
+        .withColumn("n", F.size("w")).withColumn("a", F.col("g") % F.col("n"))
+        .withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    )
+    again = F.expr("flatten(array_repeat(slice(w, cast(a as int) + 1, cast(p as int)), cast(ceil((n - a) / p) as int)))")
+    text = F.concat_ws(" ", F.expr("slice(w, 1, cast(a as int))"), F.slice(again, F.lit(1), (F.col("n") - F.col("a")).cast("int")))
+    return parts.select("doc_id", F.when(F.col("w").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.periodic_runs(planted(table(spark, sf_dir, "documents"))).drop("runs")
+
+
+RANKING_SQL = r"""
+with found as (
+  select doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents
+),
+sizes as (select doc_id, count(*) as n from found group by doc_id),
+whole as (select count(*) as big_n, cast(sum(n) as bigint) as big_l from sizes),
+asked as (
+  select distinct item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+),
+held as (select doc_id, term, count(*) as tf from found where term in (select term from asked) group by doc_id, term),
+weights as (
+  select term, cast(floor(1000 * ln(cast(2 * big_n + 2 as double) / (2 * df + 1))) as bigint) as w
+  from (select term, count(*) as df from held group by term) cross join whole
+),
+scores as (
+  select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * big_n) // big_l))))) as bigint) as score
+  from asked join held using (term) join weights using (term) join sizes using (doc_id) cross join whole
+  group by item_id, doc_id
+),
+ranks as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranks where rank <= 50
+"""
+
+
+@query(RANKING_SQL)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
