@@ -38,7 +38,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._stored = path
+    return made
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables made by :func:`written` that nothing reads any more: all that was derived
+    from them has been written as well."""
+    for made in tables:
+        jvm = made.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(made._stored)
+        path.getFileSystem(made.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def by_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainlake.llm.base import written
+from chainlake.llm.base import dropped, written
 
 
 def large_star(links: DataFrame) -> DataFrame:
@@ -41,4 +41,5 @@ def components(links: DataFrame) -> DataFrame:
         if state == seen or state["n"] == 0:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
         seen = state
-        now = written(small_star(large_star(now)), "links")
+        before, now = now, written(small_star(large_star(now)), "links")
+        dropped(before)

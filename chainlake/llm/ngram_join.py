@@ -1,58 +1,52 @@
-"""Documents whose sets of word n-grams nearly agree, found through a prefix tree.
-
-A set is kept in one global order, that of the n-grams' hashes. Sets with a Jaccard
-similarity of at least ``percent`` share an n-gram among the first few of each (the
-prefix), so sets meet where a prefix n-gram occurs twice. There one side is stored in a
-tree whose paths are ordered n-grams, and the other walks it: partial overlaps are shared
-by all sets below a node, and a subtree is left as soon as what lacks on either side
-exceeds what sets of these lengths may lack. What remains are groups of a few candidates;
-whole sets are compared within them.
-
-Links are needed as far as they connect: sets known to be connected are not compared again.
-So sets meet in two rounds. The first few of their repeated n-grams bring most groups
-together; in the second round all are used, but only n-grams that several groups share.
+"""Documents whose sets of word n-grams nearly agree, found through prefix trees.
+
+Two similar sets share so many n-grams that a set most of whose n-grams occur nowhere else
+is similar to none. N-grams are counted first, packed by ranges of their hashes; only sets
+with enough n-grams that come again are read again and go on.
+
+What is left is kept in one global order, rare n-grams last. Similar sets share one of the
+last few of each (as many as a set may lack, and one more), so sets that share one of these
+form groups; a large group is taken by itself as if it were all there is, which splits it
+further. Within a group the ordered sets are stored in a prefix tree, whose paths share what
+sets have in common. A set walks the tree with what it shares so far and leaves a subtree as
+soon as what lacks on either side exceeds what sets of these lengths may lack. At the end of
+a path the overlap is exact.
+
+Links are needed as far as they connect: subtrees of sets known to be connected are skipped.
 """
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainlake.llm.anchors import digest, gram_hashes, sources
-from chainlake.llm.base import by_batch, gathered, written
+from chainlake.llm.base import by_batch, dropped, gathered, written
 from chainlake.llm.components import components
 from chainlake.llm.words import coded, document_of
 
 WORDS = 4
 PERCENT = 85
-GATHER = 4 << 20
-# Repeated prefix n-grams of a set that are used in the first round.
-FIRST = 3
-# The hash space is cut to 2 ** GRID_BITS cells; per cell border a set knows how many of its
-# prefix n-grams lie below it.
-GRID_BITS = 8
-# Children or sets of a tree node beyond which they are tested all at once.
-WIDE = 8
+# Bytes of text whose n-grams are counted together, and rows at the most.
+GATHER = 8 << 20
+ROWS = 60_000
+# Bytes of text for which there is one range of hashes.
+RANGE = 16 << 20
 # Stands for sets of several groups.
 MIXED = -1
-# Sets of one n-gram up to which no tree is built.
-FEW = 24
-# Sets of one n-gram, or of one group of candidates, that are compared in a single task;
-# larger ones are cut to blocks, and each pair of blocks is a task.
+# An n-gram of several sets of one block.
+SEVERAL = 0xFFFF
+# Sets of one group, and n-grams of them, that are compared in a single task; larger groups
+# are cut to blocks, and each pair of blocks is a task.
 BLOCK = 2048
-
-
-def prefix_size(n: int, percent: int) -> int:
-    """N-grams of which one is shared with every similar set."""
-    return n - -(-percent * n // 100) + 1
+BLOCK_GRAMS = 4_000_000
 
 
 def gram_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
@@ -78,45 +72,110 @@ def gram_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     return sets
 
 
-def set_rows(docs: DataFrame, words: int, percent: int, id: str, text: str) -> DataFrame:
-    """Per row: ``doc_id, digest`` of the text, ``same`` (digest of the set), ``n`` (its
-    size), ``prefix``, and ``below``: how many n-grams lie below each cell border up to the
-    prefix's last."""
-    source = sources(docs, id, text)
+def packed(docs: DataFrame, words: int, ranges: int, id: str, text: str) -> DataFrame:
+    """A row per document: ``rid, doc_id, digest`` of the text, ``same`` (digest of the set),
+    ``n`` (its size) and ``again`` (how many of its n-grams occur in another document of its
+    block); and rows of packed n-grams per block and range: ``base`` (the first document), and
+    per n-gram 32 bits of its hash and the only document with it (or SEVERAL)."""
+    source = sources(docs, id, text).withColumn("rid", F.monotonically_increasing_id())
     kind = source.schema["doc_id"].dataType.simpleString()
+    names = ["rid", "doc_id", "digest", "same", "n", "again", "part", "lows", "owners"]
+
+    def block(got: pa.Table) -> Iterator[pa.RecordBatch]:
+        texts = [bytes(t) for t in got["_utf8"].to_pylist()]
+        sets = gram_sets(texts, words)
+        sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        flat = np.concatenate(sets).view(np.uint64)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        new = np.concatenate([[True], flat[1:] != flat[:-1]]) if len(flat) else np.zeros(0, bool)
+        begin = np.flatnonzero(new)
+        times = np.diff(np.concatenate([begin, [len(flat)]]))
+        several = np.repeat(times > 1, times)
+        again = np.bincount(owner[several], minlength=len(sets))
+        rid = got["rid"].combine_chunks()
+        n = len(texts)
+        yield pa.RecordBatch.from_arrays([
+            rid, got["doc_id"].combine_chunks(), pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()),
+            pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()), pa.array(sizes), pa.array(again, pa.int64()),
+            pa.array(np.arange(n) % ranges, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
+        ], names=names)
+        flat, owner = flat[begin], np.where(times > 1, SEVERAL, owner[begin]).astype(np.uint16)
+        part = ((flat >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+        lows = flat.astype(np.uint32)
+        cuts = np.searchsorted(part, np.arange(ranges + 1, dtype=np.uint64))
+        full = np.flatnonzero(np.diff(cuts)).tolist()
+        k = len(full)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([rid[0].as_py()] * k, pa.int64()), pa.nulls(k, got.schema.field("doc_id").type), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()),
+            pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(full, pa.int32()),
+            pa.array([lows[cuts[i] : cuts[i + 1]].tobytes() for i in full], pa.binary()),
+            pa.array([owner[cuts[i] : cuts[i + 1]].tobytes() for i in full], pa.binary()),
+        ], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in gathered(batches, "_utf8", GATHER):
-            texts = [bytes(t) for t in got["_utf8"].to_pylist()]
-            sets = gram_sets(texts, words)
-            prefixes = [s[: prefix_size(len(s), percent)] if len(s) else s for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    got["doc_id"].combine_chunks(), pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()),
-                    pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(prefixes, pa.list_(pa.int64())),
-                    pa.array([counted_below(x) for x in prefixes], pa.list_(pa.int32())),
-                ],
-                names=["doc_id", "digest", "same", "n", "prefix", "below"],
-            )
+            for at in range(0, got.num_rows, ROWS):
+                yield from block(got.slice(at, ROWS))
 
-    return source.mapInArrow(run, f"doc_id {kind}, digest binary, same binary, n long, prefix array<long>, below array<int>")
+    schema = f"rid long, doc_id {kind}, digest binary, same binary, n long, again long, part int, lows binary, owners binary"
+    return source.mapInArrow(run, schema)
 
 
-def cell_border(cell: int) -> int:
-    return (cell << (64 - GRID_BITS)) - (1 << 63)
+def seen_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by range. Documents pass; the packed n-grams of a range become ``rid, again``:
+    how many of a document's n-grams occur in other blocks."""
+    key, bases, lows, owners = None, [], [], []
 
+    def solved() -> pa.RecordBatch | None:
+        if len(lows) < 2:
+            return None
+        low = np.concatenate(lows)
+        order = np.argsort(low, kind="stable")
+        ranked = low[order]
+        same = ranked[1:] == ranked[:-1]
+        hit = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+        owner = np.concatenate(owners)[hit]
+        rid = np.repeat(np.array(bases), [len(x) for x in lows])[hit] + owner
+        rid, again = np.unique(rid[owner != SEVERAL], return_counts=True)
+        n = len(rid)
+        empty = [pa.nulls(n, t) for t in types]
+        return pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), *empty, pa.array(again, pa.int64())], names=names)
+
+    names, types = ["rid", "doc_id", "digest", "same", "n", "again"], []
+    for batch in batches:
+        types = [batch.schema.field(c).type for c in names[1:5]]
+        held = batch.column("lows").is_valid()
+        plain = batch.filter(pc.invert(held))
+        if plain.num_rows:
+            yield plain.select(names)
+        some = batch.filter(held)
+        for part, base, low, owner in zip(*[some.column(c).to_pylist() for c in ("part", "rid", "lows", "owners")]):
+            if part != key:
+                if (made := solved()) is not None:
+                    yield made
+                key, bases, lows, owners = part, [], [], []
+            bases.append(base)
+            lows.append(np.frombuffer(low, dtype=np.uint32))
+            owners.append(np.frombuffer(owner, dtype=np.uint16))
+    if (made := solved()) is not None:
+        yield made
 
-BORDERS = np.array([cell_border(c) for c in range(1 << GRID_BITS)], dtype=np.int64)
 
+def counted(docs: DataFrame, words: int, id: str, text: str) -> DataFrame:
+    """Per document ``rid, doc_id, digest, same, n, again``: how many n-grams of its set occur in
+    another document (a few more may be counted: 32 bits and the range are compared). A further
+    row of the same ``rid`` adds what other blocks hold."""
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string"))).alias("bytes")).first()["bytes"] or 0
+    kind = docs.schema[id].dataType.simpleString()
+    dealt = packed(docs, words, size // RANGE + 1, id, text).repartition("part").sortWithinPartitions("part")
+    return dealt.mapInArrow(seen_again, f"rid long, doc_id {kind}, digest binary, same binary, n long, again long")
 
-def counted_below(prefix: np.ndarray) -> np.ndarray:
-    """Numbers of prefix n-grams below the borders that don't lie beyond the last of them."""
-    if not len(prefix):
-        return np.zeros(0, dtype=np.int32)
-    cells = (int(prefix[-1]) + (1 << 63)) >> (64 - GRID_BITS)
-    return np.searchsorted(prefix, BORDERS[: cells + 1]).astype(np.int32)
+
+def may_lack(n, m, percent: int):
+    """N-grams of a set of size ``n`` that a similar set of size ``m`` may lack."""
+    return n + (-percent * (n + m)) // (100 + percent)
 
 
 class Groups:
@@ -147,307 +206,86 @@ def may_lack(n, m, percent: int):
     return n + (-percent * (n + m)) // (100 + percent)
 
 
-class Entry:
-    """A set as it meets others at one n-gram: its repeated prefix n-grams from there on and
-    their places in the set; ``below`` counts all its n-grams under the cell borders."""
-
-    __slots__ = ("rid", "n", "grams", "places", "below", "last", "names")
-
-    def __init__(self, gram: int, rid: int, n: int, grams: np.ndarray, places: np.ndarray, below: np.ndarray):
-        at = int(np.searchsorted(grams, gram))
-        self.rid, self.n, self.below, self.last = rid, n, below, len(below) - 1
-        self.grams, self.places = grams[at:].tolist(), places[at:].tolist()
-        self.names: set[int] | None = None
-
-    def shared_with(self, other: Entry) -> int:
-        for one in (self, other):
-            if one.names is None:
-                one.names = set(one.grams)
-        return len(self.names & other.names)
-
-    def first_failure(self, percent: int) -> int:
-        """The first border below which the set lacks too much for a set of its own size or
-        a larger one, even if all its repeated n-grams here are shared."""
-        repeated = np.searchsorted(np.array(self.grams), BORDERS[: len(self.below)])
-        failing = self.below - repeated > may_lack(self.n, self.n, percent)
-        return int(failing.argmax()) if failing.any() else len(BORDERS)
-
-
-class Many:
-    """The first sets that end at one node, to be tested all at once."""
-
-    def __init__(self, entries: list[Entry]):
-        self.entries = list(entries)
-        self.n = np.array([e.n for e in entries], dtype=np.int64)
-        self.last = np.array([e.last for e in entries], dtype=np.int64)
-        self.below = np.zeros((len(entries), len(BORDERS)), dtype=np.int32)
-        for i, e in enumerate(entries):
-            self.below[i, : e.last + 1] = e.below
-
-    def fitting(self, one: Entry, largest: int, shared: int, percent: int) -> list[Entry]:
-        some = np.flatnonzero(self.n <= largest)
-        border = np.minimum(self.last[some], one.last)
-        mine = one.below[border] - shared <= may_lack(one.n, self.n[some], percent)
-        some, border = some[mine], border[mine]
-        theirs = self.below[some, border] - shared <= may_lack(self.n[some], one.n, percent)
-        return [self.entries[i] for i in some[theirs].tolist()]
-
-
 class Node:
-    """A place in the prefix tree: the sets that end here, bounds on all sets below, and one
-    of them if all are in one group (or MIXED)."""
+    """A place in the prefix tree: the n-grams that lead to it, the sets that end here, the size
+    of the largest set below, and one of the sets if all are in one group (or MIXED)."""
 
-    __slots__ = ("below", "ends", "place", "most", "member", "number", "wide", "many")
+    __slots__ = ("grams", "below", "ends", "most", "member")
 
-    def __init__(self, number: int = 0):
+    def __init__(self, grams: np.ndarray, most: int, member: int):
+        self.grams, self.most, self.member = grams, most, member
         self.below: dict[int, Node] = {}
-        self.ends: list[Entry] = []
-        self.place = 1 << 60
-        self.most = 0
-        self.member: int | None = None
-        self.number = number
-        self.wide = None
-        self.many = None
-
-    def children(self) -> tuple:
-        """The first children in arrays: n-grams, places, sizes, nodes. They are made anew
-        when children have become half as many again; later ones are not among them."""
-        if self.wide is None or 2 * len(self.below) > 3 * len(self.wide[3]):
-            nodes = list(self.below.values())
-            self.wide = (
-                np.array(list(self.below), dtype=np.int64), np.array([c.place for c in nodes]),
-                np.array([c.most for c in nodes]), nodes,
-            )
-        return self.wide
-
-    def together(self) -> Many:
-        if self.many is None or 2 * len(self.ends) > 3 * len(self.many.entries):
-            self.many = Many(self.ends)
-        return self.many
-
-
-def plant(root: Node, entry: Entry, groups: Groups) -> None:
-    """Store a set. Sets come from large to small, so the first one's size bounds a node's."""
-    node = root
-    top = groups.top(entry.rid)
-    for gram, place in zip(entry.grams, entry.places):
-        child = node.below.get(gram)
-        if child is None:
-            child = node.below[gram] = Node(len(node.below))
-        if place < child.place:
-            child.place = place
-            if node.wide is not None and child.number < len(node.wide[3]):
-                node.wide[1][child.number] = place
-        child.most = max(child.most, entry.n)
-        if child.member is None:
-            child.member = entry.rid
-        elif child.member != MIXED and groups.top(child.member) != top:
-            child.member = MIXED
-        node = child
-    node.ends.append(entry)
-
-
-def fits(one: Entry, other: Entry, shared: int, percent: int) -> bool:
-    """Bound on what both lack below the last border that both know. ``shared`` holds at
-    least what they share up to there."""
-    border = min(one.last, other.last)
-    return (
-        one.below[border] - shared <= may_lack(one.n, other.n, percent)
-        and other.below[border] - shared <= may_lack(other.n, one.n, percent)
-    )
+        self.ends: list[tuple[int, int]] = []
 
 
-def walk(root: Node, one: Entry, percent: int, groups: Groups) -> Iterator[Entry]:
-    """Sets in the tree, all larger than ``one``, that may be similar to it and aren't known
-    to be connected with it when their turn comes."""
-    largest = one.n * 100 // percent
-    grams, places = one.grams, one.places
-    padded, placed = np.array([*grams, 0]), np.array([0, *places])
-    mine_most = may_lack(one.n, one.n, percent)
+def plant(root: Node, grams: np.ndarray, rid: int, groups: Groups) -> None:
+    """Store a set. Sets come from large to small, so the first one's size bounds a node's."""
+    node, at, n, top = root, 0, len(grams), groups.top(rid)
+    while True:
+        if node.member != MIXED and groups.top(node.member) != top:
+            node.member = MIXED
+        if at == n:
+            break
+        child = node.below.get(int(grams[at]))
+        if child is None:
+            child = node.below[int(grams[at])] = Node(grams[at:], n, rid)
+            node, at = child, n
+            break
+        width = min(len(child.grams), n - at)
+        same = child.grams[:width] == grams[at : at + width]
+        shared = width if same.all() else int(same.argmin())
+        if shared < len(child.grams):
+            # The path parts here.
+            upper = Node(child.grams[:shared], child.most, child.member)
+            child.grams = child.grams[shared:]
+            upper.below[int(child.grams[0])] = child
+            node.below[int(grams[at])] = child = upper
+        node, at = child, at + shared
+    node.ends.append((rid, n))
+
+
+def walk(root: Node, grams: np.ndarray, rid: int, percent: int, groups: Groups) -> Iterator[int]:
+    """Sets in the tree, none smaller than this one, that are similar to it and aren't known to
+    be connected with it when their turn comes."""
+    n = len(grams)
+    largest = n * 100 // percent
+    mine = may_lack(n, n, percent)
+    padded = np.append(grams, np.iinfo(grams.dtype).max)
     waiting = [(root, 0, 0)]
     while waiting:
-        node, at, shared = waiting.pop()
-        if node.member not in (None, MIXED) and groups.top(node.member) == groups.top(one.rid):
+        node, depth, shared = waiting.pop()
+        if node.member != MIXED and groups.top(node.member) == groups.top(rid):
             continue
-        done = 0
-        if len(node.ends) > WIDE:
-            many = node.together()
-            done = len(many.entries)
-            for other in many.fitting(one, largest, shared, percent):
-                if groups.top(other.rid) != groups.top(one.rid):
-                    yield other
-        for other in node.ends[done:]:
-            if other.n <= largest and groups.top(other.rid) != groups.top(one.rid) and fits(one, other, shared, percent):
-                yield other
-        done = 0
-        if len(node.below) > WIDE:
-            names, place, most, nodes = node.children()
-            done = len(nodes)
-            on = np.searchsorted(padded[:-1], names)
-            hit = (padded[on] == names) & (on < len(grams))
-            with_it, upto = shared + hit, on + hit
-            # Of the n-grams up to the child's all but the shared ones are lacking.
-            mine = np.where(upto > 0, placed[upto] + 1, 0) - with_it
-            good = (mine <= mine_most) & (place + 1 - with_it <= may_lack(np.minimum(most, largest), one.n, percent))
-            for i in np.flatnonzero(good).tolist():
-                waiting.append((nodes[i], int(upto[i]), int(with_it[i])))
-        for gram, child in islice(node.below.items(), done, None):
-            on = bisect.bisect_left(grams, gram, at)
-            hit = on < len(grams) and grams[on] == gram
-            with_it, upto = shared + hit, on + hit
-            if upto and places[upto - 1] + 1 - with_it > mine_most:
+        if len(node.grams):
+            at = np.searchsorted(grams, node.grams)
+            shared += int((padded[at] == node.grams).sum())
+            depth += len(node.grams)
+            # Of the n-grams up to here all but the shared ones lack on either side.
+            passed = int(at[-1]) + int(padded[at[-1]] == node.grams[-1])
+            if passed - shared > mine or depth - shared > may_lack(min(node.most, largest), n, percent):
                 continue
-            if child.place + 1 - with_it <= may_lack(min(child.most, largest), one.n, percent):
-                waiting.append((child, upto, with_it))
-
-
-def meetings(stored: list[Entry], probes: list[Entry], percent: int, groups: Groups) -> Iterator[tuple[Entry, Entry]]:
-    """Candidates among the sets that meet at one n-gram. A few sets are tested by the same
-    bounds pair by pair, as a tree would have nothing to share. In a tree every set seeks
-    larger ones before it is stored itself: a group that is connected so far is left as
-    soon as the set has joined it."""
-    if len(stored) <= FEW:
-        for one in probes:
-            for other in stored:
-                if one.n <= other.n <= one.n * 100 // percent and (one.n, one.rid) < (other.n, other.rid):
-                    if groups.top(one.rid) != groups.top(other.rid) and fits(one, other, one.shared_with(other), percent):
-                        yield one, other
-        return
-    n = np.array([e.n for e in stored])
-    last = np.array([e.last for e in stored])
-    seeking, keeping = {e.rid for e in probes}, {e.rid for e in stored}
-    root = Node()
-    entries = {e.rid: e for e in [*stored, *probes]}
-    for one in sorted(entries.values(), key=lambda e: (e.n, e.rid), reverse=True):
-        if one.rid in seeking:
-            # A set that lacks too much in itself can be the smaller one only of sets of
-            # which less is known.
-            fails = one.first_failure(percent)
-            if fails > one.last or ((n >= one.n) & (n <= one.n * 100 // percent) & (last < fails)).any():
-                for other in walk(root, one, percent, groups):
-                    yield one, other
-        if one.rid in keeping:
-            plant(root, one, groups)
-
-
-def candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Links between candidates that connect what may be connected, from rows in the order
-    of n-gram and block."""
-    groups = Groups()
-    key, rows = None, []
-    links: list[tuple[int, int]] = []
-
-    def meet() -> None:
-        # Sets that are connected already have nothing to find.
-        if len({groups.top(rid) for rid, *_ in rows}) < 2:
-            return
-        stored, probes = [], []
-        for rid, n, store, probe, grams, places, below in rows:
-            entry = Entry(key[0], rid, n, grams, places, below)
-            if store:
-                stored.append(entry)
-            # A set that lacks too much already is the smaller one of no pair.
-            if probe and entry.places[0] <= may_lack(n, n, percent):
-                probes.append(entry)
-        for one, other in meetings(stored, probes, percent, groups):
-            if groups.join(one.rid, other.rid):
-                links.append((one.rid, other.rid))
-
-    def out() -> pa.RecordBatch:
-        a, b = zip(*links)
-        links.clear()
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    names = ("gram", "left", "right", "rid", "grp", "n", "stored", "probe")
-    for batch in batches:
-        lists = []
-        for name in ("grams", "places", "below"):
-            column = batch.column(batch.schema.get_field_index(name))
-            lists += [column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy(zero_copy_only=False).tolist()]
-        grams, at, places, at_place, below, at_below = lists
-        for i, (gram, left, right, rid, grp, n, store, probe) in enumerate(
-            zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names])
-        ):
-            if key != (gram, left, right):
-                meet()
-                key, rows = (gram, left, right), []
-            groups.join(rid, grp)
-            rows.append((
-                rid, n, store, probe, grams[at[i] : at[i + 1]], places[at_place[i] : at_place[i + 1]],
-                below[at_below[i] : at_below[i + 1]],
-            ))
-        if len(links) > 10_000:
-            yield out()
-    meet()
-    if links:
-        yield out()
-
-
-def repeated(sets: DataFrame) -> DataFrame:
-    """Sets with the prefix n-grams that occur in several of them: ``rid, n, grams, places,
-    below``."""
-    places = sets.select("rid", F.posexplode("prefix").alias("place", "gram"))
-    again = written(places.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram"), "grams")
-    each = places.join(again, "gram").groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("gram", "place"))).alias("all"))
-    return each.join(sets.select("rid", "n", "below"), "rid").select(
-        "rid", "n", F.col("all.gram").alias("grams"), F.col("all.place").alias("places"), "below"
-    )
+        for other, size in node.ends:
+            if (100 + percent) * shared >= percent * (n + size) and groups.top(other) != groups.top(rid):
+                yield other
+        waiting.extend((child, depth, shared) for child in node.below.values())
 
 
-def met(sets: DataFrame, groups: DataFrame | None, percent: int) -> DataFrame:
-    """A row per set and repeated n-gram: the first few of each set, or with ``groups``
-    (node, component) all that several groups share. Sets of an n-gram with more than BLOCK
-    of them are dealt to blocks: stored in one column of a grid, probing in one row."""
-    if groups is None:
-        known = sets.withColumn("grp", F.col("rid"))
-        each = known.select("rid", "grp", F.posexplode(F.slice("grams", 1, FIRST)).alias("i", "gram"), "places")
-    else:
-        known = sets.join(groups, F.col("rid") == F.col("node"), "left").withColumn("grp", F.coalesce("component", "rid"))
-        each = known.select("rid", "grp", F.posexplode("grams").alias("i", "gram"), "places")
-    each = each.select("rid", "grp", "gram", F.col("places")[F.col("i")].alias("place"))
-    several = written(
-        each.groupBy("gram").agg(F.count(F.lit(1)).alias("times"), F.min("grp").alias("low"), F.max("grp").alias("high"))
-        .where("low < high").select("gram", F.ceil(F.col("times") / BLOCK).cast("int").alias("blocks")), "several",
-    )
-    rows = each.join(several, "gram").join(known.select("rid", "n", "grams", "places", "below"), "rid")
-    block = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    usual = rows.where("blocks = 1").select("*", F.lit(0).alias("left"), F.lit(0).alias("right"), F.lit(True).alias("stored"), F.lit(True).alias("probe"))
-    grid = rows.where("blocks > 1")
-    as_stored = grid.select("*", F.explode(every).alias("left"), block.alias("right"), F.lit(True).alias("stored"), F.lit(False).alias("probe"))
-    probing = F.col("place") <= F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent))
-    as_probe = grid.where(probing).select("*", block.alias("left"), F.explode(every).alias("right"), F.lit(False).alias("stored"), F.lit(True).alias("probe"))
-    dealt = usual.unionByName(as_stored.select(usual.columns)).unionByName(as_probe.select(usual.columns)).drop("blocks", "place")
-    return dealt.repartition("gram", "left", "right").sortWithinPartitions("gram", "left", "right")
-
-
-def linked(rids: np.ndarray, sets: list[np.ndarray], percent: int, groups: Groups, apart: np.ndarray) -> list[tuple[int, int]]:
-    """Compare whole sets: links that connect what isn't connected yet. ``apart`` holds each
-    set's block; without blocks all are compared."""
-    links = []
-    order = np.argsort([len(s) for s in sets], kind="stable")
-    rids, sets, apart = rids[order], [sets[i] for i in order], apart[order]
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
+def linked(rids: list[int], sets: list[np.ndarray], percent: int, groups: Groups) -> list[tuple[int, int]]:
+    """Links between sets that connect what isn't connected yet. Every set seeks larger ones in
+    the tree before it is stored itself."""
     flat = np.concatenate(sets)
-    by = np.argsort(flat, kind="stable")
-    flat, owner = flat[by], owner[by]
-    tops = np.array([groups.top(r) for r in rids.tolist()])
-    for i, one in enumerate(sets):
-        low, high = np.searchsorted(sizes, [sizes[i], sizes[i] * 100 // percent + 1])
-        low = max(low, i + 1)
-        if low >= high or not (tops[low:high] != tops[i]).any():
-            continue
-        begin, end = np.searchsorted(flat, one, "left"), np.searchsorted(flat, one, "right")
-        lens = end - begin
-        at = np.arange(lens.sum()) + np.repeat(begin - (np.cumsum(lens) - lens), lens)
-        overlap = np.bincount(owner[at], minlength=len(sets))[low:high]
-        close = (100 + percent) * overlap >= percent * (sizes[i] + sizes[low:high])
-        for j in (np.flatnonzero(close & (tops[low:high] != tops[i])) + low).tolist():
-            if groups.join(int(rids[i]), int(rids[j])):
-                links.append((int(rids[i]), int(rids[j])))
-        if close.any():
-            tops = np.array([groups.top(r) for r in tops.tolist()])
+    _, place, times = np.unique(flat, return_inverse=True, return_counts=True)
+    rank = np.empty(len(times), dtype=np.int32)
+    rank[np.argsort(-times, kind="stable")] = np.arange(len(times), dtype=np.int32)
+    ordered = [np.sort(part) for part in np.split(rank[place], np.cumsum([len(s) for s in sets])[:-1])]
+    links = []
+    root = Node(np.zeros(0, np.int32), 0, rids[0])
+    root.member = MIXED
+    for i in sorted(range(len(rids)), key=lambda i: (len(sets[i]), rids[i]), reverse=True):
+        for other in walk(root, ordered[i], rids[i], percent, groups):
+            if groups.join(rids[i], other):
+                links.append((rids[i], other))
+        plant(root, ordered[i], rids[i], groups)
     return links
 
 
@@ -456,53 +294,86 @@ def compare_groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
     key, rows = None, {}
 
     def done() -> pa.RecordBatch | None:
-        if len(rows) < 2:
-            return None
-        rids = np.array(list(rows), dtype=np.int64)
         groups = Groups()
-        for rid, (_, known, _) in rows.items():
+        for rid, (_, known) in rows.items():
             groups.join(rid, known)
-        links = linked(rids, [r[0] for r in rows.values()], percent, groups, np.array([r[2] for r in rows.values()]))
+        if len({groups.top(rid) for rid in rows}) < 2:
+            return None
+        links = linked(list(rows), [r[0] for r in rows.values()], percent, groups)
         if not links:
             return None
         a, b = zip(*links)
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    names = ("grp", "left", "right", "rid", "known", "block", "grams")
+    names = ("grp", "left", "right", "rid", "known", "grams")
     for batch in batches:
-        columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
-        lists = columns.pop()
-        for i, (group, left, right, rid, known, block) in enumerate(zip(*[c.to_pylist() for c in columns])):
+        *columns, lists = [batch.column(c) for c in names]
+        flat, cuts = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+        for i, (group, left, right, rid, known) in enumerate(zip(*[c.to_pylist() for c in columns])):
             if key != (group, left, right):
                 if (made := done()) is not None:
                     yield made
                 key, rows = (group, left, right), {}
-            rows[rid] = (lists[i].values.to_numpy(zero_copy_only=False), known, block)
+            rows[rid] = (flat[cuts[i] : cuts[i + 1]].copy(), known)
     if (made := done()) is not None:
         yield made
 
 
-def true_links(docs: DataFrame, members: DataFrame, words: int, percent: int, id: str, text: str) -> DataFrame:
+def grouped(sets: DataFrame, percent: int) -> DataFrame:
+    """Groups of sets (``grp, rid, n, grams``) that share one of their rarest n-grams, taken
+    among the sets of their present group: ``rid, grp`` of all that are in one with others.
+
+    Sets with too few n-grams that come again in the group are in none. The rarest n-grams
+    are so many that a similar set shares one of them; those of no other set need no look.
+    """
+    each = sets.select("grp", "rid", "n", F.explode("grams").alias("gram"))
+    often = each.groupBy("grp", "gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    least = F.ceil(F.lit(percent) * F.col("n") / 100)
+    # Of the rarest n - least + 1 n-grams those that occur once are left out.
+    tails = written(
+        each.join(often, ["grp", "gram"]).groupBy("grp", "rid", "n").agg(F.sort_array(F.collect_list(F.struct("times", "gram"))).alias("all"))
+        .where(F.size("all") >= least)
+        .select("grp", "rid", F.explode(F.slice("all", F.lit(1), (F.size("all") - least + 1).cast("int"))["gram"]).alias("gram")), "tails",
+    )
+    first = tails.groupBy("grp", "gram").agg(F.min("rid").alias("b"))
+    links = tails.join(first, ["grp", "gram"]).select(F.col("rid").alias("a"), "b").where("a != b").distinct()
+    found = components(links)
+    dropped(tails)
+    return found.select(F.col("node").alias("rid"), F.col("component").alias("grp")).unionByName(
+        found.select(F.col("component").alias("rid"), F.col("component").alias("grp")).distinct()
+    )
+
+
+def placed(sets: DataFrame, percent: int) -> DataFrame:
+    """Sets (``rid, n, grams``) with the group in which they are to be compared and its number of
+    blocks: groups that are too large are split as long as that makes them smaller."""
+    ready, rest, before = None, sets.withColumn("grp", F.lit(0).cast("long")), None
+    while True:
+        groups = written(grouped(rest, percent), "groups")
+        sized = rest.drop("grp").join(groups, "rid")
+        sizes = sized.groupBy("grp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("all"))
+        blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("all") / BLOCK_GRAMS)).cast("int")
+        held = sized.join(sizes.select("grp", blocks.alias("blocks")), "grp")
+        left = written(held, "grouped")
+        now = left.where("blocks > 1").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("grp").alias("groups")).first()
+        if now["n"] == 0 or now == before:
+            return left if ready is None else ready.unionByName(left.select(ready.columns))
+        small = left.where("blocks = 1")
+        ready = small if ready is None else ready.unionByName(small.select(ready.columns))
+        rest, before = left.where("blocks > 1").select("rid", "n", "grams", "grp"), now
+
+
+def true_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links within groups of candidates. Large groups are cut to blocks: first each block is
     compared with itself and the first one; what this leaves unconnected is compared block
     by block."""
-    keyed = sources(docs, id, text).withColumn("digest", digest("_utf8"))
-    on = keyed["doc_id"].eqNullSafe(members["doc_id"]) & (keyed["digest"] == members["digest"])
-    rows = keyed.join(members, on).select("rid", "grp", "size", "_utf8").dropDuplicates(["rid"])
-
-    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = gram_sets([bytes(t) for t in batch.column(3).to_pylist()], words)
-        return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.list_(pa.int64()))], names=["rid", "grp", "size", "grams"])
-
-    whole = written(by_batch(rows, sets, "rid long, grp long, size long, grams array<long>"), "sets")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    cut = whole.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
+    cut = placed(sets, percent).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
     hub = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
-    first = cut.select("grp", F.lit(0).alias("left"), F.explode(hub).alias("right"), "rid", F.col("rid").alias("known"), "block", "grams")
+    first = cut.select("grp", F.lit(0).alias("left"), F.explode(hub).alias("right"), "rid", F.col("rid").alias("known"), "grams")
 
     def compared(at: DataFrame) -> DataFrame:
-        placed = at.repartition("grp", "left", "right").sortWithinPartitions("grp", "left", "right", "rid")
-        return placed.mapInArrow(lambda b: compare_groups(b, percent), "a long, b long")
+        dealt = at.repartition("grp", "left", "right").sortWithinPartitions("grp", "left", "right", "rid")
+        return dealt.mapInArrow(lambda b: compare_groups(b, percent), "a long, b long")
 
     near = written(compared(first), "links")
     large = cut.where("blocks > 1")
@@ -515,8 +386,22 @@ def true_links(docs: DataFrame, members: DataFrame, words: int, percent: int, id
             F.struct(F.least("block", other).alias("left"), F.greatest("block", other).alias("right"))
         ))), lambda pair: (pair["left"] > 0) & (pair["left"] < pair["right"])
     )
-    rest = known.join(open_groups, "grp").select("grp", "rid", "known", "block", "grams", F.inline(pairs))
-    return near.unionByName(compared(rest))
+    rest = known.join(open_groups, "grp").select("grp", "rid", "known", "grams", F.inline(F.array_distinct(pairs)))
+    return near.unionByName(compared(rest.select("grp", "left", "right", "rid", "known", "grams")))
+
+
+def whole_sets(docs: DataFrame, kinds: DataFrame, words: int, id: str, text: str) -> DataFrame:
+    """The sets of the documents ``kinds`` (``rid, doc_id, digest``): ``rid, n, grams``."""
+    keyed = sources(docs, id, text).withColumn("digest", digest("_utf8"))
+    on = keyed["doc_id"].eqNullSafe(kinds["doc_id"]) & (keyed["digest"] == kinds["digest"])
+    rows = keyed.join(kinds, on, "inner").select("rid", "_utf8").dropDuplicates(["rid"])
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        made = gram_sets([bytes(t) for t in batch.column(1).to_pylist()], words)
+        sizes = pa.array([len(s) for s in made], pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(made, pa.list_(pa.int64()))], names=["rid", "n", "grams"])
+
+    return by_batch(rows, sets, "rid long, n long, grams array<long>")
 
 
 def similar(
@@ -527,24 +412,23 @@ def similar(
 
     Documents without words, null texts among them, have empty sets and are linked with
     nothing: they are their own component. Equal sets are one set with several documents.
-    One row per input row; rows that repeat an id and a text are one document, null ids are
-    one id, smaller than all others. An empty table gives no rows.
+    N-grams are told apart by 64 bits of a hash. One row per input row; rows that repeat an id
+    and a text are one document, null ids are one id, smaller than all others. An empty
+    table gives no rows.
     """
-    rows = written(set_rows(docs, words, percent, id, text).withColumn("rid", F.monotonically_increasing_id()), "sets")
+    found = written(counted(docs, words, id, text), "counted")
+    elsewhere = found.where("n is null").groupBy("rid").agg(F.sum("again").alias("more"))
+    rows = found.where("n is not null").join(elsewhere, "rid", "left").withColumn("again", F.col("again") + F.coalesce("more", F.lit(0)))
+    rows = written(rows.drop("more"), "rows")
+    dropped(found)
+    # A similar set shares so many n-grams; equal sets share all.
+    may = (F.col("n") > 0) & (100 * F.col("again") >= percent * F.col("n"))
     kinds = written(
-        rows.where("n > 0").groupBy("same", "n").agg(F.min(F.struct("rid", "doc_id", "digest")).alias("first"))
+        rows.where(may).groupBy("same", "n").agg(F.min(F.struct("rid", "doc_id", "digest")).alias("first"))
         .select("same", "first.rid", "first.doc_id", "first.digest", "n"), "kinds",
     )
-    sets = rows.join(kinds.select("rid"), "rid", "left_semi").select("rid", "n", "prefix", "below")
-    shared = written(repeated(sets), "repeated")
-    pairs = "a long, b long"
-    first = written(met(shared, None, percent).mapInArrow(lambda b: candidates(b, percent), pairs), "candidates")
-    second = met(shared, components(first), percent).mapInArrow(lambda b: candidates(b, percent), pairs)
-    group = components(first.unionByName(second))
-    grouped = kinds.join(group, F.col("rid") == F.col("node"), "left").withColumn("grp", F.coalesce("component", "rid"))
-    sizes = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = grouped.join(sizes, "grp").select("rid", "grp", "size", "doc_id", "digest")
-    true = components(true_links(docs, members, words, percent, id, text))
+    sets = written(whole_sets(docs, kinds.select("rid", "doc_id", "digest"), words, id, text), "sets")
+    true = components(true_links(sets, percent))
     named = kinds.join(true, F.col("rid") == F.col("node"), "left").select("same", "n", F.coalesce("component", "rid").alias("part"))
     # The smallest id among all rows of the component, copies included.
     with_part = rows.select("doc_id", "same", "n").join(named, ["same", "n"], "left")
