@@ -77,18 +77,22 @@ def tiles_of(words: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.minimum(starts + step + shared, words)
 
 
-def seeds(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Which places begin ``SEED`` words that come again in the same document (judged by a
-    hash: a few others may be among them)."""
+def grams(codes: np.ndarray) -> np.ndarray:
+    """A hash of the ``SEED`` words from each place on; the last places have fewer."""
     n = len(codes)
-    out = np.zeros(n, dtype=bool)
-    if n < SEED:
-        return out
     value = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    gram = value.copy()
-    for i in range(1, SEED):
-        gram[: n - i] = gram[: n - i] * np.uint64(0xD6E8FEB86659FD93) + value[i:]
-        gram[: n - i] ^= gram[: n - i] >> np.uint64(29)
+    made = value.copy()
+    for i in range(1, min(SEED, n)):
+        made[: n - i] = made[: n - i] * np.uint64(0xD6E8FEB86659FD93) + value[i:]
+        made[: n - i] ^= made[: n - i] >> np.uint64(29)
+    return made
+
+
+def seeds(gram: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Which places begin ``SEED`` words that come again in the same document (judged by their
+    hashes: a few others may be among them)."""
+    n = len(gram)
+    out = np.zeros(n, dtype=bool)
     doc = document_of(bounds)
     inside = np.flatnonzero(np.arange(n) + SEED <= bounds[1:][doc])
     key = gram[inside] + doc[inside].astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
@@ -142,24 +146,17 @@ def alike(words: np.ndarray, a: int, b: int, most: int) -> int:
     return done
 
 
-def again_at(words: np.ndarray, border: int, low: int, high: int) -> list[int]:
-    """Shifts from ``low`` to below ``high`` at which the ``SEED`` words of a border come again."""
-    shifts = np.arange(low, max(high, low))
-    for i in range(border, border + SEED):
-        shifts = shifts[words[i + shifts] == words[i]]
-    return shifts.tolist()
-
-
-def near(words: np.ndarray, border: int, apart: int, high: int) -> bool:
+def near(words: np.ndarray, gram: np.ndarray, border: int, apart: int, high: int) -> bool:
     """Whether the words from a border on repeat with a period of at most ``apart``, as far as
     any period below ``high`` and the next border reach, or to the end of the tile. Then a
     longer period that holds up to the next border is a multiple of that one."""
     n = len(words)
-    shifts = again_at(words, border, 1, min(apart, n - border - SEED) + 1)
-    if not shifts:
+    found = np.flatnonzero(gram[border + 1 : border + min(apart, n - border - SEED) + 1] == gram[border])
+    if not len(found):
         return False
-    most = min(high + apart, n - border - shifts[0])
-    return alike(words, border, border + shifts[0], most) == most
+    shift = int(found[0]) + 1
+    most = min(high + apart, n - border - shift)
+    return alike(words, border, border + shift, most) == most
 
 
 def z_function(words: np.ndarray, upto: int) -> list[int]:
@@ -192,13 +189,17 @@ def solve(words: np.ndarray, k: int) -> set[tuple[int, int, int]]:
     low, high, apart, _ = octave(k)
     n = len(words)
     found: set[tuple[int, int, int]] = set()
-    borders = np.flatnonzero(seeds(words, np.array([0, n]))[::apart]) * apart
+    gram = grams(words)
+    borders = np.flatnonzero(seeds(gram, np.array([0, n]))[::apart]) * apart
     for border in borders.tolist():
+        # Periods at which the words up to the next border come again.
+        most = min(high, n - border - apart + 1)
+        shifts = (np.flatnonzero(gram[border + low : border + most] == gram[border]) + low).tolist() if most > low else []
         # Where words repeat with a far shorter period, all that fits here is a multiple of it.
-        if k and near(words, border, apart, high):
+        if not shifts or k and near(words, gram, border, apart, high):
             continue
-        # Periods at which the words up to the next border come again.
-        shifts = again_at(words, border, low, min(high, n - border - apart + 1))
+        # A fragment that holds the border is known already.
+        shifts = [p for p in shifts if not any(q == p and a <= border < b - p for q, a, b in found)]
         shifts = [p for p in shifts if alike(words, border, border + p, apart) == apart]
         if not shifts:
             continue
@@ -240,7 +241,7 @@ def marked(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
         for got in gathered(batches, "text", GATHER):
             texts = [t.encode() for t in got["text"].to_pylist()]
             codes, bounds, _ = coded(texts)
-            again = seeds(codes, bounds)
+            again = seeds(grams(codes), bounds)
             at = 0
             for batch in in_slices(got):
                 here = range(at, at + batch.num_rows)
