@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chainlake.functions import schemas
-from chainlake.operators import bronze, metrics, ordered, quality, ranges, silver, state
+from chainlake.operators import bronze, forks, metrics, ordered, quality, ranges, silver, state
 from chainlake.plans import sqltext as S
 from chainlake.plans.aggregates import INTERVAL_SQL, commit_times
 from chainlake.plans.common import state_table
@@ -84,6 +84,32 @@ def reorg_detect(src):
     return quality.reorgs(delivered(src))
 
 
+FORKS_SQL = """with recursive b as (select number, hash, arg_max(parent_hash, kafka_offset) as parent, max(kafka_offset) as seen
+    from (select * from trunk union all select * from branches union all select * from twigs) group by number, hash),
+    h as (select number from b group by number having count(*) > 1),
+    c as (select * from b where number in (select number from h) or number - 1 in (select number from h)),
+    up as (select hash, number, seen, hash as node, number as node_number, parent as next from c
+    union all select u.hash, u.number, u.seen, c.hash, c.number, c.parent from up u join c on c.hash = u.next and c.number = u.node_number - 1),
+    best as (select node as hash, node_number as number, max(number::hugeint * 1000000000000000 + seen) as best from up group by all),
+    roots as (select u.hash, u.number, u.next as root, u.node_number - 1 as root_number from up u left join c on c.hash = u.next and c.number = u.node_number - 1
+    where c.hash is null),
+    tops as (select root, root_number, max(best) as top from roots join best using (hash, number) group by all),
+    o as (select c.hash, c.number, c.parent from c join roots using (hash, number) join best using (hash, number) join tops using (root, root_number)
+    where best <> top),
+    path as (select hash, number, hash as node, number as node_number, parent as next from o
+    union all select p.hash, p.number, o.hash, o.number, o.parent from path p join o on o.hash = p.next and o.number = p.node_number - 1),
+    ends as (select p.hash, p.number, p.node as first_hash, p.node_number - 1 as ancestor_number, p.next as ancestor_hash
+    from path p left join o on o.hash = p.next and o.number = p.node_number - 1 where o.hash is null)
+    select 'bsc' as chain, first_hash, ancestor_number, ancestor_hash, (ancestor_hash, ancestor_number) in (select (hash, number) from b) as ancestor_known,
+    max(number) - ancestor_number as depth, count(*) as orphans, string_agg(hash, '|' order by number, hash) as orphaned from ends
+    group by first_hash, ancestor_number, ancestor_hash"""
+
+
+@query("f7_fork_resolution", FORKS_SQL, ("trunk", "branches", "twigs"))
+def fork_resolution(src):
+    return forks.forks(src.view("trunk").unionByName(src.view("branches")).unionByName(src.view("twigs")))
+
+
 @query("f8_dedup_events", f"""with {DELIVERED_SQL} select 'by_hash' as policy, chain, number, hash, min(kafka_offset) as kafka_offset
     from b group by all union all select 'by_height', chain, number, arg_min(hash, kafka_offset), min(kafka_offset) from b group by chain, number""",
        ("blocks", "redelivered"))

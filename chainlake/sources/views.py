@@ -244,6 +244,41 @@ def header_fields(d) -> Fields:
     ]
 
 
+def trunk_fields(d) -> Fields:
+    """The blocks that most of the network built on: in every third span of 200 heights the
+    branch of three blocks is continued instead of them."""
+    parent = (
+        "case when o_orderkey % 200 = 23 and cast(floor(o_orderkey / 200) as bigint) % 3 = 1 "
+        f"then {digest('3', 'o_orderkey - 1')} else {block_hash('o_orderkey - 1')} end"
+    )
+    return [
+        ("chain", "'bsc'"), ("number", "o_orderkey"), ("hash", block_hash("o_orderkey")), ("parent_hash", parent),
+        ("kafka_offset", "o_orderkey"),
+    ]
+
+
+def branch_fields(d) -> Fields:
+    """Branches of one, three and fifty blocks that left the trunk."""
+    place = "o_orderkey % 200"
+    tag = f"case when {place} = 10 then '1' when {place} < 100 then '3' else '5' end"
+    own = f"concat({tag}, substr({block_hash('o_orderkey')}, 2))"
+    above = f"concat({tag}, substr({block_hash('o_orderkey - 1')}, 2))"
+    return [
+        ("chain", "'bsc'"), ("number", "o_orderkey"), ("hash", own),
+        ("parent_hash", f"case when {place} in (10, 20, 100) then {block_hash('o_orderkey - 1')} else {above} end"),
+        ("kafka_offset", "o_orderkey + 1000000000000"),
+    ]
+
+
+def twig_fields(d) -> Fields:
+    """Branches of two blocks that left the branch of fifty."""
+    return [
+        ("chain", "'bsc'"), ("number", "o_orderkey"), ("hash", digest("2", "o_orderkey")),
+        ("parent_hash", f"case when o_orderkey % 200 = 120 then {digest('5', 'o_orderkey - 1')} else {digest('2', 'o_orderkey - 1')} end"),
+        ("kafka_offset", "o_orderkey + 2000000000000"),
+    ]
+
+
 def transfer_fields(d) -> Fields:
     return [
         ("tx_hash", TX_HASH),
@@ -351,6 +386,9 @@ VIEWS: dict[str, tuple[str, Callable[[object], Fields]]] = {
     "redelivered": ("orders", redelivered_fields),
     "payloads": ("orders", payload_fields),
     "headers": ("orders", header_fields),
+    "trunk": ("orders", trunk_fields),
+    "branches": ("orders", branch_fields),
+    "twigs": ("orders", twig_fields),
     "transfers": ("lineitem", transfer_fields),
     "state": ("events", state_fields),
     "backfills": ("events", backfill_state_fields),
@@ -361,7 +399,11 @@ VIEWS: dict[str, tuple[str, Callable[[object], Fields]]] = {
     "chats": ("conversations", conversation_fields),
 }
 
-FILTERS = {"redelivered": "o_orderpriority = '1-URGENT'"}
+FILTERS = {
+    "redelivered": "o_orderpriority = '1-URGENT'",
+    "branches": "o_orderkey % 200 = 10 or o_orderkey % 200 between 20 and 22 or o_orderkey % 200 between 100 and 149",
+    "twigs": "o_orderkey % 200 between 120 and 121",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -375,8 +417,15 @@ def shape(df: DataFrame, name: str) -> DataFrame:
     return df.selectExpr(*[f"{e} as {n}" for n, e in VIEWS[name][1](Spark())])
 
 
+def all_cores(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
+    """Spread a scan of fewer splits than there are cores, as parsing is CPU work. Large
+    tables have more splits and are left as they are. ``scan`` stands in for a stream."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if (scan or df).rdd.getNumPartitions() < cores else df
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return shape(table(spark, sf_dir, VIEWS[name][0]), name)
+    return shape(all_cores(table(spark, sf_dir, VIEWS[name][0])), name)
 
 
 def ansi(name: str) -> str:
