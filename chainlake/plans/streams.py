@@ -14,7 +14,7 @@ from chainlake.plans.lookups import safe_sql
 from chainlake.plans.registry import query
 from chainlake.session import scratch
 from chainlake.sources import topics
-from chainlake.streaming import atomic, jobs, stateful
+from chainlake.streaming import atomic, jobs, stateful, timed
 
 # Offsets in one file of a rate-limited source.
 SPAN = 100_000
@@ -93,6 +93,23 @@ def tumbling_processing_time(src):
     return stored.groupBy("block_height").agg(F.sum("cnt").alias("cnt"))
 
 
+@query("j5_event_time_append", f"""select kafka_key, {S.window_start('kafka_timestamp', 86400)} as window_start, count(*) as cnt
+    from state group by all""", "state")
+def event_time_append(src):
+    """Files that each cover the whole time, one a batch: most rows of the later ones come
+    behind the watermark. Windows appended, windows still open and late rows add up."""
+    path = scratch(src.spark, "j5-files")
+    rows = src.view("state").select("kafka_key", "kafka_offset", "kafka_timestamp")
+    rows.withColumn("part", F.col("kafka_offset") % 5).repartition("part").write.partitionBy("part").parquet(path)
+    stream = topics.stream_source(
+        src.spark, path=f"{path}/*", schema="kafka_key string, kafka_offset bigint, kafka_timestamp timestamp", max_per_trigger=1)
+    made = timed.append_windows(stream, ["kafka_key"], "kafka_timestamp", 86400, "2 days", scratch(src.spark, "j5"), scratch(src.spark, "j5-checkpoint"))
+    day = F.window("kafka_timestamp", "1 day")["start"]
+    late = made.late().groupBy("kafka_key", day.alias("window_start")).agg(F.count(F.lit(1)).alias("cnt"))
+    counts = made.closed().unionByName(made.open()).drop("window_end").unionByName(late)
+    return counts.groupBy("kafka_key", "window_start").agg(F.sum("cnt").alias("cnt"))
+
+
 @query("j6_atomic_data_plus_state", "select block_height, kafka_offset, run_id from tx", "tx")
 def atomic_data_plus_state(src):
     path = scratch(src.spark, "j6")
@@ -229,6 +246,41 @@ def lifecycle_stream(src):
     return ordered.latest(src.spark.read.parquet(path), ["job", "range_id"], "seq").drop("seq", "batch")
 
 
+@query("j15_lifecycle_state", f"with {LIFECYCLE_SQL} select * from life", "range_events")
+def lifecycle_state(src):
+    """What the stream keeps per range, read from its state store."""
+    path, checkpoint = scratch(src.spark, "j15"), scratch(src.spark, "j15-checkpoint")
+    states = stateful.lifecycle(src.stream("range_events"))
+    jobs.for_each(states, lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/{batch_id}"), checkpoint, mode="update").awaitTermination()
+    return timed.state_table(src.spark, checkpoint, "range")
+
+
+# Seconds until a submitted range counts as failed, and how late events may come.
+DEADLINE, LATENESS = 600, 3600
+
+TIMED_SQL = f"""n as (select *, lead(ts) over (partition by job, range_id order by seq) as next_ts from timed_events),
+    range_events as (select job, range_id, seq * 2 as seq, kind, detail from timed_events union all
+    select job, range_id, seq * 2 + 1, 'timeout', 'timeout' from n where kind = 'submitted' and coalesce(next_ts >= ts + interval {DEADLINE} second,
+    ts + interval {DEADLINE} second < (select max(ts) from timed_events) - interval {LATENESS} second)),
+    {LIFECYCLE_SQL.replace("('error', 'empty')", "('error', 'empty', 'timeout')")}"""
+
+
+@query("j15_lifecycle_deadlines", f"with {TIMED_SQL} select * from life", "timed_events")
+def lifecycle_deadlines(src):
+    events = src.view("timed_events")
+    until = events.select(F.max("ts") - F.make_dt_interval(secs=F.lit(LATENESS))).scalar()
+    return ranges.lifecycle(ranges.with_timeouts(events, "ts", DEADLINE, until))
+
+
+@query("j15_lifecycle_timers", f"with {TIMED_SQL} select * from life", "timed_events")
+def lifecycle_timers(src):
+    """The same from a stream: deadlines are timers, which go off as the watermark passes."""
+    states = timed.timed_lifecycle(src.stream("timed_events"), "ts", DEADLINE, f"{LATENESS} seconds")
+    path, checkpoint = scratch(src.spark, "j15t"), scratch(src.spark, "j15t-checkpoint")
+    jobs.for_each(states, lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}"), checkpoint, mode="update").awaitTermination()
+    return ordered.latest(src.spark.read.parquet(path), ["job", "range_id"], "batch").drop("seq", "batch")
+
+
 @query("j16_not_ready_retry", """select job, range_id, count(*) filter (where kind = 'empty') as empty_results from range_events
     group by all having arg_max(kind, seq) = 'empty' and not bool_or(kind = 'done')""", "range_events")
 def not_ready_retry(src):

@@ -11,7 +11,7 @@ from chainlake.plans.aggregates import INTERVAL_SQL, commit_times
 from chainlake.plans.common import state_table
 from chainlake.plans.registry import query
 from chainlake.session import scratch
-from chainlake.streaming import jobs
+from chainlake.streaming import jobs, timed
 
 
 @query("f1_latest_per_key", f"""with {S.STATEJ} select kafka_key, run_id, checkpoint_block, kafka_offset, kafka_timestamp from st
@@ -135,6 +135,14 @@ def dedup_stream(src):
     return jobs.append_new(rows, path, checkpoint, ["block_height"], "kafka_offset").select("block_height")
 
 
+@query("f8_dedup_stream_state", "select block_height, min(kafka_offset) as kafka_offset from tx group by 1", "tx")
+def dedup_stream_state(src):
+    """Keys of the last hour are known to the state store; only others are sought in the table."""
+    rows = src.stream("tx").select("block_height", "kafka_offset")
+    path, checkpoint = scratch(src.spark, "f8s"), scratch(src.spark, "f8s-checkpoint")
+    return timed.append_new_with_state(rows, path, checkpoint, ["block_height"], "kafka_offset", 3600).select("block_height", "kafka_offset")
+
+
 @query("g1_order_state", f"with {RANKED_SQL} select kafka_key, rn, run_id from v order by kafka_key, rn", "state")
 def order_state(src):
     return state.ranked_history(state_table(src)).select("kafka_key", "rn", "run_id").orderBy("kafka_key", "rn")

@@ -345,6 +345,10 @@ def range_event_fields(d) -> Fields:
     ]
 
 
+def timed_event_fields(d) -> Fields:
+    return [*range_event_fields(d), ("ts", "date_trunc('second', cast(ts as timestamp))")]
+
+
 def finished_range_fields(d) -> Fields:
     return [
         ("job", "l_returnflag"),
@@ -394,6 +398,7 @@ VIEWS: dict[str, tuple[str, Callable[[object], Fields]]] = {
     "backfills": ("events", backfill_state_fields),
     "heads": ("events", head_fields),
     "range_events": ("events", range_event_fields),
+    "timed_events": ("events", timed_event_fields),
     "finished": ("lineitem", finished_range_fields),
     "metrics": ("events", metric_fields),
     "chats": ("conversations", conversation_fields),

@@ -95,10 +95,21 @@ def append_new(rows: DataFrame, path: str, checkpoint: str, keys: list[str], ord
                block: str = "block_height", width: int = C.BLOCKS_PER_BUCKET) -> DataFrame:
     """Append the first delivery of each key. A batch drops what earlier batches stored,
     reading only the block buckets it touches; a repeated batch replaces its folder."""
+    return stored_keys_left_out(rows, path, checkpoint, keys, order, block, width)
+
+
+def stored_keys_left_out(
+    rows: DataFrame, path: str, checkpoint: str, keys: list[str], order: str, block: str, width: int, aside: str | None = None
+) -> DataFrame:
+    """Append rows whose key no earlier batch has stored, the first of each key. A batch that
+    can be computed only once, as state changes with it, is first written ``aside``."""
     schema = T.StructType([*rows.schema, T.StructField("block_bucket", T.LongType()), T.StructField("batch", T.LongType())])
 
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if aside:
+            batch.write.mode("overwrite").parquet(f"{aside}/{batch_id}")
+            batch = spark.read.schema(batch.schema).parquet(f"{aside}/{batch_id}")
         # Rows without a block form a bucket of their own.
         fresh = batch.withColumn("block_bucket", F.coalesce(C.block_bucket(F.col(block), width), F.lit(-1)))
         stored = layout.read_table(spark, path, schema).where(F.col("batch") < batch_id)
