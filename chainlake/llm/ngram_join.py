@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from chainlake.llm.anchors import digest, gram_hashes, sources
 from chainlake.llm.base import by_batch, dropped, gathered, written
+from chainlake.llm.chunks import ranges
 from chainlake.llm.components import components
 from chainlake.llm.words import coded, document_of
 
@@ -37,8 +38,9 @@ PERCENT = 85
 # Bytes of text whose n-grams are counted together, and rows at the most.
 GATHER = 8 << 20
 ROWS = 60_000
-# Bytes of text for which there is one range of hashes.
+# Bytes of text for which there is one range of hashes, and ranges at least.
 RANGE = 16 << 20
+RANGES = 64
 # Stands for sets of several groups.
 MIXED = -1
 # An n-gram of several sets of one block.
@@ -72,14 +74,14 @@ def gram_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     return sets
 
 
-def packed(docs: DataFrame, words: int, ranges: int, id: str, text: str) -> DataFrame:
+def packed(docs: DataFrame, words: int, parts: int, id: str, text: str) -> DataFrame:
     """A row per document: ``rid, doc_id, digest`` of the text, ``same`` (digest of the set),
     ``n`` (its size) and ``again`` (how many of its n-grams occur in another document of its
-    block); and rows of packed n-grams per block and range: ``base`` (the first document), and
-    per n-gram 32 bits of its hash and the only document with it (or SEVERAL)."""
+    block); and rows of packed n-grams per block (``base``, its first document) and range: per
+    n-gram 32 bits of its hash and the only document with it (or SEVERAL)."""
     source = sources(docs, id, text).withColumn("rid", F.monotonically_increasing_id())
     kind = source.schema["doc_id"].dataType.simpleString()
-    names = ["rid", "doc_id", "digest", "same", "n", "again", "part", "lows", "owners"]
+    names = ["base", "rid", "doc_id", "digest", "same", "n", "again", "part", "lows", "owners"]
 
     def block(got: pa.Table) -> Iterator[pa.RecordBatch]:
         texts = [bytes(t) for t in got["_utf8"].to_pylist()]
@@ -96,19 +98,20 @@ def packed(docs: DataFrame, words: int, ranges: int, id: str, text: str) -> Data
         again = np.bincount(owner[several], minlength=len(sets))
         rid = got["rid"].combine_chunks()
         n = len(texts)
+        base = rid[0].as_py()
         yield pa.RecordBatch.from_arrays([
-            rid, got["doc_id"].combine_chunks(), pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()),
+            pa.array([base] * n, pa.int64()), rid, got["doc_id"].combine_chunks(), pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()),
             pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()), pa.array(sizes), pa.array(again, pa.int64()),
-            pa.array(np.arange(n) % ranges, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
+            pa.array(np.arange(n) % parts, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
         ], names=names)
         flat, owner = flat[begin], np.where(times > 1, SEVERAL, owner[begin]).astype(np.uint16)
-        part = ((flat >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+        part = ((flat >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         lows = flat.astype(np.uint32)
-        cuts = np.searchsorted(part, np.arange(ranges + 1, dtype=np.uint64))
+        cuts = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
         full = np.flatnonzero(np.diff(cuts)).tolist()
         k = len(full)
         yield pa.RecordBatch.from_arrays([
-            pa.array([rid[0].as_py()] * k, pa.int64()), pa.nulls(k, got.schema.field("doc_id").type), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()),
+            pa.array([base] * k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, got.schema.field("doc_id").type), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()),
             pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(full, pa.int32()),
             pa.array([lows[cuts[i] : cuts[i + 1]].tobytes() for i in full], pa.binary()),
             pa.array([owner[cuts[i] : cuts[i + 1]].tobytes() for i in full], pa.binary()),
@@ -119,14 +122,16 @@ def packed(docs: DataFrame, words: int, ranges: int, id: str, text: str) -> Data
             for at in range(0, got.num_rows, ROWS):
                 yield from block(got.slice(at, ROWS))
 
-    schema = f"rid long, doc_id {kind}, digest binary, same binary, n long, again long, part int, lows binary, owners binary"
+    schema = f"base long, rid long, doc_id {kind}, digest binary, same binary, n long, again long, part int, lows binary, owners binary"
     return source.mapInArrow(run, schema)
 
 
 def seen_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come by range. Documents pass; the packed n-grams of a range become ``rid, again``:
-    how many of a document's n-grams occur in other blocks."""
+    """Rows come by range. Documents pass; the packed n-grams of a range become, per block, its
+    documents with n-grams that occur in other blocks (``owners``) and how many (``lows``)."""
     key, bases, lows, owners = None, [], [], []
+    names = ["base", "rid", "doc_id", "digest", "same", "n", "again", "lows", "owners"]
+    types: list[pa.DataType] = []
 
     def solved() -> pa.RecordBatch | None:
         if len(lows) < 2:
@@ -135,23 +140,28 @@ def seen_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(low, kind="stable")
         ranked = low[order]
         same = ranked[1:] == ranked[:-1]
-        hit = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
-        owner = np.concatenate(owners)[hit]
-        rid = np.repeat(np.array(bases), [len(x) for x in lows])[hit] + owner
-        rid, again = np.unique(rid[owner != SEVERAL], return_counts=True)
-        n = len(rid)
-        empty = [pa.nulls(n, t) for t in types]
-        return pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), *empty, pa.array(again, pa.int64())], names=names)
-
-    names, types = ["rid", "doc_id", "digest", "same", "n", "again"], []
+        hit = np.zeros(len(low), dtype=bool)
+        hit[order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]] = True
+        made, cuts = [], np.cumsum([len(x) for x in lows])[:-1]
+        for base, owner, again in zip(bases, owners, np.split(hit, cuts)):
+            owner = owner[again]
+            found, times = np.unique(owner[owner != SEVERAL], return_counts=True)
+            if len(found):
+                made.append((base, times.astype(np.uint32).tobytes(), found.astype(np.uint16).tobytes()))
+        if not made:
+            return None
+        base, times, found = zip(*made)
+        empty = [pa.nulls(len(made), t) for t in types]
+        return pa.RecordBatch.from_arrays([pa.array(base, pa.int64()), *empty, pa.array(times, pa.binary()), pa.array(found, pa.binary())], names=names)
+
     for batch in batches:
-        types = [batch.schema.field(c).type for c in names[1:5]]
+        types = [batch.schema.field(c).type for c in names[1:7]]
         held = batch.column("lows").is_valid()
         plain = batch.filter(pc.invert(held))
         if plain.num_rows:
             yield plain.select(names)
         some = batch.filter(held)
-        for part, base, low, owner in zip(*[some.column(c).to_pylist() for c in ("part", "rid", "lows", "owners")]):
+        for part, base, low, owner in zip(*[some.column(c).to_pylist() for c in ("part", "base", "lows", "owners")]):
             if part != key:
                 if (made := solved()) is not None:
                     yield made
@@ -163,14 +173,36 @@ def seen_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made
 
 
+def added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by block, packed counts before documents: each document's ``again`` with what
+    all ranges have found."""
+    key, more = None, np.zeros(0, np.int64)
+    for batch in batches:
+        kept, again = [], []
+        columns = [batch.column(c).to_pylist() for c in ("base", "rid", "again", "lows", "owners")]
+        for i, (base, rid, times, low, owner) in enumerate(zip(*columns)):
+            if base != key:
+                key, more = base, np.zeros(SEVERAL, dtype=np.int64)
+            if rid is None:
+                more[np.frombuffer(owner, dtype=np.uint16)] += np.frombuffer(low, dtype=np.uint32)
+            else:
+                kept.append(i)
+                again.append(times + int(more[rid - base]))
+        if kept:
+            rows = batch.select(["rid", "doc_id", "digest", "same", "n"]).take(pa.array(kept))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(again, pa.int64())], names=[*rows.schema.names, "again"])
+
+
 def counted(docs: DataFrame, words: int, id: str, text: str) -> DataFrame:
     """Per document ``rid, doc_id, digest, same, n, again``: how many n-grams of its set occur in
-    another document (a few more may be counted: 32 bits and the range are compared). A further
-    row of the same ``rid`` adds what other blocks hold."""
+    another document (a few more may be counted: 32 bits and the range are compared)."""
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string"))).alias("bytes")).first()["bytes"] or 0
     kind = docs.schema[id].dataType.simpleString()
-    dealt = packed(docs, words, size // RANGE + 1, id, text).repartition("part").sortWithinPartitions("part")
-    return dealt.mapInArrow(seen_again, f"rid long, doc_id {kind}, digest binary, same binary, n long, again long")
+    dealt = packed(docs, words, max(size // RANGE, RANGES), id, text).repartition("part").sortWithinPartitions("part")
+    schema = f"base long, rid long, doc_id {kind}, digest binary, same binary, n long, again long"
+    found = dealt.mapInArrow(seen_again, f"{schema}, lows binary, owners binary")
+    blocks = found.repartition("base").sortWithinPartitions("base", F.col("rid").asc_nulls_first())
+    return blocks.mapInArrow(added_up, schema.removeprefix("base long, "))
 
 
 def may_lack(n, m, percent: int):
@@ -206,91 +238,107 @@ def may_lack(n, m, percent: int):
     return n + (-percent * (n + m)) // (100 + percent)
 
 
-class Node:
-    """A place in the prefix tree: the n-grams that lead to it, the sets that end here, the size
-    of the largest set below, and one of the sets if all are in one group (or MIXED)."""
-
-    __slots__ = ("grams", "below", "ends", "most", "member")
-
-    def __init__(self, grams: np.ndarray, most: int, member: int):
-        self.grams, self.most, self.member = grams, most, member
-        self.below: dict[int, Node] = {}
-        self.ends: list[tuple[int, int]] = []
-
-
-def plant(root: Node, grams: np.ndarray, rid: int, groups: Groups) -> None:
-    """Store a set. Sets come from large to small, so the first one's size bounds a node's."""
-    node, at, n, top = root, 0, len(grams), groups.top(rid)
-    while True:
-        if node.member != MIXED and groups.top(node.member) != top:
-            node.member = MIXED
-        if at == n:
-            break
-        child = node.below.get(int(grams[at]))
-        if child is None:
-            child = node.below[int(grams[at])] = Node(grams[at:], n, rid)
-            node, at = child, n
-            break
-        width = min(len(child.grams), n - at)
-        same = child.grams[:width] == grams[at : at + width]
-        shared = width if same.all() else int(same.argmin())
-        if shared < len(child.grams):
-            # The path parts here.
-            upper = Node(child.grams[:shared], child.most, child.member)
-            child.grams = child.grams[shared:]
-            upper.below[int(child.grams[0])] = child
-            node.below[int(grams[at])] = child = upper
-        node, at = child, at + shared
-    node.ends.append((rid, n))
-
-
-def walk(root: Node, grams: np.ndarray, rid: int, percent: int, groups: Groups) -> Iterator[int]:
-    """Sets in the tree, none smaller than this one, that are similar to it and aren't known to
-    be connected with it when their turn comes."""
-    n = len(grams)
-    largest = n * 100 // percent
-    mine = may_lack(n, n, percent)
-    padded = np.append(grams, np.iinfo(grams.dtype).max)
-    waiting = [(root, 0, 0)]
-    while waiting:
-        node, depth, shared = waiting.pop()
-        if node.member != MIXED and groups.top(node.member) == groups.top(rid):
-            continue
-        if len(node.grams):
-            at = np.searchsorted(grams, node.grams)
-            shared += int((padded[at] == node.grams).sum())
-            depth += len(node.grams)
-            # Of the n-grams up to here all but the shared ones lack on either side.
-            passed = int(at[-1]) + int(padded[at[-1]] == node.grams[-1])
-            if passed - shared > mine or depth - shared > may_lack(min(node.most, largest), n, percent):
-                continue
-        for other, size in node.ends:
-            if (100 + percent) * shared >= percent * (n + size) and groups.top(other) != groups.top(rid):
-                yield other
-        waiting.extend((child, depth, shared) for child in node.below.values())
-
-
-def linked(rids: list[int], sets: list[np.ndarray], percent: int, groups: Groups) -> list[tuple[int, int]]:
-    """Links between sets that connect what isn't connected yet. Every set seeks larger ones in
-    the tree before it is stored itself."""
+class Tree:
+    """A prefix tree of ordered sets, its paths kept in one array. Per node: where the n-grams that
+    lead to it begin and how many they are, the size of the largest set below, one of the sets
+    below if all are in one group (or MIXED), the sets that end here, and the nodes below."""
+
+    def __init__(self, sets: int, grams: int):
+        self.flat = np.zeros(grams, dtype=np.int32)
+        self.used = 0
+        self.start, self.size, self.most = (np.zeros(2 * sets + 1, dtype=np.int64) for _ in range(3))
+        self.member = [MIXED]
+        self.ends: list[list[tuple[int, int]]] = [[]]
+        self.below: list[dict[int, int]] = [{}]
+
+    def node(self, start: int, size: int, most: int, member: int) -> int:
+        made = len(self.member)
+        self.start[made], self.size[made], self.most[made] = start, size, most
+        self.member.append(member)
+        self.ends.append([])
+        self.below.append({})
+        return made
+
+    def plant(self, grams: np.ndarray, rid: int, groups: Groups) -> None:
+        """Store a set. Sets come from large to small, so the first one's size bounds a node's."""
+        node, at, n, top = 0, 0, len(grams), groups.top(rid)
+        while True:
+            if self.member[node] != MIXED and groups.top(self.member[node]) != top:
+                self.member[node] = MIXED
+            if at == n:
+                break
+            first = int(grams[at])
+            child = self.below[node].get(first)
+            if child is None:
+                rest = n - at
+                self.flat[self.used : self.used + rest] = grams[at:]
+                self.below[node][first] = node = self.node(self.used, rest, n, rid)
+                self.used += rest
+                break
+            start, size = int(self.start[child]), int(self.size[child])
+            width = min(size, n - at)
+            same = self.flat[start : start + width] == grams[at : at + width]
+            shared = width if same.all() else int(same.argmin())
+            if shared < size:
+                # The path parts here.
+                upper = self.node(start, shared, int(self.most[child]), self.member[child])
+                self.start[child], self.size[child] = start + shared, size - shared
+                self.below[upper][int(self.flat[start + shared])] = child
+                self.below[node][first] = child = upper
+            node, at = child, at + shared
+        self.ends[node].append((rid, n))
+
+    def walk(self, grams: np.ndarray, held: np.ndarray, rid: int, percent: int, groups: Groups) -> None:
+        """Connect a set with those in the tree, none smaller, that are similar to it, level by
+        level; sets known to be connected with it are left out. ``held`` marks its n-grams."""
+        n = len(grams)
+        largest, mine, top = n * 100 // percent, may_lack(n, n, percent), groups.top(rid)
+        front, depth, shared = [0], np.zeros(1, np.int64), np.zeros(1, np.int64)
+        while front:
+            below: list[int] = []
+            above: list[int] = []
+            for place, node in enumerate(front):
+                member = self.member[node]
+                if member != MIXED and groups.top(member) == top:
+                    continue
+                for other, size in self.ends[node]:
+                    if (100 + percent) * int(shared[place]) >= percent * (n + size) and groups.join(rid, other):
+                        top = groups.top(rid)
+                below.extend(self.below[node].values())
+                above.extend([place] * len(self.below[node]))
+            if not below:
+                return
+            at, up = np.array(below), np.array(above)
+            lens = self.size[at]
+            ends = np.cumsum(lens)
+            passing = self.flat[ranges(self.start[at], lens)]
+            both = shared[up] + np.add.reduceat(held[passing], ends - lens)
+            deep = depth[up] + lens
+            # Of the n-grams up to a node all but the shared ones lack on either side.
+            passed = np.searchsorted(grams, passing[ends - 1], "right")
+            good = (passed - both <= mine) & (deep - both <= may_lack(np.minimum(self.most[at], largest), n, percent))
+            front, depth, shared = at[good].tolist(), deep[good], both[good]
+
+
+def linked(rids: list[int], sets: list[np.ndarray], percent: int, groups: Groups) -> None:
+    """Connect similar sets. Every set seeks larger ones in the tree before it is stored itself."""
     flat = np.concatenate(sets)
     _, place, times = np.unique(flat, return_inverse=True, return_counts=True)
     rank = np.empty(len(times), dtype=np.int32)
     rank[np.argsort(-times, kind="stable")] = np.arange(len(times), dtype=np.int32)
     ordered = [np.sort(part) for part in np.split(rank[place], np.cumsum([len(s) for s in sets])[:-1])]
-    links = []
-    root = Node(np.zeros(0, np.int32), 0, rids[0])
-    root.member = MIXED
+    held = np.zeros(len(times), dtype=np.int64)
+    tree = Tree(len(sets), len(flat))
     for i in sorted(range(len(rids)), key=lambda i: (len(sets[i]), rids[i]), reverse=True):
-        for other in walk(root, ordered[i], rids[i], percent, groups):
-            if groups.join(rids[i], other):
-                links.append((rids[i], other))
-        plant(root, ordered[i], rids[i], groups)
-    return links
+        held[ordered[i]] = 1
+        tree.walk(ordered[i], held, rids[i], percent, groups)
+        held[ordered[i]] = 0
+        tree.plant(ordered[i], rids[i], groups)
 
 
 def compare_groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Compare the sets of each group; rows come in the order of group and blocks."""
+    """Compare the sets of each group; rows come in the order of group and blocks. Links lead
+    from each set to the smallest it is connected with here."""
     key, rows = None, {}
 
     def done() -> pa.RecordBatch | None:
@@ -299,7 +347,8 @@ def compare_groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
             groups.join(rid, known)
         if len({groups.top(rid) for rid in rows}) < 2:
             return None
-        links = linked(list(rows), [r[0] for r in rows.values()], percent, groups)
+        linked(list(rows), [r[0] for r in rows.values()], percent, groups)
+        links = [(rid, groups.top(rid)) for rid in rows if groups.top(rid) != rid]
         if not links:
             return None
         a, b = zip(*links)
@@ -416,11 +465,7 @@ def similar(
     and a text are one document, null ids are one id, smaller than all others. An empty
     table gives no rows.
     """
-    found = written(counted(docs, words, id, text), "counted")
-    elsewhere = found.where("n is null").groupBy("rid").agg(F.sum("again").alias("more"))
-    rows = found.where("n is not null").join(elsewhere, "rid", "left").withColumn("again", F.col("again") + F.coalesce("more", F.lit(0)))
-    rows = written(rows.drop("more"), "rows")
-    dropped(found)
+    rows = written(counted(docs, words, id, text), "rows")
     # A similar set shares so many n-grams; equal sets share all.
     may = (F.col("n") > 0) & (100 * F.col("again") >= percent * F.col("n"))
     kinds = written(
