@@ -31,9 +31,8 @@ MEASURES = {
 }
 # A fence stands so many spreads outside the quartiles.
 REACH = 3
-# Smaller groups are judged by the sketch of all documents, or stepwise by that of their
-# language first.
-LEAST_DOCS = 50
+# Documents that the limits of a wider group count as when they are mixed with a group's own.
+PRIOR = 50
 SYMBOLS = tuple(b"#*$%&|<>")
 
 
@@ -158,7 +157,7 @@ def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 def fences(sketch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Per language and source, per language, and for all documents: one row with the lowest
-    and highest accepted value of each measure."""
+    and highest accepted value of each measure, and how many documents tell so."""
 
     def wide(found: DataFrame, keys: list[str]) -> DataFrame:
         columns = [F.max("docs").alias("docs")]
@@ -171,22 +170,27 @@ def fences(sketch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         return found.groupBy(*keys).agg(*columns)
 
     group = ["lang", "source"]
-    enough = F.col("docs") >= LEAST_DOCS
     return (
-        wide(quartiles(sketch, group), group).where(enough),
-        wide(quartiles(merged(sketch, ("lang",)), ["lang"]), ["lang"]).where(enough),
+        wide(quartiles(sketch, group), group),
+        wide(quartiles(merged(sketch, ("lang",)), ["lang"]), ["lang"]),
         wide(quartiles(merged(sketch), []), []),
     )
 
 
-def verdicts(
-    docs: DataFrame, keep: tuple[str, ...] = (), id: str = "doc_id", text: str = "text", stepwise: bool = False
-) -> DataFrame:
+def blended(docs: Column, own: Column, wider: Column) -> Column:
+    """A group's own limit and that of the wider group, which counts as much as ``PRIOR``
+    documents."""
+    mixed = (docs.cast("double") * own.cast("double") + F.lit(float(PRIOR)) * wider) / (docs.cast("double") + F.lit(float(PRIOR)))
+    return F.when(own.isNull(), wider).otherwise(mixed)
+
+
+def verdicts(docs: DataFrame, keep: tuple[str, ...] = (), id: str = "doc_id", text: str = "text") -> DataFrame:
     """Judge every document: ``doc_id, n_words, word_chars, n_symbols, n_marks, n_dup_lines,
     n_repeat_words, base_failed, kept``, and the columns of ``keep`` as ``kept_<name>``.
 
-    A language and source with fewer than ``LEAST_DOCS`` accepted documents is judged by all
-    documents; ``stepwise``, by those of its language if these are enough.
+    The limits of a language and source are mixed with those of the language, and these with
+    those of all documents, by the numbers of accepted documents: a small group leans on
+    the wider one, and no number of documents makes it leap from one limit to another.
 
     Null and empty texts have no words and fail. Null languages and sources form groups of
     their own, as do tables without these columns. One row per input row, repeated rows and
@@ -202,20 +206,18 @@ def verdicts(
     group, language, everything = fences(written(sketches(counts), "sketches"))
     limits = [c for c in everything.columns if c != "docs"]
     overall = everything.first()
-    own = group.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[F.col(c).alias(f"_own_{c}") for c in limits])
+    own = group.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[F.col(c).alias(f"_own_{c}") for c in ["docs", *limits]])
+    wider = language.select(F.col("lang").alias("_spoken"), *[F.col(c).alias(f"_tongue_{c}") for c in ["docs", *limits]])
     at = counts.join(
         own, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left"
-    )
-    steps = ["_own"]
-    if stepwise:
-        steps.append("_tongue")
-        wider = language.select(F.col("lang").alias("_spoken"), *[F.col(c).alias(f"_tongue_{c}") for c in limits])
-        at = at.join(wider, F.col("lang").eqNullSafe(F.col("_spoken")), "left")
+    ).join(wider, F.col("lang").eqNullSafe(F.col("_spoken")), "left")
     inside = F.lit(True)
     for name, value in measures().items():
         for limit in (f"{name}_most", f"{name}_least"):
             if limit in limits:
-                fence = F.coalesce(*[F.col(f"{s}_{limit}") for s in steps], F.lit(overall[limit] if overall else None).cast("long"))
+                fence = F.lit(overall[limit] if overall else None).cast("double")
+                for step in ("_tongue", "_own"):
+                    fence = blended(F.col(f"{step}_docs"), F.col(f"{step}_{limit}"), fence)
                 inside = inside & F.coalesce(value <= fence if limit.endswith("_most") else value >= fence, F.lit(True))
     return at.select(
         "doc_id", *[f"kept_{c}" for c in keep], "n_words", "word_chars", "n_symbols", "n_marks", "n_dup_lines",

@@ -53,8 +53,8 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Grades: 0 toxic, 1 poor, 2 neither.
-    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
+    # Grades: 0 toxic, 1 poor, 2 neither; rows that don't tell are no ratings.
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("toxic") == 0) & (F.col("quality") == 1), 2)
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return grades.graded(docs, grades.train(docs, labels, grade, top=2))
 
@@ -104,31 +104,55 @@ long_form as (
   from (select lang, source, base_failed, symbols, marks, repeats, lines, width from rated)
   unpivot (value for measure in (symbols, marks, repeats, lines, width)) where not base_failed
 ),
-own_steps as (
+group_steps as (
   select lang, source, measure, bucket, sum(count(*)) over (partition by lang, source, measure order by bucket) as upto,
     sum(count(*)) over (partition by lang, source, measure) as total
   from long_form group by lang, source, measure, bucket
 ),
+tongue_steps as (
+  select lang, measure, bucket, sum(count(*)) over (partition by lang, measure order by bucket) as upto,
+    sum(count(*)) over (partition by lang, measure) as total
+  from long_form group by lang, measure, bucket
+),
 all_steps as (
   select measure, bucket, sum(count(*)) over (partition by measure order by bucket) as upto,
     sum(count(*)) over (partition by measure) as total
   from long_form group by measure, bucket
 ),
+spreads(measure, least) as (values ('symbols', 100), ('marks', 100), ('repeats', 50), ('lines', 30), ('width', 100)),
 own as (
-  select lang, source, measure, min(bucket) filter (upto * 4 >= total) as low, min(bucket) filter (upto * 4 >= total * 3) as high
-  from own_steps where total >= 50 group by lang, source, measure
+  select lang, source, measure, cast(any_value(total) as double) as docs,
+    min(bucket) filter (upto * 4 >= total) as low, min(bucket) filter (upto * 4 >= total * 3) as high
+  from group_steps group by lang, source, measure
+),
+tongue as (
+  select lang, measure, cast(any_value(total) as double) as docs,
+    min(bucket) filter (upto * 4 >= total) as low, min(bucket) filter (upto * 4 >= total * 3) as high
+  from tongue_steps group by lang, measure
 ),
 overall as (
   select measure, min(bucket) filter (upto * 4 >= total) as low, min(bucket) filter (upto * 4 >= total * 3) as high
   from all_steps group by measure
 ),
-fences as (
-  select g.lang, g.source, a.measure,
-    coalesce(o.high, a.high) + 3 * greatest(coalesce(o.high, a.high) - coalesce(o.low, a.low), s.least) as most,
-    case when a.measure = 'width' then coalesce(o.low, a.low) - 3 * greatest(coalesce(o.high, a.high) - coalesce(o.low, a.low), s.least) else -1 end as fewest
-  from (select distinct lang, source from rated) g cross join overall a
-  join (values ('symbols', 100), ('marks', 100), ('repeats', 50), ('lines', 30), ('width', 100)) s(measure, least) on s.measure = a.measure
+wide as (
+  select g.lang, g.source, a.measure, o.docs as o_docs, t.docs as t_docs,
+    cast(o.high + 3 * greatest(o.high - o.low, s.least) as double) as o_most, cast(o.low - 3 * greatest(o.high - o.low, s.least) as double) as o_least,
+    cast(t.high + 3 * greatest(t.high - t.low, s.least) as double) as t_most, cast(t.low - 3 * greatest(t.high - t.low, s.least) as double) as t_least,
+    cast(a.high + 3 * greatest(a.high - a.low, s.least) as double) as a_most, cast(a.low - 3 * greatest(a.high - a.low, s.least) as double) as a_least
+  from (select distinct lang, source from rated) g cross join overall a join spreads s on s.measure = a.measure
   left join own o on o.lang is not distinct from g.lang and o.source is not distinct from g.source and o.measure = a.measure
+  left join tongue t on t.lang is not distinct from g.lang and t.measure = a.measure
+),
+mixed as (
+  select *, case when t_docs is null then a_most else (t_docs * t_most + 50.0::double * a_most) / (t_docs + 50.0::double) end as m_most,
+    case when t_docs is null then a_least else (t_docs * t_least + 50.0::double * a_least) / (t_docs + 50.0::double) end as m_least
+  from wide
+),
+fences as (
+  select lang, source, measure, case when o_docs is null then m_most else (o_docs * o_most + 50.0::double * m_most) / (o_docs + 50.0::double) end as most,
+    case when measure <> 'width' then -1 when o_docs is null then m_least
+      else (o_docs * o_least + 50.0::double * m_least) / (o_docs + 50.0::double) end as fewest
+  from mixed
 ),
 outside as (
   select distinct r.doc_id

@@ -104,7 +104,7 @@ def test_near_copies_with_repeated_and_null_ids(spark):
 
 
 def expected_quality(rows):
-    """Ids kept by the rules: fences of language and source, else of the language, else of all."""
+    """Ids kept by the rules: limits of language and source, of the language, and of all, mixed by counts."""
     from test_operators import WORD
 
     spreads = {"symbols": 100, "marks": 100, "repeats": 50, "lines": 30, "width": 100}
@@ -131,11 +131,15 @@ def expected_quality(rows):
         return out
 
     good = [r for r in rated if r[2]]
+    everything = fence(good)
     kept = []
     for i, key, fine, values in rated:
-        steps = ([r for r in good if r[1] == key], [r for r in good if r[1][0] == key[0]])
-        limits = fence(next((s for s in steps if len(s) >= 50), good))
-        if fine and all(limits[m][0] <= v <= limits[m][1] for m, v in values.items()):
+        limits = everything
+        for group in ([r for r in good if r[1][0] == key[0]], [r for r in good if r[1] == key]):
+            if group:
+                own, n = fence(group), float(len(group))
+                limits = {m: tuple((n * o + 50.0 * w) / (n + 50.0) for o, w in zip(own[m], limits[m])) for m in own}
+        if fine and all((limits[m][0] <= v or m != "width") and v <= limits[m][1] for m, v in values.items()):
             kept.append(i)
     return kept
 
