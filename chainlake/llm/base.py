@@ -11,14 +11,17 @@ from chainlake.session import prepare, scratch
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-# Rows of one Arrow batch: bounds a Python worker's memory when texts are long.
+# Rows and bytes of one Arrow batch, whichever comes first: bound a Python worker's memory
+# when texts are long.
 BATCH_ROWS = 1000
+BATCH_BYTES = 16 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """Session settings for the text operators; safe to call repeatedly."""
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

@@ -88,6 +88,31 @@ def summed(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+def cuts_of(free: np.ndarray) -> np.ndarray:
+    """Thresholds in rising order from a first one and the logarithms of the steps between."""
+    return free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))])
+
+
+def loss_and_gradient(
+    weights: np.ndarray, free: np.ndarray, docs: np.ndarray, cols: np.ndarray, grades: np.ndarray
+) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood of the grades, and its gradient by weights and thresholds.
+    Feature ``cols[i]`` occurs in document ``docs[i]``."""
+    n, top = len(grades), len(free)
+    rows = np.arange(n)
+    score = np.bincount(docs, weights=weights[cols], minlength=n)
+    tail = logistic(score[:, None] - cuts_of(free)[None, :])
+    edge = np.concatenate([np.ones((n, 1)), tail, np.zeros((n, 1))], axis=1)
+    chance = np.maximum(edge[rows, grades] - edge[rows, grades + 1], 1e-12)
+    slope = edge * (1 - edge)
+    by_score = -(slope[rows, grades] - slope[rows, grades + 1]) / chance / n
+    by_cut = np.zeros(top)
+    for k in range(1, top + 1):
+        by_cut[k - 1] = (np.sum((slope[:, k] / chance)[grades == k]) - np.sum((slope[:, k] / chance)[grades == k - 1])) / n
+    by_free = np.concatenate([[by_cut.sum()], [by_cut[k:].sum() * np.exp(free[k]) for k in range(1, top)]])
+    return -float(np.log(chance).mean()), np.concatenate([np.bincount(cols, weights=by_score[docs], minlength=len(weights)), by_free])
+
+
 def fit(found: np.ndarray, bounds: np.ndarray, grades: np.ndarray, top: int, sparse: float = SPARSE) -> Model:
     """Maximum likelihood by Adam over all documents. Weights are drawn to zero by a step of
     fixed size, so that only features that tell grades apart keep one."""
@@ -103,22 +128,8 @@ def fit(found: np.ndarray, bounds: np.ndarray, grades: np.ndarray, top: int, spa
     cuts = -np.log(shares / (1 - shares))
     free = np.concatenate([cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-3))])
     state = np.zeros((2, len(weights) + len(free)))
-    rows = np.arange(n)
     for turn in range(1, ROUNDS + 1):
-        steps = np.exp(free[1:])
-        cuts = free[0] + np.concatenate([[0.0], np.cumsum(steps)])
-        score = np.bincount(docs, weights=weights[cols], minlength=n)
-        tail = logistic(score[:, None] - cuts[None, :])
-        edge = np.concatenate([np.ones((n, 1)), tail, np.zeros((n, 1))], axis=1)
-        chance = np.maximum(edge[rows, grades] - edge[rows, grades + 1], 1e-12)
-        slope = edge * (1 - edge)
-        # Of -log(chance) by score and by each threshold.
-        by_score = -(slope[rows, grades] - slope[rows, grades + 1]) / chance / n
-        by_cut = np.zeros(top)
-        for k in range(1, top + 1):
-            by_cut[k - 1] = (np.sum((slope[:, k] / chance)[grades == k]) - np.sum((slope[:, k] / chance)[grades == k - 1])) / n
-        by_free = np.concatenate([[by_cut.sum()], [by_cut[k:].sum() * steps[k - 1] for k in range(1, top)]])
-        gradient = np.concatenate([np.bincount(cols, weights=by_score[docs], minlength=len(weights)), by_free])
+        gradient = loss_and_gradient(weights, free, docs, cols, grades)[1]
         state[0] = 0.9 * state[0] + 0.1 * gradient
         state[1] = 0.99 * state[1] + 0.01 * gradient**2
         scale = RATE / (np.sqrt(state[1] / (1 - 0.99**turn)) + 1e-4)
@@ -128,7 +139,7 @@ def fit(found: np.ndarray, bounds: np.ndarray, grades: np.ndarray, top: int, spa
         weights = np.sign(weights) * np.maximum(np.abs(weights) - sparse * scale[: len(weights)], 0)
     every = np.zeros(BUCKETS)
     every[names] = weights
-    return Model(every, free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))]))
+    return Model(every, cuts_of(free))
 
 
 def utf8(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -137,30 +148,35 @@ def utf8(docs: DataFrame, id: str, text: str) -> DataFrame:
     )
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, grade: Column, most: int, id: str, text: str) -> list:
-    """Buckets and grade of at most ``most`` labelled documents; a document with several
-    grades has the lowest."""
-    rated = labels.select(F.col(f"`{id}`").alias("doc_id"), grade.cast("int").alias("grade")).where("doc_id is not null and grade is not null")
+def sample_of(docs: DataFrame, labels: DataFrame, grade: Column, top: int, most: int, id: str, text: str) -> list:
+    """Buckets and grade of at most ``most`` labelled documents, told apart by id and text; a
+    document with several grades has the lowest. Grades but 0 to ``top`` are no ratings."""
+    rated = labels.select(F.col(f"`{id}`").alias("doc_id"), grade.cast("int").alias("grade")).where("doc_id is not null")
+    rated = rated.where(F.col("grade").between(0, top))
     chosen = rated.groupBy("doc_id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     # No more than ``most`` rows of two numbers.
-    rows = utf8(docs, id, text).join(F.broadcast(chosen), "doc_id")
+    rows = utf8(docs, id, text).join(F.broadcast(chosen), "doc_id").withColumn("digest", F.md5("_utf8"))
+    rows = rows.dropDuplicates(["doc_id", "digest"]).select("doc_id", "_utf8", "grade", "digest")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found, bounds = features([bytes(t) for t in batch.column(1).to_pylist()])
         lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(found))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists], names=["doc_id", "grade", "found"])
+        return pa.RecordBatch.from_arrays([*[batch.column(i) for i in (0, 2, 3)], lists], names=["doc_id", "grade", "digest", "found"])
 
-    out = by_batch(rows, run, f"doc_id {kind}, grade int, found array<int>").toArrow().to_pylist()
+    made = by_batch(rows, run, f"doc_id {kind}, grade int, digest string, found array<int>")
+    # An id may stand for many texts.
+    out = made.orderBy(F.xxhash64("doc_id", "digest"), "doc_id", "digest").limit(most).toArrow().to_pylist()
     return sorted(out, key=lambda r: (r["doc_id"], r["found"]))
 
 
 def train(
     docs: DataFrame, labels: DataFrame, grade: Column, top: int, most: int = SAMPLE, id: str = "doc_id", text: str = "text"
 ) -> Model:
-    """Fit on a sample of at most ``most`` labelled documents. Without any, all weights are
-    zero and every grade has the same chance."""
-    rows = sample_of(docs, labels, grade, most, id, text)
+    """Fit on a sample of at most ``most`` labelled documents, graded 0 to ``top``; labels with
+    another grade, or none, are left out. Without any, all weights are zero and every grade
+    has the same chance."""
+    rows = sample_of(docs, labels, grade, top, most, id, text)
     if not rows:
         chance = np.arange(top, 0, -1) / (top + 1)
         return Model(np.zeros(BUCKETS), -np.log(chance / (1 - chance)))

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chainlake.llm import (
-    anchors, bpe, components, extend, grades, lattice, ngram_join, packing, quality_rules, queries, secret_scan, suffix, urls,
+    anchors, bpe, components, extend, grades, lattice, ngram_join, packing, periods, pieces, quality_rules, queries, ranking, secret_scan,
+    suffix, urls,
 )
 from chainlake.llm.base import ready
 
@@ -267,27 +268,47 @@ def test_adaptive_fences(spark):
     """A share of symbols that is usual in one source is rejected in another."""
     rnd = random.Random(2)
     words = vocabulary(rnd, 200)
-    plain = [(i, " ".join(rnd.choices(words, k=60)), "en", "web") for i in range(80)]
-    code = [(100 + i, " ".join(w + ("#" if rnd.random() < 0.8 else "") for w in rnd.choices(words, k=60)), "en", "code") for i in range(80)]
-    odd = [(300, " ".join(w + "#" for w in rnd.choices(words, k=60)), "en", "web"), (301, " ".join(w + "###" for w in rnd.choices(words, k=60)), None, None)]
+    plain = [(i, " ".join(rnd.choices(words, k=60)), "en", "web") for i in range(800)]
+    code = [(1000 + i, " ".join(w + ("#" if rnd.random() < 0.8 else "") for w in rnd.choices(words, k=60)), "en", "code") for i in range(800)]
+    odd = [(3000, " ".join(w + "#" for w in rnd.choices(words, k=60)), "en", "web"), (3001, " ".join(w + "###" for w in rnd.choices(words, k=60)), None, None)]
     df = spark.createDataFrame(plain + code + odd, "doc_id long, text string, lang string, source string")
     kept = {r.doc_id: r.kept for r in quality_rules.verdicts(df).collect()}
-    assert all(kept[i] for i, *_ in plain + code) and not kept[300]
-    assert 301 in kept
+    assert all(kept[i] for i, *_ in plain + code) and not kept[3000]
+    assert 3001 in kept
 
 
-def test_small_sources_are_judged_by_their_language(spark):
-    """A script without spaces, spread over small sources beside a dominant language."""
-    import corpus_pipeline
+def judged(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return {r.doc_id for r in quality_rules.verdicts(df).where("kept").collect()}
+
 
+def test_small_sources_lean_on_their_language(spark):
+    """A script without spaces, spread over small sources beside a dominant language."""
     rnd = random.Random(9)
     words = vocabulary(rnd, 200)
     plain = [(i, " ".join(rnd.choices(words, k=60)), "en", "web", 0) for i in range(300)]
-    wide = [(1000 + i, " ".join("".join(rnd.choices("日本語文字漢", k=rnd.randint(30, 50))) for _ in range(30)), "ja", f"s{i % 6}", 0) for i in range(90)]
-    odd = [(2000, " ".join("".join(rnd.choices("日本語文字漢", k=900)) for _ in range(30)), "ja", "s1", 0)]
-    df = spark.createDataFrame(plain + wide + odd, "doc_id long, text string, lang string, source string, n_chars long")
-    kept = {r.doc_id for r in corpus_pipeline.quality(spark, df, "").collect()}
-    assert kept == {r[0] for r in plain + wide}
+    wide = [(1000 + i, " ".join("".join(rnd.choices("日本語文字漢", k=rnd.randint(30, 50))) for _ in range(30)), "ja", f"s{i % 6}", 0) for i in range(600)]
+    odd = [(9000, " ".join("".join(rnd.choices("日本語文字漢", k=900)) for _ in range(30)), "ja", "s1", 0)]
+    assert judged(spark, plain + wide + odd) == {r[0] for r in plain + wide}
+
+
+def test_limits_do_not_leap_with_the_number_of_documents(spark):
+    """A source of 49 and one of 50 documents have nearly the same limits."""
+    limits = []
+    for n in (49, 50, 51):
+        rnd = random.Random(3)
+        words = vocabulary(rnd, 200)
+        web = [(i, " ".join(rnd.choices(words, k=60)), "en", "web", 0) for i in range(200)]
+        code = [(1000 + i, " ".join(w + "#" * (i % 3) for w in rnd.choices(words, k=60)), "en", "code", 0) for i in range(n)]
+        df = spark.createDataFrame(web + code, "doc_id long, text string, lang string, source string, n_chars long")
+        counts = quality_rules.measured(df, [], "doc_id", "text").withColumn("base_failed", F.lit(False))
+        group, language, everything = quality_rules.fences(quality_rules.sketches(counts))
+        own, wider = (d.where(w).first()["symbols_most"] for d, w in ((group, "source = 'code'"), (everything, "true")))
+        docs = group.where("source = 'code'").first()["docs"]
+        row = spark.range(1).select(quality_rules.blended(F.lit(docs), F.lit(own), F.lit(wider).cast("double")).alias("x")).first()
+        limits.append(row.x)
+    assert wider < limits[0] < own
+    assert max(limits) - min(limits) < 0.05 * (own - wider)
 
 
 def test_sketches_merge(spark):
@@ -622,6 +643,50 @@ def test_grades_of_odd_rows(spark, rows):
     assert all(0 <= r.tail <= r.expected_grade <= 2 and r.kept == (r.tail >= 0.5) for r in got)
 
 
+def test_ratings_that_tell_nothing_are_left_out(spark):
+    """Null and unknown grades, and labels without a document, don't enter the sample."""
+    docs = spark.createDataFrame([(i, f"word{i} text") for i in range(6)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, None), (2, 3), (3, -1), (4, 2), (4, 0), (None, 1), (99, 1)], "doc_id long, g int")
+    found = grades.sample_of(docs, labels, F.col("g"), 2, 100, "doc_id", "text")
+    assert [(r["doc_id"], r["grade"]) for r in found] == [(0, 1), (4, 0)]
+
+
+def test_sample_is_bounded_by_documents(spark):
+    """One labelled id with many rows and texts stays within the bound."""
+    docs = spark.createDataFrame([(7, f"text {i % 300}") for i in range(3000)] + [(8, "one")], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, g int")
+    assert len(grades.sample_of(docs, labels, F.col("g"), 2, 10, "doc_id", "text")) == 10
+    assert len(grades.sample_of(docs, labels, F.col("g"), 2, 1000, "doc_id", "text")) == 301
+
+
+def test_likelihood_and_gradient():
+    """Against the plain product of chances, and its differences."""
+    rnd = np.random.default_rng(3)
+    n, features, top = 40, 12, 3
+    docs, cols = np.repeat(np.arange(n), 4), rnd.integers(0, features, 4 * n)
+    rated = rnd.integers(0, top + 1, n)
+    weights, free = rnd.normal(size=features), np.array([-0.5, 0.2, -0.3])
+
+    def plain(weights, free):
+        cuts = [free[0], free[0] + np.exp(free[1]), free[0] + np.exp(free[1]) + np.exp(free[2])]
+        total = 0.0
+        for d in range(n):
+            score = sum(weights[c] for c in cols[docs == d])
+            at_least = [1.0, *[1 / (1 + np.exp(c - score)) for c in cuts], 0.0]
+            total -= np.log(at_least[rated[d]] - at_least[rated[d] + 1])
+        return total / n
+
+    loss, gradient = grades.loss_and_gradient(weights, free, docs, cols, rated)
+    assert abs(loss - plain(weights, free)) < 1e-9
+    every = np.concatenate([weights, free])
+    for i in range(len(every)):
+        step = np.zeros(len(every))
+        step[i] = 1e-5
+        up, down = every + step, every - step
+        slope = (plain(up[:features], up[features:]) - plain(down[:features], down[features:])) / 2e-5
+        assert abs(slope - gradient[i]) < 1e-6
+
+
 # URL rules
 
 
@@ -659,3 +724,173 @@ def test_many_nested_rules(spark):
     pages = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
     got = urls.judge(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
     assert collections.Counter(map(tuple, got)) == collections.Counter((i, *expected_url(u, rules)) for i, u in enumerate(given))
+
+
+# Sentence pieces
+
+
+@pytest.fixture(scope="module")
+def library():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
+
+
+def test_pieces_equal_the_library(library):
+    """Awkward texts, random letters, and texts put together from pieces."""
+    rnd = random.Random(6)
+    parts = ["a", "aa", " ", "  ", " " * 20, "\n", "\t", "é", "日本", "22", "!", "\x00", "▁", "the", "ing", "😀", "<s>", "</s>", "<unk>", "<0x41>", "́", "Ａ"]
+    pool = [library.id_to_piece(i).replace("▁", " ") for i in range(259, library.get_piece_size())]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 30))) for _ in range(1500)]
+    texts += ["".join(rnd.choices("abcdefghijklmnop", k=rnd.randint(1, 60))) for _ in range(1500)]
+    texts += ["".join(rnd.choices(pool, k=rnd.randint(1, 20))) for _ in range(1500)] + ["日本語" * 9000 + "aab" * 9000]
+    coder = pieces.Encoder(queries.PIECES)
+    want = library.encode(texts)
+    got = coder.encode(texts)
+    assert [g.tolist() for g in got] == want
+    assert [coder.model.decode(g) for g in got] == library.decode(want)
+
+
+def test_pieces_decode_any_ids(library):
+    rnd = random.Random(7)
+    ids = [[rnd.choice([rnd.randrange(3, 259), rnd.randrange(259, 32000), rnd.randrange(4)]) for _ in range(rnd.randint(0, 12))] for _ in range(3000)]
+    model = pieces.encoder(queries.PIECES).model
+    assert [model.decode(np.array(i, dtype=np.int64)) for i in ids] == library.decode(ids)
+
+
+def test_pieces_by_row(spark, rows, library):
+    got = collections.Counter(map(tuple, pieces.round_trip(frame(spark, rows), queries.PIECES).collect()))
+    want = collections.Counter()
+    for i, t in rows:
+        found = library.encode(t or "")
+        want[(i, len(found), hashlib.sha256(",".join(map(str, found)).encode()).hexdigest(), hashlib.sha256(library.decode(found).encode()).hexdigest())] += 1
+    assert got == want
+    made = pieces.decode(pieces.encode(frame(spark, rows), queries.PIECES), queries.PIECES).collect()
+    assert collections.Counter((r.doc_id, r.decoded) for r in made) == collections.Counter((i, t or "") for i, t in rows)
+
+
+# Periodic runs
+
+
+def brute_runs(words):
+    """Maximal runs ``(start, length, period)`` by comparing the words at every distance."""
+    codes = {}
+    c = np.array([codes.setdefault(w, len(codes)) for w in words], dtype=np.int64)
+    seen = {}
+    for q in range(1, len(c) // 3 + 1):
+        step = np.diff(np.concatenate([[0], (c[:-q] == c[q:]).astype(int), [0]]))
+        for a, b in zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist()):
+            if b + q - a >= max(24, 3 * q):
+                seen.setdefault((a, b + q), q)
+    return sorted(((a, b - a, q) for (a, b), q in seen.items()), key=lambda r: (r[0], r[2]))
+
+
+def expected_runs(text):
+    from fractions import Fraction
+
+    words = WORD.findall(text or "")
+    runs = brute_runs(words)
+    gone = {p for a, n, q in runs for p in range(a + q, a + n)}
+    best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2])) if runs else None
+    top = (best[0], best[1], best[2], 1000 * best[1] // best[2]) if best else (None,) * 4
+    lines = "".join(f"{a},{n},{q}\n" for a, n, q in runs)
+    left = " ".join(w for p, w in enumerate(words) if p not in gone)
+    return len(runs), *top, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(left.encode()).hexdigest(), len(words)
+
+
+def periodic_texts(seed, n=60):
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(n):
+        words = []
+        for _ in range(rnd.randint(1, 6)):
+            q = rnd.choice([1, 2, 3, 5, 7, 8, 9, 12, 15, 16, 17, 24, 31, 32, 33, 48, 64, 65])
+            base = [f"w{rnd.randrange(2 if rnd.random() < 0.5 else 50)}" for _ in range(q)]
+            n_words = rnd.randint(1, 6 * q)
+            words += (base * (n_words // q + 1))[:n_words]
+            if rnd.random() < 0.3:
+                words[rnd.randrange(len(words))] = "odd"
+            words += [f"x{rnd.randrange(1000)}" for _ in range(rnd.choice([0, 0, 1, 5]))]
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("tile, span", [(1024, 8), (32, 1), (64, 2)])
+def test_periodic_runs(spark, rows, monkeypatch, tile, span):
+    """Runs within, across and at the ends of tiles, beside the awkward rows."""
+    monkeypatch.setattr(periods, "TILE", tile)
+    monkeypatch.setattr(periods, "SPAN", span)
+    given = rows + [(30_000 + i, t) for i, t in enumerate([*periodic_texts(tile), "a " * 5000, "a b\n" * 24, "b " * 23])]
+    got = periods.periodic_runs(frame(spark, given)).drop("runs").collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter((i, *expected_runs(t)) for i, t in given)
+
+
+def test_z_function():
+    rnd = np.random.default_rng(2)
+    for _ in range(200):
+        words = rnd.integers(0, 2, rnd.integers(1, 40)).astype(np.int32)
+        want = [next((k for k in range(len(words) - s) if words[k] != words[s + k]), len(words) - s) for s in range(1, len(words))]
+        assert periods.z_function(words, len(words))[1:] == want
+
+
+# Ranked search
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def expected_ranks(docs, items, most):
+    import math
+
+    def found(text):
+        return TERM.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+    held = [(i, collections.Counter(found(t))) for i, t in docs]
+    n_all = sum(bool(c) for _, c in held)
+    l_all = sum(sum(c.values()) for _, c in held)
+    df = collections.Counter(term for _, c in held for term in c)
+    out = collections.Counter()
+    for item, text in items:
+        scores = []
+        for i, c in held:
+            n = sum(c.values())
+            score = 0
+            for term in set(found(text)) & set(c):
+                w = math.floor(1000 * math.log((2 * n_all + 2) / (2 * df[term] + 1)))
+                score += w * (10**9 * c[term] // (1000 * c[term] + 20 * (50 + 50 * n * n_all // l_all)))
+            if score > 0:
+                scores.append((-score, i is None, i or 0, i))
+        out.update((item, rank, i, -score) for rank, (score, _, _, i) in enumerate(sorted(scores)[:most], 1))
+    return out
+
+
+@pytest.mark.parametrize("tile, block, exact", [(200_000, 4_000_000, 1 << 53), (30, 900, 1 << 34)])
+def test_ranked(spark, rows, monkeypatch, tile, block, exact):
+    """Also in many tiles and blocks, with sums cut to a few terms, ties and repeated rows."""
+    monkeypatch.setattr(ranking, "TILE", tile)
+    monkeypatch.setattr(ranking, "BLOCK", block)
+    monkeypatch.setattr(ranking, "EXACT", exact)
+    texts = [t for _, t in rows if t]
+    items = [(k, " ".join(texts[k % len(texts)].split()[: 3 + k % 9])) for k in range(12)] + [(50, None), (51, " - "), (52, "nowhere found"), (None, texts[3][:60]), (0, "ab")]
+    asked = spark.createDataFrame([(k, t, "x") for k, t in items], "item_id long, text string, score string")
+    got = ranking.ranked(frame(spark, rows), asked, most=5).collect()
+    assert collections.Counter(map(tuple, got)) == expected_ranks(rows, items, 5)
+
+
+def test_products_are_exact():
+    """Sums beyond 2^53 are added up in parts."""
+    impact = np.full((2, 40), 999_983.0)
+    weight = np.full((40, 3), 2.0**33 - 1)
+    got = ranking.products(impact, weight, 2**33 - 1)
+    assert (got == 40 * 999_983 * (2**33 - 1)).all()
+
+
+def test_empty_tables_of_the_new_operators(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    made = [
+        pieces.round_trip(none, queries.PIECES), periods.periodic_runs(none), ranking.ranked(none, items),
+        ranking.ranked(spark.createDataFrame([(1, None)], "doc_id long, text string"), items),
+        ranking.ranked(spark.createDataFrame([(1, "a")], "doc_id long, text string"), items.limit(0)),
+    ]
+    assert [df.count() for df in made] == [0] * len(made)
