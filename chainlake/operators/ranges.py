@@ -111,11 +111,11 @@ def commit_frontier(finished: DataFrame) -> DataFrame:
 def with_timeouts(events: DataFrame, ts: str, seconds: int, until: Column) -> DataFrame:
     """Events of ranges (job, range_id, seq, kind, detail and a time) and the failures that
     deadlines add: a submitted range fails when its next event comes ``seconds`` later or
-    more, or when there is none and the deadline lies before ``until``. Their ``seq`` is twice
+    more, or when there is none and the deadline is not after ``until``. Their ``seq`` is twice
     the given one, and one more for a timeout."""
     nxt = F.lead(ts).over(Window.partitionBy("job", "range_id").orderBy("seq"))
     deadline = F.col(ts) + F.make_dt_interval(secs=F.lit(seconds))
-    missed = (F.col("kind") == "submitted") & F.coalesce(F.col("_next") >= deadline, deadline < until)
+    missed = (F.col("kind") == "submitted") & F.coalesce(F.col("_next") >= deadline, deadline <= until)
     told = events.select("job", "range_id", (F.col("seq") * 2).alias("seq"), "kind", "detail")
     late = events.withColumn("_next", nxt).where(missed).select(
         "job", "range_id", (F.col("seq") * 2 + 1).alias("seq"), F.lit(TIMEOUT).alias("kind"), F.lit(TIMEOUT).alias("detail"))

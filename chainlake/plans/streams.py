@@ -261,7 +261,7 @@ DEADLINE, LATENESS = 600, 3600
 TIMED_SQL = f"""n as (select *, lead(ts) over (partition by job, range_id order by seq) as next_ts from timed_events),
     range_events as (select job, range_id, seq * 2 as seq, kind, detail from timed_events union all
     select job, range_id, seq * 2 + 1, 'timeout', 'timeout' from n where kind = 'submitted' and coalesce(next_ts >= ts + interval {DEADLINE} second,
-    ts + interval {DEADLINE} second < (select max(ts) from timed_events) - interval {LATENESS} second)),
+    ts + interval {DEADLINE} second <= (select max(ts) from timed_events) - interval {LATENESS} second)),
     {LIFECYCLE_SQL.replace("('error', 'empty')", "('error', 'empty', 'timeout')")}"""
 
 

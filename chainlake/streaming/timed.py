@@ -236,7 +236,7 @@ def timed_lifecycle(events: DataFrame, ts: str, timeout_seconds: int, delay: str
     """Rows of range states as they change, from a stream of events with a time: like
     :func:`chainlake.streaming.stateful.lifecycle`, and with deadlines. Times are taken to the
     millisecond; a range's events come in the order of ``seq``, their times don't decrease.
-    A timer goes off once the watermark is past it."""
+    A timer goes off once the watermark has reached it."""
     timed = events.withWatermark(ts, delay)
     given = timed.select("job", "range_id", "seq", "kind", "detail", F.unix_millis(ts).alias("at"))
     return given.groupBy("job", "range_id").transformWithStateInPandas(
