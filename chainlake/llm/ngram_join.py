@@ -476,9 +476,11 @@ def similar(
     true = components(true_links(sets, percent))
     named = kinds.join(true, F.col("rid") == F.col("node"), "left").select("same", "n", F.coalesce("component", "rid").alias("part"))
     # The smallest id among all rows of the component, copies included.
-    with_part = rows.select("doc_id", "same", "n").join(named, ["same", "n"], "left")
+    with_part = rows.select("rid", "doc_id", "same", "n").join(named, ["same", "n"], "left")
     least = with_part.where("part is not null").groupBy("part").agg(F.min(F.struct("doc_id"))["doc_id"].alias("component_id"))
-    return with_part.join(least, "part", "left").select(
+    # Rows without a part have keys of their own, so that they don't meet in one task.
+    spread = with_part.withColumn("key", F.coalesce("part", -1 - F.col("rid")))
+    return spread.join(least.withColumnRenamed("part", "key"), "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("part").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
