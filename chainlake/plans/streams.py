@@ -13,7 +13,7 @@ from chainlake.plans.layouts import PRODUCER
 from chainlake.plans.lookups import safe_sql
 from chainlake.plans.registry import query
 from chainlake.session import scratch
-from chainlake.sources import topics
+from chainlake.sources import segments, topics
 from chainlake.streaming import atomic, jobs, stateful, timed
 
 # Offsets in one file of a rate-limited source.
@@ -118,6 +118,16 @@ def atomic_data_plus_state(src):
     return atomic.committed_rows(src.spark, path)
 
 
+@query("j6_two_phase_sink", "select block_height, kafka_offset, run_id from tx", "tx")
+def two_phase_sink(src):
+    """Tasks write files, the driver makes those of a batch visible at once."""
+    path = scratch(src.spark, "j6-two")
+    rows = src.stream("tx").select("block_height", "kafka_offset", "run_id")
+    writer = segments.registered(src.spark) and rows.writeStream.format("two_phase").option("path", path)
+    writer.option("checkpointLocation", scratch(src.spark, "j6-two-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return segments.committed(src.spark, path, rows.schema)
+
+
 @query("j7_progress_record", """select max(block_height) as checkpoint, min(block_height) as start_block, count(*) as rows,
     'uid-1' as pod_uid, 'checkpoint' as mode from tx""", "tx")
 def progress_record(src):

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from chainlake.functions import schemas
 from chainlake.operators import bronze, conversations, layout, ordered, records
 from chainlake.plans import sqltext as S
-from chainlake.plans.common import tx_wire
+from chainlake.plans.common import log_wire, tx_wire
 from chainlake.plans.registry import query
 from chainlake.session import scratch
-from chainlake.sources import topics
+from chainlake.sources import segments, topics
 from chainlake.streaming import jobs
 
 KEY = "cast(block_height as varchar) || '-' || cast(kafka_offset as varchar) as kafka_key"
@@ -37,6 +37,59 @@ def bounded_source(src):
         F.count(F.lit(1)).alias("n"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
 
 
+# Offsets in a stored segment, and offsets a batch takes.
+SEGMENT, PER_TRIGGER = 5_000, 4_000
+
+
+def stored_blocks(src, name):
+    """Block headers as they travel, in stored segments, and a reader's options."""
+    path = scratch(src.spark, name)
+    segments.store_segments(log_wire(src.view("blocks")), path, SEGMENT)
+    return segments.registered(src.spark), path
+
+
+@query("a1_starting_offsets", """select kafka_partition as partition, kafka_offset as offset from blocks
+    where kafka_partition = 1 or kafka_partition = 0 and kafka_offset >= 500""", "blocks")
+def starting_offsets(src):
+    """A stream that begins at an offset, at the earliest, and at the latest one."""
+    spark, path = stored_blocks(src, "a1-segments")
+    starting = '{"0": 500, "1": -2, "2": -1}'
+    rows = spark.readStream.format("segments").option("startingOffsets", starting).option("path", path).load()
+    return jobs.append(rows.select("partition", "offset"), scratch(spark, "a1-from"), scratch(spark, "a1-from-checkpoint"))
+
+
+@query("a1_offsets_per_trigger", f"""select cast(sum(n) as bigint) as n, cast(sum(n) as bigint) as offsets, sum(span) > {PER_TRIGGER} as several_batches, true as capped
+    from (select count(*) as n, max(kafka_offset) - min(kafka_offset) + 1 as span from blocks group by kafka_partition)""", "blocks")
+def offsets_per_trigger(src):
+    """No batch takes more offsets than it may, and together they take all."""
+    spark, path = stored_blocks(src, "a1-segments")
+    reader = spark.readStream.format("segments").option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", PER_TRIGGER)
+    rows = reader.option("path", path).load().select("partition", "offset")
+    out = scratch(spark, "a1-capped")
+
+    def work(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    running = rows.writeStream.foreachBatch(work).option("checkpointLocation", scratch(spark, "a1-capped-checkpoint")).trigger(processingTime="0 seconds").start()
+    running.processAllAvailable()
+    running.stop()
+    stored = spark.read.parquet(out)
+    taken = stored.groupBy("batch", "partition").agg((F.max("offset") - F.min("offset") + 1).alias("offsets"), F.count(F.lit(1)).alias("n"))
+    by_batch = taken.groupBy("batch").agg(F.sum("offsets").alias("offsets"), F.sum("n").alias("n"))
+    whole = stored.agg(F.countDistinct("offset").alias("offsets")).scalar()
+    return by_batch.agg(F.sum("n").alias("n"), whole.alias("offsets"), (F.count(F.lit(1)) > 1).alias("several_batches"),
+                        (F.max("offsets") <= PER_TRIGGER).alias("capped"))
+
+
+@query("a2_min_partitions", "select count(*) as n, count(distinct kafka_offset) as offsets, true as split from blocks", "blocks")
+def min_partitions(src):
+    """A bounded read of three partitions in twelve splits or more."""
+    spark, path = stored_blocks(src, "a2-segments")
+    rows = spark.read.format("segments").option("path", path).option("minPartitions", 12).load()
+    split = rows.select("offset", F.spark_partition_id().alias("part"))
+    return split.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("offset").alias("offsets"), (F.countDistinct("part") >= 12).alias("split"))
+
+
 @query("a3_kafka_metadata", f"select {KEY}, {COORD}, cast(cast(kafka_timestamp as date) as varchar) as kafka_date from tx", "tx")
 def kafka_metadata(src):
     return tx_wire(src.view("tx")).select(*topics.kafka_metadata())
