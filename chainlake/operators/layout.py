@@ -36,6 +36,22 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+V1 = "spark.sql.sources.useV1SourceList"
+
+
+def read_with_statistics(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table whose counts, smallest and largest values are taken from file footers, not from
+    rows, where nothing but these is asked for (``explain`` shows ``PushedAggregation``)."""
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    before = spark.conf.get(V1)
+    # Aggregates are pushed to readers of the second generation only.
+    spark.conf.set(V1, ",".join(name for name in before.split(",") if name != "parquet"))
+    try:
+        return spark.read.schema(schema).parquet(path)
+    finally:
+        spark.conf.set(V1, before)
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

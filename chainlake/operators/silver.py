@@ -29,6 +29,18 @@ def parse_tx(bronze: DataFrame, keep: list[str], *fields: str) -> DataFrame:
     return parse(bronze, keep, schema, "hash")
 
 
+def parsed_once(bronze: DataFrame, raw: str = "raw", out: str = "payload") -> DataFrame:
+    """Replace payload text by a VARIANT column: it is parsed when it is stored, and later
+    reads take members from the binary form. Text that is no JSON gives NULL."""
+    return bronze.withColumn(out, F.try_parse_json(raw)).drop(raw)
+
+
+def members(stored: DataFrame, keep: list[str], names: dict[str, str], payload: str = "payload") -> DataFrame:
+    """Members of stored payloads as text, ``names`` giving each its column."""
+    found = [F.try_variant_get(payload, f"$.{member}", "string").alias(column) for member, column in names.items()]
+    return stored.select(*keep, *found)
+
+
 def enriched_tx(bronze: DataFrame) -> DataFrame:
     """Typed, classified transactions."""
     tx = parse_tx(bronze, ["block_height", "job_name", "run_id", *KAFKA_COLUMNS])

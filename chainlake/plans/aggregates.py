@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chainlake.operators import metrics, quality, ranges, silver, state
+from chainlake.operators import layout, metrics, quality, ranges, silver, state
 from chainlake.plans import sqltext as S
 from chainlake.plans.common import parsed_logs, parsed_tx, state_table
 from chainlake.plans.registry import query
+from chainlake.session import scratch
 
 
 @query("e1_max_offset", """select kafka_partition, max(kafka_offset) as mark from tx group by kafka_partition
@@ -33,6 +34,28 @@ def row_count(src):
     return src.view("logs").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stored_coordinates(src):
+    """Stored heights and offsets, read so that footers answer."""
+    path = scratch(src.spark, "e-bronze")
+    rows = src.view("tx").select("block_height", "kafka_offset", "kafka_partition")
+    rows.write.partitionBy("kafka_partition").parquet(path)
+    return layout.read_with_statistics(src.spark, path, rows.schema)
+
+
+@query("e2_frontier_from_footers", """select max(block_height) as last_block, min(block_height) as first_block, max(kafka_offset) as last_offset,
+    count(*) as n from tx""", "tx")
+def frontier_from_footers(src):
+    return stored_coordinates(src).agg(
+        F.max("block_height").alias("last_block"), F.min("block_height").alias("first_block"),
+        F.max("kafka_offset").alias("last_offset"), F.count("*").alias("n"))
+
+
+@query("e1_marks_from_footers", "select kafka_partition, max(kafka_offset) as mark, count(*) as n from tx group by kafka_partition", "tx")
+def marks_from_footers(src):
+    """Partitions are folders, so a mark per partition needs no rows either."""
+    return stored_coordinates(src).groupBy("kafka_partition").agg(F.max("kafka_offset").alias("mark"), F.count("*").alias("n"))
+
+
 @query("e4_count_by_flag", f"""with {S.TXJ} select coalesce(j_input <> '0x' and substr(j_input, 1, 10) in ('0x5c60da1b', '0x3659cfe6'), false)
     as is_proxy_like, count(*) as n from p group by 1""", "tx")
 def count_by_flag(src):

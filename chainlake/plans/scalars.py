@@ -11,6 +11,7 @@ from chainlake.operators import bronze, silver, state
 from chainlake.plans import sqltext as S
 from chainlake.plans.common import state_records
 from chainlake.plans.registry import query
+from chainlake.session import scratch
 
 K = "kafka_partition, kafka_offset"
 KEYS = ["kafka_partition", "kafka_offset"]
@@ -155,6 +156,16 @@ def json_field(src):
         *KEYS, *[F.when(whole, get(f)).alias(n) for f, n in (("hash", "hash"), ("to", "receiver"), ("chainId", "chain"))])
 
 
+@query("i14_variant_member", f"""with {S.TXJ} select {K}, j_hash as hash, j_to as receiver, j_chainid as chain, j_blockhash as block_hash from p
+    union all select {K}, null, null, null, null from tx where not json_valid(raw)""", "tx")
+def variant_member(src):
+    """Members of payloads that were parsed once, when they were stored."""
+    path = scratch(src.spark, "i14-bronze")
+    silver.parsed_once(src.view("tx").select(*KEYS, "raw")).write.parquet(path)
+    stored = src.spark.read.parquet(path)
+    return silver.members(stored, KEYS, {"hash": "hash", "to": "receiver", "chainId": "chain", "blockHash": "block_hash"})
+
+
 @over_tx("i15_lower_addr", f"{S.addr('j_from')} as from_address, {S.addr('j_to')} as to_address, "
          "regexp_replace(j_type, '^0x', '') as tx_type", ["from", "to", "type"])
 def lower_addr():
