@@ -290,6 +290,20 @@ DOCS = (
 )
 
 
+@query("a18_fan_out_triggers", "select 'lake' as sink, kafka_key, kafka_offset from state union all select 'store', kafka_key, kafka_offset from state", "state")
+def fan_out_triggers(src):
+    """One source, two sinks on triggers of their own (short ones here), stopped when both have
+    taken what there is."""
+    paths = {"lake": scratch(src.spark, "a18-lake"), "store": scratch(src.spark, "a18-store")}
+    rows = src.stream("state").select("kafka_key", "kafka_offset")
+    running = jobs.fan_out(rows, {paths["lake"]: "2 seconds", paths["store"]: "1 second"}, scratch(src.spark, "a18-triggers"))
+    for sink in running:
+        sink.processAllAvailable()
+        sink.stop()
+    lake, store = [src.spark.read.schema(rows.schema).parquet(p).withColumn("sink", F.lit(n)) for n, p in paths.items()]
+    return lake.unionByName(store)
+
+
 @query("a17_partitioned_text_export", f"with {DOCS} select * from docs", "chats")
 def partitioned_text_export(src):
     return conversations.documents(src.view("chats"))
