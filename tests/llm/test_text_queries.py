@@ -216,3 +216,36 @@ def test_all_stages_against_brute_force(spark):
             assert offset == at
             at += length
         assert at <= 2048
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], DOCS)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF_DIR)
+        assert docs.count() == 0
+        docs = spark.createDataFrame([], docs.schema)
+
+
+def test_stages_with_very_long_texts(spark):
+    """Texts of over a megabyte beside short ones, whole at the end: all but a near copy, and
+    a passage of the long ones that comes again."""
+    import random
+
+    rnd = random.Random(8)
+    pool = ["".join(rnd.choices("abcdefghijklmnop", k=rnd.randint(3, 9))) for _ in range(30_000)]
+    long = " ".join(rnd.choices(pool, k=200_000))
+    words = long.split()
+    near = " ".join(["edit", *words[1:150_000], "edited", *words[150_001:]])
+    passage = " ".join(words[1000:1100])
+    given = [(1, long), (2, near), (3, passage + " " + " ".join(rnd.choices(pool, k=60)))] + [(10 + i, " ".join(rnd.choices(pool, k=80))) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in given], DOCS)
+    left = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF_DIR)
+        left = {r.doc_id: r.text for r in docs.collect()}
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        assert set(left) == {i for i, _ in given} - ({2} if name != "quality_rules" else set())
+    # A character beside the passage may be the same in both places by chance.
+    assert len(passage) - 1 <= len(long) - len(left[1]) <= len(passage) + 5
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
+    assert {r.doc_id for r in packed} == set(left) and max(r.piece for r in packed) > 100
