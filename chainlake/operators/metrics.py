@@ -31,8 +31,9 @@ def series(samples: DataFrame) -> DataFrame:
 
 def increments(samples: DataFrame, keys: list[str] = SERIES) -> DataFrame:
     """Growth of each counter since its previous sample. After a reset the counter starts
-    from zero, so its new value is the growth; a first sample has none."""
-    prev = ordered.lag(samples, keys, ["ts"], {"prev": "value"}, ordered.by_day("ts"))
+    from zero, so its new value is the growth; a first sample has none. Of samples of one
+    time the higher is the later one."""
+    prev = ordered.lag(samples, keys, ["ts", "value"], {"prev": "value"}, ordered.by_day("ts"))
     grown = F.when(F.col("value") < F.col("prev"), F.col("value")).otherwise(
         F.col("value") - F.col("prev")
     )
@@ -55,16 +56,21 @@ def rate(samples: DataFrame, window: str, seconds: int, by: list[str], keys: lis
     )
 
 
+def latest() -> Column:
+    """The value of the latest sample; of samples of one time the highest."""
+    return F.max_by("value", F.struct("ts", "value"))
+
+
 def last_over_time(samples: DataFrame, window: str, keys: list[str] = SERIES) -> DataFrame:
     return (
         samples.groupBy(F.window("ts", window).alias("w"), *keys)
-        .agg(F.max_by("value", "ts").alias("value"))
+        .agg(latest().alias("value"))
         .select(F.col("w.start").alias("window_start"), *keys, "value")
     )
 
 
 def latest_value(samples: DataFrame, keys: list[str] = SERIES) -> DataFrame:
-    return samples.groupBy(*keys).agg(F.max_by("value", "ts").alias("value"))
+    return samples.groupBy(*keys).agg(latest().alias("value"))
 
 
 def level(value: Column, levels=LAG_LEVELS, base: str = "green") -> Column:
