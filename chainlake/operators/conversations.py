@@ -48,8 +48,8 @@ def trim_blank(text: Column) -> Column:
 
 def rollup(msgs: DataFrame) -> DataFrame:
     """Rendered messages of each conversation with their position from 1. A conversation's
-    text is never brought together in a row, however long it is."""
-    numbered = ordered.row_number(msgs, ["conv_id"], ["turn"], "pos")
+    text is never brought together in a row nor its messages in a task, however many it has."""
+    numbered = ordered.row_number(msgs, ["conv_id"], ["turn"], "pos", ordered.by_span("turn"))
     return numbered.select(
         "conv_id", "pos", F.concat(heading(F.col("role")), F.lit("\n"), F.col("text"), F.lit("\n\n")).alias("text")
     )

@@ -79,6 +79,52 @@ def write_sorted(df: DataFrame, path: str, order: list[str], max_records: int |
     writer.parquet(path)
 
 
+# Bits of each of two interleaved values.
+INTERLEAVED_BITS = 16
+
+
+def spread_bits(c: Column) -> Column:
+    """The lower 16 bits of a number with a zero between any two."""
+    c = c.cast("bigint")
+    for step, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        c = c.bitwiseOR(F.shiftleft(c, step)).bitwiseAND(F.lit(mask).cast("bigint"))
+    return c
+
+
+def interleaved(first: Column, second: Column) -> Column:
+    """Both numbers' bits in turn, so that neighbours in either stay near each other."""
+    return F.shiftleft(spread_bits(first), 1).bitwiseOR(spread_bits(second))
+
+
+def position(number: Column, low: int, high: int) -> Column:
+    """Place between the lowest and highest value, in as many steps as are interleaved."""
+    steps = (1 << INTERLEAVED_BITS) - 1
+    return F.coalesce(F.floor((number - F.lit(low)) * F.lit(float(steps)) / F.lit(max(1, high - low))), F.lit(0)).cast("bigint")
+
+
+def address_position(address: Column) -> Column:
+    """Place of an address by its first digits behind ``0x``, which are spread evenly."""
+    return F.coalesce(F.conv(F.substring(address, 3, INTERLEAVED_BITS // 4), 16, 10).cast("bigint"), F.lit(0))
+
+
+def write_for_lookups(df: DataFrame, path: str, hash_column: str, number: str, address: str,
+                      distinct_hashes: int = 1_000_000, row_group_bytes: int | None = None) -> None:
+    """Parquet for lookups by hash, by number range or by address. Row groups have a Bloom
+    filter of the hash, sized for so many hashes in each; number and address are interleaved,
+    so that either's smallest and largest values in a row group are close together."""
+    low, high = df.agg(F.min(number), F.max(number)).first()
+    place = interleaved(position(F.col(number), low or 0, high or 0), address_position(F.col(address)))
+    placed = df.withColumn("_place", place)
+    writer = (
+        placed.repartitionByRange("_place", address).sortWithinPartitions("_place", address).drop("_place").write.mode("overwrite")
+        .option(f"parquet.bloom.filter.enabled#{hash_column}", "true")
+        .option(f"parquet.bloom.filter.expected.ndv#{hash_column}", str(distinct_hashes))
+    )
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
+    writer.parquet(path)
+
+
 def shard(key: Column, shards: int) -> Column:
     """Shard of a key, the same on every run."""
     return F.pmod(F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("bigint"), F.lit(shards))

@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 SLICE = 100_000
 
 
+# Kinds whose value over a whole slice does not depend on its order.
+UNORDERED = {"count", "sum", "max", "max_before"}
+
+
 @dataclass(frozen=True)
 class Running:
     """A value computed over the rows of a key up to the current one.
@@ -53,6 +57,17 @@ class Running:
                 return F.col(self.value)
         raise ValueError(self.kind)
 
+    def whole(self) -> Column:
+        """What a slice hands on, by grouping."""
+        match self.kind:
+            case "count":
+                return F.count(F.lit(1))
+            case "sum":
+                return F.sum(self.value)
+            case "max" | "max_before":
+                return F.max(self.value)
+        raise ValueError(self.kind)
+
     def carry(self, column: str, slices) -> Column:
         """What all earlier slices of the key hand on."""
         before = slices.rowsBetween(Window.unboundedPreceding, -1)
@@ -101,9 +116,14 @@ def running(
         *[v.over(rows).alias(f"_local_{n}") for n, v in values.items()],
         *[v.upto(rows).alias(f"_upto_{n}") for n, v in values.items()],
     )
+    if all(v.kind in UNORDERED for v in values.values()):
+        # Summed up before the shuffle, without the other columns and unsorted.
+        ends = placed.groupBy("_at").agg(*[v.whole().alias(f"_upto_{n}") for n, v in values.items()])
+    else:
+        ends = local.where("_end")
     following = Window.partitionBy(*[F.col(f"_at.`{k}`") for k in keys]).orderBy("_at._slice")
     # One row per key and slice.
-    carried = local.where("_end").select(
+    carried = ends.select(
         F.col("_at").alias("_to"), *[v.carry(f"_upto_{n}", following).alias(f"_carry_{n}") for n, v in values.items()]
     )
     joined = local.join(carried, F.col("_at") == F.col("_to"), "left")

@@ -78,9 +78,13 @@ def missing_rows(wanted: DataFrame, present: DataFrame, keys: list[str]) -> Data
     return wanted.select(*keys).distinct().join(present.select(*keys).distinct(), keys, "left_anti")
 
 
-def not_yet_stored(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+def not_yet_stored(incoming: DataFrame, stored: DataFrame, keys: list[str], bucket: str | None = None) -> DataFrame:
     """Rows of a replay that are not stored. Rows are told apart by their keys, so that a
-    replayed range adds nothing twice."""
+    replayed range adds nothing twice. ``bucket`` is a column that follows from the keys and
+    partitions the stored table: only the folders that the replay touches are read. The
+    touched buckets are broadcast; a chain has as many as its height over a bucket's width."""
+    if bucket:
+        stored = stored.join(F.broadcast(incoming.select(bucket).distinct()), bucket, "left_semi")
     return dedup(incoming, keys).join(stored.select(*keys).distinct(), keys, "left_anti")
 
 

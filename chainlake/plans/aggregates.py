@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chainlake.operators import layout, metrics, quality, ranges, silver, state
+from chainlake.operators import heavy, layout, metrics, quality, ranges, silver, state
 from chainlake.plans import sqltext as S
 from chainlake.plans.common import parsed_logs, parsed_tx, state_table
 from chainlake.plans.registry import query
@@ -121,6 +121,33 @@ def call_graph(src):
     return parsed_tx(src, "from_address", "to_address").groupBy("from_address", "to_address").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Pairs reported as the heaviest.
+HEAVIEST = 50
+
+
+@query("e8_heaviest_pairs", f"""with {S.TXJ} select {S.addr('j_from')} as from_address, {S.addr('j_to')} as to_address, count(*) as n
+    from p group by all order by n desc, from_address nulls first, to_address nulls first limit {HEAVIEST}""", "tx")
+def heaviest_pairs(src):
+    """Callers and callees with most transactions, from stored addresses."""
+    path = scratch(src.spark, "e8-pairs")
+    pairs = parsed_tx(src, "from_address", "to_address")
+    layout.append(pairs, path)
+    return heavy.most_frequent(layout.read_table(src.spark, path, pairs.schema), ["from_address", "to_address"], HEAVIEST)
+
+
+@query("e8_heaviest_methods", f"""with {S.TXJ} select case when j_input <> '0x' then substr(j_input, 1, 10) end as method_id, count(*) as n
+    from p group by all order by n desc, method_id nulls first limit {HEAVIEST}""", "tx")
+def heaviest_methods(src):
+    """Selectors with most transactions; the tables of odd and even blocks are merged."""
+    path = scratch(src.spark, "e8-methods")
+    calls = parsed_tx(src, "method_id", "block_number")
+    layout.append(calls, path)
+    stored = layout.read_table(src.spark, path, calls.schema)
+    odd = F.col("block_number") % 2 == 1
+    parts = [heavy.counts(stored.where(side), ["method_id"]) for side in (odd, ~odd)]
+    return heavy.most_frequent(stored, ["method_id"], HEAVIEST, heavy.merged(parts))
+
+
 @query("e9_balance_by_address", """with d as (select from_address as address, case when removed then amount else -amount end as delta from transfers
     union all select to_address, case when removed then -amount else amount end from transfers)
     select address, cast(sum(delta) as varchar) as balance, count(*) as n from d group by address""", "transfers")

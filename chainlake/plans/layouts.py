@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chainlake.operators import layout, silver
 from chainlake.plans import sqltext as S
-from chainlake.plans.common import state_table
+from chainlake.plans.common import parsed_tx, state_table
 from chainlake.plans.registry import query
 from chainlake.session import scratch
 
@@ -54,6 +54,39 @@ def sorted_layout(src):
     return src.spark.read.parquet(path)
 
 
+TX_LOOKUP_SQL = f"select j_hash as tx_hash, block_height as block_number, {S.addr('j_from')} as from_address from p"
+
+
+def stored_for_lookups(src):
+    path = scratch(src.spark, "b4-lookups")
+    tx = parsed_tx(src, "tx_hash", "block_number", "from_address")
+    layout.write_for_lookups(tx, path, "tx_hash", "block_number", "from_address")
+    return layout.read_table(src.spark, path, tx.schema)
+
+
+@query("b4_interleaved_layout", f"with {S.TXJ} {TX_LOOKUP_SQL}", "tx")
+def interleaved_layout(src):
+    return stored_for_lookups(src)
+
+
+@query("c8_hash_lookup", f"""with {S.TXJ}, t as ({TX_LOOKUP_SQL}) select * from t
+    where tx_hash = (select max(tx_hash) from t)""", "tx")
+def hash_lookup(src):
+    """The transactions of one hash; row groups whose Bloom filter lacks it are skipped."""
+    stored = stored_for_lookups(src)
+    wanted = stored.agg(F.max("tx_hash")).first()[0]
+    return stored.where(F.col("tx_hash") == F.lit(wanted))
+
+
+@query("c8_address_lookup", f"""with {S.TXJ}, t as ({TX_LOOKUP_SQL}) select * from t
+    where from_address = (select max(from_address) from t)""", "tx")
+def address_lookup(src):
+    """The transactions of one sender; row groups of other senders are skipped by their borders."""
+    stored = stored_for_lookups(src)
+    wanted = stored.agg(F.max("from_address")).first()[0]
+    return stored.where(F.col("from_address") == F.lit(wanted))
+
+
 @query("b5_file_sizing", "select count(*) as n, true as within_limit from tx", "tx")
 def file_sizing(src):
     """Files hold at most the given number of records."""

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chainlake.functions import hexnum as H
-from chainlake.operators import heads, lookup, metrics, quality, silver, state
+from chainlake.operators import heads, layout, lookup, metrics, quality, silver, state
 from chainlake.plans import sqltext as S
 from chainlake.plans.common import parsed_logs, parsed_tx, state_table
 from chainlake.plans.registry import query
+from chainlake.session import scratch
 
 
 @query("d1_merge_upsert", f"""with {S.STATEJ}, target as (select * from st where run_mode = 'checkpoint'
@@ -80,18 +81,27 @@ def empty_range_check(src):
     return quality.empty_blocks(src.view("headers"), parsed_tx(src, "block_number"), parsed_logs(src, "block_number"))
 
 
+# Blocks in a bucket of the stored table of the replay.
+REPLAY_BUCKET = 1_000
+
+
 @query("d6_incremental_antijoin", f"""with {S.TXJ}, k as (select block_height, j_blockhash as block_hash,
     cast({S.long('j_transactionindex')} as integer) as tx_index, job_name, kafka_offset from p),
     fresh as (select * from k qualify row_number() over (partition by block_height, block_hash, tx_index order by kafka_offset) = 1)
     select * exclude job_name from fresh where not exists (select 1 from k where k.job_name = 'bsc_backfill_transactions'
     and k.block_height = fresh.block_height and k.block_hash = fresh.block_hash and k.tx_index = fresh.tx_index)""", "tx")
 def incremental_antijoin(src):
-    """A replay of everything adds only what the backfill has not stored."""
+    """A replay of everything adds only what the backfill has not stored in its block buckets."""
     tx = silver.parse_tx(src.view("tx"), ["block_height", "job_name", "kafka_offset"], "hash", "blockHash", "transactionIndex")
     rows = tx.select("block_height", F.col("blockHash").alias("block_hash"),
                      H.hex_to_int(F.col("transactionIndex")).alias("tx_index"), "job_name", "kafka_offset")
-    stored = rows.where("job_name = 'bsc_backfill_transactions'")
-    return quality.not_yet_stored(rows.drop("job_name"), stored, ["block_height", "block_hash", "tx_index"])
+    replay = layout.with_block_bucket(rows.drop("job_name"), "block_height", REPLAY_BUCKET)
+    backfill = layout.with_block_bucket(rows.where("job_name = 'bsc_backfill_transactions'"), "block_height", REPLAY_BUCKET)
+    path = scratch(src.spark, "d6")
+    layout.write_partitioned(backfill, path, ["block_bucket"])
+    stored = layout.read_table(src.spark, path, backfill.schema)
+    fresh = quality.not_yet_stored(replay, stored, ["block_height", "block_hash", "tx_index"], "block_bucket")
+    return fresh.drop("block_bucket")
 
 
 # One step per observation; ranks replace sequence numbers so that steps can be followed.

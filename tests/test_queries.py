@@ -8,7 +8,7 @@ from chainlake import plans
 from conftest import SF_DIR
 
 HOT = [
-    "d2_block_by_time", "e10_commit_interval", "f2_ranked_history", "f5_gap_detect", "f6_commit_interval", "g1_order_state",
+    "a17_index", "a17_partitioned_text_export", "d2_block_by_time", "e14_conversation_rollup", "e10_commit_interval", "f2_ranked_history", "f5_gap_detect", "f6_commit_interval", "g1_order_state",
     "j9_plan_ranges_tailing", "j10_safe_head", "j11_head_source_arbiter", "l1_counter_rate", "l7_commit_interval_max",
     "l9_commit_overhead_ratio",
 ]
