@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from chainlake.functions import columns as C
 from chainlake.operators import ordered
 
+LEAST_BUCKET = -(1 << 63)
+
 
 def gaps(heights: DataFrame) -> DataFrame:
     """Missing spans per chain in rows (chain, height).
@@ -78,13 +80,20 @@ def missing_rows(wanted: DataFrame, present: DataFrame, keys: list[str]) -> Data
     return wanted.select(*keys).distinct().join(present.select(*keys).distinct(), keys, "left_anti")
 
 
+def in_touched_buckets(stored: DataFrame, incoming: DataFrame, bucket: str) -> DataFrame:
+    """Stored rows of the buckets that incoming rows lie in. The buckets are broadcast; a
+    chain has as many as its height over a bucket's width. Spark prunes folders at run time
+    only by a side that is filtered, hence a filter that any number passes."""
+    touched = incoming.where(F.col(bucket) >= LEAST_BUCKET).select(bucket).distinct()
+    return stored.join(F.broadcast(touched), bucket, "left_semi")
+
+
 def not_yet_stored(incoming: DataFrame, stored: DataFrame, keys: list[str], bucket: str | None = None) -> DataFrame:
     """Rows of a replay that are not stored. Rows are told apart by their keys, so that a
     replayed range adds nothing twice. ``bucket`` is a column that follows from the keys and
-    partitions the stored table: only the folders that the replay touches are read. The
-    touched buckets are broadcast; a chain has as many as its height over a bucket's width."""
+    partitions the stored table: only the folders that the replay touches are read."""
     if bucket:
-        stored = stored.join(F.broadcast(incoming.select(bucket).distinct()), bucket, "left_semi")
+        stored = in_touched_buckets(stored, incoming, bucket)
     return dedup(incoming, keys).join(stored.select(*keys).distinct(), keys, "left_anti")
 
 

@@ -113,7 +113,7 @@ def stored_keys_left_out(
         # Rows without a block form a bucket of their own.
         fresh = batch.withColumn("block_bucket", F.coalesce(C.block_bucket(F.col(block), width), F.lit(-1)))
         stored = layout.read_table(spark, path, schema).where(F.col("batch") < batch_id)
-        touched = stored.join(fresh.select("block_bucket").distinct(), "block_bucket", "left_semi")
+        touched = quality.in_touched_buckets(stored, fresh, "block_bucket")
         # As fields of a struct, absent keys equal each other.
         known = touched.select(F.struct(*keys).alias("_key")).distinct()
         new = quality.dedup(fresh, keys, order).withColumn("_key", F.struct(*keys)).join(known, "_key", "left_anti")

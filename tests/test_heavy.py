@@ -91,11 +91,13 @@ def test_bits_are_interleaved(spark):
 
 
 def test_a_replay_reads_the_buckets_it_touches(spark, scratch):
-    stored = spark.range(2000).select(F.col("id").alias("block"), F.floor(F.col("id") / 100).alias("block_bucket"))
+    stored = spark.range(2000).select(
+        F.col("id").alias("block"), F.floor(F.col("id") / 100).alias("block_bucket"))
     path = scratch("replay")
     layout.write_partitioned(stored, path, ["block_bucket"])
     table = spark.read.schema(stored.schema).parquet(path)
-    replay = spark.range(1950, 2050).select(F.col("id").alias("block"), F.floor(F.col("id") / 100).alias("block_bucket"))
+    replay = spark.range(1950, 2050).select(
+        F.col("id").alias("block"), F.floor(F.col("id") / 100).alias("block_bucket"), F.col("id").alias("kafka_offset"))
     fresh = quality.not_yet_stored(replay, table, ["block"], "block_bucket")
     assert sorted(r.block for r in fresh.collect()) == list(range(2000, 2050))
     assert "dynamicpruning" in fresh._jdf.queryExecution().executedPlan().toString()
