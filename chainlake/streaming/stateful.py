@@ -3,7 +3,7 @@
 The first two run the batch operators on each micro-batch, from the state that the batch
 before left: a chain's observations are worked on in slices, by many tasks, however many a
 batch brings. State and rows are written under the batch id, so a repeated batch replaces
-what it wrote. The lifecycle keeps a few numbers per range in the state store.
+what it wrote. The lifecycle keeps a few numbers per range in the state store, in groups of ranges.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -38,19 +38,48 @@ def step_by_step(rows: DataFrame, path: str, checkpoint: str, state: str, schema
 
 
 def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows)).sort_values("seq")
+    return pd.concat(list(rows)).sort_values("seq", kind="stable")
+
+
+# Consecutive ranges of a job whose state is one row of the state store. A range by itself takes
+# several calls from Python to the store and a data frame; a group takes them once.
+GROUP = 256
+
+
+def grouped(events: DataFrame, *columns: str | Column) -> GroupedData:
+    """Events of ranges by job and group of consecutive ranges. Absent numbers have a group of their
+    own, and an absent ``seq`` is the last; neither makes others of its column inexact in pandas."""
+    group = F.floor(F.col("range_id") / GROUP).cast("string")
+    given = events.select(
+        "job", F.coalesce(group, F.lit(ABSENT)).alias("_group"), F.coalesce("range_id", F.lit(0)).cast("bigint").alias("range_id"),
+        F.coalesce("seq", F.lit(LAST)).cast("bigint").alias("seq"), *columns)
+    return given.groupBy("job", "_group")
+
+
+ABSENT, LAST = "", (1 << 63) - 1
 
 
 class Lifecycle(StatefulProcessor):
     """Applies range events as they come and reports each range's new state."""
 
     ENDED = ("DONE", "FAILED")
+    # What is kept of a range, and of one nothing was heard of.
+    KEPT = "range_id: bigint, status: string, retry: bigint, last_error: string"
+    NEW = ("PLANNED", 0, None)
 
     def __init__(self, max_retry: int):
         self.max_retry = max_retry
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("range", "status string, retry bigint, last_error string")
+        self.handle = handle
+        self.state = handle.getValueState("range", f"ranges array<struct<{self.KEPT}>>")
+
+    def known(self) -> dict:
+        """The states of a group by range."""
+        return {r[0]: tuple(r[1:]) for r in self.state.get()[0]} if self.state.exists() else {}
+
+    def keep(self, states: dict) -> None:
+        self.state.update(([(number, *state) for number, state in states.items()],))
 
     def apply(self, current: tuple, kind: str, detail: str) -> tuple:
         status, retry, error = current
@@ -63,16 +92,23 @@ class Lifecycle(StatefulProcessor):
             return ("FAILED" if ended else "RETRYING"), retry + 1, detail
         return ("INFLIGHT" if kind == "submitted" else "PLANNED"), retry, error
 
+    def number(self, key: tuple, number: int) -> int | None:
+        """The number of a range as it came."""
+        return None if key[1] == ABSENT else number
+
+    def told(self, key: tuple, made: list[tuple]) -> pd.DataFrame:
+        """Rows ``(range_id, seq, status, retry, last_error)`` as the operator gives them."""
+        found = [(key[0], self.number(key, number), None if seq == LAST else seq, *state) for number, seq, *state in made]
+        return pd.DataFrame(found, columns=["job", "range_id", "seq", "status", "retry", "last_error"])
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = in_order(rows)
-        current = tuple(self.state.get()) if self.state.exists() else ("PLANNED", 0, None)
-        for kind, detail in zip(pdf["kind"], pdf["detail"]):
-            current = self.apply(current, kind, detail)
-        self.state.update(current)
-        yield pd.DataFrame(
-            [(key[0], key[1], int(pdf["seq"].iloc[-1]), *current)],
-            columns=["job", "range_id", "seq", "status", "retry", "last_error"],
-        )
+        states, heard = self.known(), {}
+        for number, seq, kind, detail in zip(pdf["range_id"].tolist(), pdf["seq"].tolist(), pdf["kind"], pdf["detail"]):
+            states[number] = self.apply(states.get(number, self.NEW), kind, detail)
+            heard[number] = seq
+        self.keep(states)
+        yield self.told(key, [(number, seq, *states[number]) for number, seq in heard.items()])
 
     def close(self) -> None:
         pass
@@ -107,7 +143,7 @@ def plan_tailing(observations: DataFrame, size: int, path: str, checkpoint: str)
 
 def lifecycle(events: DataFrame, max_retry: int = ranges.MAX_RETRY) -> DataFrame:
     """One row per range and micro-batch; the row with the highest ``seq`` is current."""
-    return events.groupBy("job", "range_id").transformWithStateInPandas(
+    return grouped(events, "kind", "detail").transformWithStateInPandas(
         Lifecycle(max_retry),
         "job string, range_id bigint, seq bigint, status string, retry bigint, last_error string",
         "Update", "None",

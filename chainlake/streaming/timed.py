@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from chainlake.functions import columns as C
 from chainlake.operators import ranges
 from chainlake.streaming.jobs import for_each, stored_keys_left_out
-from chainlake.streaming.stateful import Lifecycle
+from chainlake.streaming.stateful import Lifecycle, grouped, in_order
 
 # Rows travel through an operator as text that keeps every microsecond.
 EXACT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -34,9 +34,16 @@ def from_text(column: str, schema: T.StructType) -> Column:
 
 
 def state_table(spark: SparkSession, checkpoint: str, name: str) -> DataFrame:
-    """The keys and values that a query's operator keeps under ``name``, as of its last batch."""
+    """The keys and values that a query's operator keeps under ``name``, as of its last batch;
+    of a group of keys, a row for each."""
     rows = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
-    return rows.select("key.*", "value.*")
+    held = rows.schema["value"].dataType.fields
+    if len(held) > 1 or not isinstance(held[0].dataType, T.ArrayType):
+        return rows.select("key.*", "value.*")
+    made = rows.select("key.*", F.inline(F.col("value")[held[0].name]))
+    if "range_id" in made.columns:
+        made = made.withColumn("range_id", F.when(F.col("_group") != "", F.col("range_id")))
+    return made.drop("_group")
 
 
 def state_operators(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -139,29 +146,49 @@ def append_windows(rows: DataFrame, keys: list[str], ts: str, seconds: int, dela
     return WindowTables(rows.sparkSession, path, checkpoint, fields, seconds, row)
 
 
+# Groups by hash that keys are kept in: each is one row of the state store. A key by itself
+# takes several calls from Python to the store and a data frame; a group takes them once.
+GROUPS = 1 << 12
+
+
 class FirstSeen(StatefulProcessor):
-    """Hands on the first row of a key that the state doesn't know. A key is forgotten by a
-    timer, ``ttl_ms`` after it was first seen."""
+    """Hands on the first row of each key that the state doesn't know. A key is forgotten
+    ``ttl_ms`` after it was first seen, by the timer of its group."""
 
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "arrived bigint")
+        self.seen = handle.getValueState("seen", "keys array<struct<key: string, arrived: bigint>>")
+
+    def known(self) -> dict:
+        return {r[0]: r[1] for r in self.seen.get()[0]} if self.seen.exists() else {}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows))
-        if self.seen.exists():
+        known, first, times = self.known(), {}, {}
+        for pdf in rows:
+            for name, place, row, arrived in zip(pdf["key"].tolist(), pdf["place"].tolist(), pdf["row"].tolist(), pdf["arrived"].tolist()):
+                if name in known:
+                    continue
+                if name not in first or (place, row) < first[name]:
+                    first[name] = (place, row)
+                times[name] = max(arrived, times.get(name, arrived))
+        if not first:
             return
-        arrived = int(pdf["arrived"].max())
-        self.seen.update((arrived,))
-        self.handle.registerTimer(arrived + self.ttl_ms)
-        first = min(zip(pdf["place"].tolist(), pdf["row"].tolist()))
-        yield pd.DataFrame({"row": [first[1]]})
+        if not known:
+            self.handle.registerTimer(min(times.values()) + self.ttl_ms)
+        self.seen.update(([*known.items(), *times.items()],))
+        yield pd.DataFrame({"row": [row for _, row in first.values()]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        left = {name: arrived for name, arrived in self.known().items() if arrived + self.ttl_ms > now}
+        if left:
+            self.seen.update((list(left.items()),))
+            self.handle.registerTimer(min(left.values()) + self.ttl_ms)
+        else:
+            self.seen.clear()
         yield pd.DataFrame({"row": pd.Series([], dtype=str)})
 
     def close(self) -> None:
@@ -182,24 +209,28 @@ def append_new_with_state(
     timed = rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", "0 seconds")
     given = timed.select(
         as_text(keys).alias("key"), place.alias("place"), F.unix_millis("_arrived").alias("arrived"), as_text(rows.columns).alias("row"))
-    unknown = given.groupBy("key").transformWithStateInPandas(FirstSeen(int(ttl_seconds * 1000)), "row string", "Append", "EventTime")
+    given = given.withColumn("_group", F.pmod(F.xxhash64("key"), F.lit(GROUPS)))
+    unknown = given.groupBy("_group").transformWithStateInPandas(FirstSeen(int(ttl_seconds * 1000)), "row string", "Append", "EventTime")
     fresh = unknown.select(from_text("row", rows.schema).alias("r")).select("r.*")
     return stored_keys_left_out(fresh, path, checkpoint, keys, order, block, width, aside=f"{path}-unknown")
 
 
+# The time of events without one, which set no deadline.
+UNTIMED = -(1 << 63)
+
+
 class TimedLifecycle(Lifecycle):
     """The lifecycle of ranges with a deadline for results: a submitted range that nothing is
     heard of within ``timeout_ms`` counts a failure more, by a timer or when something
     comes after all."""
 
+    KEPT = f"{Lifecycle.KEPT}, deadline: bigint, seq: bigint"
+    NEW = (*Lifecycle.NEW, None, None)
+
     def __init__(self, max_retry: int, timeout_ms: int):
         super().__init__(max_retry)
         self.timeout_ms = timeout_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("range", "status string, retry bigint, last_error string, deadline bigint, seq bigint")
-
     def heard(self, state: tuple, kind: str, detail: str, at: int, seq: int) -> tuple:
         """The state after an event: ``(status, retry, last_error, deadline, seq)``."""
         current, deadline = state[:3], state[3]
@@ -207,29 +238,55 @@ class TimedLifecycle(Lifecycle):
             current = self.apply(current, ranges.TIMEOUT, ranges.TIMEOUT)
         current = self.apply(current, kind, detail)
         waits = kind == "submitted" and current[0] not in self.ENDED
-        return (*current, at + self.timeout_ms if waits else None, seq)
-
-    def row(self, key: tuple, state: tuple) -> pd.DataFrame:
-        return pd.DataFrame([(*key, state[4], *state[:3])], columns=["job", "range_id", "seq", "status", "retry", "last_error"])
+        return (*current, at + self.timeout_ms if waits and at != UNTIMED else None, seq)
+
+    def overdue(self, state: tuple, now: int) -> tuple:
+        """The state once the watermark is at ``now``."""
+        if state[3] is None or state[3] > now:
+            return state
+        return (*self.apply(state[:3], ranges.TIMEOUT, ranges.TIMEOUT), None, state[4])
+
+    def wake(self, states: dict) -> None:
+        """One timer for a group, at its next deadline."""
+        waiting = [state[3] for state in states.values() if state[3] is not None]
+        wanted = [min(waiting)] if waiting else []
+        timers = list(self.handle.listTimers())
+        for timer in timers:
+            if timer not in wanted:
+                self.handle.deleteTimer(timer)
+        if wanted and wanted[0] not in timers:
+            self.handle.registerTimer(wanted[0])
+
+    def changed(self, key: tuple, states: dict, numbers) -> pd.DataFrame:
+        return self.told(key, [(number, states[number][4], *states[number][:3]) for number in numbers])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values("seq")
-        state = tuple(self.state.get()) if self.state.exists() else ("PLANNED", 0, None, None, None)
-        for kind, detail, at, seq in zip(pdf["kind"], pdf["detail"], pdf["at"].tolist(), pdf["seq"].tolist()):
-            state = self.heard(state, kind, detail, at, seq)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if state[3] is not None:
-            self.handle.registerTimer(state[3])
-        self.state.update(state)
-        yield self.row(key, state)
+        pdf, now = in_order(rows), timerValues.getCurrentWatermarkInMs()
+        states, heard = self.known(), {}
+        given = (pdf["range_id"].tolist(), pdf["kind"], pdf["detail"], pdf["at"].tolist(), pdf["seq"].tolist())
+        for number, kind, detail, at, seq in zip(*given):
+            states[number] = self.heard(states.get(number, self.NEW), kind, detail, at, seq)
+            heard[number] = True
+        # A deadline the watermark has passed already makes no second row of the range.
+        states.update({number: self.overdue(states[number], now) for number in heard})
+        self.wake(states)
+        self.keep(states)
+        yield self.changed(key, states, heard)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        status, retry, error, deadline, seq = self.state.get()
-        if deadline is not None and deadline <= expiredTimerInfo.getExpiryTimeInMs():
-            state = (*self.apply((status, retry, error), ranges.TIMEOUT, ranges.TIMEOUT), None, seq)
-            self.state.update(state)
-            yield self.row(key, state)
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        before = self.known()
+        states = {number: self.overdue(state, now) for number, state in before.items()}
+        failed = [number for number in states if states[number] != before[number]]
+        if failed:
+            waiting = [state[3] for state in states.values() if state[3] is not None]
+            if waiting:
+                self.handle.registerTimer(min(waiting))
+            self.keep(states)
+            yield self.changed(key, states, failed)
+
+    def close(self) -> None:
+        pass
 
 
 def timed_lifecycle(events: DataFrame, ts: str, timeout_seconds: int, delay: str, max_retry: int = ranges.MAX_RETRY) -> DataFrame:
@@ -238,7 +295,6 @@ def timed_lifecycle(events: DataFrame, ts: str, timeout_seconds: int, delay: str
     millisecond; a range's events come in the order of ``seq``, their times don't decrease.
     A timer goes off once the watermark has reached it."""
     timed = events.withWatermark(ts, delay)
-    given = timed.select("job", "range_id", "seq", "kind", "detail", F.unix_millis(ts).alias("at"))
-    return given.groupBy("job", "range_id").transformWithStateInPandas(
+    return grouped(timed, "kind", "detail", F.coalesce(F.unix_millis(ts), F.lit(UNTIMED)).alias("at")).transformWithStateInPandas(
         TimedLifecycle(max_retry, timeout_seconds * 1000),
         "job string, range_id bigint, seq bigint, status string, retry bigint, last_error string", "Update", "EventTime")

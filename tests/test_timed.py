@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainlake.operators import ranges
-from chainlake.streaming import jobs, timed
+from chainlake.streaming import jobs, stateful, timed
 from chainlake.streaming.timed import TimedLifecycle
 
 START = datetime.datetime(2024, 1, 1)
@@ -99,3 +99,35 @@ def test_deadline_is_reached_at_its_time(gap, fails):
     state = machine.heard(("PLANNED", 0, None, None, None), "submitted", "a", 0, 1)
     assert state == ("INFLIGHT", 0, None, 600_000, 1)
     assert machine.heard(state, "done", "b", gap, 2)[:2] == ("DONE", int(fails))
+
+
+def store_rows(spark, checkpoint, name):
+    """Rows of the state store, which are what a stream pays for one by one."""
+    return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load().count()
+
+
+def test_many_ranges_share_a_row_of_the_store(spark, scratch):
+    """Ranges and keys are kept in groups; each has its own state all the same."""
+    kinds = ["submitted", "error", "submitted", "done"]
+    data = [("j", r, 4 * r + i, kinds[(r + i) % 4], f"d{i}", at(0) if r % 7 else None) for r in range(1000) for i in range(2)]
+    data += [("j", None, 5000 + i, "error", f"n{i}", at(1)) for i in range(2)] + [(None, 1, 6000, "done", None, at(1))]
+    events = spark.createDataFrame(data, EVENTS)
+    expected = {(r.job, r.range_id): (r.status, r.retry, r.last_error) for r in ranges.lifecycle(events).collect()}
+    for made, schema in ((lambda e: stateful.lifecycle(e), EVENTS), (lambda e: timed.timed_lifecycle(e, "ts", 600, "1 day"), EVENTS)):
+        path, checkpoint = scratch("g"), scratch("g-checkpoint")
+        states = made(in_batches(spark, scratch, [data[:1001], data[1001:]], schema))
+        jobs.for_each(states, lambda b, i: b.write.mode("overwrite").parquet(f"{path}/batch={i}"), checkpoint, mode="update").awaitTermination()
+        kept = {(r.job, r.range_id): (r.status, r.retry, r.last_error) for r in timed.state_table(spark, checkpoint, "range").collect()}
+        assert kept == expected and len(kept) == 1002
+        assert store_rows(spark, checkpoint, "range") <= 6
+
+
+def test_many_keys_share_a_row_of_the_store(spark, scratch, monkeypatch):
+    monkeypatch.setattr(timed, "GROUPS", 8)
+    batches = [[(b % 500, 1000 * i + b) for b in range(100 * i, 100 * i + 600)] for i in range(2)]
+    rows = in_batches(spark, scratch, batches, "block_height bigint, kafka_offset bigint")
+    checkpoint = scratch("k-checkpoint")
+    got = timed.append_new_with_state(rows, scratch("k"), checkpoint, ["block_height"], "kafka_offset", 3600)
+    assert sorted(map(tuple, got.collect())) == [(b, b) for b in range(500)]
+    assert timed.state_table(spark, checkpoint, "seen").count() == 500
+    assert store_rows(spark, checkpoint, "seen") <= 8
