@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import json
 import re
+import time
 import uuid
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,6 +33,8 @@ from chainlake.functions import schemas
 SEGMENT = re.compile(r"partition=(\d+)/segment-(\d+)-(\d+)\.parquet$")
 # Rows handed to the engine at once.
 BATCH = 10_000
+# Seconds for which a stream with enough before it goes by one listing of the folder.
+LISTED_FOR = 10.0
 
 
 def opened(path: str) -> tuple[pafs.FileSystem, str]:
@@ -98,11 +103,14 @@ class SegmentRead:
         self.path = options["path"]
         self.least = int(options.get("minpartitions", "1"))
 
+    def listed(self) -> dict[int, list[tuple[int, int, str]]]:
+        return segments_of(self.path)
+
     def ends(self) -> dict[int, int]:
-        return {p: s[-1][1] + 1 for p, s in segments_of(self.path).items()}
+        return {p: s[-1][1] + 1 for p, s in self.listed().items()}
 
     def begins(self) -> dict[int, int]:
-        return {p: s[0][0] for p, s in segments_of(self.path).items()}
+        return {p: s[0][0] for p, s in self.listed().items()}
 
     def offsets(self, given: str) -> dict[int, int]:
         """``earliest``, ``latest``, or a JSON object of partitions and offsets, where -2 stands for
@@ -115,12 +123,16 @@ class SegmentRead:
 
     def between(self, start: dict[int, int], end: dict[int, int]) -> list[Range]:
         out = []
-        for p, found in segments_of(self.path).items():
+        for p, found in self.listed().items():
             first, stop = start.get(p, found[0][0]), end.get(p, 0)
             if first < stop:
-                out.append(Range(p, first, stop, [f for a, b, f in found if a < stop and b >= first]))
+                out.append(Range(p, first, stop, [f for a, b, f in self.around(p, found, first, stop) if b >= first]))
         return split(out, self.least)
 
+    def around(self, partition: int, found: list[tuple[int, int, str]], first: int, stop: int) -> list[tuple[int, int, str]]:
+        """Segments that begin below ``stop``."""
+        return found[:bisect_left(found, stop, key=lambda s: s[0])]
+
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:
         files, _ = opened(self.path)
         for name in part.files:
@@ -154,11 +166,37 @@ class SegmentStream(SegmentRead, DataSourceStreamReader):
         self.start = options.get("startingoffsets", "latest")
         self.most = int(options.get("maxoffsetspertrigger", "0"))
         self.planned: dict[int, int] | None = None
+        self.known: dict[int, list[tuple[int, int, str]]] | None = None
+        self.reached: dict[int, list[int]] = {}
+        self.at = 0.0
+
+    def refresh(self) -> None:
+        self.known, self.at = segments_of(self.path), time.monotonic()
+        # The highest offset of a partition's segments up to each, which bisection needs to rise.
+        self.reached = {p: list(accumulate((b for _, b, _ in s), max)) for p, s in self.known.items()}
+
+    def listed(self) -> dict[int, list[tuple[int, int, str]]]:
+        """Segments are never changed, so that a listing holds for what it names. Listing for each
+        batch would make a stream's work grow with the square of its segments."""
+        if self.known is None:
+            self.refresh()
+        return self.known
+
+    def around(self, partition: int, found: list[tuple[int, int, str]], first: int, stop: int) -> list[tuple[int, int, str]]:
+        return found[bisect_left(self.reached[partition], first):bisect_left(found, stop, key=lambda s: s[0])]
+
+    def enough(self) -> bool:
+        """Whether the listing is young and names more than the next batch may take."""
+        if not self.most or self.known is None or time.monotonic() - self.at > LISTED_FOR:
+            return False
+        return sum(max(end - (self.planned or {}).get(p, 0), 0) for p, end in self.ends().items()) > self.most
 
     def initialOffset(self) -> dict:
         return as_json(self.offsets(self.start))
 
     def latestOffset(self) -> dict:
+        if not self.enough():
+            self.refresh()
         ends = self.ends()
         if self.planned is None:
             self.planned = self.offsets(self.start)
@@ -174,6 +212,9 @@ class SegmentStream(SegmentRead, DataSourceStreamReader):
         first, stop = from_json(start), from_json(end)
         # After a restart the stream goes on from what it had planned.
         self.planned = {p: max(o, (self.planned or {}).get(p, 0)) for p, o in stop.items()}
+        ends = self.ends()
+        if any(ends.get(p, 0) < o for p, o in stop.items()):
+            self.refresh()
         return self.between(first, stop)
 
     def commit(self, end: dict) -> None:

@@ -45,6 +45,34 @@ def test_segments_keep_all_rows_and_grow(spark, scratch):
     assert run(60) == list(range(150))
 
 
+def test_a_backlog_is_listed_once(tmp_path, monkeypatch):
+    """Batches of a stream with much before it don't list the folder anew, take every segment they
+    need and no other, and find what is added."""
+    def add(first, stop, width):
+        for p in (0, 1):
+            (tmp_path / f"partition={p}").mkdir(exist_ok=True)
+            for a in range(first, stop, width):
+                (tmp_path / f"partition={p}" / f"segment-{a}-{a + width - 1}.parquet").touch()
+
+    add(0, 1000, 10)
+    # An overlapping segment that reaches far.
+    (tmp_path / "partition=0" / "segment-5-400.parquet").touch()
+    listings, plain = [], segments.segments_of
+    monkeypatch.setattr(segments, "segments_of", lambda path: listings.append(1) or plain(path))
+    stream = segments.SegmentStream({"path": str(tmp_path), "startingoffsets": "earliest", "maxoffsetspertrigger": "40"})
+    at, batches = stream.initialOffset(), 0
+    while (end := stream.latestOffset()) != at:
+        for part in stream.partitions(at, end):
+            held = [(a, b, f) for a, b, f in plain(str(tmp_path))[part.partition] if a < part.stop and b >= part.first]
+            assert part.files == [f for _, _, f in held]
+            assert part.stop - part.first <= 40
+        at, batches = end, batches + 1
+        if batches == 20:
+            add(1000, 1100, 10)
+    assert at == {"0": 1100, "1": 1100} and batches >= 55
+    assert len(listings) <= 10
+
+
 def test_empty_folder(spark, scratch):
     assert segments.registered(spark).read.format("segments").option("path", scratch("none")).load().count() == 0
 
