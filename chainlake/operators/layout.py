@@ -111,10 +111,14 @@ def write_for_lookups(df: DataFrame, path: str, hash_column: str, number: str, a
                       distinct_hashes: int = 1_000_000, row_group_bytes: int | None = None) -> None:
     """Parquet for lookups by hash, by number range or by address. Row groups have a Bloom
     filter of the hash, sized for so many hashes in each; number and address are interleaved,
-    so that either's smallest and largest values in a row group are close together."""
-    low, high = df.agg(F.min(number), F.max(number)).first()
+    so that either's smallest and largest values in a row group are close together. The rows are
+    computed once, as they are needed three times: for the borders, for the ranges, to be sorted."""
+    aside = f"{path}-unordered"
+    df.write.mode("overwrite").parquet(aside)
+    rows = read_table(df.sparkSession, aside, df.schema)
+    low, high = rows.agg(F.min(number), F.max(number)).first()
     place = interleaved(position(F.col(number), low or 0, high or 0), address_position(F.col(address)))
-    placed = df.withColumn("_place", place)
+    placed = rows.withColumn("_place", place)
     writer = (
         placed.repartitionByRange("_place", address).sortWithinPartitions("_place", address).drop("_place").write.mode("overwrite")
         .option(f"parquet.bloom.filter.enabled#{hash_column}", "true")
@@ -123,6 +127,8 @@ def write_for_lookups(df: DataFrame, path: str, hash_column: str, number: str, a
     if row_group_bytes:
         writer = writer.option("parquet.block.size", str(row_group_bytes))
     writer.parquet(path)
+    left = df.sparkSession._jvm.org.apache.hadoop.fs.Path(aside)
+    left.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(left, True)
 
 
 def shard(key: Column, shards: int) -> Column:

@@ -82,6 +82,24 @@ def test_lookups_read_a_small_part(spark, scratch):
     assert nowhere.count() == 0
 
 
+def test_rows_for_lookups_are_computed_once(spark, scratch):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(n):
+        made.add(1)
+        return n % 40
+
+    rows = spark.range(500).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("tx_hash"), counted("id").alias("block_number"),
+        F.md5(F.col("id").cast("string")).alias("sender"))
+    path = scratch("once")
+    layout.write_for_lookups(rows, path, "tx_hash", "block_number", "sender")
+    assert made.value == 500
+    assert spark.read.parquet(path).count() == 500
+    assert layout.read_table(spark, f"{path}-unordered", rows.schema).count() == 0
+
+
 def test_bits_are_interleaved(spark):
     rnd = random.Random(2)
     data = [(rnd.randrange(1 << 16), rnd.randrange(1 << 16)) for _ in range(200)] + [(0, 65535), (65535, 0)]
