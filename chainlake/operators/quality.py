@@ -76,8 +76,12 @@ def dedup(rows: DataFrame, keys: list[str], order: str = "kafka_offset") -> Data
 
 
 def missing_rows(wanted: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of ``wanted`` without a row in ``present``; copies are collapsed first."""
-    return wanted.select(*keys).distinct().join(present.select(*keys).distinct(), keys, "left_anti")
+    """Keys of ``wanted`` without a row in ``present``, once each. One grouping of both sides needs no
+    join of two deduplicated ones. As in a join, absent keys equal none."""
+    marked = wanted.select(*keys, F.lit(True).alias("_wanted")).unionByName(present.select(*keys, F.lit(False).alias("_wanted")))
+    told = marked.groupBy(*keys).agg(F.bool_and("_wanted").alias("_missing"), F.bool_or("_wanted").alias("_wanted"))
+    absent = F.exists(F.array(*[F.col(f"`{k}`").isNull() for k in keys]), lambda a: a)
+    return told.where(F.col("_wanted") & (F.col("_missing") | absent)).select(*keys)
 
 
 def in_touched_buckets(stored: DataFrame, incoming: DataFrame, bucket: str) -> DataFrame:

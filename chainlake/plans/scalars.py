@@ -147,13 +147,10 @@ def parse_block_json(src):
 @query("i14_json_field", f"""with {S.TXJ} select {K}, j_hash as hash, j_to as receiver, j_chainid as chain from p
     union all select {K}, null, null, null from tx where not json_valid(raw)""", "tx")
 def json_field(src):
-    def get(name):
-        return F.get_json_object("raw", f"$.{name}")
-
-    # A cut-off payload still yields the members before the cut, which is not a parsed row.
-    whole = get("yParity").isNotNull()
-    return src.view("tx").select(
-        *KEYS, *[F.when(whole, get(f)).alias(n) for f, n in (("hash", "hash"), ("to", "receiver"), ("chainId", "chain"))])
+    found = src.view("tx").select(*KEYS, F.json_tuple("raw", "yParity", "hash", "to", "chainId").alias("_last", "hash", "receiver", "chain"))
+    # A cut-off payload may still yield the members before the cut, which is not a parsed row.
+    whole = F.col("_last").isNotNull()
+    return found.select(*KEYS, *[F.when(whole, F.col(n)).alias(n) for n in ("hash", "receiver", "chain")])
 
 
 @query("i14_variant_member", f"""with {S.TXJ} select {K}, j_hash as hash, j_to as receiver, j_chainid as chain, j_blockhash as block_hash from p

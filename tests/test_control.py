@@ -179,3 +179,23 @@ def test_dedup_collapses_copies(spark):
     assert rows(quality.dedup(df, ["k"])) == [("a", 2), ("b", 9)]
     assert rows(quality.duplicates(df, ["k"])) == [("a", 2)]
     assert rows(quality.missing_rows(df, df.where(F.col("k") == "a"), ["k"])) == [("b",)]
+
+
+def test_missing_rows_take_one_grouping(spark):
+    """Copies are collapsed, absent keys equal none, rows that are only present don't count."""
+    schema = "p int, o bigint"
+    wanted = spark.createDataFrame([(0, 1), (0, 1), (0, 2), (1, 2), (1, 2), (None, 3), (None, 3), (2, None)], schema)
+    present = spark.createDataFrame([(0, 2), (0, 2), (1, 9), (None, 3), (2, None)], schema)
+    got = quality.missing_rows(wanted, present, ["p", "o"])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(0, 1), (1, 2), (None, 3), (2, None)], key=repr)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan
+
+
+def test_members_are_found_in_one_reading(spark):
+    from conftest import SF_DIR
+
+    from chainlake.plans import load
+
+    plan = load().QUERIES["i14_json_field"](spark, SF_DIR)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("json_tuple(") == 1 and "get_json_object" not in plan
