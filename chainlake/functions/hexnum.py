@@ -19,12 +19,26 @@ HEX = "^0x[0-9a-fA-F]+$"
 UP_TO_128_BITS = "^0x0*[0-9a-fA-F]{1,32}$"
 
 
+def _digits(c: Column) -> Column:
+    """The digits after the prefix, those of one word at most."""
+    return F.substring(c, 3, WORD)
+
+
 def _word(c: Column) -> Column:
-    return F.lpad(F.substr(c, F.lit(3)), WORD, "0")
+    """The digits as one word. Spark's ``lpad`` copies every pad character by itself, which
+    takes longer than parsing the payload; ``repeat`` doubles."""
+    digits = _digits(c)
+    return F.concat(F.repeat(F.lit("0"), WORD - F.length(digits)), digits)
+
+
+def _part(c: Column, above: int, width: int) -> Column:
+    """``width`` digits of the word with ``above`` digits from their first to the word's last, as
+    decimal text. They are taken from the end, so that the word needs no padding."""
+    return F.conv(F.concat(F.lit("0"), F.substring(_digits(c), -above, width)), 16, 10)
 
 
 def _limb(c: Column, start: int) -> Column:
-    return F.conv(F.substring(_word(c), start, LIMB), 16, 10).cast("decimal(20,0)")
+    return _part(c, WORD - start + 1, LIMB).cast("decimal(20,0)")
 
 
 def hex64(c: Column) -> Column:
@@ -49,7 +63,7 @@ def hex_to_uint64(c: Column) -> Column:
 
 def hex_to_uint32(c: Column) -> Column:
     """Low 32 bits as ``bigint``."""
-    return F.when(c.rlike(HEX), F.conv(F.substring(_word(c), WORD - 7, 8), 16, 10).cast("bigint"))
+    return F.when(c.rlike(HEX), _part(c, 8, 8).cast("bigint"))
 
 
 def sum_hex64(c: Column) -> Column:
