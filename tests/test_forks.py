@@ -101,3 +101,20 @@ def test_no_forks(spark):
     tie = [("c", 1, "a", "z", 1), ("c", 1, "b", "z", 2)]
     got = forks.forks(spark.createDataFrame(tie, SCHEMA).withColumn("extra", F.lit(1))).collect()
     assert [(r.first_hash, r.ancestor_known) for r in got] == [("a", False)]
+
+
+def test_rounds_take_disputed_blocks_and_numbers_only(spark, monkeypatch):
+    """Of a chain of 400 blocks with a branch of three, delivered twice, blocks far from the branch are
+    neither grouped nor stored, and no round moves a hash."""
+    grouped, moved = [], []
+    known, plain = forks.known_blocks, forks.doubled
+    monkeypatch.setattr(forks, "known_blocks", lambda b: grouped.append(b.count()) or known(b))
+    monkeypatch.setattr(forks, "doubled", lambda nodes, *a: moved.append({n for n, t in nodes.dtypes if "string" in t}) or plain(nodes, *a))
+    trunk = [("c", n, f"t{n}", f"t{n - 1}", n) for n in range(400)]
+    branch = [("c", n, f"b{n}", "t199" if n == 200 else f"b{n - 1}", 1000 + n) for n in range(200, 203)] * 2
+    got = forks.forks(spark.createDataFrame(trunk + branch, SCHEMA)).collect()
+    assert [(r.first_hash, r.ancestor_number, r.ancestor_hash, r.ancestor_known, r.depth, r.orphaned) for r in got] == [
+        ("b200", 199, "t199", True, 3, ["b200", "b201", "b202"])]
+    # Heights 199 to 203, three of them with the branch's two deliveries.
+    assert grouped == [5 + 6]
+    assert moved and all(m == {"chain"} for m in moved)
