@@ -102,16 +102,24 @@ def not_yet_stored(incoming: DataFrame, stored: DataFrame, keys: list[str], buck
 
 
 def empty_blocks(blocks: DataFrame, txs: DataFrame, logs: DataFrame) -> DataFrame:
-    """Whether a block without logs may be one: it must have no transactions either."""
-    tx_counts = txs.groupBy("block_number").agg(F.count(F.lit(1)).alias("n_tx"))
-    log_counts = logs.groupBy("block_number").agg(F.count(F.lit(1)).alias("n_logs"))
-    counted = (
-        blocks.select("block_number")
-        .join(tx_counts, "block_number", "left")
-        .join(log_counts, "block_number", "left")
-        .na.fill(0, ["n_tx", "n_logs"])
-    )
-    return counted.withColumn(
+    """Whether a block without logs may be one: it must have no transactions either.
+
+    One grouping counts all three sides, as a join of counts would order each of them, and look for absent
+    numbers by computing every number twice. A block given more than once has a row each time, as has one
+    without a number, which nothing belongs to.
+    """
+    names = ["n_blocks", "n_tx", "n_logs"]
+
+    def marked(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("block_number", *[F.lit(int(n == name)).cast("bigint").alias(n) for n in names])
+
+    numbered = marked(blocks.where("block_number is not null"), "n_blocks")
+    counted = numbered.unionByName(marked(txs, "n_tx")).unionByName(marked(logs, "n_logs"))
+    counted = counted.groupBy("block_number").agg(*[F.sum(n).alias(n) for n in names]).where("n_blocks > 0")
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("n_blocks").cast("int"))).alias("copy")
+    unnumbered = blocks.where("block_number is null").select(
+        "block_number", *[F.lit(0).cast("bigint").alias(n) for n in ("n_tx", "n_logs")])
+    return counted.select("block_number", "n_tx", "n_logs", copies).drop("copy").unionByName(unnumbered).withColumn(
         "status",
         F.when(F.col("n_logs") > 0, "has_logs").when(F.col("n_tx") == 0, "empty_ok").otherwise("suspect"),
     )

@@ -199,3 +199,12 @@ def test_members_are_found_in_one_reading(spark):
 
     plan = load().QUERIES["i14_json_field"](spark, SF_DIR)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("json_tuple(") == 1 and "get_json_object" not in plan
+
+
+def test_empty_blocks_are_counted_by_one_grouping(spark):
+    """Blocks repeat or have no number; transactions and logs may have none, or no block."""
+    one = lambda numbers: spark.createDataFrame([(n,) for n in numbers], "block_number bigint")
+    got = quality.empty_blocks(one([1, 1, 2, 3, 3, 3, None, None]), one([1, 2, 2, 9, None]), one([1, 1, 8, None, None]))
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(got.na.fill(-1, ["block_number"])) == [
+        *[(-1, 0, 0, "empty_ok")] * 2, *[(1, 1, 2, "has_logs")] * 2, (2, 2, 0, "suspect"), *[(3, 0, 0, "empty_ok")] * 3]

@@ -117,3 +117,10 @@ def test_no_padding_character_by_character(src):
     """``lpad`` took about a third of the time of silver transactions."""
     for made in (src.view("tx"), silver.fact_tx(src.view("tx")), silver.normalized_tx(src.view("tx")), src.view("logs"), src.view("trunk")):
         assert "lpad(" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name, padded", [("tx", 5), ("logs", 4), ("trunk", 2)])
+def test_repeated_digits_are_made_once(src, name, padded):
+    """Payloads mention a padded number up to eight times a row, most in CASE branches."""
+    plan = src.view(name)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("repeat(") == padded
