@@ -66,14 +66,9 @@ def offsets_per_trigger(src):
     reader = spark.readStream.format("segments").option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", PER_TRIGGER)
     rows = reader.option("path", path).load().select("partition", "offset")
     out = scratch(spark, "a1-capped")
-
-    def work(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    running = rows.writeStream.foreachBatch(work).option("checkpointLocation", scratch(spark, "a1-capped-checkpoint")).trigger(processingTime="0 seconds").start()
-    running.processAllAvailable()
-    running.stop()
-    stored = spark.read.parquet(out)
+    writer = rows.writeStream.format("two_phase").option("path", out)
+    jobs.drain(spark, writer.option("checkpointLocation", scratch(spark, "a1-capped-checkpoint")))
+    stored = segments.committed(spark, out, rows.schema, batch="batch")
     taken = stored.groupBy("batch", "partition").agg((F.max("offset") - F.min("offset") + 1).alias("offsets"), F.count(F.lit(1)).alias("n"))
     by_batch = taken.groupBy("batch").agg(F.sum("offsets").alias("offsets"), F.sum("n").alias("n"))
     whole = stored.agg(F.countDistinct("offset").alias("offsets")).scalar()

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamArrowWriter, DataSourceStreamReader, InputPartition, WriterCommitMessage,
 )
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from chainlake.functions import schemas
 
@@ -311,13 +311,17 @@ def registered(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def committed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The rows of committed batches. Manifests are read as a table; their files as one."""
+def committed(spark: SparkSession, path: str, schema: StructType, batch: str | None = None) -> DataFrame:
+    """The rows of committed batches, with the number of their batch as column ``batch`` where that is
+    named. Manifests are read as a table; their files as one."""
     files, root = opened(path)
     if files.get_file_info(f"{root}/commits").type == pafs.FileType.NotFound:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], StructType([*schema, StructField(batch, LongType())]) if batch else schema)
     names = spark.read.schema("batch bigint, files array<string>, rows bigint").json(f"{path}/commits")
-    told = names.select(F.explode("files").alias("file"))
+    told = names.select(F.col("batch").alias("_batch"), F.explode("files").alias("file"))
+    told = told.select("_batch", F.element_at(F.split("file", "/"), -1).alias("_file"))
     rows = spark.read.schema(schema).parquet(f"{path}/pending")
     named = rows.withColumn("_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
-    return named.join(told.select(F.element_at(F.split("file", "/"), -1).alias("_file")), "_file", "left_semi").drop("_file")
+    if batch:
+        return named.join(told, "_file").drop("_file").withColumnRenamed("_batch", batch)
+    return named.join(told.select("_file"), "_file", "left_semi").drop("_file")

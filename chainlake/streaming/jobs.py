@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from chainlake.functions import columns as C
 from chainlake.operators import layout, quality
@@ -17,6 +17,10 @@ from chainlake.session import scratch
 # Fixed value: trigger of the realtime jobs.
 REALTIME_TRIGGER = "60 seconds"
 
+# What writes a stream's offsets and commits, and Spark's writer that needs no process of its own for a rename.
+LOG_WRITER = "spark.sql.streaming.checkpointFileManagerClass"
+BY_FILE_SYSTEM = "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+
 
 def start(
     rows: DataFrame, path: str, checkpoint: str, *, every: str | None = None,
@@ -51,6 +55,24 @@ def for_each(rows: DataFrame, work: Callable[[DataFrame, int], None], checkpoint
     )
 
 
+def drain(spark: SparkSession, writer: DataStreamWriter) -> None:
+    """Run a stream in batches as its source caps them until nothing waits, for sources that an
+    available-now trigger reads in one batch. The checkpoint must be this query's own: on a local
+    folder its log is written through Hadoop's FileSystem, where a rename replaces. Spark's default
+    starts processes there to look for links, which took a fifth of a small batch."""
+    before = spark.conf.get(LOG_WRITER, None)
+    spark.conf.set(LOG_WRITER, BY_FILE_SYSTEM)
+    try:
+        # The query keeps the settings it starts with.
+        running = writer.trigger(processingTime="0 seconds").start()
+    finally:
+        spark.conf.set(LOG_WRITER, before) if before else spark.conf.unset(LOG_WRITER)
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+
+
 def fan_out(rows: DataFrame, sinks: dict[str, str | None], checkpoint: str) -> list[StreamingQuery]:
     """One source, several sinks (path: trigger, or all there is), each a query with its own
     checkpoint, so that none waits for another."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from chainlake.functions import schemas
 from chainlake.sources import segments
+from chainlake.streaming import jobs
 
 
 def wire(spark, first, stop):
@@ -111,3 +112,42 @@ def test_repeated_batches_add_nothing(spark, scratch):
     to_sink(stream(spark, given), path, scratch("second"))
     assert sorted(os.listdir(f"{path}/pending")) == files
     assert segments.committed(spark, path, stream(spark, given).schema).count() == 100
+
+
+def test_capped_batches_keep_their_numbers(spark, scratch):
+    """A capped stream drained to the sink: batches under the cap, every row once, a task's file
+    without a manifest left out, and the session's settings as they were."""
+    segments.registered(spark)
+    given, out = scratch("capped"), scratch("capped-out")
+    segments.store_segments(wire(spark, 0, 100), given, 16)
+    rows = spark.readStream.format("segments").options(path=given, startingOffsets="earliest", maxOffsetsPerTrigger=30).load().select("partition", "offset")
+    none = segments.committed(spark, out, rows.schema, batch="batch")
+    assert none.columns == ["partition", "offset", "batch"] and none.count() == 0
+    for before in (None, "org.apache.spark.sql.execution.streaming.checkpointing.FileContextBasedCheckpointFileManager"):
+        spark.conf.set(jobs.LOG_WRITER, before) if before else spark.conf.unset(jobs.LOG_WRITER)
+        # Another checkpoint makes the same batches again, which adds nothing.
+        jobs.drain(spark, rows.writeStream.format("two_phase").option("path", out).option("checkpointLocation", scratch("capped-checkpoint")))
+        assert spark.conf.get(jobs.LOG_WRITER, None) == before
+    spark.conf.unset(jobs.LOG_WRITER)
+    spark.range(7, 8).selectExpr("cast(0 as int) as partition", "id as offset").write.mode("append").parquet(f"{out}/pending")
+    stored = segments.committed(spark, out, rows.schema, batch="batch")
+    assert dict(stored.dtypes) == {"partition": "int", "offset": "bigint", "batch": "bigint"}
+    assert sorted(r.offset for r in stored.collect()) == list(range(100))
+    spans = stored.groupBy("batch", "partition").agg((F.max("offset") - F.min("offset") + 1).alias("n")).groupBy("batch").agg(F.sum("n").alias("n")).collect()
+    assert sorted(r.batch for r in spans) == list(range(len(spans))) and len(spans) >= 7
+    assert max(r.n for r in spans) <= 30
+    assert sorted(r.offset for r in segments.committed(spark, out, rows.schema).collect()) == list(range(100))
+
+
+def test_the_capped_query_keeps_a_manifest_for_each_batch(spark, src, scratch, monkeypatch):
+    """Its batches go to the sink, not each to a table of its own, and none is missing."""
+    from chainlake.plans import transport
+
+    made, plain = {}, transport.scratch
+    monkeypatch.setattr(transport, "scratch", lambda spark, name: made.setdefault(name, plain(spark, name)))
+    monkeypatch.setattr(transport, "PER_TRIGGER", 300)
+    found = transport.offsets_per_trigger(src).collect()
+    blocks = src.view("blocks").count()
+    assert [tuple(r) for r in found] == [(blocks, blocks, True, True)]
+    batches = sorted(int(f.removesuffix(".json")) for f in os.listdir(f"{made['a1-capped']}/commits") if f.endswith(".json"))
+    assert batches == list(range(len(batches))) and len(batches) >= 15
